@@ -28,18 +28,12 @@ def strip_ansi(c) -> Column:
 
 def line_timestamp(c) -> Column:
     """The first 19 characters as a UTC timestamp; anything else is NULL."""
-    return F.try_to_timestamp(F.left(_col(c), F.lit(19)), F.lit(STAMP_FORMAT))
+    return F.try_to_timestamp(F.left(_col(c), F.lit(19)), F.lit(STAMP_FORMAT)).cast("timestamp_ntz")
 
 
 def strip_revision(c) -> Column:
     """Drop trailing . , ' " from a revision token."""
-    return F.expr(f"rtrim('{REVISION_TRAILERS.replace(chr(39), chr(39) * 2)}', {_sql(c)})")
-
-
-def _sql(c) -> str:
-    if isinstance(c, str):
-        return f"`{c}`"
-    raise TypeError("strip_revision takes a column name")
+    return F.regexp_replace(_col(c), "[.,'\"]+$", "")
 
 
 def last_match(c, pattern: str, group: int = 1) -> Column:
@@ -74,15 +68,11 @@ def layer_of(c) -> Column:
 
 
 def split_first_colon(c) -> tuple[Column, Column]:
-    """``repo:rev`` -> (repo, rev); no colon gives (whole, NULL)."""
+    """``repo:rev`` -> (repo, rev) at the first colon; no colon gives (whole, NULL)."""
     s = _col(c)
-    has = F.instr(s, ":") > 0
-    return (F.when(has, F.substring_index(s, ":", 1)).otherwise(s),
-            F.when(has, F.expr("substr({0}, instr({0}, ':') + 1)".format(_sql_any(c)))))
-
-
-def _sql_any(c) -> str:
-    return f"`{c}`" if isinstance(c, str) else c._jc.toString()
+    at = F.instr(s, ":")
+    return (F.when(at > 0, F.substring_index(s, ":", 1)).otherwise(s),
+            F.when(at > 0, F.substr(s, at + 1)))
 
 
 def default_token_ids(df: DataFrame, text: str = "text") -> DataFrame:
