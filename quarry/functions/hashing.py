@@ -17,7 +17,7 @@ def hex_prefix_int(hex_col: Column, digits: int = 15) -> Column:
 
 def seeded_int(*parts) -> Column:
     """``int(sha256(p1:p2:...))`` truncated to 60 bits; pmod it by n for a pick."""
-    cols = [p if isinstance(p, Column) else F.lit(p) for p in parts]
+    cols = [(p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts]
     return hex_prefix_int(F.sha2(F.concat_ws(":", *cols), 256))
 
 

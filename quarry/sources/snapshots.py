@@ -102,4 +102,5 @@ SETTINGS = T.StructType([
 
 def read_settings(df: DataFrame, col: str = "json") -> DataFrame:
     """A malformed settings object is ignored (NULL struct), an absent one is absent."""
-    return df.withColumn("settings", F.from_json(F.col(col), SETTINGS, {"mode": "PERMISSIVE"}))
+    ok = F.try_parse_json(F.col(col)).isNotNull()
+    return df.withColumn("settings", F.when(ok, F.from_json(F.col(col), SETTINGS, {"mode": "PERMISSIVE"})))
