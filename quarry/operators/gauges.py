@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.logs import severity_tier
 
@@ -70,26 +71,28 @@ def alert_key(stable_rule: bool = False) -> Column:
 
 def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S) -> DataFrame:
     """T3 batch twin: emit an alert when >= repeat_s passed since the key's last
-    *emission* (not its last occurrence).
+    *emission* (not its last occurrence), so ``lag`` cannot express it.
 
-    Greedy per key; each key is one miner's alert history, processed with
-    ``applyInPandas`` as a sorted array walk with binary-search jumps.
+    Each key's alerts (one miner, one message prefix) are sorted and folded with
+    ``aggregate`` inside the JVM, carrying (last emission, emitted rows); no
+    Python worker and no per-group pandas frame.
     """
     keyed = alerts.withColumn("key", alert_key()).withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
-    schema = "key string, uid long, poll long, ts timestamp_ntz, severity string, message string"
-
-    def walk(pdf):
-        import numpy as np
-
-        pdf = pdf.sort_values(["_t", "poll"], kind="mergesort")
-        t = pdf["_t"].to_numpy()
-        keep, i = [], 0
-        while i < len(t):
-            keep.append(i)
-            i = int(np.searchsorted(t, t[i] + repeat_s * 1_000_000, side="left"))
-        return pdf.iloc[keep][["key", "uid", "poll", "ts", "severity", "message"]]
-
-    return keyed.groupBy("key").applyInPandas(walk, schema)
+    item = F.struct("_t", "poll", "uid", "ts", "severity", "message")
+    g = keyed.groupBy("key").agg(F.array_sort(F.collect_list(item)).alias("_a"))
+    item_type = keyed.select(item.alias("x")).schema["x"].dataType
+    init = F.struct(F.lit(None).cast("long").alias("last"),
+                    F.array().cast(T.ArrayType(item_type)).alias("out"))
+    gap = F.lit(repeat_s * 1_000_000)
+
+    def step(acc, x):
+        fire = acc["last"].isNull() | (x["_t"] - acc["last"] >= gap)
+        return F.when(fire, F.struct(x["_t"].alias("last"), F.concat(acc["out"], F.array(x)).alias("out"))) \
+                .otherwise(acc)
+
+    fold = F.aggregate("_a", init, step)
+    out = g.select("key", F.explode(fold["out"]).alias("e"))
+    return out.select("key", "e.uid", "e.poll", "e.ts", "e.severity", "e.message")
 
 
 def phase_fraction(into: Column, left: Column) -> Column:
