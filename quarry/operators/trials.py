@@ -143,7 +143,7 @@ def retention(ckpts: DataFrame, keep: int = RETAIN_NEWEST) -> DataFrame:
 
 def scored_checkpoints(curve: DataFrame) -> DataFrame:
     """Eval points whose step has a saved checkpoint (inner join on step)."""
-    saved = curve.filter("saved").select("uid", "step", "name")
+    saved = curve.filter("saved").groupBy("uid", "step").agg(F.max("name").alias("name"))
     evals = curve.groupBy("uid", "step").agg(F.max_by("loss", "loss_pos").alias("loss")) \
         if "loss_pos" in curve.columns else curve.select("uid", "step", "loss")
     return saved.join(evals, ["uid", "step"])

@@ -34,20 +34,19 @@ def read_corpus(spark: SparkSession, path: str, text: str = "text",
 def read_jsonl(spark: SparkSession, path: str, text_col: str = "text") -> DataFrame:
     """JSON lines (plain or .gz); unparsable lines skipped, missing text -> ''.
 
-    Rows keep their physical line number (``pos``) so stride sampling can count
-    malformed lines too: lines are read as text first, then parsed with
-    ``from_json`` (PERMISSIVE, NULL on failure).
+    Lines are read as text first and parsed with ``try_parse_json`` (NULL on
+    failure), so a malformed line is dropped without failing the job; ``pos``
+    is an increasing position assigned before the parse.
     """
     if str(path).endswith(".xz"):
         raise ValueError(".xz is not readable by the text reader; use read_jsonl_xz")
     lines = spark.read.text(path).select(
         F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
     lines = lines.withColumn("pos", F.monotonically_increasing_id())
-    schema = T.StructType([T.StructField(text_col, T.StringType())])
-    parsed = lines.withColumn("_j", F.from_json("line", schema, {"mode": "PERMISSIVE"}))
-    ok = F.col("_j").isNotNull() & F.col("line").startswith("{")
-    return parsed.filter(ok).select(
-        "file_name", F.coalesce(F.col(f"_j.{text_col}"), F.lit("")).alias("text"))
+    v = F.try_parse_json(F.col("line"))
+    obj = v.isNotNull() & F.ltrim(F.col("line")).startswith("{")
+    text = F.coalesce(F.try_variant_get(v, f"$.{text_col}", "string"), F.lit(""))
+    return lines.filter(obj).select("file_name", "pos", text.alias("text"))
 
 
 def read_jsonl_xz(spark: SparkSession, paths: str | Sequence[str], text_col: str = "text") -> DataFrame:
