@@ -37,7 +37,12 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per validator sample of a miner in a cycle; ``pos`` breaks ties."""
-    e = load(spark, sf_dir, "events")
+    return board_from(load(spark, sf_dir, "events"))
+
+
+def board_from(e: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The ``board`` projection of an events frame (batch or stream); ``keep``
+    carries extra input columns through (e.g. a watermarked event time)."""
     eid, day = F.col("event_id"), _day()
     cohort = (F.when(eid % 5 == 0, "A").when(eid % 5 == 1, "B")
               .when(eid % 5 == 2, "C").when(eid % 5 == 3, "tail"))
@@ -55,12 +60,16 @@ def board(spark: SparkSession, sf_dir: str) -> DataFrame:
         cohort.alias("cohort"),
         F.when(F.col("user_id") % 4 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("org/u"), F.col("user_id").cast("string"))).alias("repo"),
-        (F.lit(1.5) + day * F.lit(0.05)).alias("baseline"))
+        (F.lit(1.5) + day * F.lit(0.05)).alias("baseline"), *keep)
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coloured, stamped log lines; 'view' events are unstamped continuations."""
-    e = load(spark, sf_dir, "events")
+    return logs_from(load(spark, sf_dir, "events"))
+
+
+def logs_from(e: DataFrame) -> DataFrame:
+    """The ``logs`` projection of an events frame (batch or stream)."""
     eid = F.col("event_id")
     stamp = F.date_trunc("second", F.col("ts")).cast("string")
     rev7 = F.substring(F.md5(eid.cast("string")), 1, 7)
@@ -88,10 +97,16 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monitor polls: one miner's gauge series (bounded per uid by poll cadence)."""
     e = load(spark, sf_dir, "events")
-    eid = F.col("event_id")
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return poll_rows_from(e.withColumn("poll", F.row_number().over(w).cast("long"))).drop("event_id")
+
+
+def poll_rows_from(e: DataFrame) -> DataFrame:
+    """The ``polls`` projection; a stream has no ``poll`` number and orders by (ts, event_id)."""
+    eid = F.col("event_id")
+    extra = ["poll"] if "poll" in e.columns else []
     return e.select(
-        F.col("user_id").alias("uid"), F.row_number().over(w).cast("long").alias("poll"), "ts",
+        F.col("user_id").alias("uid"), *extra, "event_id", "ts",
         _day().alias("round_id"),
         F.when(eid % 13 == 0, F.lit(None).cast("double"))
          .otherwise(F.floor(F.col("value") / 150).cast("double")).alias("val_loss"),
