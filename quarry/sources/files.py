@@ -31,6 +31,21 @@ def read_corpus(spark: SparkSession, path: str, text: str = "text",
                      F.col("_metadata.row_index").alias("row_index"))
 
 
+def read_sources(spark: SparkSession, specs: Sequence[dict]) -> DataFrame:
+    """Declared sources, each with its own text column and pinned revision,
+    renamed to ``text`` and tagged with ``source`` and ``revision`` (one scan each,
+    only the text column read)."""
+    parts = []
+    for spec in specs:
+        df = spark.read.parquet(spec["path"])
+        parts.append(df.select(F.lit(spec["name"]).alias("source"), F.lit(spec.get("revision")).alias("revision"),
+                               F.col(spec.get("text_column", "text")).alias("text")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def read_jsonl(spark: SparkSession, path: str, text_col: str = "text") -> DataFrame:
     """JSON lines (plain or .gz); unparsable lines skipped, missing text -> ''.
 
