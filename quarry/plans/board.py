@@ -304,3 +304,68 @@ def c14_history_report(spark, sf):
                     "to_cohort", "from_cohort", F.lit(None).cast("array<double>").alias("loss_trend"),
                     F.lit(None).cast("array<string>").alias("cohort_trend")))
     return earn.unionByName(own).unionByName(mv)
+
+
+# ------------------------------------------------------------------ J4, J10, J11, C11
+@register("j10_first_last_join", f"""WITH {MINERS_SQL},{_MOVES_SQL}
+SELECT uid, from_cohort, to_cohort, from_rank, to_rank FROM moves""")
+def j10_first_last_join(spark, sf):
+    m = miners(spark, sf)
+    first = B.latest_snapshot(m.withColumn("_neg", -F.col("cycle")), "_neg").select("uid", F.col("cohort").alias("from_cohort"))
+    last = B.latest_snapshot(m).select("uid", F.col("cohort").alias("to_cohort"))
+    j = last.join(first, "uid", "left")
+    return j.select("uid", "from_cohort", "to_cohort", B.cohort_rank("from_cohort").alias("from_rank"),
+                    B.cohort_rank("to_cohort").alias("to_rank"))
+
+
+@register("j11_factor_pairs", f"""WITH {MINERS_SQL},
+f AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {a}, {b})" for n, a, b in FACTORS)}) t(factor, a, b))
+SELECT ma.cycle, f.factor, ma.val_loss AS va, mb.val_loss AS vb
+FROM miners ma JOIN f ON ma.uid = f.a LEFT JOIN miners mb ON mb.cycle = ma.cycle AND mb.uid = f.b""")
+def j11_factor_pairs(spark, sf):
+    factors = spark.createDataFrame(FACTORS, "factor string, a long, b long")
+    return B.factor_verdicts(miners(spark, sf), factors).select("cycle", "factor", "va", "vb")
+
+
+@register("j4_local_board_join", f"""WITH {MINERS_SQL}
+SELECT t.pos, t.uid, t.cycle, t.local_eval, m.val_loss AS validator_val_loss, m.cohort, m.incentive
+FROM trainlog t LEFT JOIN miners m ON m.uid = t.uid AND m.cycle = t.cycle""")
+def j4_local_board_join(spark, sf):
+    m = miners(spark, sf).select("uid", "cycle", F.col("val_loss").alias("validator_val_loss"), "cohort", "incentive")
+    t = V.trainlog(spark, sf).select("pos", "uid", "cycle", "local_eval")
+    return t.join(m, ["uid", "cycle"], "left").select("pos", "uid", "cycle", "local_eval", "validator_val_loss",
+                                                      "cohort", "incentive")
+
+
+@register("c11_versus_report", f"""WITH {MINERS_SQL},
+last AS (SELECT * FROM miners WHERE cycle = (SELECT max(cycle) FROM miners)),
+rk AS (SELECT uid, row_number() OVER (ORDER BY val_loss, uid) AS rank FROM last WHERE val_loss IS NOT NULL),
+pu AS (SELECT uid, peak_lr FROM settings WHERE scope = 'uid'),
+sh AS (SELECT max(peak_lr) AS peak_lr, count(*) AS n FROM settings WHERE scope = 'shared'),
+roles AS (SELECT 'ours' AS role, uid FROM last WHERE uid IN (1, 2, 3)
+          UNION ALL SELECT 'earner', uid FROM (SELECT uid, row_number() OVER (ORDER BY incentive DESC, uid) AS r
+                                               FROM last WHERE incentive > 0) WHERE r <= 6
+          UNION ALL SELECT 'leader', uid FROM rk WHERE rank <= 5),
+gap AS (SELECT min(CASE WHEN uid IN (1, 2, 3) THEN val_loss END) - max(CASE WHEN incentive > 0 THEN val_loss END) AS g FROM last)
+SELECT r.role, l.uid, l.val_loss, CASE WHEN l.baseline IS NULL OR l.baseline = 0 OR l.val_loss IS NULL THEN NULL
+                                       ELSE l.baseline - l.val_loss END AS delta,
+       rk.rank, l.cohort, l.incentive,
+       CASE WHEN pu.uid IS NOT NULL THEN pu.peak_lr WHEN sh.n > 0 THEN sh.peak_lr ELSE CAST(3e-4 AS DOUBLE) END AS peak_lr,
+       gap.g AS gap_to_worst_earner
+FROM roles r JOIN last l USING (uid) LEFT JOIN rk USING (uid) LEFT JOIN pu USING (uid) JOIN sh ON true JOIN gap ON true""")
+def c11_versus_report(spark, sf):
+    from quarry.operators.candidates import layered_lookup
+
+    m = miners(spark, sf)
+    last = B.latest_snapshot(m)
+    ranked = B.rank_scored(last).select("uid", F.col("rank").cast("long").alias("rank"))
+    ours_r = B.ours(last).select(F.lit("ours").alias("role"), "uid")
+    earn = (B.earners(last).withColumn("_r", F.row_number().over(Window.orderBy(F.col("incentive").desc(), F.col("uid"))))
+            .filter(F.col("_r") <= 6).select(F.lit("earner").alias("role"), "uid"))
+    lead = ranked.filter(F.col("rank") <= 5).select(F.lit("leader").alias("role"), "uid")
+    roles = ours_r.unionByName(earn).unionByName(lead)
+    gap = B.gap_to_worst_earner(last).select("cycle", F.col("gap").alias("gap_to_worst_earner"))
+    cfg = layered_lookup(roles.select("uid").distinct(), V.settings(spark, sf), "peak_lr", 3e-4).select("uid", "peak_lr")
+    j = (roles.join(last, "uid").join(ranked, "uid", "left").join(cfg, "uid", "left").join(gap, "cycle"))
+    return j.select("role", "uid", "val_loss", B.delta_versus(F.col("val_loss"), F.col("baseline")).alias("delta"),
+                    "rank", "cohort", "incentive", "peak_lr", "gap_to_worst_earner")

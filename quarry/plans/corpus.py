@@ -340,3 +340,15 @@ def s12_update_manifest(spark, sf):
     old = (C.build_manifest(d, "lang", 0, "head").withColumn("seconds", F.lit(12.5)))
     new = C.build_manifest(C.uniform_shard_sample(d, C1_ROWS, 200), "lang", 200, "uniform-per-shard")
     return C.update_manifest(old, new.filter(F.col("path") == "fr"))
+
+
+@register("j13_quota_join", f"""
+WITH cat AS (SELECT shard, ord, count(*) AS n_rows FROM docs GROUP BY shard, ord),
+{quota_sql('cat', C1_ROWS)}
+SELECT d.shard, d.pos, d.doc_id, q.quota, greatest(1, q.n_rows // q.quota) AS stride
+FROM docs d JOIN quotas q ON d.shard = q.shard WHERE q.quota > 0""")
+def j13_quota_join(spark, sf):
+    d = V.docs(spark, sf)
+    q = C.allocate_quotas(C.shard_catalog(d), C1_ROWS).filter(F.col("quota") > 0).select(
+        "shard", "quota", F.greatest(F.lit(1), F.expr("n_rows div quota")).alias("stride"))
+    return d.join(F.broadcast(q), "shard").select("shard", "pos", "doc_id", "quota", "stride")

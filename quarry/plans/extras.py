@@ -180,3 +180,60 @@ def c16_drift_measure(spark, sf):
     inside = (F.col("up_ts") >= F.col("win_start")) & (F.col("up_ts") < F.col("win_end"))
     return out.select("uid", "up_ts", "up_rev", "d_rev", "win_start", "win_end",
                       F.coalesce(inside, F.lit(False)).alias("in_window"), F.col("rel_i").alias("rel_drift"))
+
+
+# ------------------------------------------------------------------ file sinks and readers
+@register("s6_read_history", """
+SELECT cycle, uid, row_number() OVER (PARTITION BY cycle, uid ORDER BY pos) - 1 AS slot_pos, slot, val_loss
+FROM board""")
+def s6_read_history(spark, sf):
+    from quarry.sources.snapshots import flatten_snapshot, read_history, snapshots_to_json
+
+    js = snapshots_to_json(V.board(spark, sf))
+    lines = js.select(F.col("json").alias("value")).unionByName(js.select(F.lit("").alias("value")))
+    path = scratch_path(spark, f"history-{uuid.uuid4().hex[:10]}")
+    lines.write.text(path)  # history file with blank lines between records
+    rows = flatten_snapshot(read_history(spark, path))
+    return rows.select("cycle", "uid", F.col("slot_pos").cast("long").alias("slot_pos"), "slot", "val_loss")
+
+
+@register("s10_write_shards", "SELECT length(text) AS n_chars FROM documents")
+def s10_write_shards(spark, sf):
+    from quarry.sources.files import read_corpus, write_shards
+
+    path = scratch_path(spark, f"shards-{uuid.uuid4().hex[:10]}")
+    write_shards(load(spark, sf, "documents"), path, rows_per_file=97)
+    return read_corpus(spark, path).select(F.length("text").alias("n_chars"))
+
+
+@register("s13_publish", "SELECT length(text) AS n_chars FROM documents")
+def s13_publish(spark, sf):
+    from quarry.sources.files import current_version, publish
+
+    root = scratch_path(spark, f"live-{uuid.uuid4().hex[:10]}")
+    publish(load(spark, sf, "documents"), root)
+    return spark.read.parquet(current_version(root, spark)).select(F.length("text").alias("n_chars"))
+
+
+@register("s14_append_events", "SELECT uid, count(*) AS n FROM board GROUP BY uid")
+def s14_append_events(spark, sf):
+    from quarry.sources.files import append_events
+
+    path = scratch_path(spark, f"events-{uuid.uuid4().hex[:10]}")
+    append_events(V.board(spark, sf), path)
+    return spark.read.parquet(path).groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("s17_verify_corpus", """
+SELECT concat('shard=', shard) AS source, count(*) AS rows_on_disk, true AS ok FROM docs GROUP BY shard""")
+def s17_verify_corpus(spark, sf):
+    """Shards written one folder per source, verified against a manifest
+    built from the catalogue (expected rows; one file per source folder)."""
+    from quarry.sources.files import verify_corpus
+
+    root = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:10]}")
+    d = V.docs(spark, sf).select("shard", "text")
+    d.repartition("shard").write.partitionBy("shard").parquet(root)
+    manifest = (V.docs(spark, sf).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
+                .select(F.concat(F.lit("shard="), F.col("shard")).alias("source"), F.lit(1).alias("shards"), "rows"))
+    return verify_corpus(spark, root, manifest).select("source", "rows_on_disk", "ok")

@@ -380,3 +380,11 @@ def o6_candidates_by_stake(spark, sf):
     ch = CD.first_existing_suffix(files, SUFFIX_PREFERENCE)
     return (CD.rank_by_stake(c).join(ch, "uid", "left")
             .select("uid", F.col("stake_rank").cast("long").alias("stake_rank"), "chosen_suffix"))
+
+
+@register("f8_scope", """
+SELECT uid, grp, step FROM curve WHERE grp IN ('click', 'view', 'purchase') AND uid IN (SELECT DISTINCT uid FROM board WHERE repo IS NOT NULL)""")
+def f8_scope(spark, sf):
+    allowed = V.board(spark, sf).filter(F.col("repo").isNotNull()).select("uid").distinct()
+    c = T.scope(V.curve(spark, sf), groups=W6_GROUPS)
+    return c.join(allowed, "uid", "left_semi").select("uid", "grp", "step")

@@ -126,30 +126,50 @@ def write_shards(df: DataFrame, out_dir: str, rows_per_file: int = 50_000) -> No
        .option("maxRecordsPerFile", rows_per_file).parquet(out_dir))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
 def publish(df: DataFrame, root: str, rows_per_file: int = 50_000) -> str:
     """Write a new version, refuse an empty one, then move the pointer.
 
-    The previous version stays on disk; readers follow ``CURRENT``. The row
-    count is read from the written files' footers, not by re-running ``df``.
+    The previous version stays; readers follow ``CURRENT``. The row count is
+    read back from the written files (Parquet footers), not by re-running
+    ``df``. The pointer is written through the Hadoop FileSystem API (create
+    then rename), so it works on any storage the cluster reads.
     """
     spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex[:12]}"
-    target = os.path.join(root, version)
+    target = f"{root.rstrip('/')}/{version}"
     write_shards(df, target, rows_per_file)
-    rows = spark.read.parquet(target).count()
-    if rows == 0:
+    if spark.read.parquet(target).count() == 0:
         raise RuntimeError("no rows collected -- refusing to replace the existing corpus")
-    os.makedirs(root, exist_ok=True)
-    tmp = os.path.join(root, f".CURRENT.{version}")
-    with open(tmp, "w") as fh:
-        fh.write(version)
-    os.replace(tmp, os.path.join(root, "CURRENT"))
+    fs, tmp, jvm = _fs(spark, f"{root.rstrip('/')}/.CURRENT.{version}")
+    out = fs.create(tmp, True)
+    out.write(bytearray(version.encode("utf-8")))
+    out.close()
+    cur = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT")
+    if fs.exists(cur):
+        fs.delete(cur, False)
+    fs.rename(tmp, cur)
     return target
 
 
-def current_version(root: str) -> str:
-    with open(os.path.join(root, "CURRENT")) as fh:
-        return os.path.join(root, fh.read().strip())
+def current_version(root: str, spark: SparkSession | None = None) -> str:
+    """The folder ``CURRENT`` points at."""
+    from pyspark.sql import SparkSession as _S
+
+    spark = spark or _S.getActiveSession()
+    name = spark.read.text(f"{root.rstrip('/')}/CURRENT").first()[0].strip()
+    return f"{root.rstrip('/')}/{name}"
+
+
+def append_events(df: DataFrame, path: str, key: str = "uid") -> None:
+    """Append rows, one folder per key; rows are clustered by key first so
+    each write adds one file per key instead of one per (task, key)."""
+    df.repartition(key).write.mode("append").partitionBy(key).parquet(path)
 
 
 def verify_corpus(spark: SparkSession, corpus_dir: str, manifest: DataFrame) -> DataFrame:
