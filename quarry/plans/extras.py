@@ -237,3 +237,18 @@ def s17_verify_corpus(spark, sf):
     manifest = (V.docs(spark, sf).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
                 .select(F.concat(F.lit("shard="), F.col("shard")).alias("source"), F.lit(1).alias("shards"), "rows"))
     return verify_corpus(spark, root, manifest).select("source", "rows_on_disk", "ok")
+
+
+@register("j12_manifest_files", """
+SELECT concat('shard=', shard) AS source, CAST(1 AS INTEGER) AS shards, CAST(1 AS BIGINT) AS files_on_disk,
+       count(*) AS rows, count(*) AS rows_on_disk, false AS mismatch FROM docs GROUP BY shard""")
+def j12_manifest_files(spark, sf):
+    """Manifest left-joined to the files found, with a mismatch flag."""
+    from quarry.sources.files import verify_corpus
+
+    root = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:10]}")
+    V.docs(spark, sf).select("shard", "text").repartition("shard").write.partitionBy("shard").parquet(root)
+    manifest = (V.docs(spark, sf).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
+                .select(F.concat(F.lit("shard="), F.col("shard")).alias("source"), F.lit(1).alias("shards"), "rows"))
+    v = verify_corpus(spark, root, manifest)
+    return v.select("source", "shards", "files_on_disk", "rows", "rows_on_disk", (~F.col("ok")).alias("mismatch"))
