@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import board as B
 from quarry.plans.registry import register
+from quarry.session import reuse
 from quarry.sources import fixtures as V
 from quarry.sources.snapshots import flatten_snapshot, snapshots_to_json
 
@@ -34,8 +35,11 @@ miners AS (SELECT cycle, uid,
        FROM mr GROUP BY cycle, uid)"""
 
 
-def miners(spark, sf) -> DataFrame:
-    return B.miner_rows(V.board(spark, sf))
+def miners(spark, sf, pin: bool = True) -> DataFrame:
+    """Per-(cycle, uid) miner table. Queries that read it in several branches
+    (ranks, ties, moves, trends) pin it once; single-branch queries do not."""
+    m = B.miner_rows(V.board(spark, sf))
+    return reuse(m) if pin else m
 
 
 @register("s5_flatten_snapshot", """
@@ -50,20 +54,20 @@ def s5_flatten_snapshot(spark, sf):
 @register("w1_freshest_sample", f"""WITH {MINERS_SQL}
 SELECT cycle, uid, val_loss, fresh_slot, sample_cycle FROM miners WHERE val_loss IS NOT NULL""")
 def w1_freshest_sample(spark, sf):
-    return B.scored(miners(spark, sf)).select("cycle", "uid", "val_loss", "fresh_slot", "sample_cycle")
+    return B.scored(miners(spark, sf, pin=False)).select("cycle", "uid", "val_loss", "fresh_slot", "sample_cycle")
 
 
 @register("a2_slot_spread", f"""WITH {MINERS_SQL}
 SELECT cycle, uid, n_slots, n_slots_scored, slot_spread FROM miners""")
 def a2_slot_spread(spark, sf):
-    return miners(spark, sf).select("cycle", "uid", "n_slots", "n_slots_scored", "slot_spread")
+    return miners(spark, sf, pin=False).select("cycle", "uid", "n_slots", "n_slots_scored", "slot_spread")
 
 
 @register("w4_rank_scored", f"""WITH {MINERS_SQL}
 SELECT cycle, uid, val_loss, row_number() OVER (PARTITION BY cycle ORDER BY val_loss, uid) AS rank
 FROM miners WHERE val_loss IS NOT NULL""")
 def w4_rank_scored(spark, sf):
-    return B.rank_scored(miners(spark, sf)).select("cycle", "uid", "val_loss", F.col("rank").cast("long").alias("rank"))
+    return B.rank_scored(miners(spark, sf, pin=False)).select("cycle", "uid", "val_loss", F.col("rank").cast("long").alias("rank"))
 
 
 @register("a1_round_summary", f"""WITH {MINERS_SQL},
@@ -80,7 +84,7 @@ SELECT cycle, count(val_loss) AS n_scored, count(CASE WHEN incentive > 0 THEN 1
        count(CASE WHEN uid NOT IN (1, 2, 3) AND repo IS NOT NULL THEN 1 END) AS n_rivals_with_repo
 FROM miners GROUP BY cycle""")
 def f3_predicates(spark, sf):
-    m = miners(spark, sf)
+    m = miners(spark, sf, pin=False)
     return m.groupBy("cycle").agg(*[F.count(F.when(p, 1)).alias(n) for n, p in (
         ("n_scored", B.is_scored()), ("n_earners", B.is_earner()), ("n_ours", B.is_ours()),
         ("n_rivals_with_repo", B.is_rival_with_repo()))])
@@ -90,7 +94,7 @@ def f3_predicates(spark, sf):
 SELECT * FROM (SELECT cycle, uid, val_loss, repo, row_number() OVER (PARTITION BY cycle ORDER BY val_loss, uid) AS rank
                FROM miners WHERE val_loss IS NOT NULL AND uid NOT IN (1, 2, 3) AND repo IS NOT NULL) WHERE rank <= 5""")
 def o1_loss_leaders(spark, sf):
-    return B.loss_leaders(B.rivals_with_repo(miners(spark, sf)), 5).select(
+    return B.loss_leaders(B.rivals_with_repo(miners(spark, sf, pin=False)), 5).select(
         "cycle", "uid", "val_loss", "repo", F.col("rank").cast("long").alias("rank"))
 
 
@@ -126,7 +130,7 @@ SELECT cycle, min(CASE WHEN uid IN (1, 2, 3) THEN val_loss END) AS best_ours,
        min(CASE WHEN uid IN (1, 2, 3) THEN val_loss END) - max(CASE WHEN incentive > 0 THEN val_loss END) AS gap
 FROM miners GROUP BY cycle""")
 def a9_gap_to_worst_earner(spark, sf):
-    return B.gap_to_worst_earner(miners(spark, sf))
+    return B.gap_to_worst_earner(miners(spark, sf, pin=False))
 
 
 _MOVES_SQL = """
@@ -166,7 +170,7 @@ g AS (SELECT uid, cycle,
 SELECT uid, cycle, CAST(rounds_in_window AS BIGINT) AS rounds_in_window, CAST(records_in_window AS BIGINT) AS records_in_window,
        rounds_in_window >= 3 AND records_in_window >= 3 AS group1, records_in_window >= 1 AS group2 FROM g""")
 def a11_recency_gate(spark, sf):
-    g = B.recency_gate(miners(spark, sf))
+    g = B.recency_gate(miners(spark, sf, pin=False))
     return g.select("uid", "cycle", F.col("rounds_in_window").cast("long").alias("rounds_in_window"),
                     F.col("records_in_window").cast("long").alias("records_in_window"), "group1", "group2")
 
@@ -222,14 +226,14 @@ def a8_factor_verdict(spark, sf):
 SELECT cycle, uid, cohort, CASE cohort WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 WHEN 'tail' THEN 1 ELSE 0 END AS cohort_rank
 FROM miners""")
 def x15_cohort_rank(spark, sf):
-    return miners(spark, sf).select("cycle", "uid", "cohort", B.cohort_rank("cohort").alias("cohort_rank"))
+    return miners(spark, sf, pin=False).select("cycle", "uid", "cohort", B.cohort_rank("cohort").alias("cohort_rank"))
 
 
 @register("x16_delta", f"""WITH {MINERS_SQL}
 SELECT cycle, uid, CASE WHEN baseline IS NULL OR baseline = 0 OR val_loss IS NULL THEN NULL ELSE baseline - val_loss END AS delta_versus,
        baseline - val_loss AS delta_record FROM miners""")
 def x16_delta(spark, sf):
-    m = miners(spark, sf)
+    m = miners(spark, sf, pin=False)
     return m.select("cycle", "uid", B.delta_versus(F.col("val_loss"), F.col("baseline")).alias("delta_versus"),
                     B.delta_plain(F.col("val_loss"), F.col("baseline")).alias("delta_record"))
 
@@ -275,7 +279,7 @@ SELECT cycle, uid, list_filter([
     CASE WHEN repo IS NULL THEN 'no chain commit registered' END], lambda x: x IS NOT NULL) AS notes
 FROM miners""")
 def x23_status_notes(spark, sf):
-    return B.status_notes(miners(spark, sf)).select("cycle", "uid", "notes")
+    return B.status_notes(miners(spark, sf, pin=False)).select("cycle", "uid", "notes")
 
 
 @register("c14_history_report", f"""WITH {MINERS_SQL},{_TREND_SQL},{_MOVES_SQL},
@@ -331,7 +335,7 @@ def j11_factor_pairs(spark, sf):
 SELECT t.pos, t.uid, t.cycle, t.local_eval, m.val_loss AS validator_val_loss, m.cohort, m.incentive
 FROM trainlog t LEFT JOIN miners m ON m.uid = t.uid AND m.cycle = t.cycle""")
 def j4_local_board_join(spark, sf):
-    m = miners(spark, sf).select("uid", "cycle", F.col("val_loss").alias("validator_val_loss"), "cohort", "incentive")
+    m = miners(spark, sf, pin=False).select("uid", "cycle", F.col("val_loss").alias("validator_val_loss"), "cohort", "incentive")
     t = V.trainlog(spark, sf).select("pos", "uid", "cycle", "local_eval")
     return t.join(m, ["uid", "cycle"], "left").select("pos", "uid", "cycle", "local_eval", "validator_val_loss",
                                                       "cohort", "incentive")

@@ -221,7 +221,9 @@ def s14_append_events(spark, sf):
 
     path = scratch_path(spark, f"events-{uuid.uuid4().hex[:10]}")
     append_events(V.board(spark, sf), path)
-    return spark.read.parquet(path).groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+    from quarry.sources.files import read_events
+
+    return read_events(spark, path).groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("s17_verify_corpus", """

@@ -11,6 +11,7 @@ from quarry.operators import gauges as G
 from quarry.operators import logs as L
 from quarry.plans.logs import parsed
 from quarry.plans.registry import register
+from quarry.session import reuse
 from quarry.sources import fixtures as V
 
 PEAK, WARMUP, MIN_FRAC = 1e-4, 0.03, 0.02
@@ -114,7 +115,7 @@ SELECT p.uid, p.poll, CASE WHEN p.log_age IS NULL THEN 'CRIT' WHEN p.log_age > 1
 FROM polls p JOIN g USING (round_id) JOIN w7 ON w7.uid = p.uid AND w7.poll = p.poll
 JOIN w8 ON w8.uid = p.uid AND w8.poll = p.poll LEFT JOIN hits h ON h.uid = p.uid""")
 def c12_health_report(spark, sf):
-    p = V.polls(spark, sf)
+    p = reuse(V.polls(spark, sf))  # read by four branches
     tiers = L.peer_lag(p).withColumn("tier", L.severity_tier(F.col("log_age"))).select("uid", "poll", "tier", "peer_lag_s")
     st = G.stale_gauge(p).select("uid", "poll", "stale", "rounds")
     sk = G.crit_streak(p).select("uid", "poll", "streak", "confirmed")

@@ -66,3 +66,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def reuse(df):
+    """Pin a derived table that several branches of one plan read.
+
+    Each branch would otherwise prune different columns, defeating exchange
+    reuse, and re-run the scans, shuffles and sorts behind ``df``. A reliable
+    ``checkpoint()`` writes it once to the shared checkpoint folder and cuts
+    the lineage (an executor loss re-reads the files instead of recomputing).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -166,10 +166,26 @@ def current_version(root: str, spark: SparkSession | None = None) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def append_events(df: DataFrame, path: str, key: str = "uid") -> None:
-    """Append rows, one folder per key; rows are clustered by key first so
-    each write adds one file per key instead of one per (task, key)."""
-    df.repartition(key).write.mode("append").partitionBy(key).parquet(path)
+def append_events(df: DataFrame, path: str, key: str = "uid", buckets: int = 64) -> None:
+    """Append rows so that each key's stream can be read on its own.
+
+    Rows go to ``<key>_bucket=pmod(key, buckets)`` folders and are
+    sorted by key inside each file: reading one uid prunes to one folder and
+    skips row groups by min/max. A folder per uid would mean millions of
+    directories and tiny files at scale.
+    """
+    b = F.pmod(F.col(key), F.lit(buckets)).alias(f"{key}_bucket")
+    (df.withColumn(f"{key}_bucket", b).repartition(f"{key}_bucket").sortWithinPartitions(key)
+       .write.mode("append").partitionBy(f"{key}_bucket").parquet(path))
+
+
+def read_events(spark: SparkSession, path: str, uid: int | None = None, key: str = "uid",
+                buckets: int = 64) -> DataFrame:
+    """Read appended events; with ``uid`` only that uid's bucket folder is scanned."""
+    df = spark.read.parquet(path)
+    if uid is not None:
+        df = df.filter((F.col(f"{key}_bucket") == uid % buckets) & (F.col(key) == uid))
+    return df.drop(f"{key}_bucket")
 
 
 def verify_corpus(spark: SparkSession, corpus_dir: str, manifest: DataFrame) -> DataFrame:

@@ -74,3 +74,16 @@ def test_logs_reader_and_history(spark, tmp_path):
                     '[{"validator_slot": "2", "val_loss": 1.5}]}}}\n\n{broken\n')
     rows = flatten_snapshot(read_history(spark, str(hist))).collect()
     assert [(r.cycle, r.uid, r.slot, r.val_loss) for r in rows] == [(3, 5, "2", 1.5)]
+
+
+def test_append_events_buckets_and_prunes(spark, tmp_path):
+    from quarry.sources.fixtures import board
+
+    path = str(tmp_path / "events")
+    b = board(spark, SMALL)
+    S.append_events(b, path, buckets=8)
+    S.append_events(b, path, buckets=8)
+    one = S.read_events(spark, path, uid=7, buckets=8)
+    assert one.count() == 2 * b.filter("uid = 7").count()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(uid_bucket" in plan
