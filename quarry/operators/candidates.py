@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import null_safe_join
-
 
 def eligible_candidates(cand: DataFrame, cur_ver: int, cur_rev: str | None, want_group: int | None) -> DataFrame:
     """newer version, or a different non-null revision; then, if more than one

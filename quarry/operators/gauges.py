@@ -93,9 +93,3 @@ def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S) -> DataFr
     fold = F.aggregate("_a", init, step)
     out = g.select("key", F.explode(fold["out"]).alias("e"))
     return out.select("key", "e.uid", "e.poll", "e.ts", "e.severity", "e.message")
-
-
-def phase_fraction(into: Column, left: Column) -> Column:
-    from quarry.functions.numeric import phase_fraction as pf
-
-    return pf(into, left)

@@ -8,7 +8,6 @@ eval points); cross-uid facts are aggregates.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window

@@ -8,7 +8,6 @@ the driver). Per-chunk arithmetic is ``zip_with``/``aggregate`` inside the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions import text as X
-from quarry.operators import board as B
 from quarry.operators import logs as L
 from quarry.plans.registry import register
 from quarry.sources import fixtures as V
