@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.logs import severity_tier
+from quarry.operators.scan import SEG, layout, scan
 
 # Alert key prefix length and the re-notification interval.
 ALERT_KEY_CHARS = 60
@@ -27,30 +28,40 @@ def stale_gauge(polls: DataFrame, by: str = "uid", order: str = "poll") -> DataF
     ``stale`` is true from its second poll when the round differs from the first;
     ``rounds`` counts round changes between consecutive polls from the third
     poll on (the second poll never increments it).
+
+    Built from skew-safe scans (one miner's series is spread over segments):
+    pass 1 numbers rows and takes the previous value and round; pass 2 marks
+    island starts and counts round changes; pass 3 reads the count at each
+    island's second poll, so ``rounds = C - C(second poll)``.
     """
-    live = F.col("val_loss").isNotNull() & F.col("round_id").isNotNull()
-    s = polls.filter(live).withColumn("_v", F.col("val_loss").cast("string"))
-    w = Window.partitionBy(by).orderBy(order)
-    s = s.withColumn("_chg", (~F.lag("_v").over(w).eqNullSafe(F.col("_v"))).cast("int"))
-    s = s.withColumn("_isl", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    wi = Window.partitionBy(by, "_isl").orderBy(order)
-    s = (s.withColumn("_k", F.row_number().over(wi))
-          .withColumn("first_round", F.first("round_id").over(wi))
-          .withColumn("_rc", ((F.col("_k") >= 3) & (F.col("round_id") != F.lag("round_id").over(wi))).cast("int")))
-    s = (s.withColumn("rounds", F.sum("_rc").over(wi.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
-          .withColumn("stale", (F.col("_k") >= 2) & (F.col("round_id") != F.col("first_round"))))
-    state = s.select(by, order, "stale", "first_round", "rounds")
+    live = polls.filter(F.col("val_loss").isNotNull() & F.col("round_id").isNotNull()).select(
+        by, order, "round_id", F.col("val_loss").cast("string").alias("_v"))
+    laid = layout(live, [by], [order])
+    p = scan(laid, [by], [order], [("_g", "count", None), ("_pv", "lag", "_v"), ("_pr", "lag", "round_id")])
+    p = (p.withColumn("_chg", ~F.col("_pv").eqNullSafe(F.col("_v")))
+          .withColumn("_rc", F.coalesce((F.col("round_id") != F.col("_pr")).cast("long"), F.lit(0))))
+    p = scan(p, [by], [order], [("_start", "last", F.when(F.col("_chg"), F.col("_g"))),
+                                ("first_round", "last", F.when(F.col("_chg"), F.col("round_id"))),
+                                ("_C", "sum", "_rc")])
+    p = p.withColumn("_k", F.col("_g") - F.col("_start") + 1)
+    p = scan(p, [by], [order], [("_C2", "last", F.when(F.col("_k") == 2, F.col("_C")))])
+    state = p.select(by, order, "first_round",
+                     F.when(F.col("_k") >= 3, F.col("_C") - F.col("_C2")).otherwise(F.lit(0)).cast("long").alias("rounds"),
+                     ((F.col("_k") >= 2) & (F.col("round_id") != F.col("first_round"))).alias("stale"))
     out = polls.join(state, [by, order], "left")
     return out.withColumn("stale", F.coalesce(F.col("stale"), F.lit(False)))
 
 
 def crit_streak(polls: DataFrame, by: str = "uid", order: str = "poll", confirm: int = 2) -> DataFrame:
-    """Consecutive CRIT polls; an action is confirmed at ``confirm`` in a row."""
-    w = Window.partitionBy(by).orderBy(order)
-    s = polls.withColumn("_brk", F.sum((~F.col("crit")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    wi = Window.partitionBy(by, "_brk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn("streak", F.sum(F.col("crit").cast("int")).over(wi).cast("long"))
-    return s.withColumn("confirmed", F.col("streak") >= confirm).drop("_brk")
+    """Consecutive CRIT polls; an action is confirmed at ``confirm`` in a row.
+
+    streak = CRIT polls so far minus CRIT polls up to the last non-CRIT poll
+    (two skew-safe scan passes)."""
+    laid = layout(polls.withColumn("_crit", F.col("crit").cast("long")), [by], [order])
+    p = scan(laid, [by], [order], [("_cc", "sum", "_crit")])
+    p = scan(p, [by], [order], [("_base", "last", F.when(~F.col("crit"), F.col("_cc")))])
+    p = p.withColumn("streak", (F.col("_cc") - F.coalesce(F.col("_base"), F.lit(0))).cast("long"))
+    return p.withColumn("confirmed", F.col("streak") >= confirm).drop("_crit", "_cc", "_base", SEG)
 
 
 def alert_rows(polls: DataFrame) -> DataFrame:

@@ -4,14 +4,15 @@ Each view maps a driver table onto one of the shapes the operators consume
 (corpus shard rows, validator samples, log lines, polls, eval curves, tensor
 chunks, trials, candidates, publishes, commits, train records, settings). They
 are projections and filters over one table, so Catalyst prunes the scan to the
-columns a query touches. The only ordered numbering over a small number of
-large groups (documents per source, orders per ``custkey % 50``) uses the
-range-partitioned ``sequence_within`` instead of a single-task window.
+columns a query touches. Every ordered numbering inside a group (documents
+per source, events per user, orders per ``custkey % 50``) uses the
+range-partitioned ``sequence_within`` instead of a single-task window, so a
+group holding a third of the rows is still numbered in parallel.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.ordering import sequence_within
@@ -95,10 +96,10 @@ def logs_from(e: DataFrame) -> DataFrame:
 
 
 def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monitor polls: one miner's gauge series (bounded per uid by poll cadence)."""
-    e = load(spark, sf_dir, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return poll_rows_from(e.withColumn("poll", F.row_number().over(w).cast("long"))).drop("event_id")
+    """Monitor polls: one miner's gauge series, numbered per uid by (ts, event_id)."""
+    e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value", "event_type")
+    e = sequence_within(e, ["user_id"], ["ts", "event_id"], "_p0", bounded_keys=False)
+    return poll_rows_from(e.withColumn("poll", F.col("_p0") + 1)).drop("event_id")
 
 
 def poll_rows_from(e: DataFrame) -> DataFrame:
@@ -117,8 +118,9 @@ def poll_rows_from(e: DataFrame) -> DataFrame:
 
 def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eval points per uid; a checkpoint is saved every third step."""
-    e = load(spark, sf_dir, "events")
-    step = (F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) * 100).cast("long")
+    e = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    e = sequence_within(e, ["user_id"], ["event_id"], "_s0", bounded_keys=False)
+    step = ((F.col("_s0") + 1) * 100).cast("long")
     return (e.select(F.col("user_id").alias("uid"), F.col("event_type").alias("grp"), step.alias("step"),
                      (F.col("value") / 100).alias("loss"), (F.col("event_id") % 3 == 0).alias("saved"))
             .withColumn("name", F.concat(F.lit("globalver_7_inneropt_"), F.col("step").cast("string"))))
