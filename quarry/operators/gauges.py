@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.logs import severity_tier
+from quarry.operators.ordering import sequence_within
 from quarry.operators.scan import SEG, layout, scan
+from quarry.session import reuse
 
 # Alert key prefix length and the re-notification interval.
 ALERT_KEY_CHARS = 60
 ALERT_REPEAT_S = 3600
+# Keys above this many alerts take the distributed chain instead of the fold.
+HOT_KEY_ALERTS = 100_000
 
 
 def stale_gauge(polls: DataFrame, by: str = "uid", order: str = "poll") -> DataFrame:
@@ -80,15 +84,28 @@ def alert_key(stable_rule: bool = False) -> Column:
     return F.concat_ws(":", F.col("uid").cast("string"), F.col("severity"), body)
 
 
-def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S) -> DataFrame:
+def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S, hot: int = HOT_KEY_ALERTS) -> DataFrame:
     """T3 batch twin: emit an alert when >= repeat_s passed since the key's last
     *emission* (not its last occurrence), so ``lag`` cannot express it.
 
-    Each key's alerts (one miner, one message prefix) are sorted and folded with
-    ``aggregate`` inside the JVM, carrying (last emission, emitted rows); no
-    Python worker and no per-group pandas frame.
+    Keys with at most ``hot`` alerts (one miner's message prefix, the usual
+    case) are folded in the JVM: the key's alerts are sorted and walked by
+    ``aggregate`` carrying (last emission, emitted rows). Larger keys take an
+    exact path that never gathers a key in one task: see :func:`_emission_chain`.
     """
     keyed = alerts.withColumn("key", alert_key()).withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
+    sizes = reuse(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")))  # one row per key
+    cols = ["key", "uid", "poll", "ts", "severity", "message"]
+    hot_keys = sizes.filter(F.col("_n") > hot)
+    if hot_keys.limit(1).count() == 0:
+        return _fold_emissions(keyed, repeat_s).select(*cols)
+    keyed = keyed.join(sizes, "key")
+    small = _fold_emissions(keyed.filter(F.col("_n") <= hot), repeat_s)
+    large = _emission_chain(keyed.filter(F.col("_n") > hot).drop("_n"), repeat_s)
+    return small.select(*cols).unionByName(large.select(*cols))
+
+
+def _fold_emissions(keyed: DataFrame, repeat_s: int) -> DataFrame:
     item = F.struct("_t", "poll", "uid", "ts", "severity", "message")
     g = keyed.groupBy("key").agg(F.array_sort(F.collect_list(item)).alias("_a"))
     item_type = keyed.select(item.alias("x")).schema["x"].dataType
@@ -101,6 +118,40 @@ def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S) -> DataFr
         return F.when(fire, F.struct(x["_t"].alias("last"), F.concat(acc["out"], F.array(x)).alias("out"))) \
                 .otherwise(acc)
 
-    fold = F.aggregate("_a", init, step)
-    out = g.select("key", F.explode(fold["out"]).alias("e"))
+    out = g.select("key", F.explode(F.aggregate("_a", init, step)["out"]).alias("e"))
     return out.select("key", "e.uid", "e.poll", "e.ts", "e.severity", "e.message")
+
+
+def _emission_chain(keyed: DataFrame, repeat_s: int) -> DataFrame:
+    """Exact emissions for large keys without gathering a key anywhere.
+
+    1. number each key's alerts by (time, poll) with the skew-safe sequence;
+    2. next(i) = the first alert at or after t_i + repeat_s: a reverse-ordered
+       scan (``last`` over time descending) of alerts and probes together;
+    3. emissions are the chain head, next(head), next(next(head)), ...:
+       pointer doubling -- S <- S + P(S), P <- P o P -- one join round per
+       doubling, each round pinned with ``checkpoint``.
+    """
+    gap = repeat_s * 1_000_000
+    idx = sequence_within(keyed, ["key"], ["_t", "poll"], "_i", bounded_keys=False)
+    ev = idx.select("key", (-F.col("_t")).alias("_nt"), F.lit(0).alias("_side"), (-F.col("_i")).alias("_ni"),
+                    F.col("_i").alias("_ev"))
+    pr = idx.select("key", (-(F.col("_t") + gap)).alias("_nt"), F.lit(1).alias("_side"), (-F.col("_i")).alias("_ni"),
+                    F.lit(None).cast("long").alias("_ev"))
+    order = ["_nt", "_side", "_ni"]
+    nx = scan(layout(ev.unionByName(pr), ["key"], order), ["key"], order, [("_nx", "last", "_ev")], pin=False)
+    pointers = reuse(nx.filter(F.col("_side") == 1).select("key", (-F.col("_ni")).alias("i"), F.col("_nx").alias("j")))
+    reached = reuse(idx.filter(F.col("_i") == 0).select("key", F.col("_i").alias("i")))
+    while True:
+        step = reached.join(pointers, ["key", "i"]).filter(F.col("j").isNotNull()).select("key", F.col("j").alias("i"))
+        fresh = step.join(reached, ["key", "i"], "left_anti")
+        if fresh.limit(1).count() == 0:
+            break
+        reached = reuse(reached.unionByName(fresh).distinct())
+        jumped = (pointers.alias("a").join(pointers.alias("b"),
+                                           (F.col("a.key") == F.col("b.key")) & (F.col("a.j") == F.col("b.i")), "left")
+                  .select(F.col("a.key").alias("key"), F.col("a.i").alias("i"), F.col("b.j").alias("j")))
+        pointers = reuse(jumped)
+    return idx.join(reached.withColumnRenamed("i", "_i"), ["key", "_i"], "left_semi")
+
+

@@ -69,3 +69,19 @@ def test_hot_uid_asof(spark):
         t = 3 * i + 1
         k = (t - 1) // 7 if (t - 1) // 7 < 900 else 899
         assert got[f"u{i}"] == f"d{k}"
+
+
+def test_alert_chain_equals_fold(spark):
+    import datetime as dt
+
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    rows, t = [], 0
+    for i in range(1500):
+        t += rnd.choice([10, 300, 1200, 3599, 3600, 5000])
+        uid = 1 if i % 7 else 2
+        rows.append((uid, i, base + dt.timedelta(seconds=t), "CRIT", "x log missing entirely"))
+    a = spark.createDataFrame(rows, "uid long, poll long, ts timestamp_ntz, severity string, message string")
+    fold = sorted(r.poll for r in G.suppress_alerts(a).collect())
+    chain = sorted(r.poll for r in G.suppress_alerts(a, hot=10).collect())
+    assert fold == chain and len(fold) > 10
