@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.hashing import seeded_int
 from quarry.functions.numeric import clamp, exact_mean
+from quarry.operators.ordering import sequence_within
+from quarry.operators.scan import layout, scan
 
 # Fixed values of the learning-rate tuner.
 LR_GRID = [2e-5, 3e-5, 5e-5, 7e-5, 1e-4, 1.4e-4, 2e-4, 3e-4, 4e-4, 6e-4]
@@ -135,9 +137,15 @@ def scope(df: DataFrame, groups: Sequence[str] | None = None, uids: Sequence[int
 
 
 def retention(ckpts: DataFrame, keep: int = RETAIN_NEWEST) -> DataFrame:
-    """Rows beyond the newest ``keep`` by parsed step per (uid, group): the delete list."""
-    w = Window.partitionBy("uid", "grp").orderBy(F.col("step").desc(), F.col("name").desc())
-    return ckpts.withColumn("age_rank", F.row_number().over(w)).filter(F.col("age_rank") > keep)
+    """Rows beyond the newest ``keep`` by parsed step per (uid, group): the delete list.
+
+    ``age_rank`` (1 = newest) is the group size minus the skew-safe ascending
+    position, so no group is sorted in one task.
+    """
+    pos = sequence_within(ckpts, ["uid", "grp"], ["step", "name"], "_asc", bounded_keys=False)
+    n = ckpts.groupBy("uid", "grp").agg(F.count(F.lit(1)).alias("_n"))
+    r = pos.join(n, ["uid", "grp"]).withColumn("age_rank", F.col("_n") - F.col("_asc"))
+    return r.filter(F.col("age_rank") > keep).drop("_asc", "_n")
 
 
 def scored_checkpoints(curve: DataFrame) -> DataFrame:
@@ -151,11 +159,20 @@ def scored_checkpoints(curve: DataFrame) -> DataFrame:
 def stable_checkpoint(curve: DataFrame, mode: str = "stable") -> DataFrame:
     """Per uid, the checkpoint with the lowest centred 3-point mean (ends use 2
     points) over scored checkpoints; needs >= 3, else the plain argmin; ties go to
-    the lowest step. A uid with no scored checkpoint falls back to its newest."""
-    sc = scored_checkpoints(curve)
-    w = Window.partitionBy("uid").orderBy("step")
-    sc = (sc.withColumn("smoothed", F.avg("loss").over(w.rowsBetween(-1, 1)))
-            .withColumn("n_cands", F.count(F.lit(1)).over(Window.partitionBy("uid"))))
+    the lowest step. A uid with no scored checkpoint falls back to its newest.
+
+    Neighbours come from two skew-safe scans (previous step ascending, next step
+    descending); the mean adds (prev + cur) + next like a running frame does.
+    """
+    sc = scored_checkpoints(curve).withColumn("_rstep", -F.col("step"))
+    prev = scan(layout(sc, ["uid"], ["step"]), ["uid"], ["step"], [("_prev", "lag", "loss")], pin=False)
+    nxt = scan(layout(sc, ["uid"], ["_rstep"]), ["uid"], ["_rstep"], [("_next", "lag", "loss")], pin=False)
+    sc = prev.select("uid", "step", "loss", "_prev").join(nxt.select("uid", "step", "_next"), ["uid", "step"])
+    cnt = 1 + F.col("_prev").isNotNull().cast("int") + F.col("_next").isNotNull().cast("int")
+    sc = sc.withColumn("smoothed", (F.coalesce(F.col("_prev"), F.lit(0.0)) + F.col("loss")
+                                    + F.coalesce(F.col("_next"), F.lit(0.0))) / cnt)
+    n = sc.groupBy("uid").agg(F.count(F.lit(1)).alias("n_cands"))
+    sc = sc.join(n, "uid")
     use_smooth = F.lit(mode == "stable") & (F.col("n_cands") >= 3)
     sc = sc.withColumn("score", F.when(use_smooth, F.col("smoothed")).otherwise(F.col("loss")))
     pick = sc.groupBy("uid").agg(F.min(F.struct("score", "step", "loss", "smoothed", "n_cands")).alias("_p"))
