@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from quarry.operators.logs import severity_tier
 from quarry.operators.ordering import sequence_within
-from quarry.operators.scan import SEG, layout, scan
+from quarry.operators.scan import Running, layout, scan
 from quarry.session import reuse
 
 # Alert key prefix length and the re-notification interval.
@@ -33,22 +33,22 @@ def stale_gauge(polls: DataFrame, by: str = "uid", order: str = "poll") -> DataF
     ``rounds`` counts round changes between consecutive polls from the third
     poll on (the second poll never increments it).
 
-    Built from skew-safe scans (one miner's series is spread over segments):
-    pass 1 numbers rows and takes the previous value and round; pass 2 marks
+    Built from running scans (segmented when one miner's series exceeds the
+    skew bound): pass 1 numbers rows and takes the previous value and round; pass 2 marks
     island starts and counts round changes; pass 3 reads the count at each
     island's second poll, so ``rounds = C - C(second poll)``.
     """
     live = polls.filter(F.col("val_loss").isNotNull() & F.col("round_id").isNotNull()).select(
         by, order, "round_id", F.col("val_loss").cast("string").alias("_v"))
-    laid = layout(live, [by], [order])
-    p = scan(laid, [by], [order], [("_g", "count", None), ("_pv", "lag", "_v"), ("_pr", "lag", "round_id")])
-    p = (p.withColumn("_chg", ~F.col("_pv").eqNullSafe(F.col("_v")))
-          .withColumn("_rc", F.coalesce((F.col("round_id") != F.col("_pr")).cast("long"), F.lit(0))))
-    p = scan(p, [by], [order], [("_start", "last", F.when(F.col("_chg"), F.col("_g"))),
-                                ("first_round", "last", F.when(F.col("_chg"), F.col("round_id"))),
-                                ("_C", "sum", "_rc")])
-    p = p.withColumn("_k", F.col("_g") - F.col("_start") + 1)
-    p = scan(p, [by], [order], [("_C2", "last", F.when(F.col("_k") == 2, F.col("_C")))])
+    r = Running(live, [by], [order])
+    r.add([("_g", "count", None), ("_pv", "lag", "_v"), ("_pr", "lag", "round_id")])
+    r.with_column("_chg", ~F.col("_pv").eqNullSafe(F.col("_v")))
+    r.with_column("_rc", F.coalesce((F.col("round_id") != F.col("_pr")).cast("long"), F.lit(0)))
+    r.add([("_start", "last", F.when(F.col("_chg"), F.col("_g"))),
+           ("first_round", "last", F.when(F.col("_chg"), F.col("round_id"))),
+           ("_C", "sum", "_rc")])
+    r.with_column("_k", F.col("_g") - F.col("_start") + 1)
+    p = r.add([("_C2", "last", F.when(F.col("_k") == 2, F.col("_C")))])
     state = p.select(by, order, "first_round",
                      F.when(F.col("_k") >= 3, F.col("_C") - F.col("_C2")).otherwise(F.lit(0)).cast("long").alias("rounds"),
                      ((F.col("_k") >= 2) & (F.col("round_id") != F.col("first_round"))).alias("stale"))
@@ -60,12 +60,12 @@ def crit_streak(polls: DataFrame, by: str = "uid", order: str = "poll", confirm:
     """Consecutive CRIT polls; an action is confirmed at ``confirm`` in a row.
 
     streak = CRIT polls so far minus CRIT polls up to the last non-CRIT poll
-    (two skew-safe scan passes)."""
-    laid = layout(polls.withColumn("_crit", F.col("crit").cast("long")), [by], [order])
-    p = scan(laid, [by], [order], [("_cc", "sum", "_crit")])
-    p = scan(p, [by], [order], [("_base", "last", F.when(~F.col("crit"), F.col("_cc")))])
-    p = p.withColumn("streak", (F.col("_cc") - F.coalesce(F.col("_base"), F.lit(0))).cast("long"))
-    return p.withColumn("confirmed", F.col("streak") >= confirm).drop("_crit", "_cc", "_base", SEG)
+    (two running-scan passes)."""
+    r = Running(polls.withColumn("_crit", F.col("crit").cast("long")), [by], [order])
+    r.add([("_cc", "sum", "_crit")])
+    r.add([("_base", "last", F.when(~F.col("crit"), F.col("_cc")))])
+    p = r.result().withColumn("streak", (F.col("_cc") - F.coalesce(F.col("_base"), F.lit(0))).cast("long"))
+    return p.withColumn("confirmed", F.col("streak") >= confirm).drop("_crit", "_cc", "_base")
 
 
 def alert_rows(polls: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir, shuffle_partitions
+from quarry.session import ensure_checkpoint_dir, shuffle_partitions, skew_threshold
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -46,16 +46,34 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     return left.join(r, cond, how).drop(*ren.values())
 
 
+def max_group_rows(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the largest group: a narrow partial aggregate returning one number."""
+    keys = list(keys)
+    if not keys:
+        return df.count()
+    counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.max("_n")).first()[0] or 0
+
+
+def groups_fit_one_task(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Size check: every group is below ``quarry.skew.maxGroupRows``."""
+    return max_group_rows(df, keys) <= skew_threshold(df.sparkSession)
+
+
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     name: str = "pos", partitions: int | None = None,
                     bounded_keys: bool = True) -> DataFrame:
     """``row_number() - 1`` over (PARTITION BY keys ORDER BY order), skew-safe.
 
-    ``bounded_keys``: the offset table has at most ``partitions + distinct keys``
-    rows; with few keys (shards, sources, cohorts) it is broadcast, otherwise
-    AQE decides from its measured size.
+    When the largest group fits the skew bound this is that window; beyond it
+    the segmented numbering below runs. ``bounded_keys``: the offset table has
+    at most ``partitions + distinct keys`` rows; with few keys (shards,
+    sources, cohorts) it is broadcast, otherwise AQE decides from its size.
     """
     keys, order = list(keys), list(order)
+    if groups_fit_one_task(df, keys):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or shuffle_partitions(spark)

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import reuse, shuffle_partitions
+from quarry.session import reuse, shuffle_partitions, skew_threshold
 
 SEG = "_seg"
 
@@ -100,3 +100,52 @@ def scan(laid: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Sequ
     drop = [c for c in j.columns if c.startswith(("_l_", "_c_", "_ck_")) or c in ("_cseg", "_rn")]
     out = j.drop(*drop)
     return reuse(out) if pin else out
+
+
+def plain(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Sequence[tuple[str, str, object]]) -> DataFrame:
+    """The same running columns as :func:`scan` with ordinary per-key windows."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for name, kind, col in specs:
+        c = _c(col) if col is not None else None
+        if kind == "count":
+            df = df.withColumn(name, F.row_number().over(w).cast("long"))
+        elif kind == "sum":
+            df = df.withColumn(name, F.sum(c).over(run))
+        elif kind == "last":
+            df = df.withColumn(name, F.last(c, ignorenulls=True).over(run))
+        elif kind == "lag":
+            df = df.withColumn(name, F.lag(c).over(w))
+        else:
+            raise ValueError(f"unknown scan kind {kind!r}")
+    return df
+
+
+class Running:
+    """Runs several scan passes over one input, choosing the plan once.
+
+    The largest group is measured once (a narrow aggregate). Groups within
+    ``quarry.skew.maxGroupRows`` use plain windows; otherwise the input is laid
+    out in range segments and every pass is a segmented :func:`scan`.
+    """
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]):
+        from quarry.operators.ordering import max_group_rows
+
+        self.keys, self.order = list(keys), list(order)
+        self.segmented = max_group_rows(df, self.keys) > skew_threshold(df.sparkSession)
+        self.df = layout(df, self.keys, self.order) if self.segmented else df
+
+    def add(self, specs: Sequence[tuple[str, str, object]], pin: bool = True) -> DataFrame:
+        if self.segmented:
+            self.df = scan(self.df, self.keys, self.order, specs, pin=pin)
+        else:
+            self.df = plain(self.df, self.keys, self.order, specs)
+        return self.df
+
+    def with_column(self, name: str, col: Column) -> DataFrame:
+        self.df = self.df.withColumn(name, col)
+        return self.df
+
+    def result(self) -> DataFrame:
+        return self.df.drop(SEG) if SEG in self.df.columns else self.df

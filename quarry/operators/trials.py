@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quarry.functions.hashing import seeded_int
 from quarry.functions.numeric import clamp, exact_mean
 from quarry.operators.ordering import sequence_within
-from quarry.operators.scan import layout, scan
+from quarry.operators.scan import Running
 
 # Fixed values of the learning-rate tuner.
 LR_GRID = [2e-5, 3e-5, 5e-5, 7e-5, 1e-4, 1.4e-4, 2e-4, 3e-4, 4e-4, 6e-4]
@@ -165,8 +165,8 @@ def stable_checkpoint(curve: DataFrame, mode: str = "stable") -> DataFrame:
     descending); the mean adds (prev + cur) + next like a running frame does.
     """
     sc = scored_checkpoints(curve).withColumn("_rstep", -F.col("step"))
-    prev = scan(layout(sc, ["uid"], ["step"]), ["uid"], ["step"], [("_prev", "lag", "loss")], pin=False)
-    nxt = scan(layout(sc, ["uid"], ["_rstep"]), ["uid"], ["_rstep"], [("_next", "lag", "loss")], pin=False)
+    prev = Running(sc, ["uid"], ["step"]).add([("_prev", "lag", "loss")], pin=False)
+    nxt = Running(sc, ["uid"], ["_rstep"]).add([("_next", "lag", "loss")], pin=False)
     sc = prev.select("uid", "step", "loss", "_prev").join(nxt.select("uid", "step", "_next"), ["uid", "step"])
     cnt = 1 + F.col("_prev").isNotNull().cast("int") + F.col("_next").isNotNull().cast("int")
     sc = sc.withColumn("smoothed", (F.coalesce(F.col("_prev"), F.lit(0.0)) + F.col("loss")

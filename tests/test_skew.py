@@ -7,6 +7,18 @@ from pyspark.sql import Window, functions as F
 from quarry.operators import gauges as G
 from quarry.operators import logs as L
 from quarry.operators.scan import layout, scan
+from quarry.session import SKEW_CONF
+
+import pytest
+
+
+@pytest.fixture(params=["segmented", "plain"])
+def skew_mode(request, spark):
+    """Run a test with every group over the skew bound, then with the default."""
+    if request.param == "segmented":
+        spark.conf.set(SKEW_CONF, "0")
+    yield request.param
+    spark.conf.unset(SKEW_CONF)
 
 
 def _polls(spark, n=3000):
@@ -35,7 +47,7 @@ def test_scan_kinds_match_windows(spark):
     assert j.count() == 4000 and bad == 0
 
 
-def test_hot_uid_gauge_and_streak(spark):
+def test_hot_uid_gauge_and_streak(spark, skew_mode):
     p = _polls(spark)
     # reference: the plain one-task-per-uid window formulation
     live = p.filter(F.col("val_loss").isNotNull() & F.col("round_id").isNotNull()).withColumn("_v", F.col("val_loss").cast("string"))
@@ -56,7 +68,7 @@ def test_hot_uid_gauge_and_streak(spark):
         by[r.uid] = want
 
 
-def test_hot_uid_asof(spark):
+def test_hot_uid_asof(spark, skew_mode):
     import datetime as dt
 
     base = dt.datetime(2024, 1, 1)
@@ -85,3 +97,13 @@ def test_alert_chain_equals_fold(spark):
     fold = sorted(r.poll for r in G.suppress_alerts(a).collect())
     chain = sorted(r.poll for r in G.suppress_alerts(a, hot=10).collect())
     assert fold == chain and len(fold) > 10
+
+
+def test_sequence_within_both_paths(spark, skew_mode):
+    from quarry.operators.ordering import sequence_within
+
+    df = spark.range(3000).select((F.when(F.col("id") % 9 == 0, F.col("id") % 4).otherwise(F.lit(7))).alias("g"),
+                                  (F.col("id") * 7919 % 3000).alias("o"))
+    got = sequence_within(df, ["g"], ["o"], "seq", partitions=5)
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
+    assert got.join(ref, ["g", "o"]).filter(F.col("seq") != F.col("rn")).count() == 0
