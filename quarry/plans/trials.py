@@ -29,23 +29,24 @@ def _hash_sql(tag: str, *parts: str) -> str:
 
 # ------------------------------------------------------------------ S15, W16, X11, X14
 @register("s15_upsert_trials", """
-WITH t0 AS (SELECT uid, cycle, peak_lr, CASE WHEN cycle > 8 THEN NULL ELSE val_loss END AS val_loss, drift
-            FROM trials WHERE cycle <= 10),
-st AS (SELECT uid, cycle, peak_lr * 2 AS peak_lr, CAST(NULL AS DOUBLE) AS val_loss, CAST(NULL AS DOUBLE) AS drift
-       FROM trials WHERE cycle BETWEEN 8 AND 12),
-up AS (SELECT uid, cycle, val_loss FROM trials WHERE cycle BETWEEN 9 AND 14),
+WITH t0 AS (SELECT uid, cycle, peak_lr, CASE WHEN cycle % 2 = 0 THEN NULL ELSE val_loss END AS val_loss, drift FROM trials),
+st AS (SELECT uid, cycle + 3 AS cycle, peak_lr * 2 AS peak_lr, CAST(NULL AS DOUBLE) AS val_loss, CAST(NULL AS DOUBLE) AS drift
+       FROM trials),
+up AS (SELECT uid, cycle + 5 AS cycle, val_loss FROM trials),
 k AS (SELECT * FROM t0 UNION ALL
       SELECT * FROM st WHERE NOT EXISTS (SELECT 1 FROM t0 WHERE t0.uid = st.uid AND t0.cycle = st.cycle))
 SELECT k.uid, k.cycle, k.peak_lr, CASE WHEN up.uid IS NOT NULL THEN up.val_loss ELSE k.val_loss END AS val_loss, k.drift
 FROM k LEFT JOIN up ON up.uid = k.uid AND up.cycle = k.cycle""")
 def s15_upsert_trials(spark, sf):
+    """Whole table in every role: the existing table (even cycles unscored),
+    start rows shifted 3 cycles (overlaps ignored, the last 3 per uid inserted)
+    and result updates shifted 5 cycles (the last 2 per uid hit missing keys)."""
     t = V.trials(spark, sf)
-    table = t.filter(F.col("cycle") <= 10).withColumn(
-        "val_loss", F.when(F.col("cycle") > 8, F.lit(None).cast("double")).otherwise(F.col("val_loss")))
-    starts = t.filter(F.col("cycle").between(8, 12)).select(
-        "uid", "cycle", (F.col("peak_lr") * 2).alias("peak_lr"),
-        F.lit(None).cast("double").alias("val_loss"), F.lit(None).cast("double").alias("drift"))
-    updates = t.filter(F.col("cycle").between(9, 14)).select("uid", "cycle", "val_loss")
+    table = t.withColumn("val_loss", F.when(F.col("cycle") % 2 == 0, F.lit(None).cast("double"))
+                         .otherwise(F.col("val_loss")))
+    starts = t.select("uid", (F.col("cycle") + 3).alias("cycle"), (F.col("peak_lr") * 2).alias("peak_lr"),
+                      F.lit(None).cast("double").alias("val_loss"), F.lit(None).cast("double").alias("drift"))
+    updates = t.select("uid", (F.col("cycle") + 5).alias("cycle"), "val_loss")
     return T.upsert_trials(table, starts, updates).select("uid", "cycle", "peak_lr", "val_loss", "drift")
 
 
