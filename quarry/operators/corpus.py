@@ -231,7 +231,7 @@ def quality_profile(df: DataFrame, group: str = "shard", n: int = DEFAULT_MIN_CH
 
 def length_profile(df: DataFrame, group: str = "shard", col: str = "text") -> DataFrame:
     """Median, min and max length per group."""
-    ln = F.length(F.col(col))
+    ln = F.length(F.col(col)).cast("long")
     return df.groupBy(group).agg(F.median(ln).alias("median_chars"), F.min(ln).alias("min_chars"),
                                  F.max(ln).alias("max_chars"), F.count(F.lit(1)).alias("rows"))
 
@@ -307,7 +307,7 @@ def stripe_overlap(df: DataFrame, configs: Sequence[tuple[int, int]], pos: str =
 # ---------------------------------------------------------------- C5, C6
 def token_window(df: DataFrame, seq_len: int, ids: str = "ids", content_hash: str = "h") -> DataFrame:
     """Long text yields a seq_len window whose start is a hash of the content."""
-    n = F.size(F.col(ids))
+    n = F.size(F.col(ids)).cast("long")
     start = F.when(n > seq_len, F.pmod(F.col(content_hash), n - seq_len + 1)).otherwise(F.lit(0).cast("long"))
     return (df.withColumn("n_tokens", n).withColumn("start", start)
             .withColumn("window", F.when(n > seq_len, F.slice(F.col(ids), F.col("start") + 1, F.lit(seq_len)))
@@ -347,7 +347,7 @@ def seeded_shard_order(catalog: DataFrame, seed: str, passes: int, shard: str =
     p = catalog.select(shard, F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("pass"))
     key = F.sha2(F.concat(F.lit(seed), F.lit(":"), F.col("pass").cast("string"), F.lit(":"), F.col(shard)), 256)
     w = Window.partitionBy("pass").orderBy(key, F.col(shard))
-    return p.select("pass", shard, (F.row_number().over(w) - 1).alias("rank"))
+    return p.select(F.col("pass").cast("long").alias("pass"), shard, (F.row_number().over(w) - 1).cast("long").alias("rank"))
 
 
 def pin_check(rows: DataFrame, pins: DataFrame, shard: str = "shard") -> DataFrame:

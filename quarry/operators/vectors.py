@@ -164,7 +164,7 @@ def layer_stats(wb: DataFrame, ours: int, key: str = "k") -> DataFrame:
         F.count(F.lit(1)).alias("chunks"))
     cos = F.when((F.col("t2") > 0) & (F.col("o2") > 0), F.col("ldot") / (F.sqrt("t2") * F.sqrt("o2")))
     w = Window.partitionBy("party").orderBy(F.col("t2").desc(), F.col("layer"))
-    return g.withColumn("layer_cos", cos).withColumn("by_magnitude", F.row_number().over(w))
+    return g.withColumn("layer_cos", cos).withColumn("by_magnitude", F.row_number().over(w).cast("long"))
 
 
 def layer_summary(ls: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def top_layers(ls: DataFrame, k: int = 6) -> DataFrame:
     tot = ls.groupBy("party").agg(F.sum("t2").alias("_tot"))
     s = ls.join(tot, "party").withColumn("share", F.col("t2") / F.when(F.col("_tot") > 0, F.col("_tot")).otherwise(1.0))
     return first_n(s, ["party"], [F.col("t2").desc(), F.col("layer")], k, "place").select(
-        "party", "layer", "share", "place")
+        "party", "layer", "share", F.col("place").cast("long").alias("place"))
 
 
 def element_counts(t: DataFrame, dtype: Column, trainable: Column, shape: Column) -> DataFrame:

@@ -188,7 +188,7 @@ s AS (SELECT cycle, uid, val_loss, greatest(0.0, baseline - val_loss) AS delta,
 s2 AS (SELECT *, CASE WHEN tied THEN 0.0 ELSE pow(delta, 1.2) END AS score FROM s),
 r AS (SELECT cycle, uid, row_number() OVER (PARTITION BY cycle ORDER BY score DESC, uid) AS place FROM s2 WHERE score > 0)
 SELECT s2.cycle, s2.uid, s2.val_loss, s2.delta, s2.tied, s2.score, CASE WHEN r.place <= 3 THEN r.place END AS place,
-       CASE r.place WHEN 1 THEN 2.25 WHEN 2 THEN 1.5 WHEN 3 THEN 1.0 ELSE 0.0 END AS reward
+       CAST(CASE r.place WHEN 1 THEN 2.25 WHEN 2 THEN 1.5 WHEN 3 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS reward
 FROM s2 LEFT JOIN r ON r.cycle = s2.cycle AND r.uid = s2.uid""")
 def a13_scoring(spark, sf):
     s = B.scoring(miners(spark, sf))

@@ -44,7 +44,7 @@ quotas AS (SELECT * EXCLUDE (n_, rr, r, sprev, fr, sk, lvl, unc, rem, urank),
 SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_index, length(text) AS n_chars FROM documents""")
 def s3_read_corpus(spark: SparkSession, sf: str) -> DataFrame:
     rows = read_corpus(spark, f"{sf}/documents.parquet", extra=["doc_id"])
-    return rows.select("doc_id", "row_index", F.length("text").alias("n_chars"))
+    return rows.select("doc_id", "row_index", F.length("text").cast("long").alias("n_chars"))
 
 
 @register("w14_global_index", """
@@ -111,7 +111,7 @@ WITH cat AS (SELECT shard, lang, row_number() OVER (ORDER BY shard, lang) - 1 AS
 SELECT shard, lang, ord, n_rows, quota FROM quotas""")
 def a18_quota_allocation(spark, sf):
     cat = (V.docs(spark, sf).groupBy("shard", "lang").agg(F.count(F.lit(1)).alias("n_rows"))
-           .withColumn("ord", F.row_number().over(Window.orderBy("shard", "lang")) - 1))
+           .withColumn("ord", (F.row_number().over(Window.orderBy("shard", "lang")) - 1).cast("long")))
     return C.allocate_quotas(cat, A18_ROWS).select("shard", "lang", "ord", "n_rows", "quota")
 
 
@@ -254,7 +254,7 @@ SELECT doc_id, n_tokens, start, len(wnd) AS window_len,
        md5(array_to_string(list_transform(wnd, lambda x: CAST(x AS VARCHAR)), ',')) AS window_md5 FROM win2""")
 def c5_token_window(spark, sf):
     w = C.token_window(X.default_token_ids(V.docs(spark, sf)), SEQ_LEN)
-    return w.select("doc_id", "n_tokens", "start", F.size("window").alias("window_len"),
+    return w.select("doc_id", "n_tokens", "start", F.size("window").cast("long").alias("window_len"),
                     F.md5(F.array_join(F.transform("window", lambda x: x.cast("string")), ",")).alias("window_md5"))
 
 

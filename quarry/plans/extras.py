@@ -35,7 +35,7 @@ def s1_read_jsonl_gz(spark, sf):
              .unionByName(bad.select(F.lit('{"other": 1}').alias("value"))))
     path = scratch_path(spark, f"jsonl-{uuid.uuid4().hex[:10]}")
     lines.write.option("compression", "gzip").text(path)
-    return read_jsonl(spark, path).select(F.length("text").alias("n_chars"))
+    return read_jsonl(spark, path).select(F.length("text").cast("long").alias("n_chars"))
 
 
 _SRC_SQL = " UNION ALL ".join(
@@ -43,7 +43,7 @@ _SRC_SQL = " UNION ALL ".join(
 
 
 @register("s4_read_sources", f"""
-SELECT source, revision, count(*) AS rows, sum(length(text)) AS chars FROM ({_SRC_SQL}) GROUP BY source, revision""")
+SELECT source, revision, count(*) AS rows, CAST(sum(length(text)) AS BIGINT) AS chars FROM ({_SRC_SQL}) GROUP BY source, revision""")
 def s4_read_sources(spark, sf):
     u = read_sources(spark, [dict(path=f"{sf}/{t}.parquet", name=t, text_column=c, revision=r) for t, c, r in SPECS])
     return u.groupBy("source", "revision").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text")).alias("chars"))
@@ -52,7 +52,7 @@ def s4_read_sources(spark, sf):
 @register("u3_union_sources", f"SELECT source, length(text) AS n_chars FROM ({_SRC_SQL})")
 def u3_union_sources(spark, sf):
     u = read_sources(spark, [dict(path=f"{sf}/{t}.parquet", name=t, text_column=c, revision=r) for t, c, r in SPECS])
-    return u.select("source", F.length("text").alias("n_chars"))
+    return u.select("source", F.length("text").cast("long").alias("n_chars"))
 
 
 @register("x2_line_timestamp", f"WITH {PARSED_SQL}\nSELECT uid, pos, ts FROM parsed")
@@ -135,7 +135,7 @@ def p1_tokenizer_hook(spark, sf):
     class reproduces the JVM default tokenizer exactly."""
     d = load(spark, sf, "documents").select("doc_id", "text")
     t = token_ids(d, tokenizer="quarry.functions.tokenize:WhitespaceMd5")
-    return t.select("doc_id", F.size("ids").alias("n_tokens"),
+    return t.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                     F.md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")).alias("ids_md5"))
 
 
@@ -203,7 +203,7 @@ def s10_write_shards(spark, sf):
 
     path = scratch_path(spark, f"shards-{uuid.uuid4().hex[:10]}")
     write_shards(load(spark, sf, "documents"), path, rows_per_file=97)
-    return read_corpus(spark, path).select(F.length("text").alias("n_chars"))
+    return read_corpus(spark, path).select(F.length("text").cast("long").alias("n_chars"))
 
 
 @register("s13_publish", "SELECT length(text) AS n_chars FROM documents")
@@ -212,7 +212,7 @@ def s13_publish(spark, sf):
 
     root = scratch_path(spark, f"live-{uuid.uuid4().hex[:10]}")
     publish(load(spark, sf, "documents"), root)
-    return spark.read.parquet(current_version(root, spark)).select(F.length("text").alias("n_chars"))
+    return spark.read.parquet(current_version(root, spark)).select(F.length("text").cast("long").alias("n_chars"))
 
 
 @register("s14_append_events", "SELECT uid, count(*) AS n FROM board GROUP BY uid")

@@ -158,7 +158,7 @@ def v8_layer_stats(spark, sf):
 
 
 _V9_SQL = """
-v9 AS (SELECT party, sum(changed) AS n_changed, sum(chunks) AS n_chunks,
+v9 AS (SELECT party, CAST(sum(changed) AS BIGINT) AS n_changed, CAST(sum(chunks) AS BIGINT) AS n_chunks,
               count(CASE WHEN layer_cos > 0.1 THEN 1 END) AS aligned, count(CASE WHEN layer_cos < -0.1 THEN 1 END) AS opposed,
               count(layer_cos) AS layers_with_cos, min(layer_cos) AS cos_min, max(layer_cos) AS cos_max FROM ls2 GROUP BY party)"""
 
@@ -181,7 +181,7 @@ def o4_top_layers(spark, sf):
 @register("a22_element_counts", """
 WITH e AS (SELECT party, CASE WHEN name LIKE 'embed%' THEN 'bfloat16' ELSE 'float32' END AS dtype,
                   CAST(len(vals) AS BIGINT) AS n, name NOT LIKE 'embed%' AS tr FROM tensor)
-SELECT party, dtype, count(*) AS chunks, sum(n) AS elements, sum(CASE WHEN tr THEN n ELSE 0 END) AS trainable,
+SELECT party, dtype, count(*) AS chunks, CAST(sum(n) AS BIGINT) AS elements, CAST(sum(CASE WHEN tr THEN n ELSE 0 END) AS BIGINT) AS trainable,
        sum(CASE WHEN tr THEN n ELSE 0 END) / sum(n) AS trainable_share FROM e GROUP BY party, dtype""")
 def a22_element_counts(spark, sf):
     t = V.tensor(spark, sf)
