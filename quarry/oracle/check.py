@@ -66,9 +66,25 @@ def normalise_rows(columns, rows, places: int = 6):
     return [columns[i] for i in order], out
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT", "date": "DATE"}
+
+
+def duck_type(spark_type) -> str:
+    """DuckDB spelling of a Spark type (arrays as ``T[]``)."""
+    s = spark_type.simpleString()
+    depth = 0
+    while s.startswith("array<"):
+        s, depth = s[6:-1], depth + 1
+    return _TYPES.get(s, s) + "[]" * depth
+
+
 def compare(spark_df, con, sql: str, places: int = 6) -> dict:
     s_cols = list(spark_df.columns)
+    s_types = {f.name: duck_type(f.dataType) for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
+    rel = con.sql(sql)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
@@ -80,5 +96,9 @@ def compare(spark_df, con, sql: str, places: int = 6) -> dict:
         s_set, d_set = set(map(repr, sr)), set(map(repr, dr))
         out["only_spark"] = sorted(s_set - d_set)[:5]
         out["only_oracle"] = sorted(d_set - s_set)[:5]
-    out["ok"] = out["columns_match"] and out["values_match"]
+    out["types_match"] = s_types == d_types
+    if not out["types_match"]:
+        out["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                            if s_types.get(c) != d_types.get(c)}
+    out["ok"] = out["columns_match"] and out["values_match"] and out["types_match"]
     return out

@@ -18,3 +18,4 @@ def test_parity_small(spark, duck_small, name):
     assert r["columns_match"], (r["spark_cols"], r["oracle_cols"])
     assert r["spark_rows"] == r["oracle_rows"]
     assert r["values_match"], (r.get("only_spark"), r.get("only_oracle"))
+    assert r["types_match"], r.get("type_diff")
