@@ -66,39 +66,55 @@ def read_jsonl(spark: SparkSession, path: str, text_col: str = "text") -> DataFr
 def read_jsonl_xz(spark: SparkSession, paths: str | Sequence[str], text_col: str = "text") -> DataFrame:
     """Xz-compressed JSON lines decoded per file with ``mapInPandas``.
 
-    The file list is spread one file per task (``repartition`` on the path), the
-    decoder streams each file and emits (shard, pos, text) in bounded batches;
-    invalid UTF-8 is ignored, unparsable lines skipped, missing text -> ''.
+    Files come from the ``binaryFile`` source (any storage the cluster reads),
+    one file per task; each task streams its file through an incremental
+    ``LZMADecompressor`` and emits (shard, pos, text) in bounded batches, so
+    the decompressed text is never held whole. ``pos`` counts physical lines,
+    including malformed ones; invalid UTF-8 is ignored, unparsable lines are
+    skipped and missing text becomes ''.
     """
-    files = spark.read.format("binaryFile").load(paths).select("path")
-    n = max(1, files.count())  # file listing only; never the contents
-    files = files.repartition(n, "path")
+    listing = spark.read.format("binaryFile").load(paths)
+    n = max(1, listing.select("path").count())  # file listing only; never the contents
+    files = listing.select("path", "content").repartition(n, "path")
     schema = "shard string, pos long, text string"
 
     def decode(batches):
         import lzma
+        import posixpath
 
         import pandas as pd
 
         for b in batches:
-            for p in b["path"]:
-                local = p[5:] if p.startswith("file:") else p
+            for path, content in zip(b["path"], b["content"]):
+                shard = posixpath.basename(path)
+                dec, tail, pos = lzma.LZMADecompressor(), b"", 0
                 out_pos, out_txt = [], []
-                with lzma.open(local, "rt", encoding="utf-8", errors="ignore") as fh:
-                    for i, line in enumerate(fh):
+                view = memoryview(content)
+                for off in range(0, len(view), 1 << 20):
+                    data = tail + dec.decompress(view[off:off + (1 << 20)])
+                    *lines, tail = data.split(b"\n")
+                    for raw in lines:
                         try:
-                            obj = json.loads(line)
+                            obj = json.loads(raw.decode("utf-8", "ignore"))
                         except ValueError:
-                            continue
-                        if not isinstance(obj, dict):
-                            continue
-                        out_pos.append(i)
-                        out_txt.append(obj.get(text_col) or "")
+                            obj = None
+                        if isinstance(obj, dict):
+                            out_pos.append(pos)
+                            out_txt.append(obj.get(text_col) or "")
+                        pos += 1
                         if len(out_pos) >= 10_000:
-                            yield pd.DataFrame({"shard": os.path.basename(local), "pos": out_pos, "text": out_txt})
+                            yield pd.DataFrame({"shard": shard, "pos": out_pos, "text": out_txt})
                             out_pos, out_txt = [], []
+                if tail:
+                    try:
+                        obj = json.loads(tail.decode("utf-8", "ignore"))
+                    except ValueError:
+                        obj = None
+                    if isinstance(obj, dict):
+                        out_pos.append(pos)
+                        out_txt.append(obj.get(text_col) or "")
                 if out_pos:
-                    yield pd.DataFrame({"shard": os.path.basename(local), "pos": out_pos, "text": out_txt})
+                    yield pd.DataFrame({"shard": shard, "pos": out_pos, "text": out_txt})
 
     return files.mapInPandas(decode, schema)
 
@@ -200,7 +216,7 @@ def verify_corpus(spark: SparkSession, corpus_dir: str, manifest: DataFrame) ->
     listing = listing.select(F.regexp_extract("path", r"/([^/]+)/[^/]+\.parquet$", 1).alias("source"),
                              F.regexp_extract("path", r"/([^/]+\.parquet)$", 1).alias("file_name"))
     counted = (spark.read.option("ignoreCorruptFiles", "true")
-               .parquet(os.path.join(corpus_dir, "*", "*.parquet"))
+               .parquet(f"{corpus_dir.rstrip('/')}/*/*.parquet"))
                .select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+\.parquet$", 1).alias("source"),
                        F.col("_metadata.file_name").alias("file_name"))
                .groupBy("source", "file_name").agg(F.count(F.lit(1)).alias("rows")))
