@@ -216,7 +216,7 @@ def verify_corpus(spark: SparkSession, corpus_dir: str, manifest: DataFrame) ->
     listing = listing.select(F.regexp_extract("path", r"/([^/]+)/[^/]+\.parquet$", 1).alias("source"),
                              F.regexp_extract("path", r"/([^/]+\.parquet)$", 1).alias("file_name"))
     counted = (spark.read.option("ignoreCorruptFiles", "true")
-               .parquet(f"{corpus_dir.rstrip('/')}/*/*.parquet"))
+               .parquet(f"{corpus_dir.rstrip('/')}/*/*.parquet")
                .select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+\.parquet$", 1).alias("source"),
                        F.col("_metadata.file_name").alias("file_name"))
                .groupBy("source", "file_name").agg(F.count(F.lit(1)).alias("rows")))
