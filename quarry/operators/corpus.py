@@ -24,9 +24,17 @@ def _c(x) -> Column:
 
 
 # ---------------------------------------------------------------- F1, F2, F9-F12
-def min_chars_gate(df: DataFrame, n: int | None = DEFAULT_MIN_CHARS, col: str = "text") -> DataFrame:
-    """keep rows whose text has at least ``n`` code points."""
+def min_chars_gate(df: DataFrame, n: int | None = DEFAULT_MIN_CHARS, col: str = "text",
+                   length_col: str | None = "chars") -> DataFrame:
+    """keep rows whose text has at least ``n`` code points.
+
+    When the rows carry a precomputed code-point length (``chars``, computed in
+    the scan stage) the gate uses it, so wide text need not travel through
+    shuffles that precede the gate.
+    """
     n = n or DEFAULT_MIN_CHARS
+    if length_col and length_col in df.columns:
+        return df.filter(F.col(length_col) >= n)
     return df.filter(F.length(F.col(col)) >= n)
 
 

@@ -32,7 +32,8 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = load(spark, sf_dir, "documents").select(
         F.col("source").alias("shard"),
         F.expr("CAST(substr(source, 4) AS INT)").alias("ord"),
-        "doc_id", "text", "lang", "n_chars")
+        "doc_id", "text", "lang", "n_chars",
+        F.length("text").cast("long").alias("chars"))  # gate on this, so text can be pruned
     return sequence_within(d, ["shard"], ["doc_id"], "pos")
 
 
