@@ -238,20 +238,22 @@ def x16_delta(spark, sf):
                     B.delta_plain(F.col("val_loss"), F.col("baseline")).alias("delta_record"))
 
 
-@register("x21_status_note", f"""WITH {MINERS_SQL},
-s AS (SELECT *, row_number() OVER (PARTITION BY cycle ORDER BY val_loss, uid) AS rn FROM miners WHERE val_loss IS NOT NULL),
-rs AS (SELECT cycle, min(val_loss) AS best, max(CASE WHEN rn = 3 THEN val_loss END) AS rank3 FROM s GROUP BY cycle),
-st AS (SELECT *, val_loss IS NOT NULL AND val_loss IS NOT DISTINCT FROM lag(val_loss) OVER (PARTITION BY uid ORDER BY cycle) AS stale FROM miners)
-SELECT st.cycle, st.uid, st.stale,
-  CASE WHEN st.stale THEN 'stale gauge: no fresh evaluation, delta and rank are not real'
-       WHEN st.val_loss IS NULL OR st.baseline IS NULL THEN NULL
-       WHEN st.val_loss >= st.baseline THEN concat('val_loss ', format('{{:.5f}}', st.val_loss), ' >= baseline ', format('{{:.5f}}', st.baseline), ' -> delta 0, scores 0')
-       WHEN rs.rank3 IS NOT NULL AND st.val_loss > rs.rank3 THEN concat('beats baseline but outside top-3 (gap to rank1: ', format('{{:.6f}}', st.val_loss - rs.best), ')')
+X21_SQL = """
+s21 AS (SELECT *, row_number() OVER (PARTITION BY cycle ORDER BY val_loss, uid) AS rn FROM miners WHERE val_loss IS NOT NULL),
+rs21 AS (SELECT cycle, min(val_loss) AS best, max(CASE WHEN rn = 3 THEN val_loss END) AS rank3 FROM s21 GROUP BY cycle),
+st21 AS (SELECT *, val_loss IS NOT NULL AND val_loss IS NOT DISTINCT FROM lag(val_loss) OVER (PARTITION BY uid ORDER BY cycle) AS stale FROM miners),
+x21 AS (SELECT st21.cycle, st21.uid, st21.stale,
+  CASE WHEN st21.stale THEN 'stale gauge: no fresh evaluation, delta and rank are not real'
+       WHEN st21.val_loss IS NULL OR st21.baseline IS NULL THEN NULL
+       WHEN st21.val_loss >= st21.baseline THEN concat('val_loss ', format('{:.5f}', st21.val_loss), ' >= baseline ', format('{:.5f}', st21.baseline), ' -> delta 0, scores 0')
+       WHEN rs21.rank3 IS NOT NULL AND st21.val_loss > rs21.rank3 THEN concat('beats baseline but outside top-3 (gap to rank1: ', format('{:.6f}', st21.val_loss - rs21.best), ')')
   END AS note,
-  CASE WHEN st.stale THEN NULL ELSE st.baseline - st.val_loss END AS delta
-FROM st LEFT JOIN rs USING (cycle)""")
-def x21_status_note(spark, sf):
-    m = miners(spark, sf)
+  CASE WHEN st21.stale THEN NULL ELSE st21.baseline - st21.val_loss END AS delta
+FROM st21 LEFT JOIN rs21 USING (cycle))"""
+
+
+def status_note_rows(m: DataFrame) -> DataFrame:
+    """X21 per (cycle, uid): stale flag, note and delta (nulled when stale)."""
     rs = B.round_summary(m).select("cycle", "best", F.col("third_best").alias("rank3"))
     prev = F.lag("val_loss").over(Window.partitionBy("uid").orderBy("cycle"))
     st = m.withColumn("stale", F.col("val_loss").isNotNull() & F.col("val_loss").eqNullSafe(prev))
@@ -262,6 +264,11 @@ def x21_status_note(spark, sf):
                      .otherwise(F.col("baseline") - F.col("val_loss")).alias("delta"))
 
 
+@register("x21_status_note", f"WITH {MINERS_SQL},{X21_SQL}\nSELECT * FROM x21")
+def x21_status_note(spark, sf):
+    return status_note_rows(miners(spark, sf))
+
+
 @register("x22_slot_detail", """
 SELECT cycle, uid, string_agg(concat('slot', slot, '=',
          CASE WHEN val_loss IS NOT NULL THEN format('{:.4f}', val_loss) ELSE coalesce(status, '-') END,
@@ -272,12 +279,15 @@ def x22_slot_detail(spark, sf):
     return B.slot_detail(V.board(spark, sf))
 
 
-@register("x23_status_notes", f"""WITH {MINERS_SQL}
-SELECT cycle, uid, list_filter([
+X23_SQL = """
+x23 AS (SELECT cycle, uid, list_filter([
     CASE WHEN cohort IS NULL OR cohort IN ('none', 'tail') THEN concat('COHORT=', coalesce(cohort, 'None'), ' -- outside A/B, earns no weight') END,
     CASE WHEN max_age > 600 THEN concat('score is ', CAST(max_age AS VARCHAR), ' blocks old') END,
     CASE WHEN repo IS NULL THEN 'no chain commit registered' END], lambda x: x IS NOT NULL) AS notes
-FROM miners""")
+FROM miners)"""
+
+
+@register("x23_status_notes", f"WITH {MINERS_SQL},{X23_SQL}\nSELECT * FROM x23")
 def x23_status_notes(spark, sf):
     return B.status_notes(miners(spark, sf, pin=False)).select("cycle", "uid", "notes")
 

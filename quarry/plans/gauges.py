@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quarry.functions.numeric import age_units, one_cycle, phase_fraction
 from quarry.operators import gauges as G
 from quarry.operators import logs as L
+from quarry.plans import board as PB
 from quarry.plans.logs import parsed
 from quarry.plans.registry import register
 from quarry.session import reuse
@@ -102,7 +103,15 @@ def x19_age_units(spark, sf):
     return p.select("uid", "poll", m.alias("minutes"), h.alias("hours"), b.alias("blocks"))
 
 
-@register("c12_health_report", f"""WITH {W7_SQL},{W8_SQL},
+@register("c12_health_report", f"""WITH RECURSIVE {ALERTS_SQL},
+em(key, t) AS (SELECT key, min(t) FROM ak GROUP BY key
+               UNION ALL
+               SELECT e.key, (SELECT min(a.t) FROM ak a WHERE a.key = e.key AND a.t >= e.t + 3600000000)
+               FROM em e WHERE e.t IS NOT NULL),
+emitted AS (SELECT DISTINCT uid, poll FROM (
+  SELECT ak.*, row_number() OVER (PARTITION BY ak.key, ak.t ORDER BY ak.poll) AS rn
+  FROM ak JOIN em ON em.key = ak.key AND em.t = ak.t) WHERE rn = 1),
+{W7_SQL},{W8_SQL},{PB.MINERS_SQL},{PB.X21_SQL},{PB.X23_SQL},
 g AS (SELECT round_id, min(log_age) AS mn, count(log_age) AS peers FROM polls GROUP BY round_id),
 pl AS (SELECT uid, regexp_replace(line, '\\x1b\\[[0-9;]*m', '', 'g') AS clean FROM logs),
 sig AS (SELECT * FROM (VALUES {", ".join(f"('{p}', '{s}')" for p, s, _ in L.SIGNATURES)}) t(pattern, severity)),
@@ -111,18 +120,35 @@ hits AS (SELECT uid, count(DISTINCT pattern) AS n_signatures, max(CASE WHEN s.se
 SELECT p.uid, p.poll, CASE WHEN p.log_age IS NULL THEN 'CRIT' WHEN p.log_age > 1800 THEN 'CRIT' WHEN p.log_age > 900 THEN 'WARN' ELSE 'OK' END AS tier,
        CASE WHEN g.peers >= 2 THEN p.log_age - g.mn END AS peer_lag_s,
        w7.stale, w7.rounds, w8.streak, w8.streak >= 2 AS confirmed,
-       coalesce(h.n_signatures, 0) AS n_signatures, coalesce(h.any_crit_signature, false) AS any_crit_signature
+       coalesce(h.n_signatures, 0) AS n_signatures, coalesce(h.any_crit_signature, false) AS any_crit_signature,
+       x21.note, x23.notes, al.message AS alert, em2.uid IS NOT NULL AS alert_emitted
 FROM polls p JOIN g USING (round_id) JOIN w7 ON w7.uid = p.uid AND w7.poll = p.poll
-JOIN w8 ON w8.uid = p.uid AND w8.poll = p.poll LEFT JOIN hits h ON h.uid = p.uid""")
+JOIN w8 ON w8.uid = p.uid AND w8.poll = p.poll LEFT JOIN hits h ON h.uid = p.uid
+LEFT JOIN x21 ON x21.uid = p.uid AND x21.cycle = p.round_id LEFT JOIN x23 ON x23.uid = p.uid AND x23.cycle = p.round_id
+LEFT JOIN al ON al.uid = p.uid AND al.poll = p.poll LEFT JOIN emitted em2 ON em2.uid = p.uid AND em2.poll = p.poll""")
 def c12_health_report(spark, sf):
-    p = reuse(V.polls(spark, sf))  # read by four branches
-    tiers = L.peer_lag(p).withColumn("tier", L.severity_tier(F.col("log_age"))).select("uid", "poll", "tier", "peer_lag_s")
+    """Per poll and uid -- log-age tier, peer lag, stale gauge, CRIT streak,
+    failure signatures, the round's status note and note list, the poll's alert
+    and whether suppression let it through."""
+    from quarry.operators import board as B
+
+    p = reuse(V.polls(spark, sf))  # read by several branches
+    tiers = L.peer_lag(p).withColumn("tier", L.severity_tier(F.col("log_age"))).select("uid", "poll", "round_id", "tier", "peer_lag_s")
     st = G.stale_gauge(p).select("uid", "poll", "stale", "rounds")
     sk = G.crit_streak(p).select("uid", "poll", "streak", "confirmed")
     hits = (L.signature_hits(parsed(spark, sf)).groupBy("uid")
             .agg(F.countDistinct("pattern").alias("n_signatures"),
                  F.bool_or(F.col("severity") == "CRIT").alias("any_crit_signature")))
-    out = tiers.join(st, ["uid", "poll"]).join(sk, ["uid", "poll"]).join(hits, "uid", "left")
+    m = PB.miners(spark, sf)
+    notes = (PB.status_note_rows(m).select(F.col("cycle").alias("round_id"), "uid", "note")
+             .join(B.status_notes(m).select(F.col("cycle").alias("round_id"), "uid", "notes"), ["round_id", "uid"]))
+    alerts = G.alert_rows(p)
+    emitted = G.suppress_alerts(alerts).select("uid", "poll", F.lit(True).alias("_emitted"))
+    out = (tiers.join(st, ["uid", "poll"]).join(sk, ["uid", "poll"]).join(hits, "uid", "left")
+           .join(notes, ["uid", "round_id"], "left")
+           .join(alerts.select("uid", "poll", F.col("message").alias("alert")), ["uid", "poll"], "left")
+           .join(emitted, ["uid", "poll"], "left"))
     return out.select("uid", "poll", "tier", "peer_lag_s", "stale", "rounds", "streak", "confirmed",
                       F.coalesce("n_signatures", F.lit(0)).alias("n_signatures"),
-                      F.coalesce("any_crit_signature", F.lit(False)).alias("any_crit_signature"))
+                      F.coalesce("any_crit_signature", F.lit(False)).alias("any_crit_signature"),
+                      "note", "notes", "alert", F.coalesce("_emitted", F.lit(False)).alias("alert_emitted"))
