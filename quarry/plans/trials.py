@@ -107,6 +107,23 @@ def x14_next_trial(spark, sf):
                                                "warmup", "min_frac")
 
 
+@register("x14_next_trial_drift_first", f"""WITH {_W16_SQL},{_X14_SQL.replace("FROM src", "FROM src0")}""".replace(
+    "src AS (SELECT *,", "src0 AS (SELECT *,").replace(
+    "SELECT uid, next_cycle, n AS n_scored, source,", ",\ngq AS (SELECT uid, next_cycle, n AS n_scored, source,") + """),
+dr AS (SELECT uid, """ + _X11 + """ AS dlr FROM ld)
+SELECT gq.uid, gq.next_cycle, gq.n_scored,
+       CASE WHEN dr.dlr IS NOT NULL THEN 'drift' ELSE gq.source END AS source,
+       CASE WHEN dr.dlr IS NOT NULL THEN dr.dlr ELSE gq.peak_lr END AS peak_lr,
+       CASE WHEN dr.dlr IS NOT NULL THEN CAST(0.03 AS DOUBLE) ELSE gq.warmup END AS warmup,
+       CASE WHEN dr.dlr IS NOT NULL THEN CAST(0.02 AS DOUBLE) ELSE gq.min_frac END AS min_frac
+FROM gq LEFT JOIN dr USING (uid)""")
+def x14_next_trial_drift_first(spark, sf):
+    """X14 with drift control first: a uid whose latest non-zero drift yields a
+    correction takes it (warm-up 0.03, floor 0.02); the others follow the grid."""
+    return T.next_trial(V.trials(spark, sf), F.lit(1000)).select(
+        "uid", "next_cycle", "n_scored", "source", "peak_lr", "warmup", "min_frac")
+
+
 # ------------------------------------------------------------------ curves
 @register("x6_step_of", r"""
 SELECT uid, name, coalesce(TRY_CAST(nullif(regexp_extract(name, 'inneropt_(\d+)$', 1), '') AS BIGINT), -1) AS step FROM curve""")
