@@ -53,14 +53,16 @@ def phase_fraction(into: Column, left: Column) -> Column:
 def one_cycle(frac: Column, peak: Column, warmup: Column, min_frac: Column, in_train: Column) -> Column:
     """Warm-up ramp then cosine to the floor; the floor outside Train.
 
-    ``lr = peak * frac / warmup`` while ``frac < warmup``; after that
-    ``floor + (peak - floor) * (1 + cos(pi * q)) / 2`` with
-    ``q = (frac - warmup) / (1 - warmup)``; never below 1e-6.
+    ``lr = peak * (frac / warmup)`` while ``frac < warmup``; after that
+    ``peak * (min_frac + (1 - min_frac) * c)`` with ``c = (1 + cos(pi * q)) / 2``
+    and ``q = min(1, (frac - warmup) / max(1e-6, 1 - warmup))``; outside Train
+    ``peak * min_frac``; never below 1e-6.
     """
     floor = peak * min_frac
-    q = F.try_divide(frac - warmup, F.lit(1.0) - warmup)
-    cosine = floor + (peak - floor) * (F.lit(1.0) + F.cos(F.lit(math.pi) * clamp(q, 0.0, 1.0))) / 2
-    ramp = peak * F.try_divide(frac, warmup)
+    q = F.least(F.lit(1.0), (frac - warmup) / F.greatest(F.lit(1e-6), F.lit(1.0) - warmup))
+    c = F.lit(0.5) * (F.lit(1.0) + F.cos(F.lit(math.pi) * q))
+    cosine = peak * (min_frac + (F.lit(1.0) - min_frac) * c)
+    ramp = peak * (frac / warmup)
     v = F.when(~in_train, floor).when((warmup > 0) & (frac < warmup), ramp).otherwise(cosine)
     return F.greatest(F.lit(1e-6), v)
 

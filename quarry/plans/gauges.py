@@ -83,10 +83,10 @@ def x13_phase_fraction(spark, sf):
 WITH f AS (SELECT uid, poll, msg <> 'error' AS in_train,
                   least(greatest(CAST(minute(ts) * 60 + second(ts) AS DOUBLE) / 3600, 0.0), 1.0) AS frac FROM polls),
 c AS (SELECT *, CAST({PEAK!r} AS DOUBLE) * CAST({MIN_FRAC!r} AS DOUBLE) AS fl,
-             least(greatest((frac - CAST({WARMUP!r} AS DOUBLE)) / (1.0 - CAST({WARMUP!r} AS DOUBLE)), 0.0), 1.0) AS q FROM f)
+             least(1.0, (frac - CAST({WARMUP!r} AS DOUBLE)) / greatest(CAST(1e-6 AS DOUBLE), 1.0 - CAST({WARMUP!r} AS DOUBLE))) AS q FROM f)
 SELECT uid, poll, greatest(CAST(1e-6 AS DOUBLE), CASE WHEN NOT in_train THEN fl
-         WHEN frac < CAST({WARMUP!r} AS DOUBLE) THEN CAST({PEAK!r} AS DOUBLE) * frac / CAST({WARMUP!r} AS DOUBLE)
-         ELSE fl + (CAST({PEAK!r} AS DOUBLE) - fl) * (1.0 + cos({math.pi!r} * q)) / 2 END) AS lr FROM c""")
+         WHEN CAST({WARMUP!r} AS DOUBLE) > 0 AND frac < CAST({WARMUP!r} AS DOUBLE) THEN CAST({PEAK!r} AS DOUBLE) * (frac / CAST({WARMUP!r} AS DOUBLE))
+         ELSE CAST({PEAK!r} AS DOUBLE) * (CAST({MIN_FRAC!r} AS DOUBLE) + (1.0 - CAST({MIN_FRAC!r} AS DOUBLE)) * (0.5 * (1.0 + cos({math.pi!r} * q)))) END) AS lr FROM c""")
 def x12_one_cycle(spark, sf):
     p = V.polls(spark, sf)
     into = (F.minute("ts") * 60 + F.second("ts")).cast("double")
