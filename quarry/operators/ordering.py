@@ -56,8 +56,16 @@ def max_group_rows(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def groups_fit_one_task(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Size check: every group is below ``quarry.skew.maxGroupRows``."""
-    return max_group_rows(df, keys) <= skew_threshold(df.sparkSession)
+    """Size check: every group is below ``quarry.skew.maxGroupRows``.
+
+    The total row count is checked first (no shuffle; footers for a plain
+    Parquet scan): if the whole input fits, every group does. Only larger
+    inputs pay for the per-key count.
+    """
+    bound = skew_threshold(df.sparkSession)
+    if df.count() <= bound:
+        return True
+    return max_group_rows(df, keys) <= bound
 
 
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],

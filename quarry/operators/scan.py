@@ -130,10 +130,10 @@ class Running:
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]):
-        from quarry.operators.ordering import max_group_rows
+        from quarry.operators.ordering import groups_fit_one_task
 
         self.keys, self.order = list(keys), list(order)
-        self.segmented = max_group_rows(df, self.keys) > skew_threshold(df.sparkSession)
+        self.segmented = not groups_fit_one_task(df, self.keys)
         self.df = layout(df, self.keys, self.order) if self.segmented else df
 
     def add(self, specs: Sequence[tuple[str, str, object]], pin: bool = True) -> DataFrame:
