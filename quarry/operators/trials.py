@@ -28,7 +28,7 @@ START = (3e-4, 0.03, 0.02)
 DRIFT_DEFAULTS = (0.03, 0.02)
 DRIFT_LR_MIN, DRIFT_LR_MAX = 1e-6, 1e-3
 DRIFT_GAIN, DRIFT_MAX_STEP = 1.0, 2.0
-# Parameters (the reference disagrees with itself on these; see README).
+# Parameters: the recorded sources disagree on these values (see README).
 TARGET_DRIFT = 0.0119
 RETAIN_NEWEST = 3
 
