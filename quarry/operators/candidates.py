@@ -46,12 +46,19 @@ def first_existing_suffix(files: DataFrame, preference: Sequence[str], key: str
 def layered_lookup(uids: DataFrame, settings: DataFrame, field: str, default: float) -> DataFrame:
     """Value from the uid level, else the shared level, else the default, and
     the level that won. Precedence is by object: a uid-level object without the
-    field does not fall back to the shared one."""
+    field does not fall back to the shared one.
+
+    The shared level is one settings object: it is aggregated to a single row
+    (always exactly one, whatever the table size) and applied as a literal, so
+    no join with it exists; the uid level is an equi-join on uid.
+    """
     per_uid = settings.filter(F.col("scope") == "uid").select(
         "uid", F.col(field).alias("_u"), F.lit(True).alias("_has_u"))
-    shared = settings.filter(F.col("scope") == "shared").select(
-        F.lit("shared").alias("scope"), F.col(field).alias("_s"), F.lit(True).alias("_has_s"))
-    j = uids.join(per_uid, "uid", "left").withColumn("scope", F.lit("shared")).join(F.broadcast(shared), "scope", "left")
-    level = F.when(F.col("_has_u"), "uid").when(F.col("_has_s"), "shared").otherwise("default")
-    value = F.when(F.col("_has_u"), F.col("_u")).when(F.col("_has_s"), F.col("_s")).otherwise(F.lit(default))
+    shared = settings.filter(F.col("scope") == "shared").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col(field)).alias("v")).first()
+    has_shared, shared_value = shared["n"] > 0, shared["v"]
+    j = uids.join(per_uid, "uid", "left")
+    fallback = F.lit(shared_value) if has_shared else F.lit(default)
+    level = F.when(F.col("_has_u"), "uid").otherwise("shared" if has_shared else "default")
+    value = F.when(F.col("_has_u"), F.col("_u")).otherwise(fallback.cast(settings.schema[field].dataType))
     return j.select("uid", value.alias(field), level.alias("level"))
