@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.ordering import sequence_within
+
 
 def eligible_candidates(cand: DataFrame, cur_ver: int, cur_rev: str | None, want_group: int | None) -> DataFrame:
     """newer version, or a different non-null revision; then, if more than one
@@ -16,10 +18,10 @@ def eligible_candidates(cand: DataFrame, cur_ver: int, cur_rev: str | None, want
     if cur_rev is not None:
         newer = newer | (F.col("rev").isNotNull() & (F.col("rev") != F.lit(cur_rev)))
     step1 = cand.filter(newer)
-    every = Window.partitionBy()
+    if step1.count() <= 1:  # one number; the guard of the group filter
+        return step1
     grp_ok = F.col("grp").isNull() | (F.col("grp") == F.lit(want_group)) if want_group is not None else F.lit(True)
-    return (step1.withColumn("_n", F.count(F.lit(1)).over(every))
-                 .filter((F.col("_n") <= 1) | grp_ok).drop("_n"))
+    return step1.filter(grp_ok)
 
 
 def reject_empty_artifacts(cand: DataFrame, files: DataFrame, key: str = "uid") -> DataFrame:
@@ -31,9 +33,13 @@ def reject_empty_artifacts(cand: DataFrame, files: DataFrame, key: str = "uid")
 
 
 def rank_by_stake(cand: DataFrame) -> DataFrame:
-    """Candidates by stake descending (NULL stake counts as 0), uid breaks ties."""
-    w = Window.orderBy(F.coalesce(F.col("stake"), F.lit(0.0)).desc(), F.col("uid"))
-    return cand.withColumn("stake_rank", F.row_number().over(w))
+    """Candidates by stake descending (NULL stake counts as 0), uid breaks ties.
+
+    A full ranking, numbered with the size-checked sequence (one task only
+    while the candidate list fits the skew bound)."""
+    c = cand.withColumn("_neg", -F.coalesce(F.col("stake"), F.lit(0.0)))
+    r = sequence_within(c, [], ["_neg", "uid"], "_r")
+    return r.withColumn("stake_rank", F.col("_r") + 1).drop("_neg", "_r")
 
 
 def first_existing_suffix(files: DataFrame, preference: Sequence[str], key: str = "uid") -> DataFrame:

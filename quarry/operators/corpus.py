@@ -244,16 +244,19 @@ def length_profile(df: DataFrame, group: str = "shard", col: str = "text") -> Da
                                  F.max(ln).alias("max_chars"), F.count(F.lit(1)).alias("rows"))
 
 
-def repack_plan(rows: DataFrame, n_files: int, index: str = "gidx") -> DataFrame:
+def repack_plan(rows: DataFrame, n_files: int, index: str = "gidx", strict: bool = False) -> DataFrame:
     """Contiguous order-preserving assignment of rows to exactly n files.
 
-    ``per = ceil(rows / n)``; file id ``= index div per``. A packing that cannot
-    open n files (e.g. 5 rows into 4) is refused by :func:`check_repack`.
+    ``per = ceil(rows / n)``; file id ``= index div per``. The row total is one
+    count (Parquet footers when ``rows`` is a plain scan), not a window over
+    all rows. With ``strict`` a packing that cannot open n files (e.g. 5 rows
+    into 4) is refused before anything is written.
     """
-    total = F.count(F.lit(1)).over(Window.partitionBy())
-    per = F.ceil(total / F.lit(n_files)).cast("long")
-    return (rows.withColumn("_per", per)
-            .withColumn("file_id", F.expr(f"{index} div _per")).drop("_per"))
+    total = rows.count()
+    if strict:
+        check_repack(total, n_files)
+    per = max(1, -(-total // n_files))
+    return rows.withColumn("file_id", F.expr(f"{index} div {per}"))
 
 
 def repack_files_opened(total_rows: int, n_files: int) -> int:
