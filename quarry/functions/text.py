@@ -75,11 +75,22 @@ def split_first_colon(c) -> tuple[Column, Column]:
             F.when(at > 0, F.substr(s, at + 1)))
 
 
+def default_tokens(df: DataFrame, text: str = "text") -> DataFrame:
+    """P1 default tokenizer, first half: whitespace tokens (``tokens``) and the
+    content hash ``h`` used for window starts."""
+    toks = F.filter(F.split(F.col(text), TOKEN_SPLIT), lambda t: t != "")
+    return df.withColumn("tokens", toks).withColumn("h", hex_prefix_int(F.md5(F.col(text)), 15))
+
+
+def ids_of(tokens) -> Column:
+    """P1 default tokenizer, second half: token id = first 8 hex digits of md5."""
+    return F.transform(_col(tokens), lambda t: hex_prefix_int(F.md5(t), 8))
+
+
 def default_token_ids(df: DataFrame, text: str = "text") -> DataFrame:
-    """P1 default tokenizer: whitespace split, token id = first 8 hex of md5.
+    """P1 default tokenizer: adds ``ids array<bigint>`` and ``h``.
 
-    Adds ``ids array<bigint>`` and ``h`` (content hash used for window starts).
+    When only a window of the ids is needed, window ``tokens`` from
+    :func:`default_tokens` first and map just that slice with :func:`ids_of`.
     """
-    toks = F.filter(F.split(F.col(text), TOKEN_SPLIT), lambda t: t != "")
-    ids = F.transform(toks, lambda t: hex_prefix_int(F.md5(t), 8))
-    return df.withColumn("ids", ids).withColumn("h", hex_prefix_int(F.md5(F.col(text)), 15))
+    return default_tokens(df, text).withColumn("ids", ids_of("tokens")).drop("tokens")

@@ -253,7 +253,9 @@ win2 AS (SELECT doc_id, n_tokens, start, ids[start + 1 : start + {SEQ_LEN}] AS w
 SELECT doc_id, n_tokens, start, len(wnd) AS window_len,
        md5(array_to_string(list_transform(wnd, lambda x: CAST(x AS VARCHAR)), ',')) AS window_md5 FROM win2""")
 def c5_token_window(spark, sf):
-    w = C.token_window(X.default_token_ids(V.docs(spark, sf)), SEQ_LEN)
+    # window the token strings, then hash only the window's tokens to ids
+    w = C.token_window(X.default_tokens(V.docs(spark, sf)), SEQ_LEN, ids="tokens")
+    w = w.withColumn("window", X.ids_of("window"))
     return w.select("doc_id", "n_tokens", "start", F.size("window").cast("long").alias("window_len"),
                     F.md5(F.array_join(F.transform("window", lambda x: x.cast("string")), ",")).alias("window_md5"))
 
@@ -263,7 +265,8 @@ SELECT doc_id, list_resize(wnd[1:{SEQ_LEN}], {SEQ_LEN}, 0) AS input_ids,
        list_resize(list_transform(wnd[1:{SEQ_LEN}], lambda x: 1), {SEQ_LEN}, 0) AS attention_mask,
        list_resize(wnd[1:{SEQ_LEN}], {SEQ_LEN}, -100) AS labels FROM win2""")
 def c6_pad_truncate(spark, sf):
-    w = C.token_window(X.default_token_ids(V.docs(spark, sf)), SEQ_LEN)
+    w = C.token_window(X.default_tokens(V.docs(spark, sf)), SEQ_LEN, ids="tokens")
+    w = w.withColumn("window", X.ids_of("window"))
     return C.pad_truncate(w, SEQ_LEN, "window").select("doc_id", "input_ids", "attention_mask", "labels")
 
 
