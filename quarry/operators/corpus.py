@@ -174,22 +174,26 @@ def prefix_dedup(df: DataFrame, n: int = DEFAULT_MIN_CHARS, group: Sequence[str]
     return keyed.join(firsts, [*group, "_pfx", *order], "left_semi").drop("_pfx")
 
 
-def file_offsets(rows: DataFrame, file_col: str = "file_name") -> DataFrame:
-    """Per-file row counts and the running offset in file-name order (small)."""
-    counts = rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("file_rows"))
-    w = Window.partitionBy().orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
+def file_offsets(rows: DataFrame, file_col: str = "file_name", group: Sequence[str] = ()) -> DataFrame:
+    """Per-file row counts and the running offset in file-name order within
+    ``group`` (one row per file, so the window is over a small table)."""
+    group = list(group)
+    counts = rows.groupBy(*group, file_col).agg(F.count(F.lit(1)).alias("file_rows"))
+    w = Window.partitionBy(*group).orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("file_offset", F.coalesce(F.sum("file_rows").over(w), F.lit(0)))
 
 
 def global_index(rows: DataFrame, file_col: str = "file_name", row_col: str = "row_index",
-                 name: str = "gidx") -> DataFrame:
-    """Contiguous index over (file, row) = file offset + physical row index.
+                 name: str = "gidx", group: Sequence[str] = ()) -> DataFrame:
+    """Contiguous index over (file, row) = file offset + physical row index,
+    optionally restarting per ``group`` (e.g. per source).
 
     Only the per-file count table (one row per file) goes through a window and a
     broadcast; the rows themselves are never sorted or moved.
     """
-    offs = file_offsets(rows, file_col).select(file_col, "file_offset")
-    return (rows.join(F.broadcast(offs), file_col)
+    group = list(group)
+    offs = file_offsets(rows, file_col, group).select(*group, file_col, "file_offset")
+    return (rows.join(F.broadcast(offs), [*group, file_col])
             .withColumn(name, F.col("file_offset") + F.col(row_col)).drop("file_offset"))
 
 

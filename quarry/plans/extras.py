@@ -254,3 +254,17 @@ def j12_manifest_files(spark, sf):
                 .select(F.concat(F.lit("shard="), F.col("shard")).alias("source"), F.lit(1).alias("shards"), "rows"))
     v = verify_corpus(spark, root, manifest)
     return v.select("source", "shards", "files_on_disk", "rows", "rows_on_disk", (~F.col("ok")).alias("mismatch"))
+
+
+@register("s3_read_shards", "SELECT shard, pos, doc_id FROM docs")
+def s3_read_shards(spark, sf):
+    """S3/W14 on real files: the corpus is written as ``<root>/<shard>/part-*``
+    files in line order, and positions are read back from Parquet row indexes
+    plus per-file offsets (no sort, no numbering shuffle)."""
+    from quarry.sources.files import read_shards
+
+    root = scratch_path(spark, f"shards-{uuid.uuid4().hex[:10]}")
+    d = V.docs(spark, sf).select("shard", "pos", "doc_id", "text")
+    (d.repartition("shard").sortWithinPartitions("shard", "pos")
+      .write.option("maxRecordsPerFile", 97).partitionBy("shard").parquet(root))
+    return read_shards(spark, root, extra=["doc_id"]).select("shard", "pos", "doc_id")

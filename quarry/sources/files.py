@@ -45,6 +45,31 @@ def read_sources(spark: SparkSession, specs: Sequence[dict]) -> DataFrame:
     return out
 
 
+def read_shards(spark: SparkSession, root: str, text: str = "text", extra: Sequence[str] = ()) -> DataFrame:
+    """Corpus shards laid out as ``<root>/<source>/*.parquet`` -> rows with
+    ``shard`` (the source folder, a ``key=`` prefix dropped), ``ord`` (catalogue
+    ordinal: sources in name order) and ``pos`` (physical line in the source).
+
+    ``pos`` is the Parquet ``row_index`` plus the file's offset inside its
+    source (per-file counts in file-name order, one row per file), so physical
+    order is recovered without sorting or moving any row.
+    """
+    from pyspark.sql import Window
+
+    from quarry.operators.corpus import global_index
+
+    df = spark.read.parquet(f"{root.rstrip('/')}/*/*.parquet")
+    rows = df.select(F.col(text).alias("text"), *extra,
+                     F.regexp_replace(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1),
+                                      r"^[^=]+=", "").alias("shard"),
+                     F.col("_metadata.file_name").alias("file_name"),
+                     F.col("_metadata.row_index").alias("row_index"))
+    rows = global_index(rows, group=["shard"], name="pos").drop("file_name", "row_index")
+    ords = rows.select("shard").distinct().withColumn(
+        "ord", (F.row_number().over(Window.orderBy("shard")) - 1).cast("int"))  # one row per source
+    return rows.join(F.broadcast(ords), "shard")
+
+
 def read_jsonl(spark: SparkSession, path: str, text_col: str = "text") -> DataFrame:
     """JSON lines (plain or .gz); unparsable lines skipped, missing text -> ''.
 
