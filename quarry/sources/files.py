@@ -206,17 +206,21 @@ def current_version(root: str, spark: SparkSession | None = None) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def append_events(df: DataFrame, path: str, key: str = "uid", buckets: int = 64) -> None:
+def append_events(df: DataFrame, path: str, key: str = "uid", buckets: int = 64,
+                  order: Sequence[str] = ("pos",)) -> None:
     """Append rows so that each key's stream can be read on its own.
 
-    Rows go to ``<key>_bucket=pmod(key, buckets)`` folders and are
-    sorted by key inside each file: reading one uid prunes to one folder and
-    skips row groups by min/max. A folder per uid would mean millions of
-    directories and tiny files at scale.
+    Rows go to ``<key>_bucket=pmod(key, buckets)`` folders, range-partitioned
+    on (bucket, key, order) and sorted that way inside each file: reading one
+    uid prunes to one folder and skips row groups by min/max, and a uid with a
+    third of the rows is written by many tasks. A folder per uid would mean
+    millions of directories and tiny files at scale.
     """
-    b = F.pmod(F.col(key), F.lit(buckets)).alias(f"{key}_bucket")
-    (df.withColumn(f"{key}_bucket", b).repartition(f"{key}_bucket").sortWithinPartitions(key)
-       .write.mode("append").partitionBy(f"{key}_bucket").parquet(path))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    bcol = f"{key}_bucket"
+    cols = [bcol, key, *[o for o in order if o in df.columns]]
+    (df.withColumn(bcol, F.pmod(F.col(key), F.lit(buckets))).repartitionByRange(n, *cols)
+       .sortWithinPartitions(*cols).write.mode("append").partitionBy(bcol).parquet(path))
 
 
 def read_events(spark: SparkSession, path: str, uid: int | None = None, key: str = "uid",
