@@ -107,3 +107,14 @@ def test_sequence_within_both_paths(spark, skew_mode):
     got = sequence_within(df, ["g"], ["o"], "seq", partitions=5)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
     assert got.join(ref, ["g", "o"]).filter(F.col("seq") != F.col("rn")).count() == 0
+
+
+def test_publish_window_commits_both_paths(spark, skew_mode):
+    from quarry.plans.catalog import QUERIES
+    from quarry.oracle.check import compare, duck
+    from quarry.plans.catalog import ORACLE
+
+    from conftest import SMALL
+
+    r = compare(QUERIES["j2_publish_window_commits"](spark, SMALL), duck(SMALL), ORACLE["j2_publish_window_commits"])
+    assert r["ok"], r.get("only_spark")
