@@ -285,3 +285,18 @@ def s3_read_shards(spark, sf):
     root = scratch_path(spark, f"shards-{uuid.uuid4().hex[:10]}")
     write_corpus(V.docs(spark, sf).select("shard", "pos", "doc_id", "text"), root)
     return read_shards(spark, root, extra=["doc_id"]).select("shard", "pos", "doc_id")
+
+
+
+@register("s6_read_train_records", """
+SELECT pos, uid, cycle, peak_lr, data_rank, dataset_class, validator_val_loss, local_eval FROM trainlog""")
+def s6_read_train_records(spark, sf):
+    """Train records written as JSON lines with every number as a string (as the
+    log scraper stores them), read back with typed ``try_cast`` columns."""
+    from quarry.sources.snapshots import TRAIN_FIELDS, parse_train_records, read_history
+
+    t = V.trainlog(spark, sf)
+    as_text = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in TRAIN_FIELDS]))
+    path = scratch_path(spark, f"trainlog-{uuid.uuid4().hex[:10]}")
+    t.select(as_text.alias("value")).write.text(path)
+    return parse_train_records(read_history(spark, path))

@@ -104,3 +104,20 @@ def read_settings(df: DataFrame, col: str = "json") -> DataFrame:
     """A malformed settings object is ignored (NULL struct), an absent one is absent."""
     ok = F.try_parse_json(F.col(col)).isNotNull()
     return df.withColumn("settings", F.when(ok, F.from_json(F.col(col), SETTINGS, {"mode": "PERMISSIVE"})))
+
+
+# Train records: flat JSON whose numbers are often strings (regex captures).
+TRAIN_FIELDS = {
+    "pos": "bigint", "uid": "bigint", "cycle": "int", "peak_lr": "string", "data_rank": "string",
+    "dataset_class": "string", "validator_val_loss": "double", "local_eval": "double",
+}
+
+
+def parse_train_records(df: DataFrame, col: str = "json", fields: dict[str, str] = TRAIN_FIELDS) -> DataFrame:
+    """S6 for train records: every field is read as text, then typed with
+    ``try_cast`` -- a number kept as a string becomes a number, a malformed one
+    becomes NULL instead of failing the job."""
+    raw = T.StructType([T.StructField(k, T.StringType()) for k in fields])
+    parsed = df.select(F.from_json(F.col(col), raw, {"mode": "PERMISSIVE"}).alias("r"))
+    return parsed.select(*[(F.col(f"r.{k}") if t == "string" else F.col(f"r.{k}").try_cast(t)).alias(k)
+                           for k, t in fields.items()])

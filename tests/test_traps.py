@@ -235,3 +235,13 @@ def test_text_helpers(spark):
     assert r.t == ts("2024-01-02 03:04:05")
     assert tuple(r)[1:3] == ("org/x", "rev1:z")
     assert r.r == "abc1234"
+
+
+def test_train_record_strings_are_typed(spark):
+    from quarry.sources.snapshots import parse_train_records
+
+    df = spark.createDataFrame([('{"uid": "7", "cycle": "3", "local_eval": "1.25", "validator_val_loss": "1.5x"}',),
+                                ("{not json",)], "json string")
+    r = parse_train_records(df).collect()
+    assert (r[0].uid, r[0].cycle, r[0].local_eval, r[0].validator_val_loss) == (7, 3, 1.25, None)
+    assert r[1].uid is None
