@@ -300,3 +300,18 @@ def s6_read_train_records(spark, sf):
     path = scratch_path(spark, f"trainlog-{uuid.uuid4().hex[:10]}")
     t.select(as_text.alias("value")).write.text(path)
     return parse_train_records(read_history(spark, path))
+
+
+
+@register("s11_manifest_roundtrip", """
+SELECT lang AS path, count(*) AS rows, count(DISTINCT shard) AS shards FROM docs GROUP BY lang""")
+def s11_manifest_roundtrip(spark, sf):
+    """The manifest written as a JSON document with a ``sources`` array and read
+    back with ``inline``."""
+    from quarry.operators.corpus import build_manifest
+    from quarry.sources.files import read_manifest, write_manifest
+
+    m = build_manifest(V.docs(spark, sf), "lang", 200, "uniform-per-shard").select("path", "rows", "shards")
+    path = scratch_path(spark, f"manifest-{uuid.uuid4().hex[:10]}")
+    write_manifest(m, path, {"expert_group": "docs", "sequence_length": 1024})
+    return read_manifest(spark, path, "path: string, rows: bigint, shards: bigint")

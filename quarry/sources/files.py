@@ -70,6 +70,24 @@ def read_shards(spark: SparkSession, root: str, text: str = "text", extra: Seque
     return rows.join(F.broadcast(ords), "shard")
 
 
+def write_manifest(entries: DataFrame, path: str, header: dict | None = None) -> None:
+    """S11 sink: one JSON document ``{..header, "sources": [entry, ...]}``.
+
+    The entries are one row per source (a catalogue-sized table), gathered into
+    the document's array in path order."""
+    doc = entries.agg(F.sort_array(F.collect_list(F.struct(*entries.columns))).alias("sources"))
+    for k, v in (header or {}).items():
+        doc = doc.withColumn(k, F.lit(v))
+    doc.select(F.to_json(F.struct(*[c for c in doc.columns])).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_manifest(spark: SparkSession, path: str, entry_schema: str) -> DataFrame:
+    """Manifest document -> one row per source (``inline`` of ``sources``)."""
+    doc = spark.read.text(path).select(
+        F.from_json("value", f"struct<sources: array<struct<{entry_schema}>>>").alias("d"))
+    return doc.select(F.inline("d.sources"))
+
+
 def read_jsonl(spark: SparkSession, path: str, text_col: str = "text") -> DataFrame:
     """JSON lines (plain or .gz); unparsable lines skipped, missing text -> ''.
 
