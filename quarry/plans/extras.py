@@ -315,3 +315,21 @@ def s11_manifest_roundtrip(spark, sf):
     path = scratch_path(spark, f"manifest-{uuid.uuid4().hex[:10]}")
     write_manifest(m, path, {"expert_group": "docs", "sequence_length": 1024})
     return read_manifest(spark, path, "path: string, rows: bigint, shards: bigint")
+
+
+
+TAIL_SINCE = "2024-01-28 06:00:00"
+
+
+@register("s7_log_tail", r"""
+WITH pl AS (SELECT uid, pos, kind, regexp_replace(line, '\x1b\[[0-9;]*m', '', 'g') AS clean FROM logs),
+p AS (SELECT uid, pos, kind, try_strptime(left(clean, 19), '%Y-%m-%d %H:%M:%S') AS ts FROM pl)
+SELECT uid, pos, kind, ts FROM p WHERE ts >= TIMESTAMP '""" + TAIL_SINCE + """'""")
+def s7_log_tail(spark, sf):
+    """Parsed log lines appended under day folders, then read back from a time
+    onwards with partition pruning on the day."""
+    from quarry.sources.files import append_log_lines, read_log_tail
+
+    path = scratch_path(spark, f"logdays-{uuid.uuid4().hex[:10]}")
+    append_log_lines(parsed(spark, sf).select("uid", "pos", "kind", "ts"), path)
+    return read_log_tail(spark, path, TAIL_SINCE).select("uid", "pos", "kind", "ts")

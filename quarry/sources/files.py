@@ -70,6 +70,24 @@ def read_shards(spark: SparkSession, root: str, text: str = "text", extra: Seque
     return rows.join(F.broadcast(ords), "shard")
 
 
+def append_log_lines(lines: DataFrame, path: str, ts: str = "ts", order: Sequence[str] = ("uid", "pos")) -> None:
+    """Append parsed log lines under ``day=<date>`` folders (lines without a stamp
+    go to ``day=__HIVE_DEFAULT_PARTITION__``), range-partitioned on (day, order)
+    so a busy day is written by many tasks."""
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    cols = ["day", *order]
+    (lines.withColumn("day", F.to_date(F.col(ts))).repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+          .write.mode("append").partitionBy("day").parquet(path))
+
+
+def read_log_tail(spark: SparkSession, path: str, since: str, ts: str = "ts") -> DataFrame:
+    """Lines stamped at or after ``since``: the day predicate prunes folders
+    (the batch form of the reference's read-the-last-N-bytes tail)."""
+    df = spark.read.parquet(path)
+    cut = F.to_timestamp(F.lit(since))
+    return df.filter((F.col("day") >= F.to_date(cut)) & (F.col(ts) >= cut.cast(df.schema[ts].dataType)))
+
+
 def write_manifest(entries: DataFrame, path: str, header: dict | None = None) -> None:
     """S11 sink: one JSON document ``{..header, "sources": [entry, ...]}``.
 

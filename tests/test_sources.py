@@ -1,6 +1,7 @@
 """File sources and sinks on temporary folders written from the driver tables."""
 
 import lzma
+import re
 import json
 import os
 
@@ -106,3 +107,15 @@ def test_shard_files_give_physical_positions(spark, tmp_path):
     fx = d.drop("ord").join(rows.select("shard", "ord").distinct(), "shard")
     b = {r.doc_id for r in CC.uniform_shard_sample(fx, 60, 200).collect()}
     assert a == b and len(a) > 0
+
+
+def test_log_tail_prunes_day_folders(spark, tmp_path):
+    from quarry.operators.logs import parsed_lines
+    from quarry.sources.fixtures import logs
+
+    path = str(tmp_path / "logdays")
+    S.append_log_lines(parsed_lines(logs(spark, SMALL)).select("uid", "pos", "kind", "ts"), path)
+    tail = S.read_log_tail(spark, path, "2024-01-29 00:00:00")
+    plan = tail._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*day", plan)
+    assert tail.filter("ts < timestamp_ntz'2024-01-29 00:00:00'").count() == 0
