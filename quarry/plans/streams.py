@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from quarry.operators import logs as L
 from quarry.plans.gauges import ALERTS_SQL
 from quarry.plans.registry import register
 from quarry.session import scratch_path
@@ -94,7 +95,7 @@ def t4_crit_streak_stream(spark, sf):
 WITH pl AS (SELECT uid, regexp_replace(line, '\x1b\[[0-9;]*m', '', 'g') AS clean FROM logs),
 ev AS (SELECT uid, clean, try_strptime(left(clean, 19), '%Y-%m-%d %H:%M:%S') AS ts FROM pl),
 st AS (SELECT * FROM ev WHERE ts IS NOT NULL),
-sig AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{p}', '{s}')" for i, (p, s, _) in enumerate(__import__("quarry.operators.logs", fromlist=["SIGNATURES"]).SIGNATURES)) + r""") t(sig, pattern, severity)),
+sig AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{p}', '{s}')" for i, (p, s, _) in enumerate(L.SIGNATURES)) + r""") t(sig, pattern, severity)),
 h AS (SELECT time_bucket(INTERVAL 30 MINUTE, st.ts) AS window_start, st.uid, s.sig, s.pattern, s.severity, st.ts
       FROM st JOIN sig s ON contains(st.clean, s.pattern))
 SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, uid, sig, pattern, severity,
