@@ -51,6 +51,16 @@ def s5_flatten_snapshot(spark, sf):
                        "status", "sample_cycle", "age")
 
 
+@register("s5_slot_map", """
+WITH l AS (SELECT cycle, uid, slot, val_loss, row_number() OVER (PARTITION BY cycle, uid, slot ORDER BY pos DESC) AS rn FROM board),
+m AS (SELECT cycle, uid, map_from_entries(list(struct_pack(k := slot, v := val_loss) ORDER BY slot)) AS slots
+      FROM l WHERE rn = 1 GROUP BY cycle, uid)
+SELECT cycle, uid, map_keys(slots) AS slot_names, map_values(slots) AS slot_losses FROM m""")
+def s5_slot_map(spark, sf):
+    m = B.slot_map(V.board(spark, sf))
+    return m.select("cycle", "uid", F.map_keys("slots").alias("slot_names"), F.map_values("slots").alias("slot_losses"))
+
+
 @register("w1_freshest_sample", f"""WITH {MINERS_SQL}
 SELECT cycle, uid, val_loss, fresh_slot, sample_cycle FROM miners WHERE val_loss IS NOT NULL""")
 def w1_freshest_sample(spark, sf):

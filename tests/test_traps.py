@@ -245,3 +245,11 @@ def test_train_record_strings_are_typed(spark):
     r = parse_train_records(df).collect()
     assert (r[0].uid, r[0].cycle, r[0].local_eval, r[0].validator_val_loss) == (7, 3, 1.25, None)
     assert r[1].uid is None
+
+
+def test_slot_map_last_duplicate_wins(spark):
+    rows = [(1, 8, "b", 1, 1.0, 5, "ok", 10, 0.0, "A", None, 2.0),
+            (1, 8, "a", 2, 2.0, 5, "ok", 10, 0.0, "A", None, 2.0),
+            (1, 8, "b", 3, None, 5, "ok", 10, 0.0, "A", None, 2.0)]
+    m = B.slot_map(_samples(spark, rows)).collect()[0]
+    assert list(m.slots.items()) == [("a", 2.0), ("b", None)]
