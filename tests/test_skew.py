@@ -118,3 +118,20 @@ def test_publish_window_commits_both_paths(spark, skew_mode):
 
     r = compare(QUERIES["j2_publish_window_commits"](spark, SMALL), duck(SMALL), ORACLE["j2_publish_window_commits"])
     assert r["ok"], r.get("only_spark")
+
+
+def test_flagship_queries_on_segmented_plans(spark):
+    """C1 and the health report with every group over the skew bound."""
+    from quarry.oracle.check import compare, duck
+    from quarry.plans.catalog import ORACLE, QUERIES
+
+    from conftest import SMALL
+
+    con = duck(SMALL)
+    spark.conf.set(SKEW_CONF, "0")
+    try:
+        for name in ("c1_uniform_shard_sample", "c12_health_report", "w15_first_quota_survivors"):
+            r = compare(QUERIES[name](spark, SMALL), con, ORACLE[name])
+            assert r["ok"], (name, r.get("only_spark"), r.get("only_oracle"))
+    finally:
+        spark.conf.unset(SKEW_CONF)
