@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, mixing, packing, quality, secrets, topk, warc
+from quarry.llm import chat, lm, mixing, ngram_join, packing, quality, secrets, suffix, topk, warc
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,21 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", count("assign"), count("access"), count("hex"),
                        F.sha2(secrets.joined(F.array_sort("base")), 256).alias("base_sha256"),
                        secrets.joined(F.array_sort(F.concat("base", "more"))).alias("spans"))
+
+
+@register("op4_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every document."""
+    return lm.score_documents(load(spark, sf_dir, "documents"))
+
+
+@register("op3_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document, its number of links, and whether it stands for its class."""
+    return ngram_join.near_duplicates(load(spark, sf_dir, "documents")).drop("row")
+
+
+@register("op8_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to 100-byte strings that also start earlier."""
+    return suffix.removed(load(spark, sf_dir, "documents"))

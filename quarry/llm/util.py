@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
@@ -17,6 +18,15 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Most key rows that are sent to every task; more are joined by a shuffle.
+BROADCAST_KEYS = 500_000
+
+
+def sent_if_small(keys: DataFrame) -> DataFrame:
+    """A narrow key table, broadcast only when its counted size is proven small."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def need(df: DataFrame, *cols: str) -> None:
     """Fail early, by name, when a required column is missing or ambiguous."""
     for c in cols:
