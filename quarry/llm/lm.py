@@ -36,12 +36,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.util import need, pinned, texts_of
+from quarry.llm.util import bounds, need, pinned, texts_of
 from quarry.session import shuffle_partitions
 
 FOLDS, HELD_OUT = 7, 2
@@ -53,7 +54,9 @@ FREQUENT = 1 << 18
 BLOCKS = 12
 UPDATES, RATE, L2 = 24, 0.25, 1e-7
 FIRST_LEVEL = 16
-WORDS_HELD = 1_500_000
+WORDS_HELD = 500_000
+# Text bytes that a task turns into token arrays at once.
+SLICE_BYTES = 4 << 20
 
 
 def _signed(h: int) -> int:
@@ -89,6 +92,17 @@ def _tokens(text: bytes) -> list[bytes]:
     return words
 
 
+def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows in runs of about SLICE_BYTES of text (one row at least)."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        run = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+        cuts = bounds(run) if len(run) else [0]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            part = b.slice(s, e - s)
+            yield part, texts_of(part.column(text))
+
+
 def _numbered(texts: list[bytes], seen: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(word numbers of all texts, tokens per text)."""
     get, parts, sizes = seen.__getitem__, [], []
@@ -110,8 +124,8 @@ def _word_counts(train: DataFrame) -> DataFrame:
                 pa.array(np.fromiter(map(word_hash, seen.words), np.int64, n)),
                 pa.array(np.fromiter(map(ending_slot, seen.words), np.int32, n)), pa.array(totals[:n])], names=["h", "slot", "c"])
 
-        for b in batches:
-            ids, _ = _numbered(texts_of(b.column(0)), seen)
+        for _, texts in _slices(batches, 0):
+            ids, _ = _numbered(texts, seen)
             here = np.bincount(ids, minlength=len(seen.words))
             here[:len(totals)] += totals
             totals = here
@@ -224,8 +238,8 @@ def _slot_counts(train: DataFrame, lex: Lexicon) -> tuple[np.ndarray, np.ndarray
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, tables = _Slots(shared.value), None
-        for b in batches:
-            ids, sizes = table.numbered(texts_of(b.column(0)))
+        for _, texts in _slices(batches, 0):
+            ids, sizes = table.numbered(texts)
             s = table.slot[ids]
             b1, b2 = _before(s, sizes, end)
             here = [np.bincount(x * SLOTS + s, minlength=SLOTS * SLOTS).reshape(SLOTS, SLOTS) for x in (b1, b2)]
@@ -355,7 +369,7 @@ def train_model(spark, bigrams: np.ndarray, skips: np.ndarray, end: int, updates
                     yield pa.RecordBatch.from_arrays([pa.array([g.astype(np.float32).tobytes()], pa.binary())], names=["g"])
 
         grad = seen.copy()
-        for r in blocks.mapInArrow(partial, "g binary").toLocalIterator():  # BLOCKS tables of TABLE numbers
+        for r in blocks.mapInArrow(partial, "g binary").collect():  # BLOCKS tables of TABLE numbers
             grad -= np.frombuffer(r["g"], dtype=np.float32)
         shared.unpersist()
         grad = grad / total - L2 * theta
@@ -382,8 +396,8 @@ def _scored(docs: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
         table, row = _Slots(lex), TaskContext.get().partitionId() << 36
         slot_part = -np.log10(lex.slot_tokens + lex.slot_words + 1.0)
         slot_part[:OWN_SLOTS] = 0.0
-        for b in batches:
-            ids, sizes = table.numbered(texts_of(b.column(2)))
+        for b, texts in _slices(batches, 2):
+            ids, sizes = table.numbered(texts)
             s, count = table.slot[ids], table.count[ids]
             b1, b2 = _before(s, sizes, end)
             doc = np.repeat(np.arange(len(sizes)), sizes)
