@@ -4,8 +4,9 @@ Each text is the set of its five-word shingles. Texts with equal sets become one
 node. A node is embedded by TOKENS min-hash values; in every run a tree of
 splits is walked: at a tree position a few coordinates are drawn (1/threshold
 expected), and nodes that agree on a drawn coordinate go on together. A bucket
-of at most ``brute`` nodes is compared by brute force on small sketches; larger
-ones are split again, and what stays large at the last level counts as linked.
+of at most ``brute`` nodes is compared by brute force on small sketches; in
+larger ones nodes are linked to leaders near them, all that is not close to a
+leader is split again, and what is left at the last level counts as linked.
 Two nodes of similarity ``threshold`` meet in one run with probability q, so
 runs are repeated until 1 - (1 - q)^runs reaches the target recall.
 
@@ -45,6 +46,8 @@ TOKENS, LEVELS, BRUTE = 64, 3, 512
 BLOCK = 512
 # Least share of agreeing 4-bit sketch places: five deviations below what the threshold gives.
 SKETCH_BITS, DEVIATIONS = 4, 5.0
+# Share of agreeing places from which a node needs no split beside its leader.
+CORE = 0.8
 
 U = np.uint64
 _MULT = np.random.default_rng(11).integers(1, 1 << 63, TOKENS, dtype=np.uint64) * U(2) + U(1)
@@ -208,9 +211,61 @@ def _local_roots(near: np.ndarray) -> np.ndarray:
         label = new
 
 
+class _Leaders:
+    """A large bucket in one pass: nodes near a leader by their sketches are linked to it.
+
+    A node that is no leader's neighbour becomes a leader (``most`` at most). A
+    node close to a leader (CORE) needs no further split: Jaccard distance is a
+    metric, so whatever is similar to it is near that leader as well. Leaders
+    and all other nodes are split again.
+    """
+
+    def __init__(self, floor: float, most: int):
+        self.floor, self.most = floor, most
+        self.nodes: list[int] = []
+        self.rows = np.zeros((0, TOKENS // 2), dtype=np.uint8)
+        self.root: list[int] = []  # leaders already connected
+
+    def _find(self, i: int) -> int:
+        while self.root[i] != i:
+            i = self.root[i]
+        return i
+
+    def take(self, node: np.ndarray, sk: np.ndarray, last: bool) -> tuple[list[tuple[int, int]], list[int]]:
+        """(links, nodes to be split again); at the last level every node is linked to the first."""
+        linked, going = [], []
+        for at in range(0, len(node), 256):
+            ids, rows = node[at:at + 256], sk[at:at + 256]
+            near = agreeing(rows[:, None, :], self.rows[None, :, :])
+            while len(self.nodes) < self.most:
+                lost = np.flatnonzero(~(near >= self.floor).any(axis=1))
+                if not len(lost):
+                    break
+                self.root.append(len(self.nodes))
+                self.nodes.append(int(ids[lost[0]]))
+                self.rows = np.concatenate([self.rows, rows[lost[:1]]])
+                near = np.concatenate([near, agreeing(rows, self.rows[-1])[:, None]], axis=1)
+            for i in range(len(ids)):
+                best = int(near[i].argmax())
+                mine = self.nodes[best]
+                if near[i, best] >= self.floor:
+                    if mine != ids[i]:
+                        linked.append((int(ids[i]), mine))
+                    for j in np.flatnonzero(near[i] >= self.floor):
+                        x, y = self._find(int(j)), self._find(best)
+                        if x != y:
+                            self.root[max(x, y)] = min(x, y)
+                            linked.append((self.nodes[x], self.nodes[y]))
+                if near[i, best] < CORE or mine == ids[i]:
+                    going.append(int(ids[i]))
+        if last:
+            return [*linked, *((x, self.nodes[0]) for x in going if x != self.nodes[0])], []
+        return linked, going
+
+
 def _brute_force(buckets: DataFrame, threshold: float, brute: int, last: bool) -> DataFrame:
-    """(a, b, path): candidate links (path null) of small buckets, members of large ones (b null)."""
-    floor = sketch_floor(threshold)
+    """(a, b, path): candidate links (path null), and nodes of large buckets to be split again (b null)."""
+    floor = sketch_floor(max(0.0, threshold - 0.1))  # also what is similar to a close neighbour
     n = shuffle_partitions(buckets.sparkSession)
 
     def links(node: np.ndarray, sk: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -229,10 +284,10 @@ def _brute_force(buckets: DataFrame, threshold: float, brute: int, last: bool) -
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, path)], names=["a", "b", "path"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_path, held_node, held_sk, root = None, [], [], None  # the open bucket; root: it is large already
+        held_path, held_node, held_sk, large = None, [], [], None  # the open bucket, and its leaders once it is large
 
         def close() -> list[tuple[int, int]]:
-            if root is None and held_node and sum(map(len, held_node)) > 1:
+            if large is None and held_node and sum(map(len, held_node)) > 1:
                 return list(links(np.concatenate(held_node), np.concatenate(held_sk)))
             return []
 
@@ -243,27 +298,22 @@ def _brute_force(buckets: DataFrame, threshold: float, brute: int, last: bool) -
             sk = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, TOKENS // 2)
             cuts = bounds(path)
             a, b, p = [], [], []
-            single = np.zeros(0, dtype=np.int64)
             for s, e in zip(cuts[:-1], cuts[1:], strict=True):
                 if path[s] != held_path:
-                    if held_node:
-                        for x, y in close():
-                            a.append(x), b.append(y), p.append(None)
-                    held_path, held_node, held_sk, root = path[s], [], [], None
-                if root is None:
-                    held_node.append(node[s:e])
-                    held_sk.append(sk[s:e])
-                    if sum(map(len, held_node)) > brute:
-                        members = np.concatenate(held_node)
-                        held_node, held_sk, root = [members[:1]], [], int(members[0])
-                        more = members
-                    else:
-                        continue
-                else:
-                    more = node[s:e]
-                a += more.tolist()
-                b += [root if last else None] * len(more)
-                p += [None if last else int(path[s])] * len(more)
+                    for x, y in close():
+                        a.append(x), b.append(y), p.append(None)
+                    held_path, held_node, held_sk, large = path[s], [], [], None
+                held_node.append(node[s:e])
+                held_sk.append(sk[s:e])
+                if large is None and sum(map(len, held_node)) > brute:
+                    large = _Leaders(floor, brute)
+                if large is not None:
+                    joined, open_nodes = large.take(np.concatenate(held_node), np.concatenate(held_sk), last)
+                    held_node, held_sk = [], []
+                    for x, y in joined:
+                        a.append(x), b.append(y), p.append(None)
+                    for x in open_nodes:
+                        a.append(x), b.append(None), p.append(int(path[s]))
             if a:
                 yield out(a, b, p)
         rest = close()
