@@ -36,56 +36,96 @@ MAX_DOCS = 2048
 MAX_COST = MAX_TOKENS * MAX_TOKENS
 WEIGHTS = (1.0, 0.02, 0.02)
 GROUP_PIECES = 16_384
-CACHE_CHUNKS = 1_000_000
+CACHE_WORDS = 1_500_000
+# Characters of text that are tokenized together.
+SLICE_CHARS = 2 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class ChunkTokenizer:
-    """Token ids of a text as little-endian uint32 bytes, through a cache of blank-separated chunks.
+    """Token ids of texts as little-endian uint32 bytes, through a cache of blank-separated words.
 
     The vocabulary's rules never join characters across white space, and a
-    sentence mark after a letter is a token run of its own, so ids of chunks
-    concatenate to the ids of the text. Texts holding a special-token opener go
-    to the tokenizer whole.
+    sentence mark after a letter is a token run of its own, so ids of words
+    concatenate to the ids of the text. Words of letters that are new are
+    encoded together: each of them ends with one end-of-word token, where the
+    ids are cut again. Texts holding a special-token opener go to the tokenizer
+    whole.
     """
 
-    def __init__(self, path: str, limit: int = CACHE_CHUNKS):
+    MARKS = ".,!"
+
+    def __init__(self, path: str, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.limit = limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.cache: dict[str, bytes] = {"": b""} | {m: self._encode(m) for m in self.MARKS}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if len(chunk) > 1 and chunk[-1] in ".,!" and chunk[-2].isalpha():
-            head = self.cache.get(chunk[:-1])
-            if head is None:
-                head = self.cache[chunk[:-1]] = self._encode(chunk[:-1])
-            mark = self.cache.get(chunk[-1])
-            if mark is None:
-                mark = self.cache[chunk[-1]] = self._encode(chunk[-1])
-            ids = head + mark
-        else:
-            ids = self._encode(chunk)
-        if len(chunk) <= 64:
-            self.cache[chunk] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        if "<|" in text:
-            return self._encode(text)
-        chunks = (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
-        get = self.cache.get
-        out = [get(c) for c in chunks]
-        if None in out:
-            out = [self._chunk(c) if x is None else x for x, c in zip(out, chunks, strict=True)]
-            if len(self.cache) > self.limit:
-                self.cache = {"": b""}
-        return b"".join(out)
+    def _stem(self, chunk: str) -> tuple[str, str]:
+        """(word, sentence mark behind it or nothing); ASCII words in lower case, as the vocabulary has them."""
+        mark = chunk[-1] if len(chunk) > 1 and chunk[-1] in self.MARKS and chunk[-2].isalpha() else ""
+        word = chunk[:-1] if mark else chunk
+        return (word.lower() if word.isascii() else word), mark
+
+    def _learn(self, words: set[str]) -> None:
+        plain = [w for w in words if w.isalpha()]
+        if plain:
+            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(plain) and stops[-1] == len(ids):
+                data, at = ids.tobytes(), 0
+                for w, stop in zip(plain, (4 * stops).tolist(), strict=True):
+                    self.cache[w] = data[at:stop]
+                    at = stop
+        for w in words:
+            if w not in self.cache:
+                self.cache[w] = self._encode(w)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.cache) > self.limit:
+            self._clear()
+        split = [None if "<|" in t else (t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts]
+        cache, stem = self.cache, self._stem
+        odd = {c: stem(c) for c in {c for chunks in split if chunks for c in chunks} if c not in cache}
+        self._learn({w for w, _ in odd.values() if w not in cache})
+        own = {c: cache[w] + cache[mark] for c, (w, mark) in odd.items()}
+        get, spare = cache.get, own.get
+        return [self._encode(t) if chunks is None else b"".join([spare(c) if (x := get(c)) is None else x for c in chunks])
+                for t, chunks in zip(texts, split, strict=True)]
+
+
+_TOKENIZERS: dict[str, ChunkTokenizer] = {}  # a worker keeps its cache from task to task
+
+
+def chunk_tokenizer(vocabulary: str) -> ChunkTokenizer:
+    import public_tokenizers
+
+    if vocabulary not in _TOKENIZERS:
+        _TOKENIZERS[vocabulary] = ChunkTokenizer(public_tokenizers.path(vocabulary))
+    return _TOKENIZERS[vocabulary]
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Rows in runs of about SLICE_CHARS of text (one row at least), null as empty."""
+    for b in batches:
+        texts = [t or "" for t in b.column(text).to_pylist()]
+        at = held = 0
+        for i, t in enumerate(texts):
+            held += len(t)
+            if held >= SLICE_CHARS or i == len(texts) - 1:
+                yield b.slice(at, i + 1 - at), texts[at:i + 1]
+                at, held = i + 1, 0
 
 
 def token_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", doc_id: str = "doc_id", text: str = "text",
@@ -94,15 +134,13 @@ def token_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", doc_id:
     need(docs, doc_id, text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import public_tokenizers
-
-        tokenizer = ChunkTokenizer(public_tokenizers.path(vocabulary))
+        tokenizer = chunk_tokenizer(vocabulary)
         end = np.array([end_id], dtype="<u4").tobytes()
         width = 4 * max_tokens
-        for b in batches:
+        for b, texts in slices(batches, 1):
             rows: list[tuple] = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = tokenizer.encode(t or "") + end
+            for i, ids in zip(b.column(0).to_pylist(), tokenizer.encode(texts), strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at:at + width]
                     rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part), part))
