@@ -96,13 +96,24 @@ class ChunkTokenizer:
         if len(self.cache) > self.limit:
             self._clear()
         split = [None if "<|" in t else (t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts]
-        cache, stem = self.cache, self._stem
-        odd = {c: stem(c) for c in {c for chunks in split if chunks for c in chunks} if c not in cache}
-        self._learn({w for w, _ in odd.values() if w not in cache})
-        own = {c: cache[w] + cache[mark] for c, (w, mark) in odd.items()}
-        get, spare = cache.get, own.get
-        return [self._encode(t) if chunks is None else b"".join([spare(c) if (x := get(c)) is None else x for c in chunks])
-                for t, chunks in zip(texts, split, strict=True)]
+        cache, odd = self.cache, set()
+        found = []
+        for chunks in split:
+            ids = list(map(cache.get, chunks or ()))
+            found.append(ids)
+            if None in ids:
+                odd.update([c for c, x in zip(chunks, ids, strict=True) if x is None])
+        stems = {c: self._stem(c) for c in odd}
+        self._learn({w for w, _ in stems.values() if w not in cache})
+        own = {c: cache[w] + cache[mark] for c, (w, mark) in stems.items()}
+        out = []
+        for text, chunks, ids in zip(texts, split, found, strict=True):
+            if chunks is None:
+                ids = [self._encode(text)]
+            elif None in ids:
+                ids = [own[c] if x is None else x for c, x in zip(chunks, ids, strict=True)]
+            out.append(b"".join(ids))
+        return out
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}  # a worker keeps its cache from task to task
