@@ -93,3 +93,34 @@ def test_stale_gauge_survives_restart(spark, split_dir, tmp_path):
     want = QUERIES["t2_stale_gauge_stream"](spark, SMALL)
     cols = ["uid", "event_id", "stale", "first_round", "rounds"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_stale_gauge_keeps_no_state_without_a_poll():
+    """A uid whose first batch holds only null losses; then polls split over batches equal one batch."""
+    import pandas as pd
+    from quarry.streaming.stateful import _stale_gauge
+
+    class State:
+        exists, kept = False, None
+
+        def update(self, x):
+            assert x is not None and None not in x
+            self.exists, self.kept = True, x
+
+        @property
+        def get(self):
+            return self.kept
+
+    vals = [None, None, 1.0, 1.0, 1.0, None, 1.0, 2.0, 2.0, 1.0, float("nan"), float("nan"), float("nan"), -0.0, 0.0]
+    rounds = [1, 1, 1, 2, 3, 3, 3, 4, 4, 4, 5, 6, 7, 7, None]
+    rows = pd.DataFrame({"ts": range(15), "event_id": range(15), "val_loss": vals, "round_id": rounds, "vnull": [v is None for v in vals]})
+
+    def played(cuts):
+        state, out = State(), []
+        for a, b in zip([0, *cuts], [*cuts, 15], strict=True):
+            out += list(_stale_gauge((7,), iter([rows.iloc[a:b]]), state))
+        return pd.concat(out).fillna(-1).astype(str).values.tolist()
+
+    whole = played([])
+    assert [r[4] for r in whole[2:7]] == ["0", "0", "1", "-1", "1"] and [r[2] for r in whole[2:5]] == ["False", "True", "True"]
+    assert all(played(c) == whole for c in ([1], [2], [3], [4, 6], [3, 5, 8, 11], list(range(1, 15))))
