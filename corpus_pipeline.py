@@ -35,9 +35,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every class of near duplicates."""
-    docs = docs.select(*COLUMNS)
-    others = ngram_join.near_duplicates(docs).filter("not keeper").select(F.col("row").alias("_q_row"))
-    numbered = docs.withColumn("_q_row", F.monotonically_increasing_id())
+    # written with their numbers: a second reading may be cut into other tasks, and so be numbered otherwise
+    folder = f"{ensure_checkpoint_dir(spark)}/numbered-{uuid.uuid4().hex}"
+    docs.select(*COLUMNS).withColumn("_q_row", F.monotonically_increasing_id()).write.parquet(folder)
+    numbered = spark.read.parquet(folder)
+    others = ngram_join.near_duplicates(numbered, row="_q_row").filter("not keeper").select(F.col("row").alias("_q_row"))
     return numbered.join(sent_if_small(others), "_q_row", "left_anti").select(*COLUMNS)
 
 

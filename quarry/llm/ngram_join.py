@@ -23,7 +23,9 @@ is one shingle; null and blank texts have none and stand alone without links;
 rows (copies included) with similarity >= threshold; of each class exactly one
 row, the first by (doc_id, row), has ``keeper``; rows that repeat an id count as
 rows of their own; texts are used whole; an empty table gives no rows. The
-input is read twice and must give the same rows both times, as files do.
+input is read twice and must give the same rows both times, as files do; without
+a column named by ``row`` the rows are numbered at the first reading, and
+those numbers hold for the result only, not for another reading of the input.
 """
 
 from __future__ import annotations
@@ -127,7 +129,9 @@ SIGS = "doc_id long, n long, k1 long, k2 long, sig binary"
 
 
 def signatures(docs: DataFrame, n_words: int) -> DataFrame:
-    """(row, doc_id, n, k1, k2, sig) of every document; pinned, so row numbers stay."""
+    """(row, doc_id, n, k1, k2, sig) of every document (doc_id, text and perhaps row); pinned, so row numbers stay."""
+    numbered = "row" in docs.columns
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for b in batches:
@@ -138,10 +142,12 @@ def signatures(docs: DataFrame, n_words: int) -> DataFrame:
             if len(words) > 1_000_000:
                 words = _Words()
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True))],
-                                             names=["doc_id", "n", "k1", "k2", "sig"])
+            made = [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
+            given = [b.column(2)] if numbered else []
+            yield pa.RecordBatch.from_arrays([b.column(0), *made, *given], names=["doc_id", "n", "k1", "k2", "sig", "row"][:5 + len(given)])
 
-    return pinned(docs.mapInArrow(sign, SIGS).withColumn("row", F.monotonically_increasing_id()))
+    sigs = docs.mapInArrow(sign, SIGS + (", row long" if numbered else ""))
+    return pinned(sigs if numbered else sigs.withColumn("row", F.monotonically_increasing_id()))
 
 
 def _paths(paths: np.ndarray, sig: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -430,10 +436,11 @@ def _exact(sets: DataFrame, sizes: DataFrame, threshold: float, block: int) -> D
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                     n_words: int = N_WORDS, recall: float = RECALL, levels: int = LEVELS, brute: int = BRUTE,
-                    block: int = BLOCK) -> DataFrame:
-    """(row, doc_id, class_id, n_links, keeper); ``row`` numbers the input's rows in reading order."""
-    need(docs, doc_id, text)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+                    block: int = BLOCK, row: str | None = None) -> DataFrame:
+    """(row, doc_id, class_id, n_links, keeper); ``row`` names a column of distinct numbers, else rows are numbered as read."""
+    need(docs, doc_id, text, *([row] if row else []))
+    given = [F.col(row).cast("long").alias("row")] if row else []
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *given)
     sigs = signatures(docs, n_words)
     key = ["k1", "k2", "n"]
     nodes = pinned(sigs.filter("n > 0").groupBy(*key).agg(
