@@ -1,8 +1,4 @@
-"""Numeric expressions: exact means, clamps, schedules.
-
-Double sums depend on summation order, which changes with partitioning;
-``exact_mean`` sums in DECIMAL so the result is the same on 8 or 8,000 tasks.
-"""
+"""Numeric expressions: finite tests, clamps, schedules."""
 
 from __future__ import annotations
 
@@ -11,23 +7,11 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(30,10)"
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(c) -> Column:
-    """Order-independent sum of a double column (DECIMAL accumulation)."""
-    return F.sum(_col(c).cast(EXACT)).cast("double")
-
-
-def exact_mean(c) -> Column:
-    """Order-independent mean: exact DECIMAL sum divided by the count of non-NULLs."""
-    return exact_sum(c) / F.count(_col(c))
-
-
 def clamp(x: Column, lo, hi) -> Column:
     return F.least(F.greatest(x, F.lit(lo)), F.lit(hi))
 

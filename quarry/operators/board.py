@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.numeric import exact_mean
 from quarry.operators.ordering import first_n, sequence_within
 
 # Fixed values used by the scoring rules.
@@ -238,7 +237,7 @@ def consistency(m: DataFrame, by: str = "cycle") -> DataFrame:
     s = scored(m)
     med = s.groupBy(by).agg(F.median("val_loss").alias("_med"))
     d = s.join(med, by).withColumn("_dev", F.col("val_loss") - F.col("_med"))
-    return d.groupBy("uid").agg(F.stddev_pop("_dev").alias("dev_stdev"), exact_mean("val_loss").alias("mean_loss"),
+    return d.groupBy("uid").agg(F.stddev_pop("_dev").alias("dev_stdev"), F.avg("val_loss").alias("mean_loss"),
                                 F.min("val_loss").alias("best_loss"), F.count(F.lit(1)).alias("rounds"))
 
 

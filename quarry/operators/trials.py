@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import seeded_int
-from quarry.functions.numeric import clamp, exact_mean
+from quarry.functions.numeric import clamp
 from quarry.operators.ordering import sequence_within
 from quarry.operators.scan import Running
 
@@ -84,13 +84,13 @@ def next_trial(trials: DataFrame, next_cycle: Column, target: float = TARGET_DRI
 
     Drift control first when it yields a value; otherwise no scored trial ->
     the start value; fewer than 12 scored -> grid sweep cell ``n + uid``;
-    else exploit the best trial's nearest log-grid cell with a jitter, or
-    explore a random cell with probability 0.2. The random branches are driven
+    else exploit the best trial's nearest log-grid cell with a jitter (its warm-up
+    and floor kept), or explore a random cell with probability 0.2. The random branches are driven
     by a seeded sha256 of (uid, cycle) instead of a process RNG.
     """
     scored = trials.filter(F.col("val_loss").isNotNull())
     s = scored.groupBy("uid").agg(F.count(F.lit(1)).alias("n_scored"),
-                                  F.min(F.struct("val_loss", "cycle", "peak_lr")).alias("_best"))
+                                  F.min(F.struct("val_loss", "cycle", "peak_lr", "warmup", "min_frac")).alias("_best"))
     uids = trials.select("uid").distinct()
     d = latest_drift(trials).select("uid", "lr", "drift")
     b = uids.join(s, "uid", "left").join(d, "uid", "left").withColumn("next_cycle", next_cycle)
@@ -111,11 +111,11 @@ def next_trial(trials: DataFrame, next_cycle: Column, target: float = TARGET_DRI
     warm = (F.when(src == "drift", F.lit(DRIFT_DEFAULTS[0])).when(src == "start", F.lit(START[1]))
             .when(src == "sweep", at(WARMUP_GRID, F.pmod(F.floor(i / len(LR_GRID)), F.lit(len(WARMUP_GRID)))))
             .when(src == "explore", at(WARMUP_GRID, F.pmod(h("warmup"), F.lit(len(WARMUP_GRID)))))
-            .otherwise(F.lit(START[1])))
+            .otherwise(F.col("_best.warmup")))
     mfr = (F.when(src == "drift", F.lit(DRIFT_DEFAULTS[1])).when(src == "start", F.lit(START[2]))
            .when(src == "sweep", at(MIN_LR_FRAC_GRID, F.pmod(i, F.lit(len(MIN_LR_FRAC_GRID)))))
            .when(src == "explore", at(MIN_LR_FRAC_GRID, F.pmod(h("min_frac"), F.lit(len(MIN_LR_FRAC_GRID)))))
-           .otherwise(F.lit(START[2])))
+           .otherwise(F.col("_best.min_frac")))
     return b.select("uid", "next_cycle", n.alias("n_scored"), src.alias("source"), lr.alias("peak_lr"),
                     warm.alias("warmup"), mfr.alias("min_frac"))
 
@@ -196,7 +196,7 @@ def setting_effect(records: DataFrame, fields: Sequence[str], loss: str = "valid
         F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])).alias("s"))
     g = (stacked.filter(F.col("s.value").isNotNull())
          .groupBy(F.col("s.field").alias("field"), F.col("s.value").alias("value"))
-         .agg(exact_mean(loss).alias("mean_loss"), F.count(F.lit(1)).alias("n")))
+         .agg(F.avg(loss).alias("mean_loss"), F.count(F.lit(1)).alias("n")))
     return g.withColumn("_vals", F.count(F.lit(1)).over(Window.partitionBy("field"))).filter(F.col("_vals") >= 2).drop("_vals")
 
 
@@ -213,7 +213,7 @@ def local_gap(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A5: mean of (validator - local eval) over records that have both."""
     r = records.filter(F.col("validator_val_loss").isNotNull() & F.col("local_eval").isNotNull())
     r = r.withColumn("gap", F.col("validator_val_loss") - F.col("local_eval"))
-    return r.groupBy(*by).agg(exact_mean("gap").alias("mean_gap"), F.count(F.lit(1)).alias("n"))
+    return r.groupBy(*by).agg(F.avg("gap").alias("mean_gap"), F.count(F.lit(1)).alias("n"))
 
 
 def shard_loss(batches: DataFrame) -> DataFrame:
@@ -221,12 +221,12 @@ def shard_loss(batches: DataFrame) -> DataFrame:
     from quarry.functions.numeric import finite
 
     f = batches.filter(finite("loss"))
-    return f.groupBy("shard").agg(exact_mean("loss").alias("mean"), F.count(F.lit(1)).alias("n_batches"))
+    return f.groupBy("shard").agg(F.avg("loss").alias("mean"), F.count(F.lit(1)).alias("n_batches"))
 
 
 def shard_loss_summary(per_shard: DataFrame) -> DataFrame:
     """A6 across shards: mean, median, spread, population stdev."""
-    return per_shard.agg(F.count(F.lit(1)).alias("shards"), exact_mean("mean").alias("mean"),
+    return per_shard.agg(F.count(F.lit(1)).alias("shards"), F.avg("mean").alias("mean"),
                          F.median("mean").alias("median"), (F.max("mean") - F.min("mean")).alias("spread"),
                          F.stddev_pop("mean").alias("stdev"))
 
@@ -235,8 +235,8 @@ def ab_verdict(points: DataFrame, threshold: float = 0.01) -> DataFrame:
     """Per arm pre/post/improvement; gap = post(arm 0) - post(arm 1); the
     verdict says whether precision is the cause; a missing arm forces arm 0."""
     g = points.groupBy("arm").agg(
-        exact_mean(F.when(F.col("phase") == "pre", F.col("loss"))).alias("pre"),
-        exact_mean(F.when(F.col("phase") == "post", F.col("loss"))).alias("post"))
+        F.avg(F.when(F.col("phase") == "pre", F.col("loss"))).alias("pre"),
+        F.avg(F.when(F.col("phase") == "post", F.col("loss"))).alias("post"))
     g = g.withColumn("improvement", F.col("pre") - F.col("post"))
     every = Window.partitionBy()
     arms = F.count(F.lit(1)).over(every)

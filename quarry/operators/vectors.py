@@ -123,21 +123,22 @@ def pair_cosine(wb: DataFrame, a: int, b: int, key: str = "k") -> DataFrame:
 
 
 def distance(wb: DataFrame, tensor: str = "name") -> DataFrame:
-    """V5-V7: per party vs base over shared keys: identical tensors, shape
-    mismatches (excluded from sums), relative L2, cosine of raw weights and the
-    largest per-tensor relative change (first tensor name on ties)."""
-    ok = wb.filter("shape_ok")
-    per_t = ok.groupBy("party", tensor).agg(
-        F.sum(dot(F.col("delta"), F.col("delta"))).alias("sq"), F.sum(dot(F.col("base"), F.col("base"))).alias("rn"),
-        F.sum(dot(F.col("base"), F.col("vals"))).alias("ab"), F.sum(dot(F.col("vals"), F.col("vals"))).alias("bb"),
+    """V5-V7: per party vs base over shared keys: identical tensors, tensors with a
+    shape mismatch in any chunk (left out whole), relative L2, cosine of raw weights
+    and the largest per-tensor relative change (first tensor name on ties)."""
+    part = lambda x, y: F.sum(F.when(F.col("shape_ok"), dot(F.col(x), F.col(y))))
+    every = wb.groupBy("party", tensor).agg(
+        F.bool_and("shape_ok").alias("_ok"), part("delta", "delta").alias("sq"), part("base", "base").alias("rn"),
+        part("base", "vals").alias("ab"), part("vals", "vals").alias("bb"),
         F.bool_and(F.col("vals") == F.col("base")).alias("same"))
+    per_t = every.filter("_ok")
     per_t = per_t.withColumn("rel", F.when(F.col("rn") > 0, F.sqrt(F.col("sq") / F.col("rn"))).otherwise(F.lit(0.0)))
     top = first_n(per_t, ["party"], [F.col("rel").desc(), F.col(tensor)], 1).select(
         "party", F.col("rel").alias("max_rel"), F.col(tensor).alias("max_rel_tensor"))
     tot = per_t.groupBy("party").agg(
         F.count(F.when(F.col("same"), 1)).alias("identical"), F.count(F.lit(1)).alias("tensors"),
         F.sum("sq").alias("sq"), F.sum("rn").alias("rn"), F.sum("ab").alias("ab"), F.sum("bb").alias("bb"))
-    mism = wb.groupBy("party").agg(F.count(F.when(~F.col("shape_ok"), 1)).alias("shape_mismatch"))
+    mism = every.groupBy("party").agg(F.count(F.when(~F.col("_ok"), 1)).alias("shape_mismatch"))
     nan = F.lit(float("nan"))
     return (tot.join(mism, "party").join(top, "party", "left")
             .select("party", "tensors", "identical", "shape_mismatch",

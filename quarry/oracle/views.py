@@ -42,7 +42,8 @@ FROM embeddings WHERE NOT (vec_id % 4 = 3 AND CAST(floor(vec_id/4) AS BIGINT) %
     "trials": """SELECT o_custkey % 50 AS uid, row_number() OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderkey) AS cycle,
        CAST(1 + o_orderkey % 10 AS DOUBLE)/100000 AS peak_lr,
        CASE WHEN o_orderstatus='P' THEN NULL ELSE o_totalprice/100000 END AS val_loss,
-       CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey % 300 AS DOUBLE)/10000 END AS drift
+       CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey % 300 AS DOUBLE)/10000 END AS drift,
+       CAST(1 + o_orderkey % 3 AS DOUBLE)/100 AS warmup, CAST(1 + o_orderkey % 2 AS DOUBLE)/50 AS min_frac
 FROM orders""",
     "cand": """SELECT s_suppkey AS uid, s_suppkey % 4 AS ver, substr(md5(CAST(s_suppkey AS STRING)),1,7) AS rev,
        CASE WHEN s_nationkey % 4 = 0 THEN NULL ELSE s_nationkey % 4 END AS grp,

@@ -26,16 +26,22 @@ SPECS = [  # (table, text column, pinned revision)
 
 
 @register("s1_read_jsonl_gz", """
-SELECT length(text) AS n_chars FROM documents UNION ALL SELECT 0 FROM documents WHERE doc_id % 50 = 0""")
+WITH l AS (SELECT doc_id, 0 AS k, coalesce(length(text), 0) AS n_chars FROM documents
+           UNION ALL SELECT doc_id, k, 0 FROM documents, (VALUES (1), (2)) b(k) WHERE doc_id % 50 = 0),
+n AS (SELECT CAST(doc_id % 16 AS INT) AS part, row_number() OVER (PARTITION BY doc_id % 16 ORDER BY doc_id, k) - 1 AS pos, k, n_chars FROM l)
+SELECT part, pos, n_chars FROM n WHERE k <> 1""")
 def s1_read_jsonl_gz(spark, sf):
-    d = load(spark, sf, "documents")
+    """The documents as 16 gzip files with broken and textless lines among them, read back with their line numbers."""
+    d = load(spark, sf, "documents").select("doc_id", "text")
     bad = d.filter(F.col("doc_id") % 50 == 0)
-    lines = (d.select(F.to_json(F.struct("text")).alias("value"))
-             .unionByName(bad.select(F.lit("{broken").alias("value")))
-             .unionByName(bad.select(F.lit('{"other": 1}').alias("value"))))
+    lines = (d.select("doc_id", F.lit(0).alias("k"), F.to_json(F.struct("text")).alias("value"))
+             .unionByName(bad.select("doc_id", F.lit(1).alias("k"), F.lit("{broken").alias("value")))
+             .unionByName(bad.select("doc_id", F.lit(2).alias("k"), F.lit('{"other": 1}').alias("value"))))
     path = scratch_path(spark, f"jsonl-{uuid.uuid4().hex[:10]}")
-    lines.write.option("compression", "gzip").text(path)
-    return read_jsonl(spark, path).select(F.length("text").cast("long").alias("n_chars"))
+    (lines.withColumn("part", F.col("doc_id") % 16).repartition("part").sortWithinPartitions("part", "doc_id", "k")
+     .select("part", "value").write.option("compression", "gzip").partitionBy("part").text(path))
+    part = F.regexp_extract("file", r"/part=(\d+)/", 1).cast("int")
+    return read_jsonl(spark, path).select(part.alias("part"), "pos", F.length("text").cast("long").alias("n_chars"))
 
 
 _SRC_SQL = " UNION ALL ".join(
@@ -131,10 +137,9 @@ SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[ \t\n\r]+'), lambda
            lambda t: CAST(CAST(('0x' || substr(md5(t), 1, 8)) AS BIGINT) AS VARCHAR)), ',')) AS ids_md5
 FROM documents""")
 def p1_tokenizer_hook(spark, sf):
-    """The hook resolved from a ``module:Class`` name (a pandas UDF); the built-in
-    class reproduces the JVM default tokenizer exactly."""
-    d = load(spark, sf, "documents").select("doc_id", "text")
-    t = token_ids(d, tokenizer="quarry.functions.tokenize:WhitespaceMd5")
+    """The default tokenizer, which stays in the JVM; a ``module:Class`` name would
+    put another in its place (a pandas UDF)."""
+    t = token_ids(load(spark, sf, "documents").select("doc_id", "text"))
     return t.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                     F.md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")).alias("ids_md5"))
 
@@ -323,13 +328,15 @@ TAIL_SINCE = "2024-01-28 06:00:00"
 
 @register("s7_log_tail", r"""
 WITH pl AS (SELECT uid, pos, kind, regexp_replace(line, '\x1b\[[0-9;]*m', '', 'g') AS clean FROM logs),
-p AS (SELECT uid, pos, kind, try_strptime(left(clean, 19), '%Y-%m-%d %H:%M:%S') AS ts FROM pl)
-SELECT uid, pos, kind, ts FROM p WHERE ts >= TIMESTAMP '""" + TAIL_SINCE + """'""")
+p AS (SELECT *, try_strptime(left(clean, 19), '%Y-%m-%d %H:%M:%S') AS ts FROM pl),
+f AS (SELECT *, last_value(ts IGNORE NULLS) OVER (PARTITION BY uid, kind ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ts_filled FROM p)
+SELECT uid, pos, kind, ts, clean FROM f WHERE ts_filled >= TIMESTAMP '""" + TAIL_SINCE + """'""")
 def s7_log_tail(spark, sf):
-    """Parsed log lines appended under day folders, then read back from a time
-    onwards with partition pruning on the day."""
+    """Log lines appended under day folders, continuation lines with the line they
+    follow, then read back from a time onwards with partition pruning on the day."""
+    from quarry.operators.logs import stamped_lines
     from quarry.sources.files import append_log_lines, read_log_tail
 
     path = scratch_path(spark, f"logdays-{uuid.uuid4().hex[:10]}")
-    append_log_lines(parsed(spark, sf).select("uid", "pos", "kind", "ts"), path)
-    return read_log_tail(spark, path, TAIL_SINCE).select("uid", "pos", "kind", "ts")
+    append_log_lines(stamped_lines(parsed(spark, sf).select("uid", "pos", "kind", "ts", "clean")), path, ts="ts_filled")
+    return read_log_tail(spark, path, TAIL_SINCE, ts="ts_filled").select("uid", "pos", "kind", "ts", "clean")

@@ -154,21 +154,27 @@ def j9_signature_hits(spark, sf):
 @register("j14_settings_drift", rf"""WITH {PARSED_SQL},
 obs AS (SELECT uid, arg_max(regexp_extract(clean, 'rank=(\d+)', 1), pos) AS rank FROM parsed
         WHERE regexp_extract(clean, 'rank=(\d+)', 1) <> '' GROUP BY uid),
-seen AS (SELECT uid, bool_or(contains(clean, 'peak_lr=')) AS group_seen FROM parsed GROUP BY uid),
-exp AS (SELECT DISTINCT uid, CAST(uid % 4 AS INT) AS want_rank FROM parsed),
-j AS (SELECT e.uid, e.want_rank, o.rank, coalesce(s.group_seen, false) AS gs FROM exp e LEFT JOIN obs o USING (uid)
-      LEFT JOIN seen s USING (uid))
-SELECT uid, want_rank, rank,
-       CASE WHEN NOT gs THEN NULL WHEN rank IS NULL THEN 'CRIT' WHEN rank IS DISTINCT FROM CAST(want_rank AS VARCHAR) THEN 'CRIT' END AS severity,
-       CASE WHEN NOT gs THEN NULL WHEN rank IS NULL THEN 'no rank override seen -- fell back to stock rank'
+grp AS (SELECT uid, arg_max(regexp_extract(clean, 'peak_lr=(\S+)', 1), pos) AS grp FROM parsed
+        WHERE regexp_extract(clean, 'peak_lr=(\S+)', 1) <> '' GROUP BY uid),
+exp AS (SELECT DISTINCT uid, CAST(uid % 4 AS INT) AS want_rank,
+               CASE uid % 3 WHEN 0 THEN '3e-05' WHEN 1 THEN '5e-05' ELSE '0.0001' END AS want_group FROM parsed),
+j AS (SELECT e.uid, e.want_group, g.grp, e.want_rank, o.rank FROM exp e LEFT JOIN obs o USING (uid) LEFT JOIN grp g USING (uid))
+SELECT uid, want_group, grp, CASE WHEN grp <> want_group THEN 'CRIT' END AS group_severity,
+       CASE WHEN grp <> want_group THEN concat('group is ', grp, ', expected ', want_group) END AS group_message, want_rank, rank,
+       CASE WHEN grp IS NULL THEN NULL WHEN rank IS NULL THEN 'CRIT' WHEN rank IS DISTINCT FROM CAST(want_rank AS VARCHAR) THEN 'CRIT' END AS severity,
+       CASE WHEN grp IS NULL THEN NULL WHEN rank IS NULL THEN 'no rank override seen -- fell back to stock rank'
             WHEN rank IS DISTINCT FROM CAST(want_rank AS VARCHAR) THEN concat('data rank is ', rank, ', expected ', CAST(want_rank AS VARCHAR)) END AS message
 FROM j""")
 def j14_settings_drift(spark, sf):
+    """The learning-rate marker of the fixture's lines stands for the group name."""
     p = parsed(spark, sf)
-    rank = L.last_values(p, {"rank": W12_PATTERNS["rank"]}).select("uid", "value").withColumnRenamed("value", "rank")
-    seen = p.groupBy("uid").agg(F.bool_or(F.col("clean").contains("peak_lr=")).alias("group_seen"))
-    observed = rank.join(seen, "uid", "full")
-    expected = p.select("uid").distinct().withColumn("want_rank", (F.col("uid") % 4).cast("int"))
+    seen = L.last_values(p, {"rank": W12_PATTERNS["rank"], "grp": r"peak_lr=(\S+)"})
+    observed = seen.groupBy("uid").agg(F.max(F.when(F.col("key") == "rank", F.col("value"))).alias("rank"),
+                                       F.max(F.when(F.col("key") == "grp", F.col("value"))).alias("grp"))
+    uid = F.col("uid")
+    expected = p.select("uid").distinct().select(
+        "uid", (uid % 4).cast("int").alias("want_rank"),
+        F.when(uid % 3 == 0, "3e-05").when(uid % 3 == 1, "5e-05").otherwise("0.0001").alias("want_group"))
     return L.settings_drift(observed, expected)
 
 
@@ -221,16 +227,15 @@ def u4_union_kinds(spark, sf):
 @register("a20_repo_history", """
 WITH c AS (SELECT repo, count(*) AS n_commits, count(DISTINCT owner) AS n_owners FROM commits GROUP BY repo),
 p AS (SELECT repo, count(*) AS n_publishes FROM pubs GROUP BY repo),
-e AS (SELECT uid % 20 AS repo, CAST(sum(CAST(incentive AS DECIMAL(30,10))) AS DOUBLE) AS earned FROM board WHERE incentive > 0 GROUP BY 1)
+e AS (SELECT uid % 20 AS repo, sum(incentive) AS earned FROM board WHERE incentive > 0 GROUP BY 1)
 SELECT c.repo, c.n_commits, c.n_owners, coalesce(p.n_publishes, 0) AS n_publishes, coalesce(e.earned, 0.0) AS earned
 FROM c LEFT JOIN p USING (repo) LEFT JOIN e USING (repo)""")
 def a20_repo_history(spark, sf):
     c = V.commits(spark, sf).groupBy("repo").agg(F.count(F.lit(1)).alias("n_commits"),
                                                   F.countDistinct("owner").alias("n_owners"))
     p = V.pubs(spark, sf).groupBy("repo").agg(F.count(F.lit(1)).alias("n_publishes"))
-    from quarry.functions.numeric import exact_sum
     e = (V.board(spark, sf).filter(F.col("incentive") > 0)
-         .groupBy((F.col("uid") % 20).alias("repo")).agg(exact_sum("incentive").alias("earned")))
+         .groupBy((F.col("uid") % 20).alias("repo")).agg(F.sum("incentive").alias("earned")))
     return (c.join(p, "repo", "left").join(e, "repo", "left")
              .select("repo", "n_commits", "n_owners", F.coalesce("n_publishes", F.lit(0)).alias("n_publishes"),
                      F.coalesce("earned", F.lit(0.0)).alias("earned")))

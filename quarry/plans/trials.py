@@ -18,8 +18,9 @@ from quarry.sources import fixtures as V
 from quarry.sources.snapshots import read_eval_curves, read_settings
 
 
-def _mean_sql(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(30,10))) AS DOUBLE) / count({x})"
+def _rounded(df, *cols: str):
+    """Reported means to 9 places: the last bit of a sum depends on the order of rows."""
+    return df.withColumns({c: F.round(c, 9) for c in cols})
 
 
 def _hash_sql(tag: str, *parts: str) -> str:
@@ -41,7 +42,7 @@ def s15_upsert_trials(spark, sf):
     """Whole table in every role: the existing table (even cycles unscored),
     start rows shifted 3 cycles (overlaps ignored, the last 3 per uid inserted)
     and result updates shifted 5 cycles (the last 2 per uid hit missing keys)."""
-    t = V.trials(spark, sf)
+    t = V.trials(spark, sf).select("uid", "cycle", "peak_lr", "val_loss", "drift")
     table = t.withColumn("val_loss", F.when(F.col("cycle") % 2 == 0, F.lit(None).cast("double"))
                          .otherwise(F.col("val_loss")))
     starts = t.select("uid", (F.col("cycle") + 3).alias("cycle"), (F.col("peak_lr") * 2).alias("peak_lr"),
@@ -77,10 +78,11 @@ def _grid_values(name: str, values) -> str:
 
 _X14_SQL = f"""
 {_grid_values('lrg', T.LR_GRID)}, {_grid_values('wg', T.WARMUP_GRID)}, {_grid_values('mg', T.MIN_LR_FRAC_GRID)},
-sc AS (SELECT uid, count(*) AS n_scored, arg_min(peak_lr, (val_loss, cycle)) AS best_lr FROM trials
+sc AS (SELECT uid, count(*) AS n_scored, arg_min(peak_lr, (val_loss, cycle)) AS best_lr,
+              arg_min(warmup, (val_loss, cycle)) AS best_warm, arg_min(min_frac, (val_loss, cycle)) AS best_floor FROM trials
        WHERE val_loss IS NOT NULL GROUP BY uid),
 u AS (SELECT DISTINCT uid FROM trials),
-b AS (SELECT u.uid, 1000 AS next_cycle, coalesce(sc.n_scored, 0) AS n, sc.best_lr FROM u LEFT JOIN sc USING (uid)),
+b AS (SELECT u.uid, 1000 AS next_cycle, coalesce(sc.n_scored, 0) AS n, sc.best_lr, sc.best_warm, sc.best_floor FROM u LEFT JOIN sc USING (uid)),
 near AS (SELECT uid, arg_min(k, (abs(ln(v) - ln(best_lr)), k)) AS bidx FROM b, lrg WHERE best_lr IS NOT NULL GROUP BY uid),
 h AS (SELECT b.*, near.bidx, n + uid AS i,
              {_hash_sql('explore', 'uid', 'next_cycle')} % 1000 < 200 AS explore,
@@ -94,9 +96,9 @@ SELECT uid, next_cycle, n AS n_scored, source,
   CASE source WHEN 'start' THEN CAST(3e-4 AS DOUBLE) WHEN 'sweep' THEN (SELECT v FROM lrg WHERE k = i % 10)
               WHEN 'explore' THEN (SELECT v FROM lrg WHERE k = rl) ELSE (SELECT v FROM lrg WHERE k = eidx) END AS peak_lr,
   CASE source WHEN 'start' THEN CAST(0.03 AS DOUBLE) WHEN 'sweep' THEN (SELECT v FROM wg WHERE k = (i // 10) % 3)
-              WHEN 'explore' THEN (SELECT v FROM wg WHERE k = rw) ELSE CAST(0.03 AS DOUBLE) END AS warmup,
+              WHEN 'explore' THEN (SELECT v FROM wg WHERE k = rw) ELSE best_warm END AS warmup,
   CASE source WHEN 'start' THEN CAST(0.02 AS DOUBLE) WHEN 'sweep' THEN (SELECT v FROM mg WHERE k = i % 2)
-              WHEN 'explore' THEN (SELECT v FROM mg WHERE k = rm) ELSE CAST(0.02 AS DOUBLE) END AS min_frac
+              WHEN 'explore' THEN (SELECT v FROM mg WHERE k = rm) ELSE best_floor END AS min_frac
 FROM src"""
 
 
@@ -190,18 +192,19 @@ def f5_finite_only(spark, sf):
 
 @register("a7_ab_verdict", f"""
 WITH p AS (SELECT uid % 2 AS arm, CASE WHEN step % 200 = 0 THEN 'pre' ELSE 'post' END AS phase, loss FROM curve),
-g AS (SELECT arm, {_mean_sql("CASE WHEN phase = 'pre' THEN loss END")} AS pre,
-             {_mean_sql("CASE WHEN phase = 'post' THEN loss END")} AS post FROM p GROUP BY arm),
+g AS (SELECT arm, avg(CASE WHEN phase = 'pre' THEN loss END) AS pre,
+             avg(CASE WHEN phase = 'post' THEN loss END) AS post FROM p GROUP BY arm),
 h AS (SELECT *, pre - post AS improvement, count(*) OVER () AS arms,
              max(CASE WHEN arm = 0 THEN post END) OVER () - max(CASE WHEN arm = 1 THEN post END) OVER () AS gp FROM g)
-SELECT arm, pre, post, improvement, CASE WHEN arms >= 2 THEN gp END AS gap,
+SELECT arm, round(pre, 9) AS pre, round(post, 9) AS post, round(improvement, 9) AS improvement,
+       round(CASE WHEN arms >= 2 THEN gp END, 9) AS gap,
        CASE WHEN arms < 2 THEN 'forced: only one arm ran' WHEN abs(gp) < 0.01 THEN 'precision is not the problem'
             ELSE 'precision matters' END AS verdict FROM h""")
 def a7_ab_verdict(spark, sf):
     c = V.curve(spark, sf)
     pts = c.select((F.col("uid") % 2).alias("arm"),
                    F.when(F.col("step") % 200 == 0, "pre").otherwise("post").alias("phase"), "loss")
-    return T.ab_verdict(pts)
+    return _rounded(T.ab_verdict(pts), "pre", "post", "improvement", "gap")
 
 
 @register("s8_read_eval_curves", "SELECT uid, CAST(step AS BIGINT) AS step, loss FROM curve")
@@ -216,7 +219,7 @@ def s8_read_eval_curves(spark, sf):
 _BATCH_SQL = """
 bt AS (SELECT shard, pos // 4 AS batch, min(n_chars) AS mn, avg(ln(1 + length(text)) / 4) AS l FROM docs GROUP BY shard, pos // 4),
 bl AS (SELECT shard, batch, CASE WHEN mn < 40 THEN CAST('NaN' AS DOUBLE) ELSE l END AS loss FROM bt),
-ps AS (SELECT shard, """ + _mean_sql("loss") + """ AS mean, count(*) AS n_batches FROM bl WHERE NOT isnan(loss) AND NOT isinf(loss) GROUP BY shard)"""
+ps AS (SELECT shard, avg(loss) AS mean, count(*) AS n_batches FROM bl WHERE NOT isnan(loss) AND NOT isinf(loss) GROUP BY shard)"""
 
 
 def _batches(spark, sf):
@@ -232,7 +235,7 @@ def a6_shard_loss(spark, sf):
 
 
 @register("a6_shard_loss_summary", f"""WITH {_BATCH_SQL}
-SELECT count(*) AS shards, {_mean_sql('mean')} AS mean, median(mean) AS median, max(mean) - min(mean) AS spread,
+SELECT count(*) AS shards, avg(mean) AS mean, median(mean) AS median, max(mean) - min(mean) AS spread,
        stddev_pop(mean) AS stdev FROM ps""")
 def a6_shard_loss_summary(spark, sf):
     return T.shard_loss_summary(T.shard_loss(_batches(spark, sf)))
@@ -260,10 +263,10 @@ WITH s AS (SELECT * FROM trainlog WHERE validator_val_loss IS NOT NULL),
 st AS (SELECT 'peak_lr' AS field, peak_lr AS value, validator_val_loss AS l FROM s
        UNION ALL SELECT 'data_rank', data_rank, validator_val_loss FROM s
        UNION ALL SELECT 'dataset_class', dataset_class, validator_val_loss FROM s),
-g AS (SELECT field, value, {_mean_sql('l')} AS mean_loss, count(*) AS n FROM st WHERE value IS NOT NULL GROUP BY field, value)
+g AS (SELECT field, value, round(avg(l), 9) AS mean_loss, count(*) AS n FROM st WHERE value IS NOT NULL GROUP BY field, value)
 SELECT * FROM g WHERE field IN (SELECT field FROM g GROUP BY field HAVING count(*) >= 2)""")
 def a3_setting_effect(spark, sf):
-    return T.setting_effect(V.trainlog(spark, sf), TRAIN_FIELDS)
+    return _rounded(T.setting_effect(V.trainlog(spark, sf), TRAIN_FIELDS), "mean_loss")
 
 
 _A4_SQL = """
@@ -278,21 +281,21 @@ def a4_best_record(spark, sf):
 
 
 @register("a5_local_gap", f"""
-SELECT {_mean_sql('validator_val_loss - local_eval')} AS mean_gap, count(*) AS n FROM trainlog
+SELECT round(avg(validator_val_loss - local_eval), 9) AS mean_gap, count(*) AS n FROM trainlog
 WHERE validator_val_loss IS NOT NULL AND local_eval IS NOT NULL""")
 def a5_local_gap(spark, sf):
-    return T.local_gap(V.trainlog(spark, sf))
+    return _rounded(T.local_gap(V.trainlog(spark, sf)), "mean_gap")
 
 
 @register("c15_settings_report", f"""WITH {_A4_SQL},
-gp AS (SELECT uid, {_mean_sql('validator_val_loss - local_eval')} AS mean_gap FROM trainlog
+gp AS (SELECT uid, round(avg(validator_val_loss - local_eval), 9) AS mean_gap FROM trainlog
        WHERE validator_val_loss IS NOT NULL AND local_eval IS NOT NULL GROUP BY uid)
 SELECT a4.*, gp.mean_gap FROM a4 LEFT JOIN gp USING (uid)""")
 def c15_settings_report(spark, sf):
     tl = V.trainlog(spark, sf)
     best = T.best_record(tl, ["peak_lr", "data_rank"])
     gap = T.local_gap(tl, ["uid"]).select("uid", "mean_gap")
-    return best.join(gap, "uid", "left")
+    return _rounded(best.join(gap, "uid", "left"), "mean_gap")
 
 
 @register("c10_run_record", """

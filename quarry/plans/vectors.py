@@ -104,12 +104,13 @@ def u2_key_difference(spark, sf):
 
 
 _DIST_SQL = f"""
+badt AS (SELECT DISTINCT party, name FROM wb WHERE NOT shape_ok),
 pt AS (SELECT party, name, sum({_dot('d', 'd')}) AS sq, sum({_dot('b', 'b')}) AS rn, sum({_dot('b', 'v')}) AS ab,
-              sum({_dot('v', 'v')}) AS bb, bool_and(v = b) AS same FROM wd GROUP BY party, name),
+              sum({_dot('v', 'v')}) AS bb, bool_and(v = b) AS same FROM wd ANTI JOIN badt USING (party, name) GROUP BY party, name),
 pr AS (SELECT *, CASE WHEN rn > 0 THEN sqrt(sq / rn) ELSE 0.0 END AS rel,
               row_number() OVER (PARTITION BY party ORDER BY CASE WHEN rn > 0 THEN sqrt(sq / rn) ELSE 0.0 END DESC, name) AS rk FROM pt),
 dist AS (SELECT party, count(*) AS tensors, count(CASE WHEN same THEN 1 END) AS identical,
-                (SELECT count(*) FROM wb w WHERE w.party = pr.party AND NOT w.shape_ok) AS shape_mismatch,
+                (SELECT count(*) FROM badt w WHERE w.party = pr.party) AS shape_mismatch,
                 CASE WHEN sum(rn) > 0 THEN sqrt(sum(sq) / sum(rn)) ELSE CAST('NaN' AS DOUBLE) END AS rel_l2,
                 CASE WHEN sum(rn) > 0 AND sum(bb) > 0 THEN sum(ab) / (sqrt(sum(rn)) * sqrt(sum(bb))) ELSE CAST('NaN' AS DOUBLE) END AS cosine,
                 max(CASE WHEN rk = 1 THEN rel END) AS max_rel, max(CASE WHEN rk = 1 THEN name END) AS max_rel_tensor

@@ -6,12 +6,14 @@ write_shards, S13 publish, S17 verify_corpus.)
 
 from __future__ import annotations
 
-import json
-import os
+import itertools
+import lzma
+import posixpath
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import line_timestamp
@@ -106,94 +108,93 @@ def read_manifest(spark: SparkSession, path: str, entry_schema: str) -> DataFram
     return doc.select(F.inline("d.sources"))
 
 
+def _numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Text lines (file, file_name, pos, line); ``pos`` is the line's number in its file.
+
+    A large file is read in blocks by several tasks: the lines of a block are
+    numbered as read, and the counts of the blocks before it in its file are added.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("line")
+    ).withColumn("_id", F.monotonically_increasing_id())
+    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    start = blocks.select("file", "_block", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_start"))
+    return lines.join(start, ["file", "_block"]).select("file", "file_name", (F.col("_id") + F.col("_start")).alias("pos"), "line")
+
+
+def _json_texts(lines: DataFrame, text_col: str, *keep: str) -> DataFrame:
+    """The text field of the lines that are JSON objects (missing text -> '')."""
+    v = F.try_parse_json(F.col("line"))
+    text = F.coalesce(F.try_variant_get(v, f"$.{text_col}", "string"), F.lit(""))
+    return lines.filter(v.isNotNull() & F.ltrim(F.col("line")).startswith("{")).select(*keep, text.alias("text"))
+
+
 def read_jsonl(spark: SparkSession, path: str, text_col: str = "text") -> DataFrame:
     """JSON lines (plain or .gz); unparsable lines skipped, missing text -> ''.
 
     Lines are read as text first and parsed with ``try_parse_json`` (NULL on
     failure), so a malformed line is dropped without failing the job; ``pos``
-    is an increasing position assigned before the parse.
+    is the physical line number in the file, malformed lines counted.
     """
     if str(path).endswith(".xz"):
         raise ValueError(".xz is not readable by the text reader; use read_jsonl_xz")
-    lines = spark.read.text(path).select(
-        F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
-    lines = lines.withColumn("pos", F.monotonically_increasing_id())
-    v = F.try_parse_json(F.col("line"))
-    obj = v.isNotNull() & F.ltrim(F.col("line")).startswith("{")
-    text = F.coalesce(F.try_variant_get(v, f"$.{text_col}", "string"), F.lit(""))
-    return lines.filter(obj).select("file_name", "pos", text.alias("text"))
+    return _json_texts(_numbered_lines(spark, path), text_col, "file", "file_name", "pos")
+
+
+def _xz_lines(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """The lines of all streams of an .xz file; the decompressed text is never held whole."""
+    view, tail, stream = memoryview(content), b"", lzma.LZMADecompressor()
+    for off in range(0, len(view), step):
+        data = bytes(view[off:off + step])
+        while data:
+            if stream.eof:  # another stream, perhaps after padding
+                data = data.lstrip(b"\0")
+                if not data:
+                    break
+                stream = lzma.LZMADecompressor()
+            *lines, tail = (tail + stream.decompress(data)).split(b"\n")
+            yield from lines
+            data = stream.unused_data if stream.eof else b""
+    if tail:
+        yield tail
 
 
 def read_jsonl_xz(spark: SparkSession, paths: str | Sequence[str], text_col: str = "text") -> DataFrame:
-    """Xz-compressed JSON lines decoded per file with ``mapInPandas``.
-
-    Files come from the ``binaryFile`` source (any storage the cluster reads),
-    one file per task; each task streams its file through an incremental
-    ``LZMADecompressor`` and emits (shard, pos, text) in bounded batches, so
-    the decompressed text is never held whole. ``pos`` counts physical lines,
-    including malformed ones; invalid UTF-8 is ignored, unparsable lines are
-    skipped and missing text becomes ''.
+    """Xz-compressed JSON lines, decompressed per file with ``mapInPandas``.
+
+    Files come from the ``binaryFile`` source (any storage the cluster reads,
+    files up to 2 GB compressed) and lines leave in bounded batches; they are
+    parsed like those of ``read_jsonl``. ``pos`` counts physical lines, including
+    malformed ones; invalid UTF-8 is ignored.
     """
     listing = spark.read.format("binaryFile").load(paths)
     n = max(1, listing.select("path").count())  # file listing only; never the contents
-    files = listing.select("path", "content").repartition(n, "path")
-    schema = "shard string, pos long, text string"
-
-    def decode(batches):
-        import lzma
-        import posixpath
-
-        import pandas as pd
 
+    def lines_of(batches):
         for b in batches:
             for path, content in zip(b["path"], b["content"]):
-                shard = posixpath.basename(path)
-                dec, tail, pos = lzma.LZMADecompressor(), b"", 0
-                out_pos, out_txt = [], []
-                view = memoryview(content)
-                for off in range(0, len(view), 1 << 20):
-                    data = tail + dec.decompress(view[off:off + (1 << 20)])
-                    *lines, tail = data.split(b"\n")
-                    for raw in lines:
-                        try:
-                            obj = json.loads(raw.decode("utf-8", "ignore"))
-                        except ValueError:
-                            obj = None
-                        if isinstance(obj, dict):
-                            out_pos.append(pos)
-                            out_txt.append(obj.get(text_col) or "")
-                        pos += 1
-                        if len(out_pos) >= 10_000:
-                            yield pd.DataFrame({"shard": shard, "pos": out_pos, "text": out_txt})
-                            out_pos, out_txt = [], []
-                if tail:
-                    try:
-                        obj = json.loads(tail.decode("utf-8", "ignore"))
-                    except ValueError:
-                        obj = None
-                    if isinstance(obj, dict):
-                        out_pos.append(pos)
-                        out_txt.append(obj.get(text_col) or "")
-                if out_pos:
-                    yield pd.DataFrame({"shard": shard, "pos": out_pos, "text": out_txt})
-
-    return files.mapInPandas(decode, schema)
+                numbered = enumerate(_xz_lines(content))
+                while part := list(itertools.islice(numbered, 10_000)):
+                    yield pd.DataFrame({"shard": posixpath.basename(path), "pos": [i for i, _ in part],
+                                        "line": [x.decode("utf-8", "ignore") for _, x in part]})
+
+    lines = listing.select("path", "content").repartition(n, "path").mapInPandas(lines_of, "shard string, pos long, line string")
+    return _json_texts(lines, text_col, "shard", "pos")
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """``uid<N>-<kind>.log`` files -> (uid, kind, pos, line, ts).
 
-    uid and kind come from the file name; ``pos`` is a per-file increasing
-    position (file order is kept by the text reader within a file split).
+    uid and kind come from the file name; ``pos`` is the line number in the file.
     """
-    df = spark.read.text(path).select(F.col("value").alias("line"),
-                                      F.col("_metadata.file_name").alias("file_name"))
     m = r"^uid(\d+)-([A-Za-z0-9_]+)\.log$"
-    return (df.withColumn("uid", F.regexp_extract("file_name", m, 1).cast("long"))
-              .withColumn("kind", F.regexp_extract("file_name", m, 2))
-              .withColumn("pos", F.monotonically_increasing_id())
-              .withColumn("ts", line_timestamp("line"))
-              .filter(F.col("kind") != ""))
+    return (_numbered_lines(spark, path)
+            .withColumn("uid", F.regexp_extract("file_name", m, 1))
+            .withColumn("kind", F.regexp_extract("file_name", m, 2))
+            .filter(F.col("kind") != "")
+            .select("file_name", F.col("uid").cast("long").alias("uid"), "kind", "pos", "line", line_timestamp("line").alias("ts")))
 
 
 def write_shards(df: DataFrame, out_dir: str, rows_per_file: int = 50_000) -> None:
@@ -213,8 +214,8 @@ def publish(df: DataFrame, root: str, rows_per_file: int = 50_000) -> str:
 
     The previous version stays; readers follow ``CURRENT``. The row count is
     read back from the written files (Parquet footers), not by re-running
-    ``df``. The pointer is written through the Hadoop FileSystem API (create
-    then rename), so it works on any storage the cluster reads.
+    ``df``. The pointer is written through the Hadoop file API: created aside, then
+    renamed over the old one, on any storage the cluster reads.
     """
     spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex[:12]}"
@@ -226,10 +227,12 @@ def publish(df: DataFrame, root: str, rows_per_file: int = 50_000) -> str:
     out = fs.create(tmp, True)
     out.write(bytearray(version.encode("utf-8")))
     out.close()
-    cur = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT")
-    if fs.exists(cur):
-        fs.delete(cur, False)
-    fs.rename(tmp, cur)
+    cur = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT"))
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE  # readers see the old pointer or the new one, never none
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(cur.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(fs.makeQualified(tmp), cur, how)
     return target
 
 

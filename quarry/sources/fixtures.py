@@ -150,7 +150,8 @@ def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((1 + key % 10).cast("double") / 100000).alias("peak_lr"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("double"))
          .otherwise(F.col("o_totalprice") / 100000).alias("val_loss"),
-        F.when(key % 4 == 0, (key % 300).cast("double") / 10000).alias("drift"))
+        F.when(key % 4 == 0, (key % 300).cast("double") / 10000).alias("drift"),
+        ((1 + key % 3).cast("double") / 100).alias("warmup"), ((1 + key % 2).cast("double") / 50).alias("min_frac"))
 
 
 def cand(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,3 +119,39 @@ def test_log_tail_prunes_day_folders(spark, tmp_path):
     plan = tail._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*day", plan)
     assert tail.filter("ts < timestamp_ntz'2024-01-29 00:00:00'").count() == 0
+
+
+def test_line_numbers_are_per_file(spark, tmp_path):
+    """Several files, one read in many blocks: positions are line numbers, malformed lines counted."""
+    for name, n in (("a", 7), ("b", 4000)):
+        (tmp_path / f"{name}.jsonl").write_text("".join(json.dumps({"text": f"{name}{i}"}) + "\n" if i % 3 else "{broken\n" for i in range(n)))
+    (tmp_path / "uid3-train.log").write_text("".join(f"2024-01-01 00:00:00 line {i}\n" for i in range(4000)))
+    (tmp_path / "uid4-train.log").write_text("one\ntwo\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = S.read_jsonl(spark, str(tmp_path / "*.jsonl")).collect()
+        logs = S.read_logs(spark, str(tmp_path / "*.log")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.file_name, r.pos, r.text) for r in rows) == sorted(
+        (f"{n}.jsonl", i, f"{n}{i}") for n, k in (("a", 7), ("b", 4000)) for i in range(k) if i % 3)
+    assert sorted((r.uid, r.pos, r.line) for r in logs) == sorted(
+        [(3, i, f"2024-01-01 00:00:00 line {i}") for i in range(4000)] + [(4, 0, "one"), (4, 1, "two")])
+
+
+def test_xz_of_several_streams(spark, tmp_path):
+    parts = [b'{"text": "a"}\n{"te', b'xt": "b"}\n', b'not json\n{"text": "c"}']
+    (tmp_path / "s.jsonl.xz").write_bytes(lzma.compress(parts[0]) + lzma.compress(parts[1]) + b"\0" * 4 + lzma.compress(parts[2]))
+    rows = S.read_jsonl_xz(spark, str(tmp_path / "s.jsonl.xz")).collect()
+    assert sorted((r.pos, r.text) for r in rows) == [(0, "a"), (1, "b"), (3, "c")]
+    data = lzma.compress(parts[0]) + lzma.compress(parts[1])
+    assert list(S._xz_lines(data, step=5)) == (parts[0] + parts[1]).splitlines()
+
+
+def test_tokenizer_hook_equals_default(spark):
+    from quarry.functions.tokenize import token_ids
+
+    d = docs(spark, SMALL).select("doc_id", "text").limit(20)
+    ids = lambda t: {r.doc_id: r.ids for r in t.select("doc_id", "ids").collect()}
+    assert ids(token_ids(d)) == ids(token_ids(d, tokenizer="quarry.functions.tokenize:WhitespaceMd5"))

@@ -253,3 +253,23 @@ def test_slot_map_last_duplicate_wins(spark):
             (1, 8, "b", 3, None, 5, "ok", 10, 0.0, "A", None, 2.0)]
     m = B.slot_map(_samples(spark, rows)).collect()[0]
     assert list(m.slots.items()) == [("a", 2.0), ("b", None)]
+
+
+def test_means_keep_small_terms_and_infinities(spark):
+    rows = [(0, 3e-12), (0, 5e-12), (1, 1.0), (1, float("inf"))]
+    points = spark.createDataFrame([(a, "pre", x) for a, x in rows], "arm int, phase string, loss double")
+    assert {r.arm: r.pre for r in T.ab_verdict(points).collect()} == {0: 4e-12, 1: float("inf")}
+
+
+def test_exploit_keeps_the_best_trials_settings(spark):
+    rows = [(uid, c, 3e-5, 1.0 + abs(c - 7), None, 0.01 * c, 0.02 * c) for uid in range(1, 40) for c in range(1, 15)]
+    t = spark.createDataFrame(rows, "uid long, cycle long, peak_lr double, val_loss double, drift double, warmup double, min_frac double")
+    out = [r for r in T.next_trial(t, F.lit(1000)).collect() if r.source == "exploit"]
+    assert out and all((r.warmup, r.min_frac) == (0.01 * 7, 0.02 * 7) for r in out)
+
+
+def test_group_mismatch_is_reported(spark):
+    seen = spark.createDataFrame([(1, "g1", "3"), (2, "g9", None), (3, None, "1")], "uid long, grp string, rank string")
+    want = spark.createDataFrame([(u, "g1", 3) for u in (1, 2, 3, 4)], "uid long, want_group string, want_rank int")
+    got = {r.uid: (r.group_severity, r.severity) for r in L.settings_drift(seen, want).collect()}
+    assert got == {1: (None, None), 2: ("CRIT", "CRIT"), 3: (None, None), 4: (None, None)}
