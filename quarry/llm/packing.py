@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ WEIGHTS = (1.0, 0.02, 0.02)
 GROUP_PIECES = 16_384
 CACHE_WORDS = 1_500_000
 # Characters of text that are tokenized together.
-SLICE_CHARS = 2 << 20
+SLICE_CHARS = 8 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -48,10 +49,11 @@ class ChunkTokenizer:
 
     The vocabulary's rules never join characters across white space, and a
     sentence mark after a letter is a token run of its own, so ids of words
-    concatenate to the ids of the text. Words of letters that are new are
-    encoded together: each of them ends with one end-of-word token, where the
-    ids are cut again. Texts holding a special-token opener go to the tokenizer
-    whole.
+    concatenate to the ids of the text. A run of texts is split and its words
+    are numbered by Arrow, so each different word is looked up once a run; new
+    words are encoded in one call, each as a piece of its own, and the ids of
+    all words are then gathered by number. Texts holding a special-token opener
+    go to the tokenizer whole.
     """
 
     MARKS = ".,!"
@@ -60,9 +62,6 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.limit = limit
         self._clear()
 
@@ -72,48 +71,49 @@ class ChunkTokenizer:
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _stem(self, chunk: str) -> tuple[str, str]:
-        """(word, sentence mark behind it or nothing); ASCII words in lower case, as the vocabulary has them."""
-        mark = chunk[-1] if len(chunk) > 1 and chunk[-1] in self.MARKS and chunk[-2].isalpha() else ""
-        word = chunk[:-1] if mark else chunk
-        return (word.lower() if word.isascii() else word), mark
-
-    def _learn(self, words: set[str]) -> None:
-        plain = [w for w in words if w.isalpha()]
-        if plain:
-            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, dtype="<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(plain) and stops[-1] == len(ids):
-                data, at = ids.tobytes(), 0
-                for w, stop in zip(plain, (4 * stops).tolist(), strict=True):
-                    self.cache[w] = data[at:stop]
-                    at = stop
-        for w in words:
-            if w not in self.cache:
-                self.cache[w] = self._encode(w)
+    def _learn(self, words: list[str]) -> None:
+        model = self.tokenizer.model
+        for w in words:  # ASCII letters: nothing but their case to normalize, nothing to split
+            if w.isascii() and w.isalpha():
+                self.cache[w] = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(w.lower())])
+        words = [w for w in words if w not in self.cache]
+        if not words:
+            return
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        cuts = (4 * np.searchsorted(np.array(found.word_ids, dtype=np.int64), np.arange(len(words) + 1))).tolist()
+        data = np.array(found.ids, dtype="<u4").tobytes()
+        for w, start, stop in zip(words, cuts, cuts[1:], strict=False):
+            self.cache[w] = data[start:stop]
+
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+        """Ids of different words; a sentence mark behind a letter is taken off, so both parts are cached alone."""
+        cache, marks = self.cache, self.MARKS
+        ids = list(map(cache.get, chunks))
+        odd = [(k, chunks[k]) for k, x in enumerate(ids) if x is None]
+        stems = [(k, c[:-1], c[-1]) if c[-1] in marks and c[-2:-1].isalpha() else (k, c, "") for k, c in odd]
+        self._learn(list({w for _, w, _ in stems if w not in cache}))
+        for k, w, mark in stems:
+            ids[k] = cache[w] + cache[mark]
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > self.limit:
             self._clear()
-        split = [None if "<|" in t else (t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts]
-        cache, odd = self.cache, set()
-        found = []
-        for chunks in split:
-            ids = list(map(cache.get, chunks or ()))
-            found.append(ids)
-            if None in ids:
-                odd.update([c for c, x in zip(chunks, ids, strict=True) if x is None])
-        stems = {c: self._stem(c) for c in odd}
-        self._learn({w for w, _ in stems.values() if w not in cache})
-        own = {c: cache[w] + cache[mark] for c, (w, mark) in stems.items()}
-        out = []
-        for text, chunks, ids in zip(texts, split, found, strict=True):
-            if chunks is None:
-                ids = [self._encode(text)]
-            elif None in ids:
-                ids = [own[c] if x is None else x for c, x in zip(chunks, ids, strict=True)]
-            out.append(b"".join(ids))
-        return out
+        special = {i: self._encode(t) for i, t in enumerate(texts) if "<|" in t}
+        # ASCII texts in lower case, as the vocabulary has them
+        plain = [(t.lower() if t.isascii() else t).replace("\n", " ") if i not in special else "" for i, t in enumerate(texts)]
+        split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        words = split.flatten().dictionary_encode()
+        found = self._ids_of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        numbers = words.indices.to_numpy()
+        width = sizes[numbers]
+        ends = np.concatenate([[0], np.cumsum(width)])
+        places = np.repeat(starts[numbers] - ends[:-1], width) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), dtype="<u4")[places]
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        return [special[i] if i in special else ids[a:b].tobytes() for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}  # a worker keeps its cache from task to task
