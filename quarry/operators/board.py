@@ -116,7 +116,7 @@ def rivals_with_repo(m: DataFrame, uids: Sequence[int] = OUR_UIDS) -> DataFrame:
 def rank_scored(m: DataFrame, by: str = "cycle") -> DataFrame:
     """1-based position among scored miners, ascending loss, uid breaks ties
     (size-checked numbering: a huge field is ranked in parallel)."""
-    r = sequence_within(scored(m), [by], ["val_loss", "uid"], "_r", bounded_keys=False)
+    r = sequence_within(scored(m), [by], ["val_loss", "uid"], "_r")
     return r.withColumn("rank", (F.col("_r") + 1).cast("int")).drop("_r")
 
 
@@ -307,14 +307,42 @@ def slot_detail(samples: DataFrame, keys: Sequence[str] = ("cycle", "uid")) -> D
     return g.select(*keys, F.array_join(F.transform("_d", lambda x: x["t"]), "  ").alias("detail"))
 
 
-def status_notes(m: DataFrame, age_limit: int = 600) -> DataFrame:
-    """List of notes per miner, NULLs removed: cohort outside A/B, old score,
-    no commit registered."""
+def carried_uploads(m: DataFrame, uploads: DataFrame, clock: DataFrame, by: str = "cycle") -> DataFrame:
+    """Add what is known of each miner's uploads at every snapshot.
+
+    ``uploads(by, uid, uploaded_at, upload_rev, chain_rev)`` holds the last ones
+    made in a snapshot, ``clock(by, now)`` its time. ``committed``: made in this
+    snapshot; the rest is carried forward from earlier ones. A miner has one row
+    a snapshot, so its window is as long as the calendar.
+    """
+    w = Window.partitionBy("uid").orderBy(by)
+    seconds = lambda c: c.cast("timestamp").cast("long")
+    j = m.join(uploads, [by, "uid"], "left").join(clock, by, "left")
+    last = {c: F.last(c, ignorenulls=True).over(w) for c in ("uploaded_at", "upload_rev", "chain_rev")}
+    return (j.select(*m.columns, "now", F.col("uploaded_at").isNotNull().alias("committed"),
+                     *[e.alias(c) for c, e in last.items()])
+            .withColumn("upload_minutes", F.floor((seconds(F.col("now")) - seconds(F.col("uploaded_at"))) / 60))
+            .drop("now", "uploaded_at"))
+
+
+def status_notes(m: DataFrame, age_limit: int = 600, upload_limit: int = 210) -> DataFrame:
+    """List of notes per miner, NULLs removed: cohort outside A/B, nothing
+    committed this cycle, old score, last upload too long ago, chain and uploaded
+    revision neither a prefix of the other, no commit registered.
+
+    ``m`` comes from :func:`carried_uploads`; a miner that never uploaded has no
+    upload age and no revisions to compare.
+    """
+    chain, sent = F.col("chain_rev"), F.col("upload_rev")
     notes = F.array(
         F.when(F.col("cohort").isNull() | F.col("cohort").isin("none", "tail"),
-               F.concat(F.lit("COHORT="), F.coalesce(F.col("cohort"), F.lit("None")),
-                        F.lit(" -- outside A/B, earns no weight"))),
+               F.concat(F.lit("cohort "), F.coalesce(F.col("cohort"), F.lit("None")), F.lit(" has no weight"))),
+        F.when(~F.col("committed"), F.lit("nothing committed this cycle")),
         F.when(F.col("max_age") > age_limit,
-               F.concat(F.lit("score is "), F.col("max_age").cast("string"), F.lit(" blocks old"))),
-        F.when(F.col("repo").isNull(), F.lit("no chain commit registered")))
+               F.concat(F.lit("score age "), F.col("max_age").cast("string"), F.lit(" blocks"))),
+        F.when(F.col("upload_minutes") > upload_limit,
+               F.concat(F.lit("last upload "), F.col("upload_minutes").cast("string"), F.lit(" minutes ago"))),
+        F.when(~(chain.startswith(F.substring(sent, 1, 7)) | sent.startswith(F.substring(chain, 1, 7))),
+               F.concat(F.lit("revision on chain "), chain, F.lit(", uploaded "), sent)),
+        F.when(F.col("repo").isNull(), F.lit("no commit on chain")))
     return m.withColumn("notes", F.filter(notes, lambda x: x.isNotNull()))

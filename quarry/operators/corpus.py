@@ -134,7 +134,7 @@ def uniform_shard_sample(docs: DataFrame, rows: int, min_chars: int | None = DEF
     q = allocate_quotas(shard_catalog(docs), rows)
     q = q.filter(F.col("quota") > 0).select(
         "shard", "quota", F.greatest(F.lit(1), F.expr("n_rows div quota")).alias("stride"))
-    cand = docs.join(F.broadcast(q), "shard")  # one row per shard
+    cand = docs.join(q, "shard")  # one row per shard
     cand = min_chars_gate(stride_sample(cand, F.col("stride")), min_chars)
     return first_quota_survivors(cand).drop("stride")
 
@@ -150,7 +150,7 @@ def spread_sample(docs: DataFrame, rows: int, shards: int, nominal_shard_rows: i
     picks = (picks.withColumn("quota", per)
              .withColumn("stride", F.greatest(F.lit(1), F.floor(F.lit(nominal_shard_rows) / F.col("quota")).cast("long")))
              .select("shard", "quota", "stride"))
-    cand = docs.join(F.broadcast(picks), "shard")
+    cand = docs.join(picks, "shard")
     cand = min_chars_gate(stride_sample(cand, F.col("stride")), min_chars)
     return first_quota_survivors(cand).drop("stride")
 
@@ -193,7 +193,7 @@ def global_index(rows: DataFrame, file_col: str = "file_name", row_col: str = "r
     """
     group = list(group)
     offs = file_offsets(rows, file_col, group).select(*group, file_col, "file_offset")
-    return (rows.join(F.broadcast(offs), [*group, file_col])
+    return (rows.join(offs, [*group, file_col])
             .withColumn(name, F.col("file_offset") + F.col(row_col)).drop("file_offset"))
 
 
@@ -284,23 +284,21 @@ def weighted_mixture(streams: DataFrame, weights: DataFrame, n: int) -> DataFram
     ``streams(src, k, ...)`` numbers each source's rows 0..n_s-1; ``weights(src,
     weight, sord)`` is the source table. Draw j of source s sits at key
     ``(j + 0.5) / weight`` (ties by source ordinal); sources repeat endlessly, so
-    draw j reads row ``j mod n_s``. Only ``ceil(n * w_s) + 2`` draws per source are
-    generated, the global order is numbered with the skew-safe sequence, and
-    the rows are fetched with an equi-join on (src, k).
+    row k gives the draws k, k + n_s, k + 2 n_s, ... below ``ceil(n * w_s) + 2``,
+    made where the row lies. A source without rows gives no draws.
     """
     every = Window.partitionBy()
     total = F.sum("weight").over(every)
     w = weights.withColumn("_tot", total).withColumn(
         "_wn", F.when(F.col("_tot") > 0, F.col("weight") / F.col("_tot"))
-        .otherwise(F.raise_error(F.lit("dataset source weights sum to zero"))))
-    draws = w.select("src", "sord", "weight",
-                     F.explode(F.sequence(F.lit(0).cast("long"),
-                                          (F.ceil(F.lit(n) * F.col("_wn")) + 1).cast("long"))).alias("j"))
-    draws = draws.withColumn("_key", (F.col("j") + 0.5) / F.col("weight"))
+        .otherwise(F.raise_error(F.lit("source weights must have a positive sum"))))
+    w = w.select("src", "sord", "weight", (F.ceil(F.lit(n) * F.col("_wn")) + 2).cast("long").alias("_nj"))
+    w = w.join(streams.groupBy("src").agg(F.count(F.lit(1)).alias("_ns")), "src")
+    draws = (streams.join(w, "src").filter(F.col("k") < F.col("_nj"))
+             .withColumn("j", F.explode(F.sequence(F.col("k").cast("long"), F.col("_nj") - 1, F.col("_ns"))))
+             .withColumn("_key", (F.col("j") + 0.5) / F.col("weight")))
     draws = sequence_within(draws, [], ["_key", "sord"], "mix_idx").filter(F.col("mix_idx") < n)
-    sizes = streams.groupBy("src").agg(F.count(F.lit(1)).alias("_ns"))
-    draws = draws.join(F.broadcast(sizes), "src").withColumn("k", F.pmod(F.col("j"), F.col("_ns")))
-    return draws.join(streams, ["src", "k"]).drop("_ns", "_key", "weight")
+    return draws.drop("_ns", "_nj", "_key", "weight")
 
 
 def stripe_overlap(df: DataFrame, configs: Sequence[tuple[int, int]], pos: str = "pos") -> DataFrame:
@@ -350,7 +348,7 @@ def seeded_eval_slice(docs: DataFrame, seed: str, m: int, source: str = "source"
     sh = (sh.withColumn("_si", F.row_number().over(per_src.orderBy(shard)) - 1)
             .withColumn("_ns", F.count(F.lit(1)).over(per_src)))
     pick = sh.filter(F.col("_si") == F.pmod(seeded_int("eval_shard_pick", F.col(source), F.lit(seed)), F.col("_ns")))
-    rows = docs.join(F.broadcast(pick.select(source, shard, "n_rows")), [source, shard])
+    rows = docs.join(pick.select(source, shard, "n_rows"), [source, shard])
     rows = sequence_within(rows, [source, shard], [pos], "_k")
     off = F.pmod(seeded_int("eval_offset", F.col(shard), F.lit(seed)), F.col("n_rows"))
     rows = rows.withColumn("slice_pos", F.pmod(F.col("_k") - off, F.col("n_rows")))
@@ -367,7 +365,7 @@ def seeded_shard_order(catalog: DataFrame, seed: str, passes: int, shard: str =
 
 def pin_check(rows: DataFrame, pins: DataFrame, shard: str = "shard") -> DataFrame:
     """Each shard has a pinned revision and every row carries it."""
-    j = rows.join(F.broadcast(pins), shard, "left")
+    j = rows.join(pins, shard, "left")
     bad = F.col("pin").isNull() | ~F.col("revision").eqNullSafe(F.col("pin"))
     return j.groupBy(shard, "pin").agg(
         F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, 1)).alias("bad_rows"),

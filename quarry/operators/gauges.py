@@ -133,7 +133,7 @@ def _emission_chain(keyed: DataFrame, repeat_s: int) -> DataFrame:
        doubling, each round pinned with ``checkpoint``.
     """
     gap = repeat_s * 1_000_000
-    idx = sequence_within(keyed, ["key"], ["_t", "poll"], "_i", bounded_keys=False)
+    idx = sequence_within(keyed, ["key"], ["_t", "poll"], "_i")
     ev = idx.select("key", (-F.col("_t")).alias("_nt"), F.lit(0).alias("_side"), (-F.col("_i")).alias("_ni"),
                     F.col("_i").alias("_ev"))
     pr = idx.select("key", (-(F.col("_t") + gap)).alias("_nt"), F.lit(1).alias("_side"), (-F.col("_i")).alias("_ni"),

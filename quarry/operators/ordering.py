@@ -69,14 +69,12 @@ def groups_fit_one_task(df: DataFrame, keys: Sequence[str]) -> bool:
 
 
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    name: str = "pos", partitions: int | None = None,
-                    bounded_keys: bool = True) -> DataFrame:
+                    name: str = "pos", partitions: int | None = None) -> DataFrame:
     """``row_number() - 1`` over (PARTITION BY keys ORDER BY order), skew-safe.
 
     When the largest group fits the skew bound this is that window; beyond it
-    the segmented numbering below runs. ``bounded_keys``: the offset table has
-    at most ``partitions + distinct keys`` rows; with few keys (shards,
-    sources, cohorts) it is broadcast, otherwise AQE decides from its size.
+    the segmented numbering below runs. The offset table has at most
+    ``partitions + distinct keys`` rows; how it is joined is left to AQE.
     """
     keys, order = list(keys), list(order)
     if groups_fit_one_task(df, keys):
@@ -98,8 +96,6 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     spans = spans.select(
         "_q_part", *keys,
         (F.coalesce(F.sum("_q_n").over(before), F.lit(0)) - F.col("_q_first")).alias("_q_base"))
-    if bounded_keys:
-        spans = F.broadcast(spans)
     numbered = (null_safe_join(laid, spans, ["_q_part", *keys])
                 .select(*cols, (F.col("_q_local") + F.col("_q_base")).alias(name)))
     return null_safe_join(df, numbered, cols)

@@ -142,7 +142,7 @@ def retention(ckpts: DataFrame, keep: int = RETAIN_NEWEST) -> DataFrame:
     ``age_rank`` (1 = newest) is the group size minus the skew-safe ascending
     position, so no group is sorted in one task.
     """
-    pos = sequence_within(ckpts, ["uid", "grp"], ["step", "name"], "_asc", bounded_keys=False)
+    pos = sequence_within(ckpts, ["uid", "grp"], ["step", "name"], "_asc")
     n = ckpts.groupBy("uid", "grp").agg(F.count(F.lit(1)).alias("_n"))
     r = pos.join(n, ["uid", "grp"]).withColumn("age_rank", F.col("_n") - F.col("_asc"))
     return r.filter(F.col("age_rank") > keep).drop("_asc", "_n")

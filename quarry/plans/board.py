@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import board as B
+from quarry.operators import logs as L
 from quarry.plans.registry import register
 from quarry.session import reuse
 from quarry.sources import fixtures as V
@@ -290,17 +291,51 @@ def x22_slot_detail(spark, sf):
     return B.slot_detail(V.board(spark, sf))
 
 
-X23_SQL = """
+UPLOADS_SQL = r"""
+stamped AS (SELECT uid, pos, line, try_strptime(left(line, 19), '%Y-%m-%d %H:%M:%S') AS ts FROM logs),
+sent AS (SELECT uid, pos, ts, CAST(extract(day FROM ts) AS INT) AS cycle, regexp_extract(line, 'hf_repo_id=(\S+)', 1) AS upload_repo,
+                regexp_extract(line, 'hf_revision=(\S+)', 1) AS rev FROM stamped WHERE contains(line, 'MinerCommit2> committing')),
+uploads AS (SELECT uid, cycle, max(ts) AS uploaded_at, arg_max(rev, (ts, pos)) AS upload_rev, arg_max(upload_repo, (ts, pos)) AS upload_repo,
+                   arg_max(rev, (ts, pos)) FILTER (WHERE pos % 9 <> 0) AS chain_rev FROM sent GROUP BY uid, cycle)"""
+
+X23_SQL = f"""{UPLOADS_SQL},
+clock AS (SELECT CAST(extract(day FROM ts) AS INT) AS cycle, max(ts) AS now FROM stamped WHERE ts IS NOT NULL GROUP BY 1),
+facts AS (SELECT m.*, now, u.uploaded_at IS NOT NULL AS committed,
+   last_value(u.uploaded_at IGNORE NULLS) OVER w AS last_upload, last_value(u.upload_rev IGNORE NULLS) OVER w AS upload_rev,
+   last_value(u.chain_rev IGNORE NULLS) OVER w AS chain_rev
+   FROM miners m LEFT JOIN uploads u USING (cycle, uid) LEFT JOIN clock USING (cycle)
+   WINDOW w AS (PARTITION BY m.uid ORDER BY m.cycle ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+aged AS (SELECT *, CAST(epoch(now) - epoch(last_upload) AS BIGINT) // 60 AS upload_minutes FROM facts),
 x23 AS (SELECT cycle, uid, list_filter([
-    CASE WHEN cohort IS NULL OR cohort IN ('none', 'tail') THEN concat('COHORT=', coalesce(cohort, 'None'), ' -- outside A/B, earns no weight') END,
-    CASE WHEN max_age > 600 THEN concat('score is ', CAST(max_age AS VARCHAR), ' blocks old') END,
-    CASE WHEN repo IS NULL THEN 'no chain commit registered' END], lambda x: x IS NOT NULL) AS notes
-FROM miners)"""
+    CASE WHEN cohort IS NULL OR cohort IN ('none', 'tail') THEN concat('cohort ', coalesce(cohort, 'None'), ' has no weight') END,
+    CASE WHEN NOT committed THEN 'nothing committed this cycle' END,
+    CASE WHEN max_age > 600 THEN concat('score age ', CAST(max_age AS VARCHAR), ' blocks') END,
+    CASE WHEN upload_minutes > 210 THEN concat('last upload ', CAST(upload_minutes AS VARCHAR), ' minutes ago') END,
+    CASE WHEN NOT (starts_with(chain_rev, left(upload_rev, 7)) OR starts_with(upload_rev, left(chain_rev, 7)))
+         THEN concat('revision on chain ', chain_rev, ', uploaded ', upload_rev) END,
+    CASE WHEN repo IS NULL THEN 'no commit on chain' END], lambda x: x IS NOT NULL) AS notes
+FROM aged)"""
 
 
-@register("x23_status_notes", f"WITH {MINERS_SQL},{X23_SQL}\nSELECT * FROM x23")
+def uploads_by_cycle(lines: DataFrame) -> DataFrame:
+    """Last upload of each miner a cycle; every ninth one is taken as lost on the
+    way to the chain, so the chain still names the upload before it."""
+    up = L.log_events(lines, L.UPLOAD_MARKER).withColumn("_u", F.struct("ts", "pos", "rev", "repo"))
+    g = up.groupBy("uid", F.dayofmonth("ts").alias("cycle")).agg(
+        F.max("_u").alias("_u"), F.max(F.when(F.col("pos") % 9 != 0, F.col("_u"))).alias("_c"))
+    return g.select("uid", "cycle", F.col("_u.ts").alias("uploaded_at"), F.col("_u.rev").alias("upload_rev"),
+                    F.col("_u.repo").alias("upload_repo"), F.col("_c.rev").alias("chain_rev"))
+
+
+def noted(m: DataFrame, lines: DataFrame) -> DataFrame:
+    """X23 over the miner table and the parsed log lines."""
+    clock = (lines.filter(F.col("ts").isNotNull()).groupBy(F.dayofmonth("ts").alias("cycle")).agg(F.max("ts").alias("now")))
+    return B.status_notes(B.carried_uploads(m, uploads_by_cycle(lines).drop("upload_repo"), clock))
+
+
+@register("x23_status_notes", f"WITH {MINERS_SQL},{X23_SQL}\nSELECT cycle, uid, notes FROM x23")
 def x23_status_notes(spark, sf):
-    return B.status_notes(miners(spark, sf, pin=False)).select("cycle", "uid", "notes")
+    return noted(miners(spark, sf, pin=False), L.parsed_lines(V.logs(spark, sf))).select("cycle", "uid", "notes")
 
 
 @register("c14_history_report", f"""WITH {MINERS_SQL},{_TREND_SQL},{_MOVES_SQL},

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,14 +11,15 @@ from quarry.functions import text as X
 from quarry.operators import corpus as C
 from quarry.operators.ordering import sequence_within
 from quarry.plans.registry import register
+from quarry.session import scratch_path
 from quarry.sources import fixtures as V
-from quarry.sources.files import read_corpus
+from quarry.sources.files import current_version, read_corpus, repack
+from quarry.sources.tables import load
 
 # Query parameters (driver runs sf0.01: 20 shards x 50 rows).
 C1_ROWS = 300
 A18_ROWS = 600
 C2_ROWS, C2_SHARDS, C2_NOMINAL = 200, 7, 60
-MIX_N = 300
 MIX_WEIGHTS = [("en", 0.5, 0), ("fr", 0.2, 1), ("de", 0.2, 2), ("es", 0.1, 3)]
 SEQ_LEN = 64
 SEED = "5eed"
@@ -54,22 +57,37 @@ def w14_global_index(spark: SparkSession, sf: str) -> DataFrame:
     return C.global_index(rows).select("doc_id", "gidx")
 
 
-@register("s16_repack", """
-SELECT doc_id, gidx, gidx // CAST(ceil(count(*) OVER () / 7) AS BIGINT) AS file_id
-FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS gidx FROM documents)""")
+REPACK_FILES = 7
+
+
+def _repacked(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents repacked, read back with the number of their file and their place in it."""
+    root = scratch_path(spark, f"repack-{uuid.uuid4().hex[:10]}")
+    repack(C.global_index(read_corpus(spark, f"{sf}/documents.parquet", extra=["doc_id"])).select("doc_id", "text", "gidx"),
+           root, REPACK_FILES)
+    return (spark.read.parquet(current_version(root, spark))
+            .select("doc_id", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long").alias("file_id"),
+                    F.col("_metadata.row_index").alias("pos")))
+
+
+@register("s16_repack", f"""
+WITH g AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS gidx, CAST(ceil(count(*) OVER () / {REPACK_FILES}) AS BIGINT) AS per
+           FROM documents)
+SELECT doc_id, gidx // per AS file_id, gidx % per AS pos FROM g""")
 def s16_repack(spark: SparkSession, sf: str) -> DataFrame:
-    rows = C.global_index(read_corpus(spark, f"{sf}/documents.parquet", extra=["doc_id"]))
-    return C.repack_plan(rows, 7).select("doc_id", "gidx", "file_id")
+    return _repacked(spark, sf)
 
 
-@register("a19_repack_totals", """
-SELECT count(*) AS rows, count(DISTINCT shard) AS files_before, CAST(7 AS BIGINT) AS files_after,
-       CAST(ceil(count(*) / 7) AS BIGINT) AS rows_per_file FROM docs""")
+@register("a19_repack_totals", f"""
+SELECT count(*) AS rows, count(DISTINCT shard) AS files_before, count(*) AS rows_after, CAST({REPACK_FILES} AS BIGINT) AS files_after,
+       CAST(ceil(count(*) / {REPACK_FILES}) AS BIGINT) AS rows_per_file FROM docs""")
 def a19_repack_totals(spark: SparkSession, sf: str) -> DataFrame:
-    d = V.docs(spark, sf)
-    return d.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("shard").alias("files_before"),
-                 F.lit(7).cast("long").alias("files_after"),
-                 F.ceil(F.count(F.lit(1)) / 7).cast("long").alias("rows_per_file"))
+    """Totals by source before, and as read back from the repacked files."""
+    before = load(spark, sf, "documents").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("source").alias("files_before"))
+    after = (_repacked(spark, sf).groupBy("file_id").agg(F.count(F.lit(1)).alias("_n"))
+             .agg(F.sum("_n").alias("rows_after"), F.count(F.lit(1)).alias("files_after"), F.max("_n").alias("rows_per_file")))
+    both = before.unionByName(after, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 # ------------------------------------------------------------------ filters
@@ -201,18 +219,18 @@ def _mixture(spark, sf) -> DataFrame:
     d = V.docs(spark, sf).select(F.col("lang").alias("src"), "ord", "pos", "doc_id")
     d = sequence_within(d, ["src"], ["ord", "pos"], "k")
     weights = spark.createDataFrame(MIX_WEIGHTS, "src string, weight double, sord int")
-    return C.weighted_mixture(d, weights, MIX_N)
+    return C.weighted_mixture(d, weights, load(spark, sf, "documents").count())
 
 
 _MIX_SQL = f"""
 w AS (SELECT * FROM (VALUES {", ".join(f"('{s}', CAST({w} AS DOUBLE), {o})" for s, w, o in MIX_WEIGHTS)}) t(src, weight, sord)),
-wn AS (SELECT *, weight / sum(weight) OVER () AS wnorm FROM w),
-draws AS (SELECT src, sord, weight, unnest(range(0, CAST(ceil({MIX_N} * wnorm) + 2 AS BIGINT))) AS j FROM wn),
+wn AS (SELECT *, weight / sum(weight) OVER () AS wnorm, (SELECT count(*) FROM docs) AS n FROM w),
+draws AS (SELECT src, sord, weight, unnest(range(0, CAST(ceil(n * wnorm) + 2 AS BIGINT))) AS j FROM wn),
 ranked AS (SELECT *, row_number() OVER (ORDER BY (j + 0.5) / weight, sord) - 1 AS mix_idx FROM draws),
 streams AS (SELECT lang AS src, doc_id, row_number() OVER (PARTITION BY lang ORDER BY ord, pos) - 1 AS k,
                    count(*) OVER (PARTITION BY lang) AS n_s FROM docs),
 mix AS (SELECT r.mix_idx, r.src, r.j, s.doc_id FROM ranked r JOIN streams s ON s.src = r.src AND s.k = r.j % s.n_s
-        WHERE r.mix_idx < {MIX_N})"""
+        WHERE r.mix_idx < (SELECT count(*) FROM docs))"""
 
 
 @register("c3_weighted_mixture", f"WITH {_MIX_SQL}\nSELECT mix_idx, src, j, doc_id FROM mix")
@@ -354,4 +372,4 @@ def j13_quota_join(spark, sf):
     d = V.docs(spark, sf)
     q = C.allocate_quotas(C.shard_catalog(d), C1_ROWS).filter(F.col("quota") > 0).select(
         "shard", "quota", F.greatest(F.lit(1), F.expr("n_rows div quota")).alias("stride"))
-    return d.join(F.broadcast(q), "shard").select("shard", "pos", "doc_id", "quota", "stride")
+    return d.join(q, "shard").select("shard", "pos", "doc_id", "quota", "stride")

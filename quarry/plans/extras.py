@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import hashing as H
@@ -16,7 +17,7 @@ from quarry.plans.logs import ASOF_LOGS, EVENTS_SQL, PARSED_SQL, parsed
 from quarry.plans.registry import register
 from quarry.session import scratch_path
 from quarry.sources import fixtures as V
-from quarry.sources.files import read_jsonl, read_sources
+from quarry.sources.files import put_file, read_jsonl, read_sources, verify_corpus
 from quarry.sources.tables import load
 
 SEED = "5eed"
@@ -181,7 +182,7 @@ def c16_drift_measure(spark, sf):
     out = (pair.select("uid", F.col("ts").alias("up_ts"), F.col("rev").alias("up_rev"), "d_rev")
            .join(win, "d_rev", "left")
            .withColumn("party", (F.pmod(F.col("uid"), F.lit(3)) + 1).cast("int"))
-           .join(F.broadcast(g), "party", "left"))
+           .join(g, "party", "left"))
     inside = (F.col("up_ts") >= F.col("win_start")) & (F.col("up_ts") < F.col("win_end"))
     return out.select("uid", "up_ts", "up_rev", "d_rev", "win_start", "win_end",
                       F.coalesce(inside, F.lit(False)).alias("in_window"), F.col("rel_i").alias("rel_drift"))
@@ -199,16 +200,39 @@ def write_corpus(d, root: str, rows_per_file: int = 97) -> None:
       .write.option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(root))
 
 
-def _manifest(spark, sf, root):
-    """Expected rows per source from the table; expected files from the listing
-    the writer produced (the check is that every file reads and rows add up)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(root).select("path")
-             .select(F.regexp_extract("path", r"/([^/]+)/[^/]+\.parquet$", 1).alias("source"))
-             .groupBy("source").agg(F.count(F.lit(1)).cast("int").alias("shards")))
-    rows = (V.docs(spark, sf).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.concat(F.lit("shard="), F.col("shard")).alias("source"), "rows"))
-    return rows.join(files, "source", "left")
+ROWS_PER_FILE = 97
+
+
+def _faulty_corpus(spark, sf) -> DataFrame:
+    """A written corpus with known faults, verified against a manifest of the table.
+
+    Expected: all rows of a source in files of ROWS_PER_FILE. Sources with
+    ord % 7 = 1 lack their first file, the one with the largest ord has junk in
+    its place, and the manifest counts a row too many where ord % 5 = 0.
+    """
+    root = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:10]}")
+    d = V.docs(spark, sf).select("shard", "ord", "pos", "text")
+    per = (load(spark, sf, "documents").groupBy(F.col("source").alias("shard"), F.expr("CAST(substr(source, 4) AS INT)").alias("ord"))
+           .agg(F.count(F.lit(1)).alias("_n")))
+    newest = per.agg(F.max(F.struct("ord", "shard")).alias("m")).select("m.*").first()
+    gone = (F.col("ord") % 7 == 1) | (F.col("ord") == F.lit(newest["ord"]))
+    kept = d.filter(~gone | (F.col("pos") >= ROWS_PER_FILE))
+    # rows of one file meet in one task, so every file but a source's last is full
+    (kept.repartition("shard", F.floor(F.col("pos") / ROWS_PER_FILE)).sortWithinPartitions("shard", "pos").select("shard", "text")
+     .write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("shard").parquet(root))
+    put_file(spark, f"{root}/shard={newest['shard']}/part-junk.parquet", b"not a table")
+    manifest = per.select(F.concat(F.lit("shard="), "shard").alias("source"),
+                          F.ceil(F.col("_n") / ROWS_PER_FILE).cast("int").alias("shards"),
+                          (F.col("_n") + F.when(F.col("ord") % 5 == 0, 1).otherwise(0)).alias("rows"))
+    return verify_corpus(spark, root, manifest)
+
+
+_FAULTS_SQL = f"""
+per AS (SELECT shard, ord, count(*) AS n, CAST(ceil(count(*) / {ROWS_PER_FILE}) AS BIGINT) AS files, max(ord) OVER () AS top
+        FROM docs GROUP BY shard, ord),
+found AS (SELECT concat('shard=', shard) AS source, files, n + CASE WHEN ord % 5 = 0 THEN 1 ELSE 0 END AS rows,
+                 CASE WHEN ord % 7 = 1 OR ord = top THEN n - least(n, {ROWS_PER_FILE}) ELSE n END AS rows_on_disk,
+                 CASE WHEN ord % 7 = 1 AND ord <> top THEN files - 1 ELSE files END AS files_on_disk, ord = top AS junk FROM per)"""
 
 
 @register("s6_read_history", """
@@ -254,30 +278,21 @@ def s14_append_events(spark, sf):
     return read_events(spark, path).groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("s17_verify_corpus", """
-SELECT concat('shard=', shard) AS source, count(*) AS rows_on_disk, true AS ok FROM docs GROUP BY shard""")
+@register("s17_verify_corpus", f"""WITH {_FAULTS_SQL}
+SELECT source, rows_on_disk, CASE WHEN junk THEN 1 ELSE 0 END AS n_unreadable,
+       files = files_on_disk AND rows = rows_on_disk AND NOT junk AS ok FROM found""")
 def s17_verify_corpus(spark, sf):
-    """Shards written one folder per source, verified against a manifest
-    built from the catalogue (expected rows; one file per source folder)."""
-    from quarry.sources.files import verify_corpus
-
-    root = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:10]}")
-    write_corpus(V.docs(spark, sf).select("shard", "pos", "text"), root)
-    return verify_corpus(spark, root, _manifest(spark, sf, root)).select("source", "rows_on_disk", "ok")
+    """Sources, one folder each, verified against the manifest; faults are found."""
+    return _faulty_corpus(spark, sf).select("source", "rows_on_disk", F.coalesce(F.size("unreadable"), F.lit(0)).alias("n_unreadable"), "ok")
 
 
-@register("j12_manifest_files", """
-SELECT concat('shard=', shard) AS source, true AS files_match, count(*) AS rows, count(*) AS rows_on_disk,
-       false AS mismatch FROM docs GROUP BY shard""")
+@register("j12_manifest_files", f"""WITH {_FAULTS_SQL}
+SELECT source, files = files_on_disk AS files_match, rows, rows_on_disk,
+       NOT (files = files_on_disk AND rows = rows_on_disk AND NOT junk) AS mismatch FROM found""")
 def j12_manifest_files(spark, sf):
     """Manifest left-joined to the files found, with a mismatch flag."""
-    from quarry.sources.files import verify_corpus
-
-    root = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:10]}")
-    write_corpus(V.docs(spark, sf).select("shard", "pos", "text"), root)
-    v = verify_corpus(spark, root, _manifest(spark, sf, root))
-    return v.select("source", (F.col("files_on_disk") == F.col("shards")).alias("files_match"),
-                    "rows", "rows_on_disk", (~F.col("ok")).alias("mismatch"))
+    return _faulty_corpus(spark, sf).select("source", (F.col("files_on_disk") == F.col("shards")).alias("files_match"),
+                                            "rows", "rows_on_disk", (~F.col("ok")).alias("mismatch"))
 
 
 @register("s3_read_shards", "SELECT shard, pos, doc_id FROM docs")

@@ -130,8 +130,6 @@ def c12_health_report(spark, sf):
     """Per poll and uid -- log-age tier, peer lag, stale gauge, CRIT streak,
     failure signatures, the round's status note and note list, the poll's alert
     and whether suppression let it through."""
-    from quarry.operators import board as B
-
     p = reuse(V.polls(spark, sf))  # read by several branches
     tiers = L.peer_lag(p).withColumn("tier", L.severity_tier(F.col("log_age"))).select("uid", "poll", "round_id", "tier", "peer_lag_s")
     st = G.stale_gauge(p).select("uid", "poll", "stale", "rounds")
@@ -141,7 +139,7 @@ def c12_health_report(spark, sf):
                  F.bool_or(F.col("severity") == "CRIT").alias("any_crit_signature")))
     m = PB.miners(spark, sf)
     notes = (PB.status_note_rows(m).select(F.col("cycle").alias("round_id"), "uid", "note")
-             .join(B.status_notes(m).select(F.col("cycle").alias("round_id"), "uid", "notes"), ["round_id", "uid"]))
+             .join(PB.noted(m, parsed(spark, sf)).select(F.col("cycle").alias("round_id"), "uid", "notes"), ["round_id", "uid"]))
     alerts = G.alert_rows(p)
     emitted = G.suppress_alerts(alerts).select("uid", "poll", F.lit(True).alias("_emitted"))
     out = (tiers.join(st, ["uid", "poll"]).join(sk, ["uid", "poll"]).join(hits, "uid", "left")

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from quarry.functions.numeric import finite, finite_recorder
 from quarry.operators import board as B
 from quarry.operators import candidates as CD
+from quarry.operators import logs as L
 from quarry.operators import trials as T
 from quarry.operators.ordering import first_n
+from quarry.plans import board as PB
 from quarry.plans.registry import register
 from quarry.sources import fixtures as V
 from quarry.sources.snapshots import read_eval_curves, read_settings
@@ -258,13 +260,16 @@ def o3_worst_best_shards(spark, sf):
 TRAIN_FIELDS = ["peak_lr", "data_rank", "dataset_class"]
 
 
-@register("a3_setting_effect", f"""
-WITH s AS (SELECT * FROM trainlog WHERE validator_val_loss IS NOT NULL),
-st AS (SELECT 'peak_lr' AS field, peak_lr AS value, validator_val_loss AS l FROM s
-       UNION ALL SELECT 'data_rank', data_rank, validator_val_loss FROM s
-       UNION ALL SELECT 'dataset_class', dataset_class, validator_val_loss FROM s),
-g AS (SELECT field, value, round(avg(l), 9) AS mean_loss, count(*) AS n FROM st WHERE value IS NOT NULL GROUP BY field, value)
-SELECT * FROM g WHERE field IN (SELECT field FROM g GROUP BY field HAVING count(*) >= 2)""")
+_A3_SQL = """
+s3 AS (SELECT * FROM trainlog WHERE validator_val_loss IS NOT NULL),
+st3 AS (SELECT 'peak_lr' AS field, peak_lr AS value, validator_val_loss AS l FROM s3
+        UNION ALL SELECT 'data_rank', data_rank, validator_val_loss FROM s3
+        UNION ALL SELECT 'dataset_class', dataset_class, validator_val_loss FROM s3),
+g3 AS (SELECT field, value, round(avg(l), 9) AS mean_loss, count(*) AS n FROM st3 WHERE value IS NOT NULL GROUP BY field, value),
+a3 AS (SELECT * FROM g3 WHERE field IN (SELECT field FROM g3 GROUP BY field HAVING count(*) >= 2))"""
+
+
+@register("a3_setting_effect", f"WITH {_A3_SQL}\nSELECT * FROM a3")
 def a3_setting_effect(spark, sf):
     return _rounded(T.setting_effect(V.trainlog(spark, sf), TRAIN_FIELDS), "mean_loss")
 
@@ -289,37 +294,64 @@ def a5_local_gap(spark, sf):
 
 @register("c15_settings_report", f"""WITH {_A4_SQL},
 gp AS (SELECT uid, round(avg(validator_val_loss - local_eval), 9) AS mean_gap FROM trainlog
-       WHERE validator_val_loss IS NOT NULL AND local_eval IS NOT NULL GROUP BY uid)
-SELECT a4.*, gp.mean_gap FROM a4 LEFT JOIN gp USING (uid)""")
+       WHERE validator_val_loss IS NOT NULL AND local_eval IS NOT NULL GROUP BY uid),
+{_A3_SQL}
+SELECT 'best' AS section, uid, CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS value, n_scored AS n,
+       round(best_loss, 9) AS loss, peak_lr, data_rank, mean_gap FROM a4 LEFT JOIN gp USING (uid)
+UNION ALL SELECT 'effect', NULL, field, value, n, mean_loss, NULL, NULL, NULL FROM a3
+UNION ALL SELECT 'totals', NULL, 'records', NULL, count(*), NULL, NULL, NULL, NULL FROM trainlog
+UNION ALL SELECT 'totals', NULL, 'scored', NULL, count(validator_val_loss), NULL, NULL, NULL, NULL FROM trainlog""")
 def c15_settings_report(spark, sf):
+    """Best record per uid with its mean gap, effect of each setting, record totals."""
     tl = V.trainlog(spark, sf)
-    best = T.best_record(tl, ["peak_lr", "data_rank"])
+    none = lambda kind: F.lit(None).cast(kind)
     gap = T.local_gap(tl, ["uid"]).select("uid", "mean_gap")
-    return _rounded(best.join(gap, "uid", "left"), "mean_gap")
-
-
-@register("c10_run_record", """
-WITH last AS (SELECT uid, cycle, arg_max(peak_lr, pos) AS peak_lr, arg_max(data_rank, pos) AS data_rank,
+    best = T.best_record(tl, ["peak_lr", "data_rank"]).join(gap, "uid", "left").select(
+        F.lit("best").alias("section"), "uid", none("string").alias("field"), none("string").alias("value"),
+        F.col("n_scored").alias("n"), F.col("best_loss").alias("loss"), "peak_lr", "data_rank", "mean_gap")
+    rest = [F.lit(None).cast(k).alias(c) for c, k in (("peak_lr", "string"), ("data_rank", "string"), ("mean_gap", "double"))]
+    effect = T.setting_effect(tl, TRAIN_FIELDS).select(
+        F.lit("effect").alias("section"), none("long").alias("uid"), "field", "value", "n",
+        F.col("mean_loss").alias("loss"), *rest)
+    sums = tl.agg(F.count(F.lit(1)).alias("records"), F.count("validator_val_loss").alias("scored"))
+    totals = sums.select(F.explode(F.create_map(F.lit("records"), "records", F.lit("scored"), "scored")).alias("field", "n")).select(
+        F.lit("totals").alias("section"), none("long").alias("uid"), "field", none("string").alias("value"), "n",
+        none("double").alias("loss"), *rest)
+    return _rounded(_rounded(best.unionByName(effect).unionByName(totals), "mean_gap"), "loss")
+
+
+@register("c10_run_record", f"""
+WITH {PB.UPLOADS_SQL},
+last AS (SELECT uid, cycle, arg_max(peak_lr, pos) AS peak_lr, arg_max(data_rank, pos) AS data_rank,
                      arg_max(local_eval, pos) FILTER (WHERE local_eval IS NOT NULL) AS local_eval
               FROM trainlog GROUP BY uid, cycle),
 mr AS (SELECT *, row_number() OVER (PARTITION BY cycle, uid ORDER BY CASE WHEN val_loss IS NULL THEN 1 ELSE 0 END,
                   coalesce(sample_cycle, -1) DESC, CASE WHEN status = 'ok' THEN 1 ELSE 0 END DESC,
-                  coalesce(age, 1073741824), pos) AS fresh_rn FROM board),
-bd AS (SELECT cycle, uid, max(CASE WHEN fresh_rn = 1 THEN val_loss END) AS validator_val_loss, max(baseline) AS baseline
-       FROM mr GROUP BY cycle, uid)
+                  coalesce(age, 1073741824), pos) AS fresh_rn,
+              row_number() OVER (PARTITION BY cycle, uid ORDER BY pos) AS first_rn FROM board),
+bd AS (SELECT cycle, uid, max(CASE WHEN fresh_rn = 1 THEN val_loss END) AS validator_val_loss, max(baseline) AS baseline,
+              max(CASE WHEN first_rn = 1 THEN repo END) AS repo
+       FROM mr GROUP BY cycle, uid),
+ev AS (SELECT uid, max(step) AS eval_step, arg_max(loss, step) AS eval_loss FROM curve GROUP BY uid)
 SELECT l.uid, l.cycle, l.peak_lr, l.data_rank, l.local_eval, b.validator_val_loss, b.baseline,
-       b.baseline - b.validator_val_loss AS delta, b.validator_val_loss - l.local_eval AS local_vs_validator
-FROM last l LEFT JOIN bd b ON b.uid = l.uid AND b.cycle = l.cycle""")
+       b.baseline - b.validator_val_loss AS delta, b.validator_val_loss - l.local_eval AS local_vs_validator,
+       ev.eval_step, ev.eval_loss, u.upload_repo, u.upload_rev, b.repo IS NOT NULL AS on_chain
+FROM last l LEFT JOIN bd b ON b.uid = l.uid AND b.cycle = l.cycle LEFT JOIN ev ON ev.uid = l.uid
+LEFT JOIN uploads u ON u.uid = l.uid AND u.cycle = l.cycle""")
 def c10_run_record(spark, sf):
     tl = V.trainlog(spark, sf)
     last = tl.groupBy("uid", "cycle").agg(
         F.max_by("peak_lr", "pos").alias("peak_lr"), F.max_by("data_rank", "pos").alias("data_rank"),
         F.max(F.when(F.col("local_eval").isNotNull(), F.struct("pos", "local_eval")))["local_eval"].alias("local_eval"))
-    m = B.miner_rows(V.board(spark, sf)).select("uid", "cycle", F.col("val_loss").alias("validator_val_loss"), "baseline")
-    j = last.join(m, ["uid", "cycle"], "left")
+    m = B.miner_rows(V.board(spark, sf)).select("uid", "cycle", F.col("val_loss").alias("validator_val_loss"), "baseline", "repo")
+    up = PB.uploads_by_cycle(L.parsed_lines(V.logs(spark, sf))).select("uid", "cycle", "upload_repo", "upload_rev")
+    points = (V.curve(spark, sf).groupBy("uid").agg(F.max(F.struct("step", "loss")).alias("_e"))
+              .select("uid", F.col("_e.step").alias("eval_step"), F.col("_e.loss").alias("eval_loss")))
+    j = last.join(m, ["uid", "cycle"], "left").join(up, ["uid", "cycle"], "left").join(points, "uid", "left")
     return j.select("uid", "cycle", "peak_lr", "data_rank", "local_eval", "validator_val_loss", "baseline",
                     B.delta_plain(F.col("validator_val_loss"), F.col("baseline")).alias("delta"),
-                    (F.col("validator_val_loss") - F.col("local_eval")).alias("local_vs_validator"))
+                    (F.col("validator_val_loss") - F.col("local_eval")).alias("local_vs_validator"),
+                    "eval_step", "eval_loss", "upload_repo", "upload_rev", F.col("repo").isNotNull().alias("on_chain"))
 
 
 # ------------------------------------------------------------------ J5, S9

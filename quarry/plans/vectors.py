@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.operators import board as B
 from quarry.operators import vectors as VX
+from quarry.plans.board import MINERS_SQL, miners
 from quarry.plans.registry import register
 from quarry.sources import fixtures as V
 
@@ -192,15 +194,27 @@ def a22_element_counts(spark, sf):
     return out.select("party", "dtype", "chunks", "elements", "trainable", "trainable_share")
 
 
-@register("c13_compare_report", f"""WITH {TV_SQL},{_LAYER_SQL},{_V9_SQL},{_O4_SQL},
+RIVALS = 6
+
+
+@register("c13_compare_report", f"""WITH {MINERS_SQL},{TV_SQL},{_LAYER_SQL},{_V9_SQL},{_O4_SQL},
 nrm AS (SELECT party, sqrt(sum({_dot('d', 'd')})) AS delta_norm FROM wd GROUP BY party),
 cs AS (SELECT x.party, sum({_dot('x.d', 'y.d')}) / (sqrt(sum({_dot('x.d', 'x.d')})) * sqrt(sum({_dot('y.d', 'y.d')}))) AS cos_to_ours
        FROM wd x JOIN wd y ON x.k = y.k AND y.party = {OURS} WHERE x.party <> {OURS} GROUP BY x.party),
-tl AS (SELECT party, list(layer ORDER BY place) AS top_layers FROM o4 WHERE place <= 6 GROUP BY party)
-SELECT v9.party, nrm.delta_norm, cs.cos_to_ours, v9.n_changed, v9.n_chunks, v9.aligned, v9.opposed,
+tl AS (SELECT party, list(layer ORDER BY place) AS top_layers FROM o4 WHERE place <= 6 GROUP BY party),
+field AS (SELECT uid, val_loss, row_number() OVER (ORDER BY val_loss, uid) AS rank FROM miners
+          WHERE cycle = (SELECT max(cycle) FROM miners) AND val_loss IS NOT NULL AND repo IS NOT NULL AND uid NOT IN (1, 2, 3)),
+lead AS (SELECT *, CAST(uid % 2 + 2 AS INT) AS party FROM field WHERE rank <= {RIVALS})
+SELECT lead.rank, lead.uid, lead.val_loss, lead.party, nrm.delta_norm, cs.cos_to_ours, v9.n_changed, v9.n_chunks, v9.aligned, v9.opposed,
        v9.cos_min, v9.cos_max, tl.top_layers
-FROM v9 JOIN nrm USING (party) LEFT JOIN cs USING (party) LEFT JOIN tl USING (party)""")
+FROM lead LEFT JOIN v9 USING (party) LEFT JOIN nrm USING (party) LEFT JOIN cs USING (party) LEFT JOIN tl USING (party)""")
 def c13_compare_report(spark, sf):
+    """The board's loss leaders that are not ours and name a repo, each with its
+    tensors (of the two rival parties by uid) against ours."""
+    last = B.latest_snapshot(miners(spark, sf))
+    field = last.filter(F.col("repo").isNotNull() & ~F.col("uid").isin(list(B.OUR_UIDS)))
+    lead = B.loss_leaders(field, RIVALS).select(F.col("rank").cast("long").alias("rank"), "uid", "val_loss",
+                                                (F.pmod("uid", F.lit(2)) + 2).cast("int").alias("party"))
     w = wb(spark, sf)
     ls = VX.layer_stats(w, OURS)
     v9 = VX.layer_summary(ls)
@@ -216,6 +230,6 @@ def c13_compare_report(spark, sf):
     tl = (VX.top_layers(ls, 6).groupBy("party")
           .agg(F.array_sort(F.collect_list(F.struct("place", "layer"))).alias("_t"))
           .select("party", F.transform("_t", lambda x: x["layer"]).alias("top_layers")))
-    return (v9.join(nrm, "party").join(cs, "party", "left").join(tl, "party", "left")
-              .select("party", "delta_norm", "cos_to_ours", "n_changed", "n_chunks", "aligned", "opposed",
+    return (lead.join(v9, "party", "left").join(nrm, "party", "left").join(cs, "party", "left").join(tl, "party", "left")
+              .select("rank", "uid", "val_loss", "party", "delta_norm", "cos_to_ours", "n_changed", "n_chunks", "aligned", "opposed",
                       "cos_min", "cos_max", "top_layers"))

@@ -69,7 +69,7 @@ def read_shards(spark: SparkSession, root: str, text: str = "text", extra: Seque
     rows = global_index(rows, group=["shard"], name="pos").drop("file_name", "row_index")
     ords = rows.select("shard").distinct().withColumn(
         "ord", (F.row_number().over(Window.orderBy("shard")) - 1).cast("int"))  # one row per source
-    return rows.join(F.broadcast(ords), "shard")
+    return rows.join(ords, "shard")
 
 
 def append_log_lines(lines: DataFrame, path: str, ts: str = "ts", order: Sequence[str] = ("uid", "pos")) -> None:
@@ -209,6 +209,27 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def put_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file at ``path``, on any storage the cluster reads."""
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(content))
+    out.close()
+
+
+def _move_pointer(spark: SparkSession, root: str, version: str) -> None:
+    """``CURRENT`` names ``version`` from here on; it is written aside and renamed over the old one."""
+    aside = f"{root.rstrip('/')}/.CURRENT.{version}"
+    put_file(spark, aside, version.encode("utf-8"))
+    fs, tmp, jvm = _fs(spark, aside)
+    cur = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT"))
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE  # readers see the old pointer or the new one, never none
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(cur.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(fs.makeQualified(tmp), cur, how)
+
+
 def publish(df: DataFrame, root: str, rows_per_file: int = 50_000) -> str:
     """Write a new version, refuse an empty one, then move the pointer.
 
@@ -223,16 +244,28 @@ def publish(df: DataFrame, root: str, rows_per_file: int = 50_000) -> str:
     write_shards(df, target, rows_per_file)
     if spark.read.parquet(target).count() == 0:
         raise RuntimeError("no rows collected -- refusing to replace the existing corpus")
-    fs, tmp, jvm = _fs(spark, f"{root.rstrip('/')}/.CURRENT.{version}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(version.encode("utf-8")))
-    out.close()
-    cur = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT"))
-    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    how = spark.sparkContext._gateway.new_array(kind, 1)
-    how[0] = kind.OVERWRITE  # readers see the old pointer or the new one, never none
-    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(cur.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    files.rename(fs.makeQualified(tmp), cur, how)
+    _move_pointer(spark, root, version)
+    return target
+
+
+def repack(rows: DataFrame, root: str, n_files: int, index: str = "gidx") -> str:
+    """``rows`` in ``index`` order as exactly ``n_files`` contiguous files, then move the pointer.
+
+    A row count that cannot fill n files is refused before anything is written.
+    What was written is read back: with another number of files or rows the
+    pointer stays, and readers keep the version they have.
+    """
+    from quarry.operators.corpus import repack_plan
+
+    spark = rows.sparkSession
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    target = f"{root.rstrip('/')}/{version}"
+    (repack_plan(rows, n_files, index, strict=True).repartitionById(n_files, F.col("file_id").cast("int"))
+     .sortWithinPartitions(index).drop(index, "file_id").write.option("compression", "zstd").parquet(target))
+    found = spark.read.parquet(target).agg(F.count(F.lit(1)), F.countDistinct("_metadata.file_name")).first()
+    if tuple(found) != (rows.count(), n_files):
+        raise RuntimeError(f"{found[0]} rows in {found[1]} files were written, not {n_files} files of all rows")
+    _move_pointer(spark, root, version)
     return target
 
 
@@ -283,7 +316,7 @@ def verify_corpus(spark: SparkSession, corpus_dir: str, manifest: DataFrame) ->
                .option("pathGlobFilter", "*.parquet").load(corpus_dir).select("path"))
     listing = listing.select(F.regexp_extract("path", r"/([^/]+)/[^/]+\.parquet$", 1).alias("source"),
                              F.regexp_extract("path", r"/([^/]+\.parquet)$", 1).alias("file_name"))
-    counted = (spark.read.option("ignoreCorruptFiles", "true")
+    counted = (spark.read.schema("text string").option("ignoreCorruptFiles", "true")
                .parquet(f"{corpus_dir.rstrip('/')}/*/*.parquet")
                .select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+\.parquet$", 1).alias("source"),
                        F.col("_metadata.file_name").alias("file_name"))

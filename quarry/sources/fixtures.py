@@ -99,7 +99,7 @@ def logs_from(e: DataFrame) -> DataFrame:
 def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monitor polls: one miner's gauge series, numbered per uid by (ts, event_id)."""
     e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value", "event_type")
-    e = sequence_within(e, ["user_id"], ["ts", "event_id"], "_p0", bounded_keys=False)
+    e = sequence_within(e, ["user_id"], ["ts", "event_id"], "_p0")
     return poll_rows_from(e.withColumn("poll", F.col("_p0") + 1)).drop("event_id")
 
 
@@ -120,7 +120,7 @@ def poll_rows_from(e: DataFrame) -> DataFrame:
 def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eval points per uid; a checkpoint is saved every third step."""
     e = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
-    e = sequence_within(e, ["user_id"], ["event_id"], "_s0", bounded_keys=False)
+    e = sequence_within(e, ["user_id"], ["event_id"], "_s0")
     step = ((F.col("_s0") + 1) * 100).cast("long")
     return (e.select(F.col("user_id").alias("uid"), F.col("event_type").alias("grp"), step.alias("step"),
                      (F.col("value") / 100).alias("loss"), (F.col("event_id") % 3 == 0).alias("saved"))

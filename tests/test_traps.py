@@ -273,3 +273,37 @@ def test_group_mismatch_is_reported(spark):
     want = spark.createDataFrame([(u, "g1", 3) for u in (1, 2, 3, 4)], "uid long, want_group string, want_rank int")
     got = {r.uid: (r.group_severity, r.severity) for r in L.settings_drift(seen, want).collect()}
     assert got == {1: (None, None), 2: ("CRIT", "CRIT"), 3: (None, None), 4: (None, None)}
+
+
+def test_all_six_status_notes(spark):
+    m = spark.createDataFrame([(1, 1, None, 700, None), (2, 1, "tail", 5, "r"), (1, 2, "A", None, "r")],
+                              "cycle int, uid long, cohort string, max_age long, repo string")
+    uploads = spark.sql("""SELECT 1 AS cycle, 1L AS uid, TIMESTAMP'2024-01-01 00:00:00' AS uploaded_at, 'abcdef1' AS upload_rev, 'abcdef1234' AS chain_rev
+                           UNION ALL SELECT 1, 3L, TIMESTAMP'2024-01-01 00:00:00', 'abcdef1', '9999999'""")
+    clock = spark.sql("SELECT 1 AS cycle, TIMESTAMP'2024-01-01 03:30:00' AS now UNION ALL SELECT 2, TIMESTAMP'2024-01-01 03:31:00'")
+    m = m.unionByName(spark.createDataFrame([(1, 3, "B", 600, "r")], m.schema))
+    got = {(r.cycle, r.uid): r.notes for r in B.status_notes(B.carried_uploads(m, uploads, clock)).collect()}
+    assert got == {
+        (1, 1): ["cohort None has no weight", "score age 700 blocks", "no commit on chain"],
+        (2, 1): ["cohort tail has no weight", "nothing committed this cycle", "last upload 211 minutes ago"],
+        (1, 2): ["nothing committed this cycle"],
+        (1, 3): ["revision on chain 9999999, uploaded abcdef1"]}
+
+
+def test_repack_refuses_and_keeps_the_live_version(spark, tmp_path):
+    from quarry.sources.files import current_version, repack
+
+    rows = lambda n: spark.range(n).select(F.col("id").alias("gidx"), F.col("id").cast("string").alias("text"))
+    live = repack(rows(10), str(tmp_path), 3)
+    assert spark.read.parquet(live).inputFiles().__len__() == 3
+    for n, files in ((5, 4), (4, 3), (0, 1)):  # refused at once, found short after writing, nothing to pack
+        with pytest.raises((ValueError, RuntimeError)):
+            repack(rows(n), str(tmp_path), files)
+    assert current_version(str(tmp_path), spark).endswith(live.rsplit("/", 1)[1])
+
+
+def test_mixture_repeats_a_short_source(spark):
+    streams = spark.createDataFrame([("a", 0, 10), ("a", 1, 11), ("b", 0, 20)], "src string, k long, doc_id long")
+    weights = spark.createDataFrame([("a", 0.5, 0), ("b", 0.5, 1), ("none", 0.0, 2)], "src string, weight double, sord int")
+    got = [(r.src, r.doc_id) for r in C.weighted_mixture(streams, weights, 8).orderBy("mix_idx").collect()]
+    assert got == [("a", 10), ("b", 20), ("a", 11), ("b", 20)] * 2
