@@ -48,7 +48,8 @@ class ChunkTokenizer:
     """Token ids of texts as little-endian uint32 bytes, through a cache of blank-separated words.
 
     The vocabulary's rules never join characters across white space, and a
-    sentence mark after a letter is a token run of its own, so ids of words
+    sentence mark after an ASCII letter is a token run of its own (other letters
+    may end in a combining mark once normalized, which joins it), so ids of words
     concatenate to the ids of the text. A run of texts is split and its words
     are numbered by Arrow, so each different word is looked up once a run; new
     words are encoded in one call, each as a piece of its own, and the ids of
@@ -86,11 +87,12 @@ class ChunkTokenizer:
             self.cache[w] = data[start:stop]
 
     def _ids_of(self, chunks: list[str]) -> list[bytes]:
-        """Ids of different words; a sentence mark behind a letter is taken off, so both parts are cached alone."""
+        """Ids of different words; a sentence mark behind an ASCII letter is taken off, so both parts are cached alone."""
         cache, marks = self.cache, self.MARKS
         ids = list(map(cache.get, chunks))
         odd = [(k, chunks[k]) for k, x in enumerate(ids) if x is None]
-        stems = [(k, c[:-1], c[-1]) if c[-1] in marks and c[-2:-1].isalpha() else (k, c, "") for k, c in odd]
+        stems = [(k, c[:-1], c[-1]) if c[-1] in marks and c[-2:-1].isascii() and c[-2:-1].isalpha() else (k, c, "")
+                 for k, c in odd]
         self._learn(list({w for _, w, _ in stems if w not in cache}))
         for k, w, mark in stems:
             ids[k] = cache[w] + cache[mark]

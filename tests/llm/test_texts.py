@@ -63,6 +63,20 @@ def test_packing_edges(spark):
     assert packing.packed_documents(df.limit(0)).count() == 0
 
 
+def test_ids_of_every_letter_before_a_mark():
+    import public_tokenizers
+    path = public_tokenizers.path("word_bpe_49k.json")
+    direct, cached = packing.ChunkTokenizer(path).tokenizer, packing.ChunkTokenizer(path)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    texts = ["BELGES\u0130. son", *(f"ab{c}{m}" for c in letters for m in packing.ChunkTokenizer.MARKS)]
+    wrong = []
+    for at in range(0, len(texts), 50_000):
+        part = texts[at:at + 50_000]
+        want = [np.array(e.ids, dtype="<u4").tobytes() for e in direct.encode_batch(part, add_special_tokens=False)]
+        wrong += [t for t, a, b in zip(part, cached.encode(part), want, strict=True) if a != b]
+    assert not wrong
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(rule):
     rng = np.random.default_rng(1)
