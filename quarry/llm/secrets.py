@@ -10,8 +10,10 @@ The entropy method looks at candidate strings of each character class (runs of
 a candidate; one count per symbol is kept and changed by the entering and the
 leaving character, and with it the sum of c*log2(c), from which the window's
 Shannon entropy follows. A candidate whose highest window entropy reaches the
-class threshold is a span, unless the allow-list matches it (plain words and
-numbers, placeholders, running alphabets).
+class threshold is a span, unless it is plain words or a number. Parts (between
+/ _ + -) that hold a placeholder or a running alphabet are cut out first, and what
+is left on either side is judged by itself. Words are of one case or capitalised
+(further humps have three letters or more), so letters of mixed case are not words.
 
 Defined results: null text is read as empty and has no spans; ends are
 exclusive; spans of all kinds are kept even where they overlap; repeated rows
@@ -54,9 +56,14 @@ BASE64 = CharClass("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnop
                    r"[A-Za-z0-9+/_-]{20,}", 3.62)
 CLASSES = (HEX, BASE64)
 WINDOW = 20
-# What is never a secret (words, numbers, placeholders, running alphabets).
+# The allow-list that the SQL applies to whole candidates; its plain words, its number and its pieces
+# are used here too, its last pattern (any letters at all) is not.
 ALLOW = (r"^[A-Za-z]?[a-z]+$", r"^[A-Z]+$", r"^[0-9]+$", r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]", r"[xX]{6}",
          r"0123456789", r"[aA][bB][cC][dD][eE][fF][gG]", r"^[A-Za-z]+([_/+-][A-Za-z]+)*$")
+# Possessive, so long candidates neither backtrack nor recurse.
+_WORD = r"(?>[A-Z]++(?=[_/+-]|$)|[A-Z]?+[a-z]++(?:[A-Z][a-z]{2,}+)*+)"
+WORDS = (*ALLOW[:3], rf"^{_WORD}(?:[_/+-]{_WORD})*+$")
+PIECES = "|".join(ALLOW[3:7])
 
 SPAN = "struct<start:bigint,ord:int,kind:string,stop:bigint>"
 
@@ -123,25 +130,30 @@ def reaches_entropy(candidate: Column, alphabet: str, window: int, threshold: fl
     return walked["least"] <= F.lit(window * (math.log2(window) - threshold))
 
 
-def _entropy_spans(text: Column, order: int, cls: CharClass, window: int, allow: tuple[str, ...]) -> Column:
+def _entropy_spans(text: Column, order: int, cls: CharClass, window: int, allow: tuple[str, ...], pieces: str) -> Column:
+    def secret(x: Column, bare: Column) -> Column:
+        allowed = F.lit(False)
+        for a in allow:
+            allowed = allowed | bare.rlike(a)
+        return F.when(allowed | (F.length(x) < window), F.lit(False)).otherwise(
+            reaches_entropy(x, cls.alphabet, window, cls.threshold))
+
     def kept(found: Column) -> Column:
         def ok(x: Column) -> Column:
-            allowed = F.lit(False)
-            for a in allow:
-                allowed = allowed | x.rlike(a)
-            return F.when(allowed, F.lit(False)).otherwise(
-                reaches_entropy(x, cls.alphabet, window, cls.threshold))
+            cut = F.regexp_replace(x, f"(?<![A-Za-z0-9])[A-Za-z0-9]*?(?:{pieces})[A-Za-z0-9]*+", " ")
+            return F.when(x.rlike(pieces), F.exists(
+                F.split(cut, " "), lambda p: secret(p, F.btrim(p, F.lit("/_+-"))))).otherwise(secret(x, x))
         return F.transform(found, ok)
 
     return _spans(text, cls.name, order, cls.pattern, kept)
 
 
 def secret_spans(text: Column, classes: tuple[CharClass, ...] = CLASSES, window: int = WINDOW,
-                 allow: tuple[str, ...] = ALLOW) -> tuple[Column, Column]:
+                 allow: tuple[str, ...] = WORDS, pieces: str = PIECES) -> tuple[Column, Column]:
     """(base spans, method spans): arrays of (start, ord, kind, stop) in pattern order."""
     text = F.coalesce(text, F.lit(""))
     base = F.concat(*[_base_spans(text, i, *spec) for i, spec in enumerate(BASE)])
-    more = F.concat(*[_entropy_spans(text, len(BASE) + i, c, window, allow) for i, c in enumerate(classes)])
+    more = F.concat(*[_entropy_spans(text, len(BASE) + i, c, window, allow, pieces) for i, c in enumerate(classes)])
     return base, more
 
 

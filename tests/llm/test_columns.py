@@ -35,6 +35,21 @@ def test_scan_edges(spark):
     assert "entropy" not in spans(spark, "EXAMPLE" + hidden)
 
 
+def test_allow_list_hides_no_secret_beside_it(spark):
+    import random
+    import string
+    rng = random.Random(8)
+    keys = ["".join(rng.sample(string.ascii_letters, 24)) for _ in range(100)]
+    hidden = "Zk8Q2vX9mT4bL7nR1cW6yH3s"
+    keys += [f"docs/example/{hidden}", f"{hidden}-xxxxxx-end", f"a_0123456789_{hidden}_abcdefg", f"example-example2/{hidden}", "Ab-" + "w" * 5_000 + "/EXAMPLE/" + hidden]
+    plain = ["getElementsForName/SomeMoreWords-HERE_too", "docs/example/incomprehensible/words-and-More", "incomprehensible/words/example/" + "ab-" * 2_000 + "cd",
+             "docs/EXAMPLE" + hidden + "/end", "Abcdefghijklmnopqrstuvwxyz", "the-quick-brown-fox/" * 2_000 + "jumps"]
+    df = spark.createDataFrame([(i, f"so {k} ends") for i, k in enumerate(keys + plain)], "id int, text string")
+    got = {r["id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert [k for i, k in enumerate(keys) if got[i] != "so [SECRET] ends"] == []
+    assert [k for i, k in enumerate(plain, len(keys)) if got[i] != f"so {k} ends"] == []
+
+
 def test_entropy_matches_direct_formula(spark):
     import random
     rng = random.Random(5)
