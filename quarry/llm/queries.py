@@ -63,7 +63,7 @@ def mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of at most 4096 tokens."""
-    return packing.packed_documents(load(spark, sf_dir, "documents"))
+    return packing.packed_documents(load(spark, sf_dir, "documents"), max_docs=packing.MAX_TOKENS)
 
 
 @register("op5_chat_format")

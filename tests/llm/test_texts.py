@@ -63,6 +63,12 @@ def test_packing_edges(spark):
     assert packing.packed_documents(df.limit(0)).count() == 0
 
 
+def test_empty_documents_fill_sequences(spark, tmp_path):
+    spark.createDataFrame([(i, None) for i in range(8192)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op2_best_fit_packing"](spark, str(tmp_path)).collect()
+    assert len(rows) == 8192 and check_places(rows, 4096) == 2
+
+
 def test_ids_of_every_letter_before_a_mark():
     import public_tokenizers
     path = public_tokenizers.path("word_bpe_49k.json")
