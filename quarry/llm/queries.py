@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, lm, mixing, ngram_join, packing, quality, secrets, suffix, topk, warc
+from quarry.llm import chat, fim, lm, mixing, ngram_join, packing, quality, secrets, suffix, topk, warc
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,29 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to 100-byte strings that also start earlier."""
     return suffix.removed(load(spark, sf_dir, "documents"))
+
+
+_FIM_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+             CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS lo,
+             greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS hi FROM u),
+p AS (SELECT doc_id, t, n, coalesce(array_to_string(u[1:lo], ''), '') AS p, coalesce(array_to_string(u[lo + 1:hi], ''), '') AS m,
+             coalesce(array_to_string(u[hi + 1:], ''), '') AS s,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p"""
+
+
+@register("op13_fill_in_middle", _FIM_SQL)
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two lines and rearranged, then restored from the output."""
+    out = fim.fill_in_middle(load(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
