@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, fim, lm, mixing, ngram_join, packing, quality, secrets, suffix, topk, warc
+from quarry.llm import chat, fim, lm, mixing, ngram_join, packing, quality, runs, secrets, suffix, topk, warc
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,35 @@ def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fim.fill_in_middle(load(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
                       F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def planted_words(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """(words of a text that is to repeat itself, else null; the repeating text of ``_q_words``)."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words, g = F.col("_q_words"), F.floor(h / 10).cast("long")
+    n = F.size(words).cast("long")
+    a = g % n
+    p = F.lit(1) + F.floor((n - a) / (3 + g % 8)).cast("long")
+    unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int"))
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")
+    return (F.when(h % 10 == 0, F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))),
+            F.when(F.size(words) > 0, planted).otherwise(text))
+
+
+@register("op12_word_runs")
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document, a tenth of them made to repeat, and what is left of it when runs are collapsed."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    words, planted = planted_words(F.col("doc_id"), F.col("text"))
+    out = runs.find_runs(docs.withColumn("_q_words", words).withColumn("text", planted))
+    first = F.struct(*[F.lit(None).cast("long").alias(c) for c in ("start", "length", "period")])
+    # runs come by start, then period, so only a strictly greater exponent replaces an earlier one
+    best = F.aggregate("runs", first, lambda top, r: F.when(
+        top["start"].isNull() | (r["length"] * top["period"] > top["length"] * r["period"]), r).otherwise(top))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), lines.alias("lines"), "collapsed")
+    return out.select("doc_id", "n_runs", "b.start", "b.length", "b.period",
+                      F.expr("1000 * b.length div b.period").alias("exponent_milli"),
+                      F.sha2(F.when(F.col("n_runs") > 0, F.concat("lines", F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+                      F.sha2("collapsed", 256).alias("collapsed_sha256"))
