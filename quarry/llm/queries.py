@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, fim, lm, mixing, ngram_join, packing, quality, runs, secrets, suffix, topk, warc
+from quarry.llm import chat, fim, lm, minhash_join, mixing, ngram_join, packing, quality, runs, secrets, suffix, topk, warc
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,3 +232,9 @@ def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.expr("1000 * b.length div b.period").alias("exponent_milli"),
                       F.sha2(F.when(F.col("n_runs") > 0, F.concat("lines", F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
                       F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register("op11_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of at least 80 % shared shingles, and whether it stands for it."""
+    return minhash_join.near_duplicates(load(spark, sf_dir, "documents")).drop("row")
