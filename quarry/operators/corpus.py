@@ -119,7 +119,9 @@ def allocate_quotas(catalog: DataFrame, rows: int, cap: str = "n_rows", ord_col:
 
 def first_quota_survivors(df: DataFrame, quota: str = "quota", shard: str = "shard",
                           pos: str = "pos") -> DataFrame:
-    """The first ``quota`` surviving rows of each shard in physical order."""
+    """The first ``quota`` surviving rows of each shard in physical order.
+
+    Rows of a view that keeps its segments are counted where they lie, without another shuffle."""
     numbered = sequence_within(df, [shard], [pos], "_surv")
     return numbered.filter(F.col("_surv") < F.col(quota)).drop("_surv")
 

@@ -7,20 +7,16 @@ change flags and running sums over one miner's own series.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.logs import severity_tier
-from quarry.operators.ordering import sequence_within
-from quarry.operators.scan import Running, layout, scan
-from quarry.session import reuse
+from quarry.operators.scan import Running, segment_column
 
 # Alert key prefix length and the re-notification interval.
 ALERT_KEY_CHARS = 60
 ALERT_REPEAT_S = 3600
-# Keys above this many alerts take the distributed chain instead of the fold.
-HOT_KEY_ALERTS = 100_000
 
 
 def stale_gauge(polls: DataFrame, by: str = "uid", order: str = "poll") -> DataFrame:
@@ -33,39 +29,29 @@ def stale_gauge(polls: DataFrame, by: str = "uid", order: str = "poll") -> DataF
     ``rounds`` counts round changes between consecutive polls from the third
     poll on (the second poll never increments it).
 
-    Built from running scans (segmented when one miner's series exceeds the
-    skew bound): pass 1 numbers rows and takes the previous value and round; pass 2 marks
-    island starts and counts round changes; pass 3 reads the count at each
-    island's second poll, so ``rounds = C - C(second poll)``.
+    Two passes of one segmented scan: the first takes the values of the two polls
+    before and the round before; the second carries the island's first round and
+    adds up the round changes of its third poll on.
     """
+    laid = [c for c in (segment_column([by]),) if c in polls.columns]
     live = polls.filter(F.col("val_loss").isNotNull() & F.col("round_id").isNotNull()).select(
-        by, order, "round_id", F.col("val_loss").cast("string").alias("_v"))
+        by, order, "round_id", F.col("val_loss").cast("string").alias("_v"), *laid)
     r = Running(live, [by], [order])
-    r.add([("_g", "count", None), ("_pv", "lag", "_v"), ("_pr", "lag", "round_id")])
-    r.with_column("_chg", ~F.col("_pv").eqNullSafe(F.col("_v")))
-    r.with_column("_rc", F.coalesce((F.col("round_id") != F.col("_pr")).cast("long"), F.lit(0)))
-    r.add([("_start", "last", F.when(F.col("_chg"), F.col("_g"))),
-           ("first_round", "last", F.when(F.col("_chg"), F.col("round_id"))),
-           ("_C", "sum", "_rc")])
-    r.with_column("_k", F.col("_g") - F.col("_start") + 1)
-    p = r.add([("_C2", "last", F.when(F.col("_k") == 2, F.col("_C")))])
-    state = p.select(by, order, "first_round",
-                     F.when(F.col("_k") >= 3, F.col("_C") - F.col("_C2")).otherwise(F.lit(0)).cast("long").alias("rounds"),
-                     ((F.col("_k") >= 2) & (F.col("round_id") != F.col("first_round"))).alias("stale"))
+    r.add([("_v1", "lag", "_v"), ("_v2", "lag2", "_v"), ("_pr", "lag", "round_id")])
+    r.with_column("_chg", ~F.col("_v1").eqNullSafe(F.col("_v")))
+    third = ~F.col("_chg") & F.col("_v2").eqNullSafe(F.col("_v1"))  # neither this poll nor the one before opens an island
+    r.with_column("_rc", (third & (F.col("round_id") != F.col("_pr"))).cast("long"))
+    p = r.add([("first_round", "last", F.when(F.col("_chg"), F.col("round_id"))), ("rounds", "since", ("_rc", "_chg"))])
+    state = p.select(by, order, "first_round", "rounds", (~F.col("_chg") & (F.col("round_id") != F.col("first_round"))).alias("stale"))
     out = polls.join(state, [by, order], "left")
     return out.withColumn("stale", F.coalesce(F.col("stale"), F.lit(False)))
 
 
 def crit_streak(polls: DataFrame, by: str = "uid", order: str = "poll", confirm: int = 2) -> DataFrame:
-    """Consecutive CRIT polls; an action is confirmed at ``confirm`` in a row.
-
-    streak = CRIT polls so far minus CRIT polls up to the last non-CRIT poll
-    (two running-scan passes)."""
-    r = Running(polls.withColumn("_crit", F.col("crit").cast("long")), [by], [order])
-    r.add([("_cc", "sum", "_crit")])
-    r.add([("_base", "last", F.when(~F.col("crit"), F.col("_cc")))])
-    p = r.result().withColumn("streak", (F.col("_cc") - F.coalesce(F.col("_base"), F.lit(0))).cast("long"))
-    return p.withColumn("confirmed", F.col("streak") >= confirm).drop("_crit", "_cc", "_base")
+    """Consecutive CRIT polls, a sum since the last other poll; an action is confirmed at ``confirm`` in a row."""
+    r = Running(polls, [by], [order])
+    r.add([("streak", "since", (F.col("crit").cast("long"), ~F.col("crit")))])
+    return r.result(keep=True).withColumn("confirmed", F.col("streak") >= confirm)
 
 
 def alert_rows(polls: DataFrame) -> DataFrame:
@@ -84,74 +70,71 @@ def alert_key(stable_rule: bool = False) -> Column:
     return F.concat_ws(":", F.col("uid").cast("string"), F.col("severity"), body)
 
 
-def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S, hot: int = HOT_KEY_ALERTS) -> DataFrame:
+def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S, segments: int | None = None) -> DataFrame:
     """T3 batch twin: emit an alert when >= repeat_s passed since the key's last
     *emission* (not its last occurrence), so ``lag`` cannot express it.
 
-    Keys with at most ``hot`` alerts (one miner's message prefix, the usual
-    case) are folded in the JVM: the key's alerts are sorted and walked by
-    ``aggregate`` carrying (last emission, emitted rows). Larger keys take an
-    exact path that never gathers a key in one task: see :func:`_emission_chain`.
+    A key's alerts are cut into segments. What a segment makes of the last
+    emission before it is a step function: only alerts up to ``repeat_s`` behind
+    the segment's first, and the one after, can be emitted first, and each leads
+    to one last emission. The functions of a key's segments are composed in
+    order (one row a segment), which gives every segment its last emission
+    before; then all segments emit in parallel. Keys that lie in one segment
+    need no function.
     """
     keyed = alerts.withColumn("key", alert_key()).withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
-    sizes = reuse(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")))  # one row per key
-    cols = ["key", "uid", "poll", "ts", "severity", "message"]
-    hot_keys = sizes.filter(F.col("_n") > hot)
-    if hot_keys.limit(1).count() == 0:
-        return _fold_emissions(keyed, repeat_s).select(*cols)
-    keyed = keyed.join(sizes, "key")
-    small = _fold_emissions(keyed.filter(F.col("_n") <= hot), repeat_s)
-    large = _emission_chain(keyed.filter(F.col("_n") > hot).drop("_n"), repeat_s)
-    return small.select(*cols).unionByName(large.select(*cols))
-
-
-def _fold_emissions(keyed: DataFrame, repeat_s: int) -> DataFrame:
+    r = Running(keyed, ["key"], ["_t", "poll"], segments)
+    gap = repeat_s * 1_000_000
     item = F.struct("_t", "poll", "uid", "ts", "severity", "message")
-    g = keyed.groupBy("key").agg(F.array_sort(F.collect_list(item)).alias("_a"))
-    item_type = keyed.select(item.alias("x")).schema["x"].dataType
-    init = F.struct(F.lit(None).cast("long").alias("last"),
-                    F.array().cast(T.ArrayType(item_type)).alias("out"))
-    gap = F.lit(repeat_s * 1_000_000)
-
-    def step(acc, x):
-        fire = acc["last"].isNull() | (x["_t"] - acc["last"] >= gap)
-        return F.when(fire, F.struct(x["_t"].alias("last"), F.concat(acc["out"], F.array(x)).alias("out"))) \
-                .otherwise(acc)
-
-    out = g.select("key", F.explode(F.aggregate("_a", init, step)["out"]).alias("e"))
+    held = r.df.groupBy(r.seg, "key").agg(F.array_sort(F.collect_list(item)).alias("_a"))
+    if r.cuts.points:
+        hot = r.df.filter(F.xxhash64("key").isin(r.cuts.keys)).groupBy(r.seg, "key").agg(F.array_sort(F.collect_set("_t")).alias("_ts"))
+        steps = hot.select("key", F.struct(F.col(r.seg).alias("seg"), _last_emissions(F.col("_ts"), gap).alias("steps")).alias("s"))
+        chain = steps.groupBy("key").agg(F.array_sort(F.collect_list("s")).alias("c"))
+        carry = chain.select("key", F.explode(_composed(F.col("c"))).alias("b")).select(
+            F.col("key").alias("_k"), F.col("b.seg").alias("_s"), F.col("b.last").alias("_before"))
+        held = held.join(F.broadcast(carry), (F.col("key") == F.col("_k")) & (F.col(r.seg) == F.col("_s")), "left")
+    else:
+        held = held.withColumn("_before", F.lit(None).cast("long"))
+    out = held.select("key", F.explode(_emitted(F.col("_a"), F.col("_before"), gap, keyed.select(item.alias("x")).schema["x"].dataType)).alias("e"))
     return out.select("key", "e.uid", "e.poll", "e.ts", "e.severity", "e.message")
 
 
-def _emission_chain(keyed: DataFrame, repeat_s: int) -> DataFrame:
-    """Exact emissions for large keys without gathering a key anywhere.
+def _emitted(items: Column, before: Column, gap: int, item_type: T.DataType) -> Column:
+    """The emitted ones of sorted alerts; emissions are a repeat apart, so the list that grows is short."""
+    init = F.struct(before.alias("last"), F.array().cast(T.ArrayType(item_type)).alias("out"))
+    return F.aggregate(items, init, lambda acc, x: F.when(
+        acc["last"].isNull() | (x["_t"] - acc["last"] >= gap),
+        F.struct(x["_t"].alias("last"), F.concat(acc["out"], F.array(x)).alias("out"))).otherwise(acc))["out"]
 
-    1. number each key's alerts by (time, poll) with the skew-safe sequence;
-    2. next(i) = the first alert at or after t_i + repeat_s: a reverse-ordered
-       scan (``last`` over time descending) of alerts and probes together;
-    3. emissions are the chain head, next(head), next(next(head)), ...:
-       pointer doubling -- S <- S + P(S), P <- P o P -- one join round per
-       doubling, each round pinned with ``checkpoint``.
-    """
-    gap = repeat_s * 1_000_000
-    idx = sequence_within(keyed, ["key"], ["_t", "poll"], "_i")
-    ev = idx.select("key", (-F.col("_t")).alias("_nt"), F.lit(0).alias("_side"), (-F.col("_i")).alias("_ni"),
-                    F.col("_i").alias("_ev"))
-    pr = idx.select("key", (-(F.col("_t") + gap)).alias("_nt"), F.lit(1).alias("_side"), (-F.col("_i")).alias("_ni"),
-                    F.lit(None).cast("long").alias("_ev"))
-    order = ["_nt", "_side", "_ni"]
-    nx = scan(layout(ev.unionByName(pr), ["key"], order), ["key"], order, [("_nx", "last", "_ev")], pin=False)
-    pointers = reuse(nx.filter(F.col("_side") == 1).select("key", (-F.col("_ni")).alias("i"), F.col("_nx").alias("j")))
-    reached = reuse(idx.filter(F.col("_i") == 0).select("key", F.col("_i").alias("i")))
-    while True:
-        step = reached.join(pointers, ["key", "i"]).filter(F.col("j").isNotNull()).select("key", F.col("j").alias("i"))
-        fresh = step.join(reached, ["key", "i"], "left_anti")
-        if fresh.limit(1).count() == 0:
-            break
-        reached = reuse(reached.unionByName(fresh).distinct())
-        jumped = (pointers.alias("a").join(pointers.alias("b"),
-                                           (F.col("a.key") == F.col("b.key")) & (F.col("a.j") == F.col("b.i")), "left")
-                  .select(F.col("a.key").alias("key"), F.col("a.i").alias("i"), F.col("b.j").alias("j")))
-        pointers = reuse(jumped)
-    return idx.join(reached.withColumnRenamed("i", "_i"), ["key", "_i"], "left_semi")
 
+_STEPS = "array<struct<upto:bigint,last:bigint>>"
+
+
+def _last_emissions(times: Column, gap: int) -> Column:
+    """Steps (upto, last): a last emission before the segment of at most ``upto``, and above the step before, leads to ``last``."""
+    first = F.element_at(times, 1)
+    init = F.struct(F.lit(None).cast("long").alias("prev"), F.lit(None).cast("long").alias("oldest"), F.array().cast(_STEPS).alias("steps"))
+
+    def step(acc: Column, t: Column) -> Column:
+        fires = acc["oldest"] <= t - gap
+        moved = F.when(fires, F.transform(acc["steps"], lambda s: F.struct(
+            s["upto"].alias("upto"), F.when(s["last"] <= t - gap, t).otherwise(s["last"]).alias("last")))).otherwise(acc["steps"])
+        opens = acc["prev"].isNull() | (acc["prev"] < first + gap)  # may be the first emission of the segment
+        steps = F.when(opens, F.concat(moved, F.array(F.struct((t - gap).alias("upto"), t.alias("last"))))).otherwise(moved)
+        oldest = F.when(fires | acc["oldest"].isNull(), F.array_min(F.transform(steps, lambda s: s["last"]))).otherwise(acc["oldest"])
+        return F.struct(t.alias("prev"), oldest.alias("oldest"), steps.alias("steps"))
+
+    return F.aggregate(times, init, step)["steps"]
+
+
+def _composed(chain: Column) -> Column:
+    """(seg, last emission before it) of a key's segments (seg, steps) in order."""
+    init = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<struct<seg:int,last:bigint>>").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        taken = F.filter(s["steps"], lambda x: acc["last"].isNull() | (acc["last"] <= x["upto"]))
+        return F.struct(F.coalesce(F.get(taken, F.lit(0))["last"], acc["last"]).alias("last"),
+                        F.concat(acc["out"], F.array(F.struct(s["seg"].alias("seg"), acc["last"].alias("last")))).alias("out"))
 
+    return F.aggregate(chain, init, step)["out"]

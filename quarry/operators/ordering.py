@@ -1,24 +1,9 @@
 """Order-dependent primitives that stay parallel when one group is huge.
 
 A ``row_number() OVER (PARTITION BY shard ORDER BY ...)`` sends a whole shard to
-one task; if one shard holds a third of the corpus, that task holds a third of
-the corpus. :func:`sequence_within` gives the same numbers with the work spread
-over range partitions:
-
-1. project the narrow (keys, order) columns and range-partition them by
-   (keys, order), sorted inside each partition, so each partition is a
-   contiguous run of the global order even inside one hot key;
-2. tag rows with ``monotonically_increasing_id`` (partition id in the high
-   bits, position in the low 33 bits) in the same stage as the sort, and write
-   that narrow result with ``checkpoint()`` to the shared checkpoint folder.
-   Range bounds are sampled per exchange, so two un-pinned branches could
-   disagree; the checkpoint fixes ids once and survives executor loss;
-3. count rows per (partition, key) -- at most ``partitions + keys`` rows --
-   turn the counts into running offsets, broadcast them back;
-4. join the numbered (keys, order) back to the wide rows on (keys, order),
-   a hash join on a unique key that spreads a hot key over all partitions.
-
-(keys, order) must be unique per row.
+one task. :func:`sequence_within` gives the same numbers from the segmented scan
+of :mod:`quarry.operators.scan`; :func:`first_n` keeps a literal number of rows
+per key before the shuffle.
 """
 
 from __future__ import annotations
@@ -28,77 +13,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir, shuffle_partitions, skew_threshold
-
-_LOW_BITS = (1 << 33) - 1
-
-
-def _cols(names: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in names]
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
-                   how: str = "inner") -> DataFrame:
-    """Equi-join on ``on`` with NULL matching NULL, keeping one copy of the keys."""
-    ren = {c: f"_q_r_{i}" for i, c in enumerate(on)}
-    r = right.select(*[F.col(c).alias(ren[c]) if c in ren else F.col(c) for c in right.columns])
-    cond = [F.col(c).eqNullSafe(F.col(ren[c])) for c in on]
-    return left.join(r, cond, how).drop(*ren.values())
-
-
-def max_group_rows(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest group: a narrow partial aggregate returning one number."""
-    keys = list(keys)
-    if not keys:
-        return df.count()
-    counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.max("_n")).first()[0] or 0
-
-
-def groups_fit_one_task(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Size check: every group is below ``quarry.skew.maxGroupRows``.
-
-    The total row count is checked first (no shuffle; footers for a plain
-    Parquet scan): if the whole input fits, every group does. Only larger
-    inputs pay for the per-key count.
-    """
-    bound = skew_threshold(df.sparkSession)
-    if df.count() <= bound:
-        return True
-    return max_group_rows(df, keys) <= bound
+from quarry.operators.scan import Running
 
 
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    name: str = "pos", partitions: int | None = None) -> DataFrame:
-    """``row_number() - 1`` over (PARTITION BY keys ORDER BY order), skew-safe.
+                    name: str = "pos", segments: int | None = None, keep: bool = False) -> DataFrame:
+    """``row_number() - 1`` over (PARTITION BY keys ORDER BY order), in segments: one shuffle of the rows.
 
-    When the largest group fits the skew bound this is that window; beyond it
-    the segmented numbering below runs. The offset table has at most
-    ``partitions + distinct keys`` rows; how it is joined is left to AQE.
+    ``keep`` leaves the segment column, so that a later scan in the same order needs no shuffle.
     """
-    keys, order = list(keys), list(order)
-    if groups_fit_one_task(df, keys):
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or shuffle_partitions(spark)
-    cols = keys + order
-    laid = (df.select(*cols).repartitionByRange(n, *_cols(cols)).sortWithinPartitions(*cols)
-              .withColumn("_q_mid", F.monotonically_increasing_id())
-              .select(*cols, F.shiftright("_q_mid", 33).alias("_q_part"),
-                      F.col("_q_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_q_local")))
-    laid = laid.checkpoint(eager=True)
-    spans = laid.groupBy("_q_part", *keys).agg(
-        F.min("_q_local").alias("_q_first"), F.count(F.lit(1)).alias("_q_n"))
-    before = (Window.partitionBy(*keys).orderBy("_q_part")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    spans = spans.select(
-        "_q_part", *keys,
-        (F.coalesce(F.sum("_q_n").over(before), F.lit(0)) - F.col("_q_first")).alias("_q_base"))
-    numbered = (null_safe_join(laid, spans, ["_q_part", *keys])
-                .select(*cols, (F.col("_q_local") + F.col("_q_base")).alias(name)))
-    return null_safe_join(df, numbered, cols)
+    r = Running(df, keys, order, segments)
+    r.add([(name, "count", None)])
+    return r.result(keep).withColumn(name, F.col(name) - 1)
 
 
 def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,

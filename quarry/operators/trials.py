@@ -161,13 +161,11 @@ def stable_checkpoint(curve: DataFrame, mode: str = "stable") -> DataFrame:
     points) over scored checkpoints; needs >= 3, else the plain argmin; ties go to
     the lowest step. A uid with no scored checkpoint falls back to its newest.
 
-    Neighbours come from two skew-safe scans (previous step ascending, next step
-    descending); the mean adds (prev + cur) + next like a running frame does.
+    Neighbours come from one segmented scan; the mean adds (prev + cur) + next
+    like a running frame does.
     """
-    sc = scored_checkpoints(curve).withColumn("_rstep", -F.col("step"))
-    prev = Running(sc, ["uid"], ["step"]).add([("_prev", "lag", "loss")], pin=False)
-    nxt = Running(sc, ["uid"], ["_rstep"]).add([("_next", "lag", "loss")], pin=False)
-    sc = prev.select("uid", "step", "loss", "_prev").join(nxt.select("uid", "step", "_next"), ["uid", "step"])
+    r = Running(scored_checkpoints(curve), ["uid"], ["step"])
+    sc = r.add([("_prev", "lag", "loss"), ("_next", "lead", "loss")])
     cnt = 1 + F.col("_prev").isNotNull().cast("int") + F.col("_next").isNotNull().cast("int")
     sc = sc.withColumn("smoothed", (F.coalesce(F.col("_prev"), F.lit(0.0)) + F.col("loss")
                                     + F.coalesce(F.col("_next"), F.lit(0.0))) / cnt)

@@ -16,16 +16,25 @@ from quarry.sources import fixtures as V
 from quarry.sources.files import current_version, read_corpus, repack
 from quarry.sources.tables import load
 
-# Query parameters (driver runs sf0.01: 20 shards x 50 rows).
-C1_ROWS = 300
-A18_ROWS = 600
-C2_ROWS, C2_SHARDS, C2_NOMINAL = 200, 7, 60
+# Query parameters: row budgets in thousandths of the corpus, so samples grow with it; the nominal
+# shard of C2 is a little larger than the mean one, as an estimate would be.
+C1_SHARE, A18_SHARE, C2_SHARE, C2_NOMINAL_SHARE = 300, 600, 200, 60
+C2_SHARDS = 7
 MIX_WEIGHTS = [("en", 0.5, 0), ("fr", 0.2, 1), ("de", 0.2, 2), ("es", 0.1, 3)]
 SEQ_LEN = 64
 SEED = "5eed"
 
 
-def quota_sql(cat: str, rows: int) -> str:
+def budget(spark: SparkSession, sf: str, share: int) -> int:
+    """Rows of ``share`` thousandths of the corpus, from the file footers."""
+    return load(spark, sf, "documents").count() * share // 1000
+
+
+def budget_sql(share: int) -> str:
+    return f"(SELECT count(*) * {share} // 1000 FROM documents)"
+
+
+def quota_sql(cat: str, rows: int | str) -> str:
     """CTEs turning catalogue ``cat(ord, n_rows, ...)`` into ``quotas``."""
     return f"""
 q0 AS (SELECT *, count(*) OVER () AS n_, least(CAST({rows} AS BIGINT), sum(n_rows) OVER ()) AS rr,
@@ -118,31 +127,31 @@ WITH cat AS (SELECT shard, ord, count(*) AS n_rows FROM docs GROUP BY shard, ord
 SELECT shard, ord, n_rows FROM (SELECT *, greatest(1, count(*) OVER () // 7) AS step FROM cat)
 WHERE ord % step = 0 AND ord // step < 7""")
 def f12_spread_shards(spark, sf):
-    return C.spread_shards(C.shard_catalog(V.docs(spark, sf)), 7).select("shard", "ord", "n_rows")
+    return C.spread_shards(C.shard_catalog(V.docs(spark, sf, numbered=False)), 7).select("shard", "ord", "n_rows")
 
 
 # ------------------------------------------------------------------ A18, C1, C2
 @register("a18_quota_allocation", f"""
 WITH cat AS (SELECT shard, lang, row_number() OVER (ORDER BY shard, lang) - 1 AS ord, count(*) AS n_rows
              FROM docs GROUP BY shard, lang),
-{quota_sql('cat', A18_ROWS)}
+{quota_sql('cat', budget_sql(A18_SHARE))}
 SELECT shard, lang, ord, n_rows, quota FROM quotas""")
 def a18_quota_allocation(spark, sf):
-    cat = (V.docs(spark, sf).groupBy("shard", "lang").agg(F.count(F.lit(1)).alias("n_rows"))
+    cat = (V.docs(spark, sf, numbered=False).groupBy("shard", "lang").agg(F.count(F.lit(1)).alias("n_rows"))
            .withColumn("ord", (F.row_number().over(Window.orderBy("shard", "lang")) - 1).cast("long")))
-    return C.allocate_quotas(cat, A18_ROWS).select("shard", "lang", "ord", "n_rows", "quota")
+    return C.allocate_quotas(cat, budget(spark, sf, A18_SHARE)).select("shard", "lang", "ord", "n_rows", "quota")
 
 
 @register("c1_uniform_shard_sample", f"""
 WITH cat AS (SELECT shard, ord, count(*) AS n_rows FROM docs GROUP BY shard, ord),
-{quota_sql('cat', C1_ROWS)},
+{quota_sql('cat', budget_sql(C1_SHARE))},
 cnd AS (SELECT d.shard, d.pos, d.doc_id, d.n_chars, d.text, q.quota, greatest(1, q.n_rows // q.quota) AS stride
          FROM docs d JOIN quotas q ON d.shard = q.shard WHERE q.quota > 0),
 surv AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY pos) - 1 AS si
          FROM cnd WHERE pos % stride = 0 AND length(text) >= 200)
 SELECT shard, pos, doc_id, n_chars, quota FROM surv WHERE si < quota""")
 def c1_uniform_shard_sample(spark, sf):
-    out = C.uniform_shard_sample(V.docs(spark, sf), C1_ROWS, 200)
+    out = C.uniform_shard_sample(V.docs(spark, sf), budget(spark, sf, C1_SHARE), 200)
     return out.select("shard", "pos", "doc_id", "n_chars", "quota")
 
 
@@ -159,13 +168,13 @@ def w15_first_quota_survivors(spark, sf):
 WITH cat AS (SELECT shard, ord, count(*) AS n_rows FROM docs GROUP BY shard, ord),
 picks AS (SELECT shard FROM (SELECT *, greatest(1, count(*) OVER () // {C2_SHARDS}) AS step FROM cat)
           WHERE ord % step = 0 AND ord // step < {C2_SHARDS}),
-pq AS (SELECT shard, greatest(1, {C2_ROWS} // count(*) OVER ()) AS quota FROM picks),
-cnd AS (SELECT d.shard, d.pos, d.doc_id, p.quota, greatest(1, {C2_NOMINAL} // p.quota) AS stride
+pq AS (SELECT shard, greatest(1, {budget_sql(C2_SHARE)} // count(*) OVER ()) AS quota FROM picks),
+cnd AS (SELECT d.shard, d.pos, d.doc_id, p.quota, greatest(1, {budget_sql(C2_NOMINAL_SHARE)} // p.quota) AS stride
          FROM docs d JOIN pq p ON d.shard = p.shard WHERE length(d.text) >= 200),
 surv AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY pos) - 1 AS si FROM cnd WHERE pos % stride = 0)
 SELECT shard, pos, doc_id, quota FROM surv WHERE si < quota""")
 def c2_spread_sample(spark, sf):
-    out = C.spread_sample(V.docs(spark, sf), C2_ROWS, C2_SHARDS, C2_NOMINAL)
+    out = C.spread_sample(V.docs(spark, sf), budget(spark, sf, C2_SHARE), C2_SHARDS, budget(spark, sf, C2_NOMINAL_SHARE))
     return out.select("shard", "pos", "doc_id", "quota")
 
 
@@ -192,7 +201,7 @@ SELECT lang, CAST(rows AS BIGINT) AS rows, shards, rows / sum(rows) OVER () AS r
        shards / ts AS shard_share, (rows / sum(rows) OVER ()) / (shards / ts) AS ratio
 FROM g, t""")
 def a15_composition_audit(spark, sf):
-    return C.composition_audit(V.docs(spark, sf), "lang")
+    return C.composition_audit(V.docs(spark, sf, numbered=False), "lang")
 
 
 @register("a16_quality_profile", """
@@ -204,14 +213,14 @@ p AS (SELECT shard, left(text, 200) AS pf, count(*) AS c FROM docs WHERE text IS
 d AS (SELECT shard, sum(CASE WHEN c > 1 THEN c ELSE 0 END) AS dup FROM p GROUP BY shard)
 SELECT base.*, coalesce(d.dup, 0) * 100.0 / rows AS pct_dup_prefix FROM base LEFT JOIN d USING (shard)""")
 def a16_quality_profile(spark, sf):
-    return C.quality_profile(V.docs(spark, sf), "shard", 200)
+    return C.quality_profile(V.docs(spark, sf, numbered=False), "shard", 200)
 
 
 @register("a17_length_profile", """
 SELECT shard, median(length(text)) AS median_chars, min(length(text)) AS min_chars,
        max(length(text)) AS max_chars, count(*) AS rows FROM docs GROUP BY shard""")
 def a17_length_profile(spark, sf):
-    return C.length_profile(V.docs(spark, sf), "shard")
+    return C.length_profile(V.docs(spark, sf, numbered=False), "shard")
 
 
 # ------------------------------------------------------------------ C3, F11
@@ -272,7 +281,7 @@ SELECT doc_id, n_tokens, start, len(wnd) AS window_len,
        md5(array_to_string(list_transform(wnd, lambda x: CAST(x AS VARCHAR)), ',')) AS window_md5 FROM win2""")
 def c5_token_window(spark, sf):
     # window the token strings, then hash only the window's tokens to ids
-    w = C.token_window(X.default_tokens(V.docs(spark, sf)), SEQ_LEN, ids="tokens")
+    w = C.token_window(X.default_tokens(V.docs(spark, sf, numbered=False)), SEQ_LEN, ids="tokens")
     w = w.withColumn("window", X.ids_of("window"))
     return w.select("doc_id", "n_tokens", "start", F.size("window").cast("long").alias("window_len"),
                     F.md5(F.array_join(F.transform("window", lambda x: x.cast("string")), ",")).alias("window_md5"))
@@ -283,7 +292,7 @@ SELECT doc_id, list_resize(wnd[1:{SEQ_LEN}], {SEQ_LEN}, 0) AS input_ids,
        list_resize(list_transform(wnd[1:{SEQ_LEN}], lambda x: 1), {SEQ_LEN}, 0) AS attention_mask,
        list_resize(wnd[1:{SEQ_LEN}], {SEQ_LEN}, -100) AS labels FROM win2""")
 def c6_pad_truncate(spark, sf):
-    w = C.token_window(X.default_tokens(V.docs(spark, sf)), SEQ_LEN, ids="tokens")
+    w = C.token_window(X.default_tokens(V.docs(spark, sf, numbered=False)), SEQ_LEN, ids="tokens")
     w = w.withColumn("window", X.ids_of("window"))
     return C.pad_truncate(w, SEQ_LEN, "window").select("doc_id", "input_ids", "attention_mask", "labels")
 
@@ -310,7 +319,7 @@ WITH cat AS (SELECT DISTINCT shard FROM docs), p AS (SELECT unnest(range(0, 3))
 SELECT pass, shard, row_number() OVER (PARTITION BY pass ORDER BY sha256(concat('{SEED}', ':', CAST(pass AS VARCHAR), ':', shard)), shard) - 1 AS rank
 FROM cat, p""")
 def c8_seeded_shard_order(spark, sf):
-    return C.seeded_shard_order(C.shard_catalog(V.docs(spark, sf)).select("shard"), SEED, 3)
+    return C.seeded_shard_order(C.shard_catalog(V.docs(spark, sf, numbered=False)).select("shard"), SEED, 3)
 
 
 @register("c9_pin_check", """
@@ -322,7 +331,7 @@ SELECT t.shard, p.pin IS NOT NULL AS pinned, count(*) AS rows,
        p.pin IS NOT NULL AND count(CASE WHEN t.revision IS DISTINCT FROM p.pin THEN 1 END) = 0 AS ok
 FROM tagged t LEFT JOIN pins p USING (shard) GROUP BY t.shard, p.pin""")
 def c9_pin_check(spark, sf):
-    d = V.docs(spark, sf)
+    d = V.docs(spark, sf, numbered=False)
     pins = (d.select("shard", "ord").distinct()
             .select("shard", F.when(F.col("ord") < 18, F.concat(F.lit("r"), (F.col("ord") % 3).cast("string"))).alias("pin")))
     rows = d.select("shard", F.when(F.col("doc_id") % 97 == 0, F.lit("stale"))
@@ -333,7 +342,7 @@ def c9_pin_check(spark, sf):
 # ------------------------------------------------------------------ S11, S12
 _MANIFEST_SQL = f"""
 cat AS (SELECT shard, ord, count(*) AS n_rows FROM docs GROUP BY shard, ord),
-{quota_sql('cat', C1_ROWS)},
+{quota_sql('cat', budget_sql(C1_SHARE))},
 cnd AS (SELECT d.shard, d.lang, d.pos, d.text, q.quota, greatest(1, q.n_rows // q.quota) AS stride
          FROM docs d JOIN quotas q ON d.shard = q.shard WHERE q.quota > 0),
 surv AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY pos) - 1 AS si
@@ -347,7 +356,7 @@ old_m AS (SELECT lang AS path, count(*) AS rows, count(DISTINCT shard) AS shards
 
 @register("s11_build_manifest", f"WITH {_MANIFEST_SQL}\nSELECT * FROM new_m")
 def s11_build_manifest(spark, sf):
-    sample = C.uniform_shard_sample(V.docs(spark, sf), C1_ROWS, 200)
+    sample = C.uniform_shard_sample(V.docs(spark, sf), budget(spark, sf, C1_SHARE), 200)
     return C.build_manifest(sample, "lang", 200, "uniform-per-shard")
 
 
@@ -358,18 +367,18 @@ SELECT o.path, coalesce(n.rows, o.rows) AS rows, coalesce(n.shards, o.shards) AS
 FROM old_m o LEFT JOIN (SELECT * FROM new_m WHERE path = 'fr') n ON o.path = n.path""")
 def s12_update_manifest(spark, sf):
     d = V.docs(spark, sf)
-    old = (C.build_manifest(d, "lang", 0, "head").withColumn("seconds", F.lit(12.5)))
-    new = C.build_manifest(C.uniform_shard_sample(d, C1_ROWS, 200), "lang", 200, "uniform-per-shard")
+    old = (C.build_manifest(V.docs(spark, sf, numbered=False), "lang", 0, "head").withColumn("seconds", F.lit(12.5)))
+    new = C.build_manifest(C.uniform_shard_sample(d, budget(spark, sf, C1_SHARE), 200), "lang", 200, "uniform-per-shard")
     return C.update_manifest(old, new.filter(F.col("path") == "fr"))
 
 
 @register("j13_quota_join", f"""
 WITH cat AS (SELECT shard, ord, count(*) AS n_rows FROM docs GROUP BY shard, ord),
-{quota_sql('cat', C1_ROWS)}
+{quota_sql('cat', budget_sql(C1_SHARE))}
 SELECT d.shard, d.pos, d.doc_id, q.quota, greatest(1, q.n_rows // q.quota) AS stride
 FROM docs d JOIN quotas q ON d.shard = q.shard WHERE q.quota > 0""")
 def j13_quota_join(spark, sf):
     d = V.docs(spark, sf)
-    q = C.allocate_quotas(C.shard_catalog(d), C1_ROWS).filter(F.col("quota") > 0).select(
+    q = C.allocate_quotas(C.shard_catalog(V.docs(spark, sf, numbered=False)), budget(spark, sf, C1_SHARE)).filter(F.col("quota") > 0).select(
         "shard", "quota", F.greatest(F.lit(1), F.expr("n_rows div quota")).alias("stride"))
     return d.join(q, "shard").select("shard", "pos", "doc_id", "quota", "stride")

@@ -80,7 +80,7 @@ def x3_strip_revision(spark, sf):
 SELECT DISTINCT shard, lang, replace(CASE WHEN lang = 'en' THEN concat('org/', shard)
                                           ELSE concat('org/', shard, '__', lang) END, '/', '__') AS dir FROM docs""")
 def x5_source_dir_name(spark, sf):
-    d = V.docs(spark, sf).select("shard", "lang").distinct()
+    d = V.docs(spark, sf, numbered=False).select("shard", "lang").distinct()
     name = F.when(F.col("lang") != "en", F.col("lang"))
     return d.select("shard", "lang", X.source_dir_name(F.concat(F.lit("org/"), F.col("shard")), name).alias("dir"))
 
@@ -108,7 +108,7 @@ def x8_lenient_json(spark, sf):
 SELECT DISTINCT shard, CAST(('0x' || substr(sha256(concat_ws(':', 'pick', shard, '{SEED}')), 1, 15)) AS BIGINT) AS h,
        CAST(('0x' || substr(sha256(concat_ws(':', 'pick', shard, '{SEED}')), 1, 15)) AS BIGINT) % 7 AS pick FROM docs""")
 def x9_seeded_pick(spark, sf):
-    d = V.docs(spark, sf).select("shard").distinct()
+    d = V.docs(spark, sf, numbered=False).select("shard").distinct()
     return d.select("shard", H.seeded_int("pick", F.col("shard"), SEED).alias("h"),
                     H.seeded_pick(F.lit(7), "pick", F.col("shard"), SEED).alias("pick"))
 
@@ -116,7 +116,7 @@ def x9_seeded_pick(spark, sf):
 @register("x10_seed_parse", """
 SELECT DISTINCT shard, CAST(('0x' || left(md5(shard), 8)) AS BIGINT) AS seed FROM docs""")
 def x10_seed_parse(spark, sf):
-    d = V.docs(spark, sf).select("shard").distinct()
+    d = V.docs(spark, sf, numbered=False).select("shard").distinct()
     return d.select("shard", H.seed_from_string(F.md5("shard")).alias("seed"))
 
 
@@ -331,7 +331,7 @@ def s11_manifest_roundtrip(spark, sf):
     from quarry.operators.corpus import build_manifest
     from quarry.sources.files import read_manifest, write_manifest
 
-    m = build_manifest(V.docs(spark, sf), "lang", 200, "uniform-per-shard").select("path", "rows", "shards")
+    m = build_manifest(V.docs(spark, sf, numbered=False), "lang", 200, "uniform-per-shard").select("path", "rows", "shards")
     path = scratch_path(spark, f"manifest-{uuid.uuid4().hex[:10]}")
     write_manifest(m, path, {"expert_group": "docs", "sequence_length": 1024})
     return read_manifest(spark, path, "path: string, rows: bigint, shards: bigint")

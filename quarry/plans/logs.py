@@ -210,7 +210,7 @@ SELECT uid, tier AS severity, count(*) AS n FROM (
                    WHEN log_age > 900 THEN 'WARN' ELSE 'OK' END AS tier FROM polls) WHERE tier <> 'OK'
 GROUP BY uid, tier""")
 def a21_alert_counts(spark, sf):
-    p = V.polls(spark, sf).withColumn("severity", L.severity_tier(F.col("log_age")))
+    p = V.polls(spark, sf, numbered=False).withColumn("severity", L.severity_tier(F.col("log_age")))
     return p.filter(F.col("severity") != "OK").groupBy("uid", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 

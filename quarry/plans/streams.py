@@ -1,8 +1,8 @@
 """Streaming queries (T1-T8): each drains a Structured Streaming query over the
 driver tables into the shared checkpoint folder and returns what it wrote.
 
-Oracles are the batch twins' SQL; T5 keeps only windows closed by the final
-watermark, and T8's timer rows are those due at the final watermark.
+Oracles are the batch twins' SQL; T8's timer rows are those due at the final
+watermark.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from quarry.sources import fixtures as V
 from quarry.sources.snapshots import snapshots_to_json
 from quarry.streaming import stateful as S
 from quarry.streaming.core import drain, drain_batches, table_stream
+from quarry.streaming.trailing import current_signatures, trailing_signatures
 
 RECORDER_BOUND = 200
 
@@ -92,18 +93,19 @@ def t4_crit_streak_stream(spark, sf):
 
 
 @register("t5_signature_windows", r"""
-WITH pl AS (SELECT uid, regexp_replace(line, '\x1b\[[0-9;]*m', '', 'g') AS clean FROM logs),
-ev AS (SELECT uid, clean, try_strptime(left(clean, 19), '%Y-%m-%d %H:%M:%S') AS ts FROM pl),
-st AS (SELECT * FROM ev WHERE ts IS NOT NULL),
-sig AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{p}', '{s}')" for i, (p, s, _) in enumerate(L.SIGNATURES)) + r""") t(sig, pattern, severity)),
-h AS (SELECT time_bucket(INTERVAL 30 MINUTE, st.ts) AS window_start, st.uid, s.sig, s.pattern, s.severity, st.ts
-      FROM st JOIN sig s ON contains(st.clean, s.pattern))
-SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, uid, sig, pattern, severity,
-       min(ts) AS first_at, count(*) AS hits
-FROM h GROUP BY ALL HAVING window_start + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM st) - INTERVAL 30 MINUTE""")
+WITH pl AS (SELECT uid, kind, pos, regexp_replace(line, '\x1b\[[0-9;]*m', '', 'g') AS clean FROM logs),
+ev AS (SELECT *, try_strptime(left(clean, 19), '%Y-%m-%d %H:%M:%S') AS stamp FROM pl),
+st AS (SELECT *, last_value(stamp IGNORE NULLS) OVER (PARTITION BY uid, kind ORDER BY pos ROWS UNBOUNDED PRECEDING) AS ts FROM ev),
+newest AS (SELECT greatest((SELECT max(stamp) FROM ev), (SELECT max(ts) FROM events JOIN ev ON event_id = pos WHERE stamp IS NULL)) AS t),
+sig AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{p}', '{s}')" for i, (p, s, _) in enumerate(L.SIGNATURES)) + r""") t(sig, pattern, severity))
+SELECT uid, kind, sig, pattern, severity, min(ts) AS first_at, max(ts) AS last_at, count(*) AS hits
+FROM st JOIN sig s ON contains(st.clean, s.pattern), newest WHERE ts >= date_trunc('milliseconds', newest.t) - INTERVAL 30 MINUTE
+GROUP BY uid, kind, sig, pattern, severity""")
 def t5_signature_windows(spark, sf):
-    st = S.signature_windows_stream(_events(spark, sf))
-    return _read(spark, drain(st, "t5"), st)
+    """Signatures of the newest 30 minutes; a line without a stamp is as old as the event it came with."""
+    lines = L.parsed_lines(V.logs_from(_events(spark, sf), (F.col("ts").alias("seen"),)))
+    st = trailing_signatures(lines)
+    return current_signatures(_read(spark, drain(st, "t5"), st))
 
 
 @register("t6_eval_recorder", f"""

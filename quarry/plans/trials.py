@@ -345,9 +345,7 @@ def c10_run_record(spark, sf):
         F.max(F.when(F.col("local_eval").isNotNull(), F.struct("pos", "local_eval")))["local_eval"].alias("local_eval"))
     m = B.miner_rows(V.board(spark, sf)).select("uid", "cycle", F.col("val_loss").alias("validator_val_loss"), "baseline", "repo")
     up = PB.uploads_by_cycle(L.parsed_lines(V.logs(spark, sf))).select("uid", "cycle", "upload_repo", "upload_rev")
-    points = (V.curve(spark, sf).groupBy("uid").agg(F.max(F.struct("step", "loss")).alias("_e"))
-              .select("uid", F.col("_e.step").alias("eval_step"), F.col("_e.loss").alias("eval_loss")))
-    j = last.join(m, ["uid", "cycle"], "left").join(up, ["uid", "cycle"], "left").join(points, "uid", "left")
+    j = last.join(m, ["uid", "cycle"], "left").join(up, ["uid", "cycle"], "left").join(V.last_points(spark, sf), "uid", "left")
     return j.select("uid", "cycle", "peak_lr", "data_rank", "local_eval", "validator_val_loss", "baseline",
                     B.delta_plain(F.col("validator_val_loss"), F.col("baseline")).alias("delta"),
                     (F.col("validator_val_loss") - F.col("local_eval")).alias("local_vs_validator"),

@@ -83,12 +83,3 @@ def reuse(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-# A group (key) with more rows than this is never processed in one task.
-SKEW_CONF = "quarry.skew.maxGroupRows"
-SKEW_DEFAULT = 2_000_000
-
-
-def skew_threshold(spark: SparkSession) -> int:
-    return int(spark.conf.get(SKEW_CONF, str(SKEW_DEFAULT)))

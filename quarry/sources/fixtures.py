@@ -5,9 +5,10 @@ Each view maps a driver table onto one of the shapes the operators consume
 chunks, trials, candidates, publishes, commits, train records, settings). They
 are projections and filters over one table, so Catalyst prunes the scan to the
 columns a query touches. Every ordered numbering inside a group (documents
-per source, events per user, orders per ``custkey % 50``) uses the
-range-partitioned ``sequence_within`` instead of a single-task window, so a
-group holding a third of the rows is still numbered in parallel.
+per source, events per user, orders per ``custkey % 50``) uses the segmented
+``sequence_within`` instead of a single-task window, so a group holding a third
+of the rows is still numbered in parallel; ``numbered=False`` leaves it out.
+``_seg_*`` columns are those segments, for later scans of the same series.
 """
 
 from __future__ import annotations
@@ -23,18 +24,14 @@ def _day(ts: str = "ts"):
     return F.dayofmonth(F.col(ts)).cast("int")
 
 
-def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus rows: a source is a shard; ``pos`` is the physical line number.
-
-    ``pos`` is numbered per shard without a per-shard single-task window
-    (see :func:`sequence_within`), so one huge shard does not serialise.
-    """
+def docs(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
+    """Corpus rows: a source is a shard; ``pos`` is the physical line number."""
     d = load(spark, sf_dir, "documents").select(
         F.col("source").alias("shard"),
         F.expr("CAST(substr(source, 4) AS INT)").alias("ord"),
         "doc_id", "text", "lang", "n_chars",
         F.length("text").cast("long").alias("chars"))  # gate on this, so text can be pruned
-    return sequence_within(d, ["shard"], ["doc_id"], "pos")
+    return sequence_within(d, ["shard"], ["doc_id"], "pos", keep=True) if numbered else d
 
 
 def board(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +67,8 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs_from(load(spark, sf_dir, "events"))
 
 
-def logs_from(e: DataFrame) -> DataFrame:
-    """The ``logs`` projection of an events frame (batch or stream)."""
+def logs_from(e: DataFrame, keep: tuple = ()) -> DataFrame:
+    """The ``logs`` projection of an events frame (batch or stream); ``keep`` carries input columns through."""
     eid = F.col("event_id")
     stamp = F.date_trunc("second", F.col("ts")).cast("string")
     rev7 = F.substring(F.md5(eid.cast("string")), 1, 7)
@@ -93,20 +90,22 @@ def logs_from(e: DataFrame) -> DataFrame:
     return e.select(
         F.col("user_id").alias("uid"), eid.alias("pos"),
         F.when(et.isin("signup", "purchase"), "commit").otherwise("train").alias("kind"),
-        line.alias("line"))
+        line.alias("line"), *keep)
 
 
-def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def polls(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
     """Monitor polls: one miner's gauge series, numbered per uid by (ts, event_id)."""
     e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value", "event_type")
-    e = sequence_within(e, ["user_id"], ["ts", "event_id"], "_p0")
-    return poll_rows_from(e.withColumn("poll", F.col("_p0") + 1)).drop("event_id")
+    if not numbered:
+        return poll_rows_from(e).drop("event_id")
+    e = sequence_within(e, ["user_id"], ["ts", "event_id"], "_p0", keep=True)
+    return poll_rows_from(e.withColumn("poll", F.col("_p0") + 1).withColumnRenamed("_seg_user_id", "_seg_uid")).drop("event_id")
 
 
 def poll_rows_from(e: DataFrame) -> DataFrame:
     """The ``polls`` projection; a stream has no ``poll`` number and orders by (ts, event_id)."""
     eid = F.col("event_id")
-    extra = ["poll"] if "poll" in e.columns else []
+    extra = [c for c in ("poll", "_seg_uid") if c in e.columns]
     return e.select(
         F.col("user_id").alias("uid"), *extra, "event_id", "ts",
         _day().alias("round_id"),
@@ -120,13 +119,19 @@ def poll_rows_from(e: DataFrame) -> DataFrame:
 def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eval points per uid; a checkpoint is saved every third step."""
     e = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
-    e = sequence_within(e, ["user_id"], ["event_id"], "_s0")
+    e = sequence_within(e, ["user_id"], ["event_id"], "_s0", keep=True)
     step = ((F.col("_s0") + 1) * 100).cast("long")
     return (e.select(F.col("user_id").alias("uid"), F.col("event_type").alias("grp"), step.alias("step"),
-                     (F.col("value") / 100).alias("loss"), (F.col("event_id") % 3 == 0).alias("saved"))
+                     (F.col("value") / 100).alias("loss"), (F.col("event_id") % 3 == 0).alias("saved"), F.col("_seg_user_id").alias("_seg_uid"))
             .withColumn("name", F.concat(F.lit("globalver_7_inneropt_"), F.col("step").cast("string"))))
 
 
+def last_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest eval point per uid, without numbering the curve."""
+    e = load(spark, sf_dir, "events").groupBy(F.col("user_id").alias("uid"))
+    return e.agg((F.count(F.lit(1)) * 100).alias("eval_step"), (F.max_by("value", "event_id") / 100).alias("eval_loss"))
+
+
 def tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tensor chunks: party 0 is the base; party 3 lacks every fifth key."""
     v = load(spark, sf_dir, "embeddings")

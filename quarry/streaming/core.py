@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 from quarry.session import scratch_path
 
 
+# Keyed state with timers and lists lives in RocksDB; the setting may be given per session.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def table_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
     """Stream the rows of ``<folder>/<table>*.parquet``."""
     schema = spark.read.parquet(f"{folder}/{table}*.parquet").schema

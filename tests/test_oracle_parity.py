@@ -17,13 +17,8 @@ PARITY_SF = os.environ.get("QUARRY_PARITY_SF", SMALL)
 
 
 @pytest.fixture(scope="module")
-def duck_parity(spark):
-    # QUARRY_FORCE_SEGMENTED=1 puts every group over the skew bound, so the
-    # segmented (at-scale) plans are the ones checked.
-    if os.environ.get("QUARRY_FORCE_SEGMENTED"):
-        spark.conf.set("quarry.skew.maxGroupRows", "0")
-    yield duck(PARITY_SF)
-    spark.conf.unset("quarry.skew.maxGroupRows")
+def duck_parity():
+    return duck(PARITY_SF)
 
 
 def test_every_query_has_an_oracle():
