@@ -7,6 +7,9 @@ All are ``DataFrame -> DataFrame`` over rows shaped like the ``docs`` view
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -284,23 +287,48 @@ def weighted_mixture(streams: DataFrame, weights: DataFrame, n: int) -> DataFram
     """First ``n`` draws of a deterministic weighted interleave.
 
     ``streams(src, k, ...)`` numbers each source's rows 0..n_s-1; ``weights(src,
-    weight, sord)`` is the source table. Draw j of source s sits at key
-    ``(j + 0.5) / weight`` (ties by source ordinal); sources repeat endlessly, so
-    row k gives the draws k, k + n_s, k + 2 n_s, ... below ``ceil(n * w_s) + 2``,
-    made where the row lies. A source without rows gives no draws.
+    weight, sord)`` is the source table (one row a source). Draw j of source s sits
+    at key ``(j + 0.5) / weight`` (ties by source ordinal); sources repeat
+    endlessly. A source without rows gives no draws.
+
+    No draw is sorted or numbered: its place in the mixture is its rank, the
+    number of draws of all sources below its key, which each source's weight
+    gives in closed form (two draws either way are tested on the keys
+    themselves, so rounding decides as a sort would). Places run over a range,
+    cut into the sources' draws; one join fetches row ``j mod n_s``.
     """
-    every = Window.partitionBy()
-    total = F.sum("weight").over(every)
-    w = weights.withColumn("_tot", total).withColumn(
-        "_wn", F.when(F.col("_tot") > 0, F.col("weight") / F.col("_tot"))
-        .otherwise(F.raise_error(F.lit("source weights must have a positive sum"))))
-    w = w.select("src", "sord", "weight", (F.ceil(F.lit(n) * F.col("_wn")) + 2).cast("long").alias("_nj"))
-    w = w.join(streams.groupBy("src").agg(F.count(F.lit(1)).alias("_ns")), "src")
-    draws = (streams.join(w, "src").filter(F.col("k") < F.col("_nj"))
-             .withColumn("j", F.explode(F.sequence(F.col("k").cast("long"), F.col("_nj") - 1, F.col("_ns"))))
-             .withColumn("_key", (F.col("j") + 0.5) / F.col("weight")))
-    draws = sequence_within(draws, [], ["_key", "sord"], "mix_idx").filter(F.col("mix_idx") < n)
-    return draws.drop("_ns", "_nj", "_key", "weight")
+    sizes = {r["src"]: r["_ns"] for r in streams.groupBy("src").agg(F.count(F.lit(1)).alias("_ns")).collect()}  # one row a source
+    every = sorted(weights.collect(), key=lambda r: r["sord"])
+    total = sum(r["weight"] for r in every)
+    if not total > 0:
+        raise ValueError("source weights must have a positive sum")
+    used = [(r["src"], float(r["weight"]), r["sord"]) for r in every if r["src"] in sizes and r["weight"] > 0]
+    counts = [math.ceil(n * (w / total)) + 2 for _, w, _ in used]
+    if len(used) < len(every):  # what the missing ones leave goes to the others
+        left = sum(w for _, w, _ in used)
+        counts = [math.ceil(n * (w / left)) + 2 for _, w, _ in used] if left else []
+    ends = list(itertools.accumulate(counts))
+    key = lambda j, w: (j + 0.5) / F.lit(w)
+
+    def below(w: float, sord: int) -> Column:
+        """Draws of a source in front of the draw at ``_key``."""
+        guess = F.greatest(F.lit(0), F.ceil(F.col("_key") * w - 0.5) - 2).cast("long")
+        first = lambda j: (key(j, w) < F.col("_key")) | ((key(j, w) == F.col("_key")) & (F.lit(sord) < F.col("sord")))
+        return guess + functools.reduce(lambda a, b: a + b, [F.when(first(guess + i), 1).otherwise(0) for i in range(5)])
+
+    def by_source(values: Sequence, kind: str) -> Column:
+        return functools.reduce(lambda rest, i: F.when(F.col("id") < ends[i], F.lit(values[i])).otherwise(rest),
+                                reversed(range(len(used))), F.lit(None)).cast(kind)
+
+    draws = streams.sparkSession.range(ends[-1] if ends else 0)
+    starts = [e - c for e, c in zip(ends, counts, strict=True)]
+    draws = draws.select(by_source([s for s, _, _ in used], streams.schema["src"].dataType.simpleString()).alias("src"),
+                         by_source([s for _, _, s in used], "int").alias("sord"), by_source([w for _, w, _ in used], "double").alias("_w"),
+                         by_source([sizes[s] for s, _, _ in used], "long").alias("_ns"), (F.col("id") - by_source(starts, "long")).alias("j"))
+    draws = draws.withColumn("_key", (F.col("j") + 0.5) / F.col("_w"))
+    rank = functools.reduce(lambda a, b: a + b, [F.when(F.col("sord") == s, F.col("j")).otherwise(below(w, s)) for _, w, s in used], F.lit(0))
+    draws = draws.withColumn("mix_idx", rank.cast("long")).filter(F.col("mix_idx") < n)
+    return draws.withColumn("k", F.col("j") % F.col("_ns")).drop("_ns", "_key", "_w").join(streams, ["src", "k"])
 
 
 def stripe_overlap(df: DataFrame, configs: Sequence[tuple[int, int]], pos: str = "pos") -> DataFrame:

@@ -7,24 +7,26 @@ change flags and running sums over one miner's own series.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.logs import severity_tier
-from quarry.operators.scan import Running, segment_column
+from quarry.operators import logs as L
+from quarry.operators.scan import Running
 
 # Alert key prefix length and the re-notification interval.
 ALERT_KEY_CHARS = 60
 ALERT_REPEAT_S = 3600
 
 
-def stale_gauge(polls: DataFrame, by: str = "uid", order: str = "poll") -> DataFrame:
-    """A val_loss unchanged across rounds is a stale gauge.
+def gauge_state(polls: DataFrame, by: str = "uid", order: Sequence[str] = ("poll",)) -> DataFrame:
+    """W7 state of the polls that have both a loss and a round: (by, order, first_round, rounds, stale).
 
-    Only polls with both a loss and a round touch the state. An island is a run
-    of equal losses (compared by exact text, so NaN equals NaN and 0.0 differs
-    from -0.0). Within an island: ``first_round`` is the island's first round;
+    An island is a run of equal losses (compared by exact text, so NaN equals NaN
+    and 0.0 differs from -0.0). ``first_round`` is the island's first round;
     ``stale`` is true from its second poll when the round differs from the first;
     ``rounds`` counts round changes between consecutive polls from the third
     poll on (the second poll never increments it).
@@ -33,35 +35,81 @@ def stale_gauge(polls: DataFrame, by: str = "uid", order: str = "poll") -> DataF
     before and the round before; the second carries the island's first round and
     adds up the round changes of its third poll on.
     """
-    laid = [c for c in (segment_column([by]),) if c in polls.columns]
     live = polls.filter(F.col("val_loss").isNotNull() & F.col("round_id").isNotNull()).select(
-        by, order, "round_id", F.col("val_loss").cast("string").alias("_v"), *laid)
-    r = Running(live, [by], [order])
+        by, *order, "round_id", F.col("val_loss").cast("string").alias("_v"))
+    r = Running(live, [by], order)
     r.add([("_v1", "lag", "_v"), ("_v2", "lag2", "_v"), ("_pr", "lag", "round_id")])
     r.with_column("_chg", ~F.col("_v1").eqNullSafe(F.col("_v")))
     third = ~F.col("_chg") & F.col("_v2").eqNullSafe(F.col("_v1"))  # neither this poll nor the one before opens an island
     r.with_column("_rc", (third & (F.col("round_id") != F.col("_pr"))).cast("long"))
     p = r.add([("first_round", "last", F.when(F.col("_chg"), F.col("round_id"))), ("rounds", "since", ("_rc", "_chg"))])
-    state = p.select(by, order, "first_round", "rounds", (~F.col("_chg") & (F.col("round_id") != F.col("first_round"))).alias("stale"))
-    out = polls.join(state, [by, order], "left")
+    return p.select(by, *order, "first_round", "rounds", (~F.col("_chg") & (F.col("round_id") != F.col("first_round"))).alias("stale"))
+
+
+def stale_gauge(polls: DataFrame, by: str = "uid", order: Sequence[str] = ("poll",), series: DataFrame | None = None) -> DataFrame:
+    """A val_loss unchanged across rounds is a stale gauge (see :func:`gauge_state`).
+
+    ``series`` holds the same polls without what was added to ``polls`` since, so
+    that the state is not computed on top of it. Polls without a state are not stale.
+    """
+    state = gauge_state(polls if series is None else series, by, order)
+    out = polls.join(state, [by, *order], "left")
     return out.withColumn("stale", F.coalesce(F.col("stale"), F.lit(False)))
 
 
+def streak_of(crit: Column) -> tuple[str, str, tuple[Column, Column]]:
+    """W8 as a scan column: consecutive CRIT polls, a sum since the last other poll."""
+    return "streak", "since", (crit.cast("long"), ~crit)
+
+
 def crit_streak(polls: DataFrame, by: str = "uid", order: str = "poll", confirm: int = 2) -> DataFrame:
-    """Consecutive CRIT polls, a sum since the last other poll; an action is confirmed at ``confirm`` in a row."""
+    """Consecutive CRIT polls; an action is confirmed at ``confirm`` in a row."""
     r = Running(polls, [by], [order])
-    r.add([("streak", "since", (F.col("crit").cast("long"), ~F.col("crit")))])
-    return r.result(keep=True).withColumn("confirmed", F.col("streak") >= confirm)
+    r.add([streak_of(F.col("crit"))])
+    return r.result().withColumn("confirmed", F.col("streak") >= confirm)
+
+
+def health_series(polls: DataFrame, lines: DataFrame, minutes: int = 30, like: DataFrame | None = None) -> DataFrame:
+    """``polls`` (uid, ts, event_id, crit, ...) with their number, CRIT streak, the age and
+    cadence of the last upload, and the failure signatures of the last ``minutes``.
+
+    ``lines`` (uid, pos, ts_filled, clean) are stamped log lines; those that name an
+    upload or a signature join the polls in one series per uid, a line before a
+    poll of the same time, and all columns are running ones of one pass over it.
+    A signature is recent when the last line that holds it is.
+    """
+    sigs = L.signature_flags(F.col("clean"))
+    upload = F.col("clean").contains(L.UPLOAD_MARKER) & F.col("ts").isNotNull() & (F.regexp_extract("clean", L.REPO_REV, 1) != "")
+    marks = (lines.filter(F.col("ts_filled").isNotNull()).select("uid", F.col("ts_filled").alias("ts"), F.lit(0).alias("_side"), F.col("pos").alias("event_id"),
+                                                                 upload.alias("_up"), sigs.alias("_sigs"))
+             .filter(F.col("_up") | (F.size("_sigs") > 0)))
+    both = polls.withColumn("_side", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    poll = F.col("_side") == 1
+    crit = poll & F.col("crit")
+    held = [(f"_h{i}", "last", F.when(F.array_contains("_sigs", i), F.col("ts"))) for i in range(len(L.SIGNATURES))]
+    if like is not None:
+        like = like.select("uid", "ts", F.lit(1).alias("_side"), "event_id")
+    r = Running(both, ["uid"], ["ts", "_side", "event_id"], like=like)
+    r.add([("poll", "sum", poll.cast("long")), ("streak", "since", (crit.cast("long"), poll & ~F.col("crit"))),
+           ("_sent", "last", F.when(F.col("_up"), F.col("ts"))), *held])
+    since = F.col("ts") - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    recent = [F.col(f"_h{i}") >= since for i in range(len(L.SIGNATURES))]
+    number = functools.reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(False)).cast("long") for x in recent])
+    worst = functools.reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x, (_, sev, _) in zip(recent, L.SIGNATURES, strict=True) if sev == "CRIT"])
+    age = F.unix_timestamp("ts") - F.unix_timestamp("_sent")
+    out = r.result().filter(poll).withColumns({"upload_age_s": age, "cadence": L.cadence_of(age), "n_signatures": number, "any_crit_signature": worst,
+                                               "confirmed": F.col("streak") >= 2})
+    return out.drop("_side", "_up", "_sigs", "_sent", *[n for n, *_ in held])
 
 
 def alert_rows(polls: DataFrame) -> DataFrame:
     """Alerts raised by a poll: the log-age tier, with the age in minutes in the text."""
-    tier = severity_tier(F.col("log_age"))
+    tier = L.severity_tier(F.col("log_age"))
     msg = (F.when(F.col("log_age").isNull(), F.concat(F.col("msg"), F.lit(" log missing entirely")))
            .otherwise(F.concat(F.col("msg"), F.lit(" log silent "),
                                F.round(F.col("log_age") / 60).cast("long").cast("string"), F.lit(" min"))))
     return (polls.withColumn("severity", tier).filter(F.col("severity") != "OK")
-            .select("uid", "poll", "ts", "severity", msg.alias("message")))
+            .select("uid", *[c for c in ("poll", "event_id") if c in polls.columns], "ts", "severity", msg.alias("message")))
 
 
 def alert_key(stable_rule: bool = False) -> Column:
@@ -70,7 +118,7 @@ def alert_key(stable_rule: bool = False) -> Column:
     return F.concat_ws(":", F.col("uid").cast("string"), F.col("severity"), body)
 
 
-def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S, segments: int | None = None) -> DataFrame:
+def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S, tie: str = "poll") -> DataFrame:
     """T3 batch twin: emit an alert when >= repeat_s passed since the key's last
     *emission* (not its last occurrence), so ``lag`` cannot express it.
 
@@ -80,12 +128,12 @@ def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S, segments:
     to one last emission. The functions of a key's segments are composed in
     order (one row a segment), which gives every segment its last emission
     before; then all segments emit in parallel. Keys that lie in one segment
-    need no function.
+    need no function. ``tie`` orders alerts of one time.
     """
     keyed = alerts.withColumn("key", alert_key()).withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
-    r = Running(keyed, ["key"], ["_t", "poll"], segments)
+    r = Running(keyed, ["key"], ["_t", tie])
     gap = repeat_s * 1_000_000
-    item = F.struct("_t", "poll", "uid", "ts", "severity", "message")
+    item = F.struct("_t", tie, "uid", "ts", "severity", "message")
     held = r.df.groupBy(r.seg, "key").agg(F.array_sort(F.collect_list(item)).alias("_a"))
     if r.cuts.points:
         hot = r.df.filter(F.xxhash64("key").isin(r.cuts.keys)).groupBy(r.seg, "key").agg(F.array_sort(F.collect_set("_t")).alias("_ts"))
@@ -97,7 +145,7 @@ def suppress_alerts(alerts: DataFrame, repeat_s: int = ALERT_REPEAT_S, segments:
     else:
         held = held.withColumn("_before", F.lit(None).cast("long"))
     out = held.select("key", F.explode(_emitted(F.col("_a"), F.col("_before"), gap, keyed.select(item.alias("x")).schema["x"].dataType)).alias("e"))
-    return out.select("key", "e.uid", "e.poll", "e.ts", "e.severity", "e.message")
+    return out.select("key", "e.uid", f"e.{tie}", "e.ts", "e.severity", "e.message")
 
 
 def _emitted(items: Column, before: Column, gap: int, item_type: T.DataType) -> Column:

@@ -7,14 +7,14 @@ ranges of (key, order), so a hot key spreads over many of them:
 
 1. cut points are taken once from a small sample of (key, order) and stand in
    the plan as literals. A row's segment is therefore a plain function of the
-   row: every branch and every retry agrees, and nothing has to be written to
+   row: every pass and every retry agrees, and nothing has to be written to
    keep it so. Any cut points give right results; the sample only balances;
-2. running columns are windows inside (segment, key): one shuffle of the rows,
-   shared by all columns and all passes;
-3. what a segment takes over from earlier ones of its key (the carry) is
+2. what a segment takes over from earlier ones of its key (the carry) is
    composed from one-row summaries. Only keys named by a cut point can lie in
-   two segments, so only their rows are summarised, and at most one carry a
-   segment is sent to every task: bounded by the number of segments.
+   two segments, so only their rows are summarised, and at most two carries a
+   segment are sent to every task: bounded by the number of segments;
+3. running columns are windows inside (segment, key): one shuffle of the rows,
+   shared by all columns and all passes.
 
 Later passes may read columns of earlier ones; they use the same layout. A
 frame that keeps its segment column (``result(keep=True)``) is not laid out
@@ -54,48 +54,56 @@ _KNOWN: OrderedDict[tuple, Cuts] = OrderedDict()
 def cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], segments: int) -> Cuts:
     """At most ``segments - 1`` points that part the sorted (keys, order) into even ranges.
 
-    Two narrow jobs: a count, and a hash sample of that many rows. Points are
-    remembered per plan, since old ones are as right as new ones.
+    A hash sample of the narrow columns, at a rate from the plan's size estimate;
+    where that gave too few rows, a second one at a rate from the true count.
+    Points are remembered per plan, since old ones are as right as new ones.
     """
     cols = [*keys, *order]
-    mark = (df.sparkSession.sparkContext.applicationId, df.select(*cols).semanticHash(), tuple(cols), segments)
+    narrow = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    mark = (df.sparkSession.sparkContext.applicationId, narrow.semanticHash(), len(keys), segments)
     if mark in _KNOWN:
         return _KNOWN[mark]
-    narrow = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    n = narrow.count()
-    segments = min(segments, n // FEWEST)
-    cuts = Cuts([], [])
-    if segments > 1:
-        part = min(_SPAN, max(1, _SPAN * segments * SAMPLED // n))
-        names = narrow.columns
-        rows = (narrow.filter(F.pmod(F.xxhash64(*names), F.lit(_SPAN)) < part)
-                .agg(F.array_sort(F.collect_list(F.struct(*names))).alias("s"))
-                .select(F.explode("s").alias("s"))
-                .select(F.xxhash64(*[f"s.{c}" for c in names[:len(keys)]]).alias("k") if keys else F.lit(0).alias("k"),
-                        *[F.col(f"s.{c}").cast("string").alias(c) for c in names]).collect())
-        at = sorted({len(rows) * i // segments for i in range(1, segments)} - {0})
-        cuts = Cuts([tuple(rows[i])[1:] for i in at if i < len(rows)], sorted({rows[i]["k"] for i in at if i < len(rows)}))
+    wanted, names = segments * SAMPLED, narrow.columns
+
+    def sample(n: int) -> tuple[list, float]:
+        part = min(_SPAN, max(1, _SPAN * wanted // max(n, 1)))
+        rows = narrow if part == _SPAN else narrow.filter(F.pmod(F.xxhash64(*names), F.lit(_SPAN)) < part)
+        text = ", ".join(f"CAST(x.{c} AS STRING)" for c in names)
+        key = f"xxhash64({', '.join(f'x.{c}' for c in names[:len(keys)])})" if keys else "0L"
+        got = (rows.agg(F.array_sort(F.collect_list(F.struct(*names))).alias("s"))
+               .select(F.expr(f"transform(s, x -> struct({key}, {text}))").alias("s")).first()["s"])
+        return got, part / _SPAN
+
+    stats = narrow._jdf.queryExecution().optimizedPlan().stats()
+    rows, rate = sample(int(stats.sizeInBytes()) // (8 + 8 * len(cols)))
+    if rate < 1 and len(rows) < wanted // 4:
+        rows, rate = sample(narrow.count())
+    segments = min(segments, int(len(rows) / rate) // FEWEST)
+    at = sorted({len(rows) * i // segments for i in range(1, segments)} - {0}) if segments > 1 else []
+    cuts = Cuts([tuple(rows[i])[1:] for i in at], sorted({rows[i][0] for i in at}))
     _KNOWN[mark] = cuts
     if len(_KNOWN) > 256:
         _KNOWN.popitem(last=False)
     return cuts
 
 
-def segment_of(df: DataFrame, cols: Sequence[str], cuts: Cuts) -> Column:
-    """Number of cut points at or below a row, as a balanced tree of comparisons."""
-    types = [df.schema[c].dataType for c in cols]
-    here = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+def _literal(value: str | None, kind: str) -> str:
+    return f"CAST({'NULL' if value is None else chr(39) + value.replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39)) + chr(39)} AS {kind})"
 
-    def point(i: int) -> Column:
-        return F.struct(*[F.lit(v).cast(t).alias(f"c{k}") for k, (v, t) in enumerate(zip(cuts.points[i], types, strict=True))])
 
-    def search(low: int, high: int) -> Column:
+def segment_of(df: DataFrame, cols: Sequence[str], cuts: Cuts) -> Column:
+    """Number of cut points at or below a row, as a balanced tree of comparisons (one expression text)."""
+    kinds = [df.schema[c].dataType.simpleString() for c in cols]
+    here = f"struct({', '.join(f'`{c}` AS c{i}' for i, c in enumerate(cols))})"
+    points = [f"struct({', '.join(f'{_literal(v, k)} AS c{i}' for i, (v, k) in enumerate(zip(p, kinds, strict=True)))})" for p in cuts.points]
+
+    def search(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         mid = (low + high) // 2
-        return F.when(here >= point(mid), search(mid + 1, high)).otherwise(search(low, mid))
+        return f"IF({here} >= {points[mid]}, {search(mid + 1, high)}, {search(low, mid)})"
 
-    return search(0, len(cuts.points))
+    return F.expr(search(0, len(points)))
 
 
 def segment_column(keys: Sequence[str]) -> str:
@@ -114,16 +122,17 @@ class Running:
     before the row), ``lag``, ``lag2`` and ``lead`` (the neighbour's value),
     ``since`` (running sum that starts anew at marked rows; the column is a
     pair: value, mark). A frame that has the segment column of these keys must be
-    ordered alike; ``cuts`` is None then.
+    ordered alike; ``cuts`` is None then. ``like`` is a frame with these keys and
+    orders that is cheaper to sample, such as the raw rows behind a parsed log.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], segments: int | None = None):
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], segments: int | None = None, like: DataFrame | None = None):
         self.keys, self.order = list(keys), list(order)
         self.seg = segment_column(keys)
         self.cuts, self.df = None, df
         if self.seg not in df.columns:
             segments = min(segments or shuffle_partitions(df.sparkSession), MOST_SEGMENTS)
-            self.cuts = cut_points(df, self.keys, self.order, segments)
+            self.cuts = cut_points(df if like is None else like, self.keys, self.order, segments)
             self.df = df.withColumn(self.seg, segment_of(df, [*self.keys, *self.order], self.cuts))
 
     def _local(self, df: DataFrame, specs: Sequence[Spec]) -> DataFrame:
@@ -199,13 +208,13 @@ class Running:
         df = self.df
         if carries is not None:
             on = [F.col(self.seg) == F.col("_cseg")] + [F.col(k).eqNullSafe(F.col(f"_ck_{k}")) for k in self.keys]
-            # keys of cut points only, each once a segment it lies in: two rows a cut point at most
             df = df.join(F.broadcast(carries), on, "left")
         df = self._local(df, specs)
+        values = {}
         for name, kind, _ in specs:
             here = F.col("_rn" if kind == "count" else f"_l_{name}")
             if carries is None:
-                df = df.withColumn(name, here)
+                values[name] = here
                 continue
             came = F.col("_c__n" if kind == "count" else f"_c_{name}")
             if kind == "count":
@@ -222,7 +231,8 @@ class Running:
                 value = F.when(F.col("_rn") == 1, came["u"]).when(F.col("_rn") == 2, came["v"]).otherwise(here)
             else:
                 value = F.when(F.col(f"_b_{name}").isNull(), here + F.coalesce(came, F.lit(0))).otherwise(here)
-            df = df.withColumn(name, value)
+            values[name] = value
+        df = df.withColumns(values)
         made = ("_l_", "_b_", "_c_", "_ck_")
         self.df = df.drop("_rn", "_cn", "_cseg", *[c for c in df.columns if c.startswith(made)])
         return self.df

@@ -225,8 +225,9 @@ def a17_length_profile(spark, sf):
 
 # ------------------------------------------------------------------ C3, F11
 def _mixture(spark, sf) -> DataFrame:
-    d = V.docs(spark, sf).select(F.col("lang").alias("src"), "ord", "pos", "doc_id")
-    d = sequence_within(d, ["src"], ["ord", "pos"], "k")
+    # within a source a line's place follows its doc_id
+    d = V.docs(spark, sf, numbered=False).select(F.col("lang").alias("src"), "ord", "doc_id")
+    d = sequence_within(d, ["src"], ["ord", "doc_id"], "k")
     weights = spark.createDataFrame(MIX_WEIGHTS, "src string, weight double, sord int")
     return C.weighted_mixture(d, weights, load(spark, sf, "documents").count())
 

@@ -10,9 +10,8 @@ from quarry.functions.numeric import age_units, one_cycle, phase_fraction
 from quarry.operators import gauges as G
 from quarry.operators import logs as L
 from quarry.plans import board as PB
-from quarry.plans.logs import parsed
+from quarry.plans.logs import DRIFT_SQL, EVENTS_SQL, PARSED_SQL, drift_rows, parsed, raw_series
 from quarry.plans.registry import register
-from quarry.session import reuse
 from quarry.sources import fixtures as V
 
 PEAK, WARMUP, MIN_FRAC = 1e-4, 0.03, 0.02
@@ -38,12 +37,14 @@ w8 AS (SELECT uid, poll, crit, CAST(sum(CASE WHEN crit THEN 1 ELSE 0 END) OVER (
 
 @register("w7_stale_gauge", f"WITH {W7_SQL}\nSELECT * FROM w7")
 def w7_stale_gauge(spark, sf):
-    return G.stale_gauge(V.polls(spark, sf)).select("uid", "poll", "round_id", "val_loss", "stale", "first_round", "rounds")
+    p = G.stale_gauge(V.poll_series(spark, sf), order=V.POLL_ORDER, series=V.poll_rows(spark, sf))
+    return p.select("uid", "poll", "round_id", "val_loss", "stale", "first_round", "rounds")
 
 
 @register("w8_crit_streak", f"WITH {W8_SQL}\nSELECT uid, poll, crit, streak, streak >= 2 AS confirmed FROM w8")
 def w8_crit_streak(spark, sf):
-    return G.crit_streak(V.polls(spark, sf)).select("uid", "poll", "crit", "streak", "confirmed")
+    p = V.poll_series(spark, sf, G.streak_of(F.col("crit")))
+    return p.select("uid", "poll", "crit", "streak", (F.col("streak") >= 2).alias("confirmed"))
 
 
 ALERTS_SQL = """
@@ -65,8 +66,9 @@ SELECT key, uid, poll, ts, severity, message FROM (
   SELECT ak.*, row_number() OVER (PARTITION BY ak.key, ak.t ORDER BY ak.poll) AS rn
   FROM ak JOIN em ON em.key = ak.key AND em.t = ak.t) WHERE rn = 1""")
 def t3_alert_suppression(spark, sf):
-    a = G.alert_rows(V.polls(spark, sf))
-    return G.suppress_alerts(a)
+    out = G.suppress_alerts(G.alert_rows(V.poll_rows(spark, sf)), tie="event_id")
+    number = V.poll_series(spark, sf).select("uid", "event_id", "poll")
+    return out.join(number, ["uid", "event_id"]).drop("event_id")
 
 
 @register("x13_phase_fraction", """
@@ -111,42 +113,49 @@ em(key, t) AS (SELECT key, min(t) FROM ak GROUP BY key
 emitted AS (SELECT DISTINCT uid, poll FROM (
   SELECT ak.*, row_number() OVER (PARTITION BY ak.key, ak.t ORDER BY ak.poll) AS rn
   FROM ak JOIN em ON em.key = ak.key AND em.t = ak.t) WHERE rn = 1),
-{W7_SQL},{W8_SQL},{PB.MINERS_SQL},{PB.X21_SQL},{PB.X23_SQL},
+{W7_SQL},{W8_SQL},{PB.MINERS_SQL},{PB.X21_SQL},{PB.X23_SQL},{PARSED_SQL},{EVENTS_SQL},{DRIFT_SQL},
 g AS (SELECT round_id, min(log_age) AS mn, count(log_age) AS peers FROM polls GROUP BY round_id),
-pl AS (SELECT uid, regexp_replace(line, '\\x1b\\[[0-9;]*m', '', 'g') AS clean FROM logs),
+filled AS (SELECT uid, clean, last_value(ts IGNORE NULLS) OVER (PARTITION BY uid, kind ORDER BY pos ROWS UNBOUNDED PRECEDING) AS said FROM parsed),
 sig AS (SELECT * FROM (VALUES {", ".join(f"('{p}', '{s}')" for p, s, _ in L.SIGNATURES)}) t(pattern, severity)),
-hits AS (SELECT uid, count(DISTINCT pattern) AS n_signatures, max(CASE WHEN s.severity = 'CRIT' THEN 1 ELSE 0 END) = 1 AS any_crit_signature
-         FROM pl JOIN sig s ON contains(pl.clean, s.pattern) GROUP BY uid)
+hits AS (SELECT DISTINCT uid, said, pattern, s.severity FROM filled f JOIN sig s ON contains(f.clean, s.pattern) WHERE said IS NOT NULL),
+recent AS (SELECT p.uid, p.poll, count(DISTINCT pattern) AS n, max(CASE WHEN h.severity = 'CRIT' THEN 1 ELSE 0 END) = 1 AS crit
+           FROM polls p JOIN hits h ON h.uid = p.uid AND h.said <= p.ts AND h.said >= p.ts - INTERVAL 30 MINUTE GROUP BY p.uid, p.poll),
+last_up AS (SELECT p.uid, p.poll, CAST(epoch(date_trunc('second', p.ts)) - epoch(max(u.ts)) AS BIGINT) AS age
+         FROM polls p JOIN up u ON u.uid = p.uid AND u.ts <= p.ts GROUP BY p.uid, p.poll, p.ts)
 SELECT p.uid, p.poll, CASE WHEN p.log_age IS NULL THEN 'CRIT' WHEN p.log_age > 1800 THEN 'CRIT' WHEN p.log_age > 900 THEN 'WARN' ELSE 'OK' END AS tier,
        CASE WHEN g.peers >= 2 THEN p.log_age - g.mn END AS peer_lag_s,
        w7.stale, w7.rounds, w8.streak, w8.streak >= 2 AS confirmed,
-       coalesce(h.n_signatures, 0) AS n_signatures, coalesce(h.any_crit_signature, false) AS any_crit_signature,
+       last_up.age AS upload_age_s, CASE WHEN last_up.age > 9600 THEN 'missed' WHEN last_up.age > 7800 THEN 'late' WHEN last_up.age IS NOT NULL THEN 'ok' END AS cadence,
+       coalesce(r.n, 0) AS n_signatures, coalesce(r.crit, false) AS any_crit_signature,
+       d.group_severity, d.severity AS rank_severity,
        x21.note, x23.notes, al.message AS alert, em2.uid IS NOT NULL AS alert_emitted
 FROM polls p JOIN g USING (round_id) JOIN w7 ON w7.uid = p.uid AND w7.poll = p.poll
-JOIN w8 ON w8.uid = p.uid AND w8.poll = p.poll LEFT JOIN hits h ON h.uid = p.uid
+JOIN w8 ON w8.uid = p.uid AND w8.poll = p.poll LEFT JOIN recent r ON r.uid = p.uid AND r.poll = p.poll
+LEFT JOIN last_up ON last_up.uid = p.uid AND last_up.poll = p.poll LEFT JOIN drift d ON d.uid = p.uid
 LEFT JOIN x21 ON x21.uid = p.uid AND x21.cycle = p.round_id LEFT JOIN x23 ON x23.uid = p.uid AND x23.cycle = p.round_id
 LEFT JOIN al ON al.uid = p.uid AND al.poll = p.poll LEFT JOIN emitted em2 ON em2.uid = p.uid AND em2.poll = p.poll""")
 def c12_health_report(spark, sf):
-    """Per poll and uid -- log-age tier, peer lag, stale gauge, CRIT streak,
-    failure signatures, the round's status note and note list, the poll's alert
-    and whether suppression let it through."""
-    p = reuse(V.polls(spark, sf))  # read by several branches
-    tiers = L.peer_lag(p).withColumn("tier", L.severity_tier(F.col("log_age"))).select("uid", "poll", "round_id", "tier", "peer_lag_s")
-    st = G.stale_gauge(p).select("uid", "poll", "stale", "rounds")
-    sk = G.crit_streak(p).select("uid", "poll", "streak", "confirmed")
-    hits = (L.signature_hits(parsed(spark, sf)).groupBy("uid")
-            .agg(F.countDistinct("pattern").alias("n_signatures"),
-                 F.bool_or(F.col("severity") == "CRIT").alias("any_crit_signature")))
+    """Per poll and uid -- log-age tier, peer lag, stale gauge, CRIT streak, age and
+    cadence of the last upload, failure signatures of the last 30 minutes, settings drift,
+    the round's status note and note list, the poll's alert and whether suppression let it through.
+
+    Polls and the log lines that matter (uploads, lines with a signature) are one
+    series per uid: number, streak, last upload and the last time of every
+    signature are running columns of one pass over it.
+    """
+    rows, lines = V.poll_rows(spark, sf), parsed(spark, sf)
+    p = G.health_series(rows, L.stamped_lines(lines, like=raw_series(spark, sf).withColumn("kind", F.lit("train"))), like=rows)
+    p = L.peer_lag(p).withColumn("tier", L.severity_tier(F.col("log_age")))
+    state = G.gauge_state(rows, order=V.POLL_ORDER).select("uid", "event_id", "stale", "rounds")
+    alerts = G.alert_rows(rows)
+    emitted = G.suppress_alerts(alerts, tie="event_id").select("uid", "event_id", F.lit(True).alias("_emitted"))
     m = PB.miners(spark, sf)
     notes = (PB.status_note_rows(m).select(F.col("cycle").alias("round_id"), "uid", "note")
-             .join(PB.noted(m, parsed(spark, sf)).select(F.col("cycle").alias("round_id"), "uid", "notes"), ["round_id", "uid"]))
-    alerts = G.alert_rows(p)
-    emitted = G.suppress_alerts(alerts).select("uid", "poll", F.lit(True).alias("_emitted"))
-    out = (tiers.join(st, ["uid", "poll"]).join(sk, ["uid", "poll"]).join(hits, "uid", "left")
-           .join(notes, ["uid", "round_id"], "left")
-           .join(alerts.select("uid", "poll", F.col("message").alias("alert")), ["uid", "poll"], "left")
-           .join(emitted, ["uid", "poll"], "left"))
-    return out.select("uid", "poll", "tier", "peer_lag_s", "stale", "rounds", "streak", "confirmed",
-                      F.coalesce("n_signatures", F.lit(0)).alias("n_signatures"),
-                      F.coalesce("any_crit_signature", F.lit(False)).alias("any_crit_signature"),
+             .join(PB.noted(m, lines).select(F.col("cycle").alias("round_id"), "uid", "notes"), ["round_id", "uid"]))
+    drift = drift_rows(lines).select("uid", "group_severity", F.col("severity").alias("rank_severity"))
+    at = ["uid", "event_id"]
+    out = (p.join(state, at, "left").join(alerts.select(*at, F.col("message").alias("alert")), at, "left").join(emitted, at, "left")
+           .join(drift, "uid", "left").join(notes, ["uid", "round_id"], "left"))
+    return out.select("uid", "poll", "tier", "peer_lag_s", F.coalesce("stale", F.lit(False)).alias("stale"), "rounds", "streak", "confirmed",
+                      "upload_age_s", "cadence", "n_signatures", "any_crit_signature", "group_severity", "rank_severity",
                       "note", "notes", "alert", F.coalesce("_emitted", F.lit(False)).alias("alert_emitted"))

@@ -8,6 +8,7 @@ from quarry.functions import text as X
 from quarry.operators import logs as L
 from quarry.plans.registry import register
 from quarry.sources import fixtures as V
+from quarry.sources.tables import load
 
 ASOF_PUBS = "1999-01-01 00:00:00"
 ASOF_LOGS = "2024-01-31 00:00:00"
@@ -30,6 +31,11 @@ def parsed(spark, sf):
     return L.parsed_lines(V.logs(spark, sf))
 
 
+def raw_series(spark, sf):
+    """The events behind the log lines: their order without parsing a line."""
+    return load(spark, sf, "events").select(F.col("user_id").alias("uid"), "ts", F.col("event_id").alias("pos"))
+
+
 @register("x1_parse_lines", f"WITH {PARSED_SQL}\nSELECT uid, pos, kind, clean, ts FROM parsed")
 def x1_parse_lines(spark, sf):
     return parsed(spark, sf).select("uid", "pos", "kind", "clean", "ts")
@@ -59,7 +65,7 @@ def j1_asof_upload_download(spark, sf):
     p = parsed(spark, sf)
     up = L.log_events(p, L.UPLOAD_MARKER).select("uid", "pos", "ts", "rev")
     dl = L.log_events(p, L.DOWNLOAD_MARKER).select("uid", "pos", "ts", "rev")
-    return L.asof_backward(up, dl).select("uid", "pos", "ts", "rev", "d_ts", "d_rev", "d_pos", "matched")
+    return L.asof_backward(up, dl, like=raw_series(spark, sf)).select("uid", "pos", "ts", "rev", "d_ts", "d_rev", "d_pos", "matched")
 
 
 _WIN_SQL = f"""
@@ -151,23 +157,24 @@ def j9_signature_hits(spark, sf):
     return L.signature_hits(parsed(spark, sf))
 
 
-@register("j14_settings_drift", rf"""WITH {PARSED_SQL},
+DRIFT_SQL = r"""
 obs AS (SELECT uid, arg_max(regexp_extract(clean, 'rank=(\d+)', 1), pos) AS rank FROM parsed
         WHERE regexp_extract(clean, 'rank=(\d+)', 1) <> '' GROUP BY uid),
 grp AS (SELECT uid, arg_max(regexp_extract(clean, 'peak_lr=(\S+)', 1), pos) AS grp FROM parsed
         WHERE regexp_extract(clean, 'peak_lr=(\S+)', 1) <> '' GROUP BY uid),
 exp AS (SELECT DISTINCT uid, CAST(uid % 4 AS INT) AS want_rank,
                CASE uid % 3 WHEN 0 THEN '3e-05' WHEN 1 THEN '5e-05' ELSE '0.0001' END AS want_group FROM parsed),
-j AS (SELECT e.uid, e.want_group, g.grp, e.want_rank, o.rank FROM exp e LEFT JOIN obs o USING (uid) LEFT JOIN grp g USING (uid))
-SELECT uid, want_group, grp, CASE WHEN grp <> want_group THEN 'CRIT' END AS group_severity,
+j AS (SELECT e.uid, e.want_group, g.grp, e.want_rank, o.rank FROM exp e LEFT JOIN obs o USING (uid) LEFT JOIN grp g USING (uid)),
+drift AS (SELECT uid, want_group, grp, CASE WHEN grp <> want_group THEN 'CRIT' END AS group_severity,
        CASE WHEN grp <> want_group THEN concat('group is ', grp, ', expected ', want_group) END AS group_message, want_rank, rank,
        CASE WHEN grp IS NULL THEN NULL WHEN rank IS NULL THEN 'CRIT' WHEN rank IS DISTINCT FROM CAST(want_rank AS VARCHAR) THEN 'CRIT' END AS severity,
        CASE WHEN grp IS NULL THEN NULL WHEN rank IS NULL THEN 'no rank override seen -- fell back to stock rank'
             WHEN rank IS DISTINCT FROM CAST(want_rank AS VARCHAR) THEN concat('data rank is ', rank, ', expected ', CAST(want_rank AS VARCHAR)) END AS message
-FROM j""")
-def j14_settings_drift(spark, sf):
-    """The learning-rate marker of the fixture's lines stands for the group name."""
-    p = parsed(spark, sf)
+FROM j)"""
+
+
+def drift_rows(p):
+    """Last seen settings against the expected ones, per uid."""
     seen = L.last_values(p, {"rank": W12_PATTERNS["rank"], "grp": r"peak_lr=(\S+)"})
     observed = seen.groupBy("uid").agg(F.max(F.when(F.col("key") == "rank", F.col("value"))).alias("rank"),
                                        F.max(F.when(F.col("key") == "grp", F.col("value"))).alias("grp"))
@@ -178,6 +185,12 @@ def j14_settings_drift(spark, sf):
     return L.settings_drift(observed, expected)
 
 
+@register("j14_settings_drift", f"WITH {PARSED_SQL},{DRIFT_SQL}\nSELECT * FROM drift")
+def j14_settings_drift(spark, sf):
+    """The learning-rate marker of the fixture's lines stands for the group name."""
+    return drift_rows(parsed(spark, sf))
+
+
 @register("x17_error_class", rf"""WITH {PARSED_SQL},
 e AS (SELECT uid, clean, TRY_CAST(nullif(regexp_extract(clean, 'HTTP (\d{{3}})', 1), '') AS INT) AS code FROM parsed
       WHERE ts IS NOT NULL AND NOT contains(clean, 'peak_lr=') AND NOT contains(clean, 'hf_repo_id='))
@@ -210,7 +223,7 @@ SELECT uid, tier AS severity, count(*) AS n FROM (
                    WHEN log_age > 900 THEN 'WARN' ELSE 'OK' END AS tier FROM polls) WHERE tier <> 'OK'
 GROUP BY uid, tier""")
 def a21_alert_counts(spark, sf):
-    p = V.polls(spark, sf, numbered=False).withColumn("severity", L.severity_tier(F.col("log_age")))
+    p = V.poll_rows(spark, sf).withColumn("severity", L.severity_tier(F.col("log_age")))
     return p.filter(F.col("severity") != "OK").groupBy("uid", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -94,9 +94,8 @@ def t4_crit_streak_stream(spark, sf):
 
 @register("t5_signature_windows", r"""
 WITH pl AS (SELECT uid, kind, pos, regexp_replace(line, '\x1b\[[0-9;]*m', '', 'g') AS clean FROM logs),
-ev AS (SELECT *, try_strptime(left(clean, 19), '%Y-%m-%d %H:%M:%S') AS stamp FROM pl),
-st AS (SELECT *, last_value(stamp IGNORE NULLS) OVER (PARTITION BY uid, kind ORDER BY pos ROWS UNBOUNDED PRECEDING) AS ts FROM ev),
-newest AS (SELECT greatest((SELECT max(stamp) FROM ev), (SELECT max(ts) FROM events JOIN ev ON event_id = pos WHERE stamp IS NULL)) AS t),
+st AS (SELECT pl.*, coalesce(try_strptime(left(clean, 19), '%Y-%m-%d %H:%M:%S'), e.ts) AS ts FROM pl JOIN events e ON e.event_id = pl.pos),
+newest AS (SELECT max(ts) AS t FROM st),
 sig AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{p}', '{s}')" for i, (p, s, _) in enumerate(L.SIGNATURES)) + r""") t(sig, pattern, severity))
 SELECT uid, kind, sig, pattern, severity, min(ts) AS first_at, max(ts) AS last_at, count(*) AS hits
 FROM st JOIN sig s ON contains(st.clean, s.pattern), newest WHERE ts >= date_trunc('milliseconds', newest.t) - INTERVAL 30 MINUTE

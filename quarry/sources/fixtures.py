@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.ordering import sequence_within
+from quarry.operators.scan import Running
 from quarry.sources.tables import load
 
 
@@ -93,19 +94,30 @@ def logs_from(e: DataFrame, keep: tuple = ()) -> DataFrame:
         line.alias("line"), *keep)
 
 
-def polls(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
-    """Monitor polls: one miner's gauge series, numbered per uid by (ts, event_id)."""
-    e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value", "event_type")
-    if not numbered:
-        return poll_rows_from(e).drop("event_id")
-    e = sequence_within(e, ["user_id"], ["ts", "event_id"], "_p0", keep=True)
-    return poll_rows_from(e.withColumn("poll", F.col("_p0") + 1).withColumnRenamed("_seg_user_id", "_seg_uid")).drop("event_id")
+POLL_ORDER = ("ts", "event_id")
+
+
+def poll_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitor polls without a number; one miner's polls are ordered by POLL_ORDER."""
+    return poll_rows_from(load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value", "event_type"))
+
+
+def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitor polls: one miner's gauge series, numbered per uid by POLL_ORDER."""
+    return poll_series(spark, sf_dir).drop("event_id")
+
+
+def poll_series(spark: SparkSession, sf_dir: str, *more) -> DataFrame:
+    """Numbered polls with their event_id and other running columns (scan specs) of the same pass."""
+    r = Running(poll_rows(spark, sf_dir), ["uid"], POLL_ORDER)
+    r.add([("poll", "count", None), *more])
+    return r.result()
 
 
 def poll_rows_from(e: DataFrame) -> DataFrame:
     """The ``polls`` projection; a stream has no ``poll`` number and orders by (ts, event_id)."""
     eid = F.col("event_id")
-    extra = [c for c in ("poll", "_seg_uid") if c in e.columns]
+    extra = ["poll"] if "poll" in e.columns else []
     return e.select(
         F.col("user_id").alias("uid"), *extra, "event_id", "ts",
         _day().alias("round_id"),
@@ -119,10 +131,10 @@ def poll_rows_from(e: DataFrame) -> DataFrame:
 def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eval points per uid; a checkpoint is saved every third step."""
     e = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
-    e = sequence_within(e, ["user_id"], ["event_id"], "_s0", keep=True)
+    e = sequence_within(e, ["user_id"], ["event_id"], "_s0")
     step = ((F.col("_s0") + 1) * 100).cast("long")
     return (e.select(F.col("user_id").alias("uid"), F.col("event_type").alias("grp"), step.alias("step"),
-                     (F.col("value") / 100).alias("loss"), (F.col("event_id") % 3 == 0).alias("saved"), F.col("_seg_user_id").alias("_seg_uid"))
+                     (F.col("value") / 100).alias("loss"), (F.col("event_id") % 3 == 0).alias("saved"))
             .withColumn("name", F.concat(F.lit("globalver_7_inneropt_"), F.col("step").cast("string"))))
 
 

@@ -1,6 +1,6 @@
 """T5: failure signatures of each miner's newest minutes, kept as the log comes in.
 
-Hits lie in list state per (uid, kind) until the watermark, which trails the
+Hits lie in keyed state per (uid, kind) until the watermark, which trails the
 newest line of all miners by the window, has passed them; an event-time timer
 drops them then, also where a miner has fallen silent. A late line counts as
 long as it is inside the window. Every batch puts out the signatures whose
@@ -8,17 +8,18 @@ window changed, with a version that grows per (uid, kind), and a row without
 hits when a signature has left the window; :func:`current_signatures` keeps the
 newest of them.
 
-Lines without a stamp belong to the stamped line before them. Rows of one batch
-are put in line order; a continuation that opens a batch takes the last stamp
-of the batch before.
+All lines move the watermark, only lines with a signature reach the state, and
+only hits inside the window stay there, counted per second. A line without a
+stamp is as old as its arrival.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -27,81 +28,71 @@ from quarry.streaming.core import ROCKSDB, STATE_STORE
 
 RESULT = ("uid long, kind string, version long, sig int, pattern string, severity string, "
           "first_at timestamp_ntz, last_at timestamp_ntz, hits long")
+STATE = "version long, timer long, hits array<struct<sig:int,at:bigint,n:bigint>>"
+# The watermark trails by this much more than the window, so lines on its edge are not late.
 SLACK_MS = 1000
 
 
-class _Trailing(StatefulProcessor):
-    """List state: (sig, at in ms, hits); value state: version, last stamp."""
+def _spans(hits: dict[tuple[int, int], int]) -> dict[int, tuple[int, int, int]]:
+    """(first, last, number) of every signature."""
+    by = defaultdict(list)
+    for (sig, at), n in hits.items():
+        by[sig].append((at, n))
+    return {sig: (min(x)[0], max(x)[0], sum(n for _, n in x)) for sig, x in by.items()}
+
 
+class _Trailing(StatefulProcessor):
     def __init__(self, window_ms: int):
         self.window_ms = window_ms
 
-    def _cutoff(self, timers) -> int:
-        """Stamps from here on are inside; the watermark trails by SLACK more, so lines on the edge are not late."""
-        return timers.getCurrentWatermarkInMs() + SLACK_MS
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.hits = handle.getListState("hits", "sig int, at long, n long")
-        self.head = handle.getValueState("head", "version long, stamp long")
+        self.state = handle.getValueState("window", STATE)
 
     def close(self) -> None:
         pass
 
-    def _held(self) -> pd.DataFrame:
-        return pd.DataFrame(list(self.hits.get()) if self.hits.exists() else [], columns=["sig", "at", "n"]).astype("int64")
-
-    def _store(self, key: tuple, old: pd.DataFrame, new: pd.DataFrame, version: int, stamp: int | None) -> pd.DataFrame:
-        """Write the hits, set the timer of the oldest, and give the rows of signatures whose window changed."""
-        if len(new):
-            self.hits.put([tuple(map(int, r)) for r in new.to_numpy()])
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            self.handle.registerTimer(int(new["at"].min()) + 1 - SLACK_MS)
-        else:
-            self.hits.clear()
-        self.head.update((version + 1, stamp))
-        was, now = (x.groupby("sig").agg(first=("at", "min"), last=("at", "max"), n=("n", "sum")) for x in (old, new))
-        both = now.join(was, rsuffix="_was", how="outer")
-        changed = both[(both["first"] != both["first_was"]) | (both["last"] != both["last_was"]) | (both["n"] != both["n_was"])]
-        at = lambda c: pd.to_datetime(changed[c], unit="ms")
-        sig = changed.index.astype("int32")
-        text = lambda x: pd.Series(x, dtype=object)
-        return pd.DataFrame({"uid": key[0], "kind": text([key[1]] * len(sig)), "version": version + 1, "sig": sig,
-                             "pattern": text([L.SIGNATURES[i][0] for i in sig]), "severity": text([L.SIGNATURES[i][1] for i in sig]),
-                             "first_at": at("first").to_numpy(), "last_at": at("last").to_numpy(),
-                             "hits": changed["n"].fillna(0).astype("int64").to_numpy()})
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("pos", kind="stable")
-        version, stamp = self.head.get() if self.head.exists() else (0, None)
-        at = pdf["at"].astype("float64")
-        if stamp is not None and pd.isna(at.iloc[0]):
-            at.iloc[0] = stamp
-        at = at.ffill()
-        stamps = at.dropna()
-        pairs = pd.DataFrame({"at": at, "sig": pdf["sigs"]}).dropna().explode("sig").dropna()
-        fresh = pairs.groupby(["sig", "at"]).size().rename("n").reset_index()[["sig", "at", "n"]].astype("int64")
-        old = self._held()
-        new = pd.concat([old, fresh]).groupby(["sig", "at"], as_index=False)["n"].sum()
+    def _moved(self, key: tuple, timers, came: list[tuple[int, int]]) -> Iterator[Row]:
+        """Take in hits (sig, at), drop those behind the window, and give the signatures that changed."""
+        held = self.state.get()
+        version, timer, old = (held[0], held[1], {(h[0], h[1]): h[2] for h in held[2]}) if held else (0, None, {})
         # the newest line of all miners is at least as new as this one's
-        since = max(self._cutoff(timerValues), int(stamps.max()) - self.window_ms if len(stamps) else 0)
-        yield self._store(key, old, new[new["at"] >= since], version, int(at.iloc[-1]) if len(stamps) and not pd.isna(at.iloc[-1]) else stamp)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        version, stamp = self.head.get()
-        old = self._held()
-        yield self._store(key, old, old[old["at"] >= self._cutoff(timerValues)], version, stamp)
+        since = max([timers.getCurrentWatermarkInMs() + SLACK_MS, *(at - self.window_ms for _, at in came)])
+        new = defaultdict(int, old)
+        for hit in came:
+            new[hit] += 1
+        new = {h: n for h, n in new.items() if h[1] >= since}
+        due = min((at for _, at in new), default=None)
+        due = None if due is None else due + 1 - SLACK_MS
+        if due != timer:
+            if timer is not None and timer > timers.getCurrentWatermarkInMs():
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        self.state.update((version + 1, due, [(sig, at, n) for (sig, at), n in sorted(new.items())]))
+        was, now = _spans(old), _spans(new)
+        time = lambda ms: datetime.fromtimestamp(ms / 1000, UTC).replace(tzinfo=None)
+        for sig in sorted(was.keys() | now.keys()):
+            if was.get(sig) != now.get(sig):
+                first, last, n = now.get(sig, (None, None, 0))
+                yield Row(uid=key[0], kind=key[1], version=version + 1, sig=sig, pattern=L.SIGNATURES[sig][0], severity=L.SIGNATURES[sig][1],
+                          first_at=time(first) if n else None, last_at=time(last) if n else None, hits=n)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        return self._moved(key, timerValues, [(sig, r["at"]) for r in rows for sig in r["sigs"]])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        return self._moved(key, timerValues, [])
 
 
 def trailing_signatures(lines: DataFrame, seen: str = "seen", minutes: int = 30) -> DataFrame:
-    """T5 over a stream of parsed lines (uid, kind, pos, clean, ts); ``seen`` is when a line came, and dates lines without a stamp."""
+    """T5 over a stream of parsed lines (uid, kind, clean, ts); ``seen``: when a line came."""
     lines.sparkSession.conf.set(STATE_STORE, ROCKSDB)
-    found = F.filter(F.array(*[F.when(F.col("clean").contains(p), F.lit(i)) for i, (p, _, _) in enumerate(L.SIGNATURES)]), lambda x: x.isNotNull())
-    cut = (lines.withColumn("et", F.coalesce(F.col("ts").cast("timestamp"), F.col(seen).cast("timestamp")))
-           .withWatermark("et", f"{minutes * 60_000 + SLACK_MS} milliseconds")
-           .select("uid", "kind", "pos", "et", F.unix_millis(F.col("ts").cast("timestamp")).alias("at"), found.alias("sigs")))
-    return cut.groupBy("uid", "kind").transformWithStateInPandas(_Trailing(minutes * 60_000), RESULT, "append", "eventtime")
+    cut = (lines.withColumn("et", F.coalesce("ts", seen).cast("timestamp")).withWatermark("et", f"{minutes * 60_000 + SLACK_MS} milliseconds")
+           .select("uid", "kind", "et", F.unix_millis("et").alias("at"), L.signature_flags(F.col("clean")).alias("sigs"))
+           # one condition that names the event time, so that it is not moved in front of the watermark
+           .filter(F.when(F.col("et").isNotNull(), F.size("sigs") > 0)))
+    return cut.groupBy("uid", "kind").transformWithState(_Trailing(minutes * 60_000), RESULT, "append", "eventtime")
 
 
 def current_signatures(changes: DataFrame) -> DataFrame:
