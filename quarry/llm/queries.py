@@ -121,25 +121,29 @@ def _span_sql(kind: str, order: int, pattern: str, ok: str, measured: str | None
   'm': regexp_extract_all(t, '({p})', 1)[k], 'g': {measured.replace("{p}", p) if measured else "''"}}}), lambda s: {ok})"""
 
 
-def _secrets_sql() -> str:
+def _secrets_sql(table: str = "documents") -> str:
     parts = []
     for i, (kind, pattern, group, least) in enumerate(secrets.BASE):
         if group:
             parts.append((kind, _span_sql(kind, i, pattern, f"length(s.g) >= {least}", f"regexp_extract_all(t, '{{p}}', {group})[k]")))
         else:
             parts.append((kind, _span_sql(kind, i, secrets.SEARCH[kind], f"s.n >= {least}")))
-    allow = " OR ".join(f"regexp_matches(s.m, '{a}')" for a in secrets.ALLOW)
+    # the allow-list judges what is left beside placeholder pieces; words by the same language as the scan's, without its possessive marks
+    word = "(?:[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*)"
+    bare = f"(CASE WHEN regexp_matches(s.m, '{secrets.PIECES}') THEN trim(p, '/_+-') ELSE p END)"
+    allow = " OR ".join(f"regexp_matches({bare}, '{a}')" for a in (*secrets.PLAIN, f"^{word}(?:[_/+-]{word})*$"))
     w = secrets.WINDOW
     for i, c in enumerate(secrets.CLASSES):
-        ok = (f"NOT ({allow}) AND list_max(list_transform(range(1, CAST(s.n AS INTEGER) - {w} + 2), "
-              f"lambda i: list_entropy(string_split(s.m[i:i + {w - 1}], '')))) >= {c.threshold}")
+        ok = (f"len(list_filter(string_split(regexp_replace(s.m, '[A-Za-z0-9]*(?:{secrets.PIECES})[A-Za-z0-9]*', ' ', 'g'), ' '), "
+              f"lambda p: NOT ({allow}) AND list_max(list_transform(range(1, CAST(length(p) AS INTEGER) - {w} + 2), "
+              f"lambda i: list_entropy(string_split(p[i:i + {w - 1}], '')))) >= {c.threshold})) > 0")
         parts.append((c.name, _span_sql(c.name, len(secrets.BASE) + i, c.pattern, ok)))
     join = "list_aggregate(list_transform(list_sort({}), lambda s: s.kind || ':' || s.start || ':' || (s.start + s.n)), 'string_agg', ',')"
     cols = ", ".join(f"{sql} AS s_{kind}" for kind, sql in parts)
     base = "s_assign || s_access || s_hex"
     every = " || ".join(f"s_{k}" for k, _ in parts)
     return f"""
-WITH f AS (SELECT doc_id, {cols} FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
+WITH f AS (SELECT doc_id, {cols} FROM (SELECT doc_id, coalesce(text, '') AS t FROM {table}))
 SELECT doc_id, CAST(len(s_assign) AS BIGINT) AS n_assign, CAST(len(s_access) AS BIGINT) AS n_access,
        CAST(len(s_hex) AS BIGINT) AS n_hex, sha256(coalesce({join.format(base)}, '')) AS base_sha256,
        coalesce({join.format(every)}, '') AS spans

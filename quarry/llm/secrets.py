@@ -46,24 +46,20 @@ class CharClass:
     """A character class of the entropy method."""
 
     name: str
-    alphabet: str
     pattern: str
     threshold: float
 
 
-HEX = CharClass("entropy_hex", "0123456789abcdefABCDEF", r"[0-9A-Fa-f]{20,}", 3.05)
-BASE64 = CharClass("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-",
-                   r"[A-Za-z0-9+/_-]{20,}", 3.62)
+HEX = CharClass("entropy_hex", r"[0-9A-Fa-f]{20,}", 3.05)
+BASE64 = CharClass("entropy_base64", r"[A-Za-z0-9+/_-]{20,}", 3.62)
 CLASSES = (HEX, BASE64)
 WINDOW = 20
-# The allow-list that the SQL applies to whole candidates; its plain words, its number and its pieces
-# are used here too, its last pattern (any letters at all) is not.
-ALLOW = (r"^[A-Za-z]?[a-z]+$", r"^[A-Z]+$", r"^[0-9]+$", r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]", r"[xX]{6}",
-         r"0123456789", r"[aA][bB][cC][dD][eE][fF][gG]", r"^[A-Za-z]+([_/+-][A-Za-z]+)*$")
+# The allow-list: plain words, numbers, and pieces that mark a placeholder or a running alphabet.
+PLAIN = (r"^[A-Za-z]?[a-z]+$", r"^[A-Z]+$", r"^[0-9]+$")
 # Possessive, so long candidates neither backtrack nor recurse.
 _WORD = r"(?>[A-Z]++(?=[_/+-]|$)|[A-Z]?+[a-z]++(?:[A-Z][a-z]{2,}+)*+)"
-WORDS = (*ALLOW[:3], rf"^{_WORD}(?:[_/+-]{_WORD})*+$")
-PIECES = "|".join(ALLOW[3:7])
+WORDS = (*PLAIN, rf"^{_WORD}(?:[_/+-]{_WORD})*+$")
+PIECES = r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[xX]{6}|0123456789|[aA][bB][cC][dD][eE][fF][gG]"
 
 SPAN = "struct<start:bigint,ord:int,kind:string,stop:bigint>"
 
@@ -96,38 +92,53 @@ def _base_spans(text: Column, order: int, kind: str, pattern: str, group: int, l
     return _spans(text, kind, order, pattern, lambda m: F.transform(measured, lambda x: F.length(x) >= least))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once; named inside another fold it would be made anew for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _changed(counts: Column, at: Column, by: int) -> Column:
     return F.concat(F.slice(counts, F.lit(1), at - 1), F.array(F.element_at(counts, at) + by),
                     F.slice(counts, at + 1, F.size(counts)))
 
 
-def _clogc(c: Column) -> Column:
-    return F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
-
-
-def reaches_entropy(candidate: Column, alphabet: str, window: int, threshold: float) -> Column:
-    """True when some window of ``candidate`` has at least ``threshold`` bits a character."""
-    codes = F.transform(F.split(candidate, ""), lambda ch: F.position(ch, F.lit(alphabet)))
-    zero = F.array_repeat(F.lit(0), len(alphabet))
-
-    def slide(acc: Column, i: Column) -> Column:
-        counts, total = acc["counts"], acc["total"]
-        came, full = F.element_at(codes, i), i > window
-        gone = F.element_at(codes, F.when(full, i - window).otherwise(F.lit(1)))
-        here, there = F.element_at(counts, came), F.element_at(counts, gone)
-        same = full & (came == gone)
-        gain = _clogc(here + 1) - _clogc(here)
-        loss = F.when(full, _clogc(there - 1) - _clogc(there)).otherwise(F.lit(0.0))
-        now = F.when(same, total).otherwise(total + gain + loss)
-        kept = F.when(same, counts).when(full, _changed(_changed(counts, came, 1), gone, -1)) \
+def reaches_entropy(candidate: Column, window: int, threshold: float) -> Column:
+    """True when some window of ``candidate`` has at least ``threshold`` bits a character.
+
+    One fold over the characters, each beside the one that leaves the window;
+    counts are kept for the characters that occur, and once a window has reached
+    the threshold the rest is passed over. A candidate of fewer different
+    characters than a window of that entropy needs is not walked at all.
+    """
+    limit = window * (math.log2(window) - threshold)  # H = log2(window) - total / window
+    part = [0.0, 0.0, *(c * math.log2(c) for c in range(2, window + 2))]
+    steps = F.array(*[F.lit(b - a) for a, b in zip(part, part[1:], strict=False)])  # what one more adds to c * log2(c)
+
+    def slide(acc: Column, x: Column) -> Column:
+        counts, total, came, gone = acc["counts"], acc["total"], x["came"], x["gone"]
+        here = F.element_at(counts, came)
+        there = F.element_at(counts, F.greatest(gone, F.lit(1)))
+        same = came == gone
+        gain = F.element_at(steps, here + 1)
+        now = F.when(same, total).when(gone > 0, total + gain - F.element_at(steps, there)).otherwise(total + gain)
+        kept = F.when(same, counts).when(gone > 0, _changed(_changed(counts, came, 1), gone, -1)) \
                 .otherwise(_changed(counts, came, 1))
-        return F.struct(kept.alias("counts"), now.alias("total"),
-                        F.when(i >= window, F.least(acc["least"], now)).otherwise(acc["least"]).alias("least"))
+        moved = F.struct(kept.alias("counts"), now.alias("total"),
+                         F.when(gone >= 0, F.least(acc["least"], now)).otherwise(acc["least"]).alias("least"))
+        return F.when(acc["least"] <= limit, acc).otherwise(moved)
+
+    def walk(codes: Column, symbols: Column) -> Column:
+        # -1 until the first window is full, 0 where nothing leaves yet
+        leaving = F.concat(F.array_repeat(F.lit(-1), window - 1), F.array(F.lit(0)),
+                           F.slice(codes, F.lit(1), F.greatest(F.size(codes) - window, F.lit(0))))
+        pairs = F.zip_with(codes, F.slice(leaving, F.lit(1), F.size(codes)), lambda c, g: F.struct(c.alias("came"), g.alias("gone")))
+        start = F.struct(F.array_repeat(F.lit(0), symbols).alias("counts"), F.lit(0.0).alias("total"), F.lit(float("inf")).alias("least"))
+        return F.when(symbols < math.ceil(2 ** threshold - 1e-9), F.lit(False)).otherwise(F.aggregate(pairs, start, slide)["least"] <= F.lit(limit))
 
-    start = F.struct(zero.alias("counts"), F.lit(0.0).alias("total"), F.lit(float("inf")).alias("least"))
-    walked = F.aggregate(F.sequence(F.lit(1), F.length(candidate)), start, slide)
-    # H = log2(window) - total / window
-    return walked["least"] <= F.lit(window * (math.log2(window) - threshold))
+    chars = F.slice(F.split(candidate, ""), F.lit(1), F.length(candidate))
+    return _bound(chars, lambda ch: _bound(F.struct(ch.alias("ch"), F.array_distinct(ch).alias("held")), lambda s: _bound(
+        F.struct(F.transform(s["ch"], lambda c: F.array_position(s["held"], c).cast("int")).alias("codes"), F.size(s["held"]).alias("n")),
+        lambda t: walk(t["codes"], t["n"]))))
 
 
 def _entropy_spans(text: Column, order: int, cls: CharClass, window: int, allow: tuple[str, ...], pieces: str) -> Column:
@@ -136,7 +147,7 @@ def _entropy_spans(text: Column, order: int, cls: CharClass, window: int, allow:
         for a in allow:
             allowed = allowed | bare.rlike(a)
         return F.when(allowed | (F.length(x) < window), F.lit(False)).otherwise(
-            reaches_entropy(x, cls.alphabet, window, cls.threshold))
+            reaches_entropy(x, window, cls.threshold))
 
     def kept(found: Column) -> Column:
         def ok(x: Column) -> Column:

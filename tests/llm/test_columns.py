@@ -61,10 +61,44 @@ def test_entropy_matches_direct_formula(spark):
 
     want = [max(entropy(r[i:i + w]) for i in range(len(r) - w + 1)) >= limit for r in rows]
     df = spark.createDataFrame([(r,) for r in rows], "x string")
-    got = [r[0] for r in df.select(secrets.reaches_entropy(F.col("x"), secrets.HEX.alphabet, w, limit)).collect()]
+    got = [r[0] for r in df.select(secrets.reaches_entropy(F.col("x"), w, limit)).collect()]
     assert got == want and 20 < sum(want) < 180
 
 
+def test_sql_states_the_allow_list(spark):
+    """The SQL and the scan on candidates with allow-listed pieces at the head, in the middle and at the end."""
+    import duckdb
+    import pandas as pd
+    from quarry.llm.queries import _secrets_sql
+    import random
+    rng = random.Random(12)
+    key = lambda n: "".join(rng.choices("ABCDEFGHJKabcdefghk23456789", k=n))
+    pieces = ["example", "EXAMPLE", "xxxxxx", "0123456789", "abcdefg", "words", "SomeMoreWords", "aBc", "-", "_-", "+", "/"]
+    texts = [f"so {'/'.join(rng.choice([key(24), key(12), rng.choice(pieces), rng.choice(pieces) + key(22), key(22) + rng.choice(pieces)]) for _ in range(rng.randint(1, 4)))} ends"
+             for _ in range(400)]
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})  # noqa: F841
+    want = {r[0]: r[5] for r in duckdb.sql(_secrets_sql()).fetchall()}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in secrets.scan(df).select("doc_id", secrets.joined(F.col("secrets")).alias("s")).collect()}
+    assert got == want and 100 < sum(1 for x in got.values() if x) < 400
+
+
+def test_long_runs_take_seconds(spark):
+    """A megabyte of four symbols, one of random symbols, and 100 kB of many symbols in windows of few."""
+    import random
+    import time
+    rng = random.Random(3)
+    every = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnop0123456789"
+    slow = "".join(rng.choice("GHIJKLMNOPQRSTUVWXYZghijklmnopq") * 5 for _ in range(20_000))
+    for body, hit in (("".join(rng.choices("ABab", k=1_000_000)), False), ("".join(rng.choices(every, k=1_000_000)), True), (slow, False)):
+        df = spark.createDataFrame([(body,)], "text string")
+        secrets.scan(df.limit(0)).collect()
+        since = time.monotonic()
+        out = secrets.scan(df).select(F.size("secrets").alias("n")).first()["n"]
+        assert (out > 0) == hit
+        assert time.monotonic() - since < 20
+
+
 def test_scan_long_text_and_clashing_columns(spark):
     text = "word " * 100_000 + "password=hunter22 " + "f" * 24
     df = spark.createDataFrame([(text, 1)], "text string, start int")
