@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import first_n, sequence_within
+from quarry.operators.ordering import exact_median, first_n, sequence_within
 
 # Fixed values used by the scoring rules.
 COHORT_RANK = {"A": 4, "B": 3, "C": 2, "tail": 1, "none": 0}
@@ -235,7 +235,7 @@ def scoring(m: DataFrame, by: str = "cycle") -> DataFrame:
 def consistency(m: DataFrame, by: str = "cycle") -> DataFrame:
     """Per uid, population stdev of (loss - round median), mean loss, best."""
     s = scored(m)
-    med = s.groupBy(by).agg(F.median("val_loss").alias("_med"))
+    med = exact_median(s, [by], "val_loss", "_med")
     d = s.join(med, by).withColumn("_dev", F.col("val_loss") - F.col("_med"))
     return d.groupBy("uid").agg(F.stddev_pop("_dev").alias("dev_stdev"), F.avg("val_loss").alias("mean_loss"),
                                 F.min("val_loss").alias("best_loss"), F.count(F.lit(1)).alias("rounds"))
@@ -287,13 +287,13 @@ def delta_plain(loss: Column, baseline: Column) -> Column:
 def status_note(loss: Column, baseline: Column, rank3: Column, best: Column, stale: Column) -> Column:
     """Stale first (and no delta claims), then no gain, then outside top 3."""
     fmt5 = lambda c: F.format_string("%.5f", c)
-    return (F.when(stale, F.lit("stale gauge: no fresh evaluation, delta and rank are not real"))
+    return (F.when(stale, F.lit("gauge not refreshed: its delta and rank say nothing"))
             .when(loss.isNull() | baseline.isNull(), F.lit(None).cast("string"))
-            .when(loss >= baseline, F.concat(F.lit("val_loss "), fmt5(loss), F.lit(" >= baseline "), fmt5(baseline),
-                                             F.lit(" -> delta 0, scores 0")))
+            .when(loss >= baseline, F.concat(F.lit("loss "), fmt5(loss), F.lit(" is no better than the baseline "), fmt5(baseline),
+                                             F.lit(": nothing to score")))
             .when(rank3.isNotNull() & (loss > rank3),
-                  F.concat(F.lit("beats baseline but outside top-3 (gap to rank1: "),
-                           F.format_string("%.6f", loss - best), F.lit(")"))))
+                  F.concat(F.lit("better than the baseline, "), F.format_string("%.6f", loss - best),
+                           F.lit(" behind the first and not among three"))))
 
 
 def slot_detail(samples: DataFrame, keys: Sequence[str] = ("cycle", "uid")) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import first_n, sequence_within
+from quarry.operators.ordering import exact_median, first_n, sequence_within
 
 # Fixed value: the validator's data-quality gate is 200 characters, and a
 # configured 0 or None also means 200.
@@ -248,9 +248,10 @@ def quality_profile(df: DataFrame, group: str = "shard", n: int = DEFAULT_MIN_CH
 
 def length_profile(df: DataFrame, group: str = "shard", col: str = "text") -> DataFrame:
     """Median, min and max length per group."""
-    ln = F.length(F.col(col)).cast("long")
-    return df.groupBy(group).agg(F.median(ln).alias("median_chars"), F.min(ln).alias("min_chars"),
-                                 F.max(ln).alias("max_chars"), F.count(F.lit(1)).alias("rows"))
+    df = df.select(group, F.length(F.col(col)).cast("long").alias("_len"))
+    rest = df.groupBy(group).agg(F.min("_len").alias("min_chars"), F.max("_len").alias("max_chars"), F.count(F.lit(1)).alias("rows"))
+    return rest.join(exact_median(df, [group], "_len", "median_chars"), group, "left").select(
+        group, "median_chars", "min_chars", "max_chars", "rows")
 
 
 def repack_plan(rows: DataFrame, n_files: int, index: str = "gidx", strict: bool = False) -> DataFrame:

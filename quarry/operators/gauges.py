@@ -102,14 +102,17 @@ def health_series(polls: DataFrame, lines: DataFrame, minutes: int = 30, like: D
     return out.drop("_side", "_up", "_sigs", "_sent", *[n for n, *_ in held])
 
 
+def alert_message() -> Column:
+    """Text of a log-age alert: the age in minutes."""
+    return (F.when(F.col("log_age").isNull(), F.concat(F.col("msg"), F.lit(" has no log")))
+            .otherwise(F.concat(F.col("msg"), F.lit(" wrote no log line for "), F.round(F.col("log_age") / 60).cast("long").cast("string"), F.lit(" minutes"))))
+
+
 def alert_rows(polls: DataFrame) -> DataFrame:
-    """Alerts raised by a poll: the log-age tier, with the age in minutes in the text."""
+    """Alerts raised by a poll: the log-age tier and its text."""
     tier = L.severity_tier(F.col("log_age"))
-    msg = (F.when(F.col("log_age").isNull(), F.concat(F.col("msg"), F.lit(" log missing entirely")))
-           .otherwise(F.concat(F.col("msg"), F.lit(" log silent "),
-                               F.round(F.col("log_age") / 60).cast("long").cast("string"), F.lit(" min"))))
     return (polls.withColumn("severity", tier).filter(F.col("severity") != "OK")
-            .select("uid", *[c for c in ("poll", "event_id") if c in polls.columns], "ts", "severity", msg.alias("message")))
+            .select("uid", *[c for c in ("poll", "event_id") if c in polls.columns], "ts", "severity", alert_message().alias("message")))
 
 
 def alert_key(stable_rule: bool = False) -> Column:

@@ -255,10 +255,10 @@ s21 AS (SELECT *, row_number() OVER (PARTITION BY cycle ORDER BY val_loss, uid)
 rs21 AS (SELECT cycle, min(val_loss) AS best, max(CASE WHEN rn = 3 THEN val_loss END) AS rank3 FROM s21 GROUP BY cycle),
 st21 AS (SELECT *, val_loss IS NOT NULL AND val_loss IS NOT DISTINCT FROM lag(val_loss) OVER (PARTITION BY uid ORDER BY cycle) AS stale FROM miners),
 x21 AS (SELECT st21.cycle, st21.uid, st21.stale,
-  CASE WHEN st21.stale THEN 'stale gauge: no fresh evaluation, delta and rank are not real'
+  CASE WHEN st21.stale THEN 'gauge not refreshed: its delta and rank say nothing'
        WHEN st21.val_loss IS NULL OR st21.baseline IS NULL THEN NULL
-       WHEN st21.val_loss >= st21.baseline THEN concat('val_loss ', format('{:.5f}', st21.val_loss), ' >= baseline ', format('{:.5f}', st21.baseline), ' -> delta 0, scores 0')
-       WHEN rs21.rank3 IS NOT NULL AND st21.val_loss > rs21.rank3 THEN concat('beats baseline but outside top-3 (gap to rank1: ', format('{:.6f}', st21.val_loss - rs21.best), ')')
+       WHEN st21.val_loss >= st21.baseline THEN concat('loss ', format('{:.5f}', st21.val_loss), ' is no better than the baseline ', format('{:.5f}', st21.baseline), ': nothing to score')
+       WHEN rs21.rank3 IS NOT NULL AND st21.val_loss > rs21.rank3 THEN concat('better than the baseline, ', format('{:.6f}', st21.val_loss - rs21.best), ' behind the first and not among three')
   END AS note,
   CASE WHEN st21.stale THEN NULL ELSE st21.baseline - st21.val_loss END AS delta
 FROM st21 LEFT JOIN rs21 USING (cycle))"""

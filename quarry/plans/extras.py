@@ -355,3 +355,22 @@ def s7_log_tail(spark, sf):
     path = scratch_path(spark, f"logdays-{uuid.uuid4().hex[:10]}")
     append_log_lines(stamped_lines(parsed(spark, sf).select("uid", "pos", "kind", "ts", "clean")), path, ts="ts_filled")
     return read_log_tail(spark, path, TAIL_SINCE, ts="ts_filled").select("uid", "pos", "kind", "ts", "clean")
+
+
+@register("s7_raw_log_tail", """
+SELECT uid, kind, CAST(coalesce(sum(strlen(line) + 1) OVER (PARTITION BY uid, kind ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at,
+       line FROM logs""")
+def s7_raw_log_tail(spark, sf):
+    """Raw log files tailed by byte offset: half of the lines lie there when the stream
+    starts, the files grow, and a second run goes on from the checkpoint."""
+    from quarry.sources.tail import tail_raw_logs, write_raw_logs
+    from quarry.streaming.core import drain
+
+    run = uuid.uuid4().hex[:10]
+    root, base = scratch_path(spark, f"rawlogs-{run}"), scratch_path(spark, f"rawtail-{run}")
+    lines = V.logs(spark, sf)
+    half = load(spark, sf, "events").agg(F.max("event_id")).first()[0] or 0
+    for upto in (half // 2, half):
+        write_raw_logs(lines.filter(F.col("pos") <= upto), root)
+        out = drain(tail_raw_logs(spark, root), "s7", path=base)
+    return spark.read.schema("uid long, kind string, at long, line string").parquet(out)

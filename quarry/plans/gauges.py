@@ -49,8 +49,8 @@ def w8_crit_streak(spark, sf):
 
 ALERTS_SQL = """
 al AS (SELECT uid, poll, ts, tier AS severity,
-              CASE WHEN log_age IS NULL THEN concat(msg, ' log missing entirely')
-                   ELSE concat(msg, ' log silent ', CAST(CAST(round(log_age / 60) AS BIGINT) AS VARCHAR), ' min') END AS message,
+              CASE WHEN log_age IS NULL THEN concat(msg, ' has no log')
+                   ELSE concat(msg, ' wrote no log line for ', CAST(CAST(round(log_age / 60) AS BIGINT) AS VARCHAR), ' minutes') END AS message,
               epoch_us(ts) AS t
        FROM (SELECT *, CASE WHEN log_age IS NULL THEN 'CRIT' WHEN log_age > 1800 THEN 'CRIT'
                             WHEN log_age > 900 THEN 'WARN' ELSE 'OK' END AS tier FROM polls) WHERE tier <> 'OK'),

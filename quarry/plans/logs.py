@@ -168,7 +168,7 @@ j AS (SELECT e.uid, e.want_group, g.grp, e.want_rank, o.rank FROM exp e LEFT JOI
 drift AS (SELECT uid, want_group, grp, CASE WHEN grp <> want_group THEN 'CRIT' END AS group_severity,
        CASE WHEN grp <> want_group THEN concat('group is ', grp, ', expected ', want_group) END AS group_message, want_rank, rank,
        CASE WHEN grp IS NULL THEN NULL WHEN rank IS NULL THEN 'CRIT' WHEN rank IS DISTINCT FROM CAST(want_rank AS VARCHAR) THEN 'CRIT' END AS severity,
-       CASE WHEN grp IS NULL THEN NULL WHEN rank IS NULL THEN 'no rank override seen -- fell back to stock rank'
+       CASE WHEN grp IS NULL THEN NULL WHEN rank IS NULL THEN 'the log names no rank, so the default one is in force'
             WHEN rank IS DISTINCT FROM CAST(want_rank AS VARCHAR) THEN concat('data rank is ', rank, ', expected ', CAST(want_rank AS VARCHAR)) END AS message
 FROM j)"""
 

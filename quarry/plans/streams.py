@@ -8,6 +8,7 @@ watermark.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -17,8 +18,11 @@ from quarry.plans.registry import register
 from quarry.session import scratch_path
 from quarry.sources import fixtures as V
 from quarry.sources.snapshots import snapshots_to_json
+from quarry.sources.tables import load
+from quarry.streaming import ordered as O
 from quarry.streaming import stateful as S
-from quarry.streaming.core import drain, drain_batches, table_stream
+from quarry.streaming.core import clock_stream, drain, drain_batches, table_stream, tick
+from quarry.streaming.ordered import with_clock
 from quarry.streaming.trailing import current_signatures, trailing_signatures
 
 RECORDER_BOUND = 200
@@ -28,6 +32,15 @@ def _events(spark, sf):
     return table_stream(spark, sf, "events")
 
 
+def _closed_events(spark, sf):
+    """The event stream beside a clock that has moved on: all files lie there when the
+    query starts and come in one batch, so no row is late, and all are released after it."""
+    newest = load(spark, sf, "events").agg(F.max("ts")).first()[0]
+    folder = scratch_path(spark, f"clock-{uuid.uuid4().hex[:10]}")
+    tick(spark, folder, str((newest or datetime(2000, 1, 1)) + timedelta(days=1)))
+    return with_clock(_events(spark, sf), clock_stream(spark, folder))
+
+
 def _read(spark, path, stream):
     return spark.read.schema(stream.schema).parquet(path)
 
@@ -66,7 +79,7 @@ g4 AS (SELECT uid, event_id, first_round,
 SELECT p.uid, p.event_id, coalesce(g4.stale, false) AS stale, g4.first_round, g4.rounds
 FROM p2 p LEFT JOIN g4 ON g4.uid = p.uid AND g4.event_id = p.event_id""")
 def t2_stale_gauge_stream(spark, sf):
-    st = S.stale_gauge_stream(_events(spark, sf))
+    st = O.stale_gauge_stream(_closed_events(spark, sf))
     return _read(spark, drain(st, "t2"), st)
 
 
@@ -79,7 +92,7 @@ SELECT key, uid, event_id, severity, message FROM (
   SELECT ak.*, row_number() OVER (PARTITION BY ak.key, ak.t ORDER BY ak.event_id) AS rn
   FROM ak JOIN em ON em.key = ak.key AND em.t = ak.t) WHERE rn = 1""")
 def t3_alert_suppression_stream(spark, sf):
-    st = S.alert_suppression_stream(_events(spark, sf))
+    st = O.alert_suppression_stream(_closed_events(spark, sf))
     return _read(spark, drain(st, "t3"), st)
 
 
@@ -88,7 +101,7 @@ s0 AS (SELECT uid, event_id, ts, crit, sum(CASE WHEN crit THEN 0 ELSE 1 END) OVE
 s1 AS (SELECT uid, event_id, CAST(sum(CASE WHEN crit THEN 1 ELSE 0 END) OVER (PARTITION BY uid, brk ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS streak FROM s0)
 SELECT uid, event_id, streak, streak >= 2 AS confirmed FROM s1""")
 def t4_crit_streak_stream(spark, sf):
-    st = S.crit_streak_stream(_events(spark, sf))
+    st = O.crit_streak_stream(_closed_events(spark, sf))
     return _read(spark, drain(st, "t4"), st)
 
 
@@ -123,7 +136,7 @@ SELECT cycle, uid, val_loss, slot AS fresh_slot, sample_cycle FROM mr WHERE fres
 def t7_late_samples(spark, sf):
     st = S.late_samples_stream(_events(spark, sf))
     out = drain_batches(st, "t7", S.freshest_batch_writer)
-    return S.merged_freshest(spark.read.parquet(out))
+    return S.merged_freshest(spark, out)
 
 
 @register("t8_missed_windows", r"""

@@ -10,7 +10,7 @@ import itertools
 import lzma
 import posixpath
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -217,6 +217,18 @@ def put_file(spark: SparkSession, path: str, content: bytes) -> None:
     out.close()
 
 
+def replace_version(spark: SparkSession, root: str, version: str, made: Callable[[str | None], DataFrame]) -> None:
+    """Write ``made(live folder or None)`` as ``version``, make it live, and remove the version it replaces."""
+    fs, current, jvm = _fs(spark, f"{root.rstrip('/')}/CURRENT")
+    live = current_version(root, spark) if fs.exists(current) else None
+    if live and live.rstrip("/").endswith(f"/{version}"):
+        return
+    made(live).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{version}")
+    _move_pointer(spark, root, version)
+    if live:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(live), True)
+
+
 def _move_pointer(spark: SparkSession, root: str, version: str) -> None:
     """``CURRENT`` names ``version`` from here on; it is written aside and renamed over the old one."""
     aside = f"{root.rstrip('/')}/.CURRENT.{version}"
@@ -243,7 +255,7 @@ def publish(df: DataFrame, root: str, rows_per_file: int = 50_000) -> str:
     target = f"{root.rstrip('/')}/{version}"
     write_shards(df, target, rows_per_file)
     if spark.read.parquet(target).count() == 0:
-        raise RuntimeError("no rows collected -- refusing to replace the existing corpus")
+        raise RuntimeError("the new version is empty, so the live one stays")
     _move_pointer(spark, root, version)
     return target
 

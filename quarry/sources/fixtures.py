@@ -114,10 +114,10 @@ def poll_series(spark: SparkSession, sf_dir: str, *more) -> DataFrame:
     return r.result()
 
 
-def poll_rows_from(e: DataFrame) -> DataFrame:
+def poll_rows_from(e: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The ``polls`` projection; a stream has no ``poll`` number and orders by (ts, event_id)."""
     eid = F.col("event_id")
-    extra = ["poll"] if "poll" in e.columns else []
+    extra = [c for c in ("poll", *keep) if c in e.columns]
     return e.select(
         F.col("user_id").alias("uid"), *extra, "event_id", "ts",
         _day().alias("round_id"),

@@ -33,6 +33,16 @@ def table_stream(spark: SparkSession, folder: str, table: str, max_files: int |
     return r.parquet(folder)
 
 
+def clock_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Times (``ts``) written to ``folder`` with :func:`tick`, as a stream."""
+    return spark.readStream.schema("ts timestamp_ntz").parquet(folder)
+
+
+def tick(spark: SparkSession, folder: str, at: str) -> None:
+    """Write one time to a clock folder."""
+    spark.sql(f"SELECT TIMESTAMP_NTZ'{at}' AS ts").coalesce(1).write.mode("append").parquet(folder)
+
+
 def drain(stream: DataFrame, name: str, mode: str = "append", path: str | None = None) -> str:
     """Run ``stream`` with ``availableNow`` into a Parquet folder; return the folder."""
     spark = stream.sparkSession

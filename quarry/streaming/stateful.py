@@ -1,12 +1,7 @@
-"""Streaming operators.
-
-Keyed state is held by ``applyInPandasWithState`` (checkpointed with the
-query, so a restart resumes the gauges, streaks and suppression clocks).
-A micro-batch gives no order guarantee inside a key, so every processor sorts
-its rows by event time first; the key's rows across batches arrive in time
-order when the source is split by time, which is what makes each operator equal
-to its batch twin. Every key is one miner (or one miner's alert), so state per
-key stays small.
+"""Streaming operators T1, T6, T7, T8 (T2 to T4: ``ordered``, T5: ``trailing``).
+
+Keyed state is checkpointed with the query, so a restart resumes it. Every key is
+one miner, so state per key stays small.
 """
 
 from __future__ import annotations
@@ -14,15 +9,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quarry.operators import board as B
-from quarry.operators import gauges as G
 from quarry.operators import logs as L
-from quarry.sources.fixtures import board_from, logs_from, poll_rows_from
+from quarry.sources.fixtures import board_from, logs_from
+from quarry.sources.files import current_version, replace_version
 from quarry.sources.snapshots import flatten_snapshot
+from quarry.streaming.core import ROCKSDB, STATE_STORE
 
 MISSED_S = 9600  # a gap over 160 minutes is a missed round
 
@@ -33,138 +30,61 @@ def ingest_snapshots(json_lines: DataFrame) -> DataFrame:
     return flatten_snapshot(json_lines.select(F.col("value").alias("json")))
 
 
-# ---------------------------------------------------------------- T2
-def _stale_gauge(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-    """Islands of equal values; the state is the open island: value, first round, changes, last round, polls."""
-    frames = list(pdfs)
-    if not frames:
-        return
-    pdf = pd.concat(frames).sort_values(["ts", "event_id"], kind="mergesort").reset_index(drop=True)
-    out = pd.DataFrame({"uid": key[0], "event_id": pdf["event_id"], "stale": False,
-                        "first_round": pd.Series(pd.NA, index=pdf.index, dtype="Int32"),
-                        "rounds": pd.Series(pd.NA, index=pdf.index, dtype="Int64")})
-    live = pdf[~(pdf["vnull"].astype(bool) | pdf["round_id"].isna())]  # no loss or no round: not a poll
-    if len(live):
-        value, first0, changes0, last0, polls0 = tuple(state.get) if state.exists else (None, 0, 0, 0, 0)
-        text = live["val_loss"].map(lambda x: repr(float(x)))  # repr: NaN == NaN, 0.0 != -0.0
-        rnd = live["round_id"].astype("int64")
-        island = (text != text.shift(fill_value=value if polls0 else "")).cumsum()
-        opened = island == 0  # goes on from the batch before
-        by = rnd.groupby(island)
-        poll = by.cumcount() + opened * polls0
-        first = by.transform("first").where(~opened, first0)
-        before = by.shift().fillna(last0)
-        # a change of round counts from the third poll on, against the poll before it
-        changes = ((poll >= 2) & (rnd != before)).astype("int64").groupby(island).cumsum() + opened * changes0
-        out.loc[live.index, "stale"] = (poll > 0) & (rnd != first)
-        out.loc[live.index, "first_round"], out.loc[live.index, "rounds"] = first.astype("Int32"), changes.astype("Int64")
-        state.update((text.iloc[-1], int(first.iloc[-1]), int(changes.iloc[-1]), int(rnd.iloc[-1]), int(poll.iloc[-1]) + 1))
-    yield out
-
-
-def stale_gauge_stream(events: DataFrame) -> DataFrame:
-    """Stale-gauge state per uid across micro-batches and restarts (twin: W7)."""
-    p = poll_rows_from(events).select("uid", "event_id", "ts", "round_id", "val_loss",
-                                      F.col("val_loss").isNull().alias("vnull"))
-    return p.groupBy("uid").applyInPandasWithState(
-        _stale_gauge, "uid long, event_id long, stale boolean, first_round int, rounds long",
-        "v string, first_round int, rounds long, last_round int, polls long", "append", GroupStateTimeout.NoTimeout)
-
-
-# ---------------------------------------------------------------- T3
-def _suppress(key, pdfs, state: GroupState):
-    frames = list(pdfs)
-    if not frames:
-        return
-    pdf = pd.concat(frames).sort_values(["_t", "event_id"], kind="mergesort")
-    last = state.get[0] if state.exists else None
-    keep = []
-    for i, t in enumerate(pdf["_t"].to_numpy()):
-        if last is None or t - last >= G.ALERT_REPEAT_S * 1_000_000:
-            keep.append(i)
-            last = int(t)
-    state.update((last,))
-    yield pdf.iloc[keep][["key", "uid", "event_id", "severity", "message"]]
-
-
-def alert_suppression_stream(events: DataFrame) -> DataFrame:
-    """Re-emit a key only after 3600 s since its last emission (twin: T3 batch)."""
-    p = poll_rows_from(events)
-    a = (p.withColumn("severity", L.severity_tier(F.col("log_age"))).filter(F.col("severity") != "OK")
-         .withColumn("message", F.when(F.col("log_age").isNull(), F.concat(F.col("msg"), F.lit(" log missing entirely")))
-                     .otherwise(F.concat(F.col("msg"), F.lit(" log silent "),
-                                         F.round(F.col("log_age") / 60).cast("long").cast("string"), F.lit(" min"))))
-         .withColumn("key", G.alert_key()).withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp"))))
-    a = a.select("key", "uid", "event_id", "severity", "message", "_t")
-    return a.groupBy("key").applyInPandasWithState(
-        _suppress, "key string, uid long, event_id long, severity string, message string",
-        "last long", "append", GroupStateTimeout.NoTimeout)
-
-
-# ---------------------------------------------------------------- T4
-def _streak(key, pdfs, state: GroupState):
-    frames = list(pdfs)
-    if not frames:
-        return
-    pdf = pd.concat(frames).sort_values(["ts", "event_id"], kind="mergesort")
-    streak = state.get[0] if state.exists else 0
-    res = []
-    for r in pdf.itertuples(index=False):
-        streak = streak + 1 if r.crit else 0
-        res.append((key[0], r.event_id, streak, streak >= 2))
-    state.update((streak,))
-    yield pd.DataFrame(res, columns=["uid", "event_id", "streak", "confirmed"])
+# ---------------------------------------------------------------- T6
+class _Recorder(StatefulProcessor):
+    """The kept points of a uid and a version; puts out points that came, changed or went."""
 
+    def __init__(self, bound: int):
+        self.bound = bound
 
-def crit_streak_stream(events: DataFrame) -> DataFrame:
-    """T4: consecutive-CRIT streak per uid, confirmed at 2 (twin: W8)."""
-    p = poll_rows_from(events).select("uid", "event_id", "ts", "crit")
-    return p.groupBy("uid").applyInPandasWithState(
-        _streak, "uid long, event_id long, streak long, confirmed boolean", "streak long", "append",
-        GroupStateTimeout.NoTimeout)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("points", "version long, steps array<bigint>, losses array<double>")
 
+    def close(self) -> None:
+        pass
 
-# ---------------------------------------------------------------- T6
-def _recorder(bound):
-    def fn(key, pdfs, state: GroupState):
-        frames = list(pdfs)
-        if not frames:
-            return
-        steps, losses, version = (list(state.get[0]), list(state.get[1]), state.get[2]) if state.exists else ([], [], 0)
-        book = dict(zip(steps, losses))
-        pdf = pd.concat(frames).sort_values(["step"], kind="mergesort")
-        for r in pdf.itertuples(index=False):
-            book[int(r.step)] = float(r.loss)  # upsert by step: the newest value wins
-        kept = sorted(book)[-bound:]            # evict the lowest steps
-        version += 1
-        state.update((kept, [book[s] for s in kept], version))
-        yield pd.DataFrame({"uid": key[0], "version": version, "step": kept, "loss": [book[s] for s in kept]})
-    return fn
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        version, steps, losses = self.state.get() or (0, [], [])
+        old = dict(zip(steps, losses, strict=True))
+        book = old | {r["step"]: r["loss"] for r in sorted(rows, key=lambda r: r["step"])}  # the newest value of a step wins
+        kept = sorted(book)[-self.bound:]  # the lowest steps go
+        self.state.update((version + 1, kept, [book[s] for s in kept]))
+        for s in kept:
+            if s not in old or old[s] != book[s]:
+                yield Row(uid=key[0], version=version + 1, step=s, loss=book[s], kept=True)
+        for s in sorted(old.keys() - set(kept)):
+            yield Row(uid=key[0], version=version + 1, step=s, loss=None, kept=False)
 
 
 def eval_recorder_stream(events: DataFrame, bound: int = 200) -> DataFrame:
-    """Bounded last-N eval points per uid, upserted by step (twin: newest N by step)."""
+    """Bounded last-N eval points per uid, upserted by step (twin: newest N by step).
+
+    Every batch puts out only the points it changed."""
+    events.sparkSession.conf.set(STATE_STORE, ROCKSDB)
     c = events.select(F.col("user_id").alias("uid"), F.col("event_id").alias("step"), (F.col("value") / 100).alias("loss"))
-    return c.groupBy("uid").applyInPandasWithState(
-        _recorder(bound), "uid long, version long, step long, loss double",
-        "steps array<long>, losses array<double>, version long", "append", GroupStateTimeout.NoTimeout)
+    return c.groupBy("uid").transformWithState(_Recorder(bound), "uid long, version long, step long, loss double, kept boolean", "append", "none")
 
 
 def latest_recorder_state(out: DataFrame) -> DataFrame:
-    """The newest retained set per uid from the recorder's append-only output."""
-    v = out.groupBy("uid").agg(F.max("version").alias("version"))
-    return out.join(v, ["uid", "version"], "left_semi").drop("version")
+    """The points kept now: the newest word on every step."""
+    v = out.groupBy("uid", "step").agg(F.max(F.struct("version", "kept", "loss")).alias("m"))
+    return v.filter("m.kept").select("uid", "step", "m.loss")
 
 
 # ---------------------------------------------------------------- T7
 def freshest_batch_writer(batch: DataFrame, batch_id: int, out: str) -> None:
-    """T7 foreachBatch: per (cycle, uid) the freshest sample of this batch, appended.
+    """T7 foreachBatch: per (cycle, uid) the freshest sample so far.
 
-    Replaying a batch appends the same winners again; the max on read makes it
-    idempotent, and an older sample can never displace a newer one.
+    The winners of a batch are merged with the stored ones into a new version,
+    the pointer is renamed over the old one, and the version before is removed,
+    so storage follows the keys, not the batches. A replayed batch whose version
+    is live already is left alone; otherwise the merge is repeated, which takes
+    the same winners again without harm. An older sample never displaces a newer one.
     """
-    w = batch.groupBy("cycle", "uid").agg(F.max(F.when(F.col("val_loss").isNotNull(), B.freshness_key())).alias("f"))
-    w.filter(F.col("f").isNotNull()).write.mode("append").parquet(out)
+    spark = batch.sparkSession
+    won = batch.groupBy("cycle", "uid").agg(F.max(F.when(F.col("val_loss").isNotNull(), B.freshness_key())).alias("f")).filter(F.col("f").isNotNull())
+    replace_version(spark, out, f"batch-{batch_id}", lambda live: won if live is None else
+                    spark.read.parquet(live).unionByName(won).groupBy("cycle", "uid").agg(F.max("f").alias("f")))
 
 
 def late_samples_stream(events: DataFrame) -> DataFrame:
@@ -173,8 +93,9 @@ def late_samples_stream(events: DataFrame) -> DataFrame:
     return board_from(events)
 
 
-def merged_freshest(out: DataFrame) -> DataFrame:
-    m = out.groupBy("cycle", "uid").agg(F.max("f").alias("f"))
+def merged_freshest(spark: SparkSession, out: str) -> DataFrame:
+    """The stored winners."""
+    m = spark.read.parquet(current_version(out, spark))
     return m.select("cycle", "uid", F.col("f.val_loss").alias("val_loss"), F.col("f.slot").alias("fresh_slot"),
                     F.col("f.sample_cycle").alias("sample_cycle"))
 

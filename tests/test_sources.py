@@ -155,3 +155,32 @@ def test_tokenizer_hook_equals_default(spark):
     d = docs(spark, SMALL).select("doc_id", "text").limit(20)
     ids = lambda t: {r.doc_id: r.ids for r in t.select("doc_id", "ids").collect()}
     assert ids(token_ids(d)) == ids(token_ids(d, tokenizer="quarry.functions.tokenize:WhitespaceMd5"))
+
+
+def test_raw_log_tail_ranges(tmp_path, monkeypatch):
+    """Lines of byte ranges of every size: each line once, at its byte, the unfinished last one left for later."""
+    import random
+
+    import pyarrow as pa
+    from quarry.sources import tail as T
+
+    rng = random.Random(4)
+    lines = ["".join(rng.choices("ab \xe9", k=rng.choice([0, 1, 5, 40]))).encode() for _ in range(300)]
+    data = b"".join(x + b"\n" for x in lines)
+    (tmp_path / "uid7-train.log").write_bytes(data + b"half a li")
+    (tmp_path / "notes.txt").write_bytes(b"no log\n")
+    starts = [sum(len(x) + 1 for x in lines[:i]) for i in range(300)]
+    for block, size in ((1 << 20, 1 << 20), (7, 50), (64, 1), (3, 17)):
+        monkeypatch.setattr(T, "BLOCK", block)
+        monkeypatch.setattr(T, "TASK_BYTES", size)
+        r = T._TailReader(str(tmp_path))
+        end = r.latestOffset()
+        assert end == {"uid7-train.log": len(data)}
+        cut = starts[100]
+        got = [x for a, b in (({}, {"uid7-train.log": cut}), ({"uid7-train.log": cut}, end)) for p in r.partitions(a, b)
+               for t in r.read(p) for x in zip(t["at"].to_pylist(), t["line"].to_pylist(), strict=True)]
+        assert got == [(s, x.decode()) for s, x in zip(starts, lines, strict=True)]
+    assert r.partitions(end, end) == []
+    (tmp_path / "uid7-train.log").write_bytes(b"anew\n")  # rotated
+    got = pa.Table.from_batches([t for p in r.partitions(end, r.latestOffset()) for t in r.read(p)])
+    assert got["line"].to_pylist() == ["anew"] and got["at"].to_pylist() == [0]

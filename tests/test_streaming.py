@@ -1,14 +1,17 @@
 """Streams over time-split files (several micro-batches) equal their batch twins."""
 
+import os
+import shutil
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators import gauges as G
 from quarry.plans.catalog import QUERIES
-from quarry.sources import fixtures as V
+from quarry.streaming import ordered as O
 from quarry.streaming import stateful as S
-from quarry.streaming.core import drain, drain_batches, table_stream
+from quarry.streaming.core import clock_stream, drain, drain_batches, table_stream, tick
+from quarry.streaming.ordered import with_clock
 
 from conftest import SMALL
 
@@ -32,23 +35,99 @@ def _rows(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
-def test_stale_gauge_stream_equals_batch(spark, split_dir):
-    st = S.stale_gauge_stream(_stream(spark, split_dir))
-    got = spark.read.schema(st.schema).parquet(drain(st, "test-t2"))
-    want = QUERIES["t2_stale_gauge_stream"](spark, SMALL)
-    cols = ["uid", "event_id", "stale", "first_round", "rounds"]
-    assert _rows(got, cols) == _rows(want, cols)
-
+def _in_order(spark, build, files, folder, tmp_path, name):
+    """Feed the files in the order given, a batch each, then move the clock on; the rows put out."""
+    live, clock, base = tmp_path / f"{name}-live", str(tmp_path / f"{name}-clock"), str(tmp_path / name)
+    live.mkdir()
+    tick(spark, clock, "2024-01-01 00:00:00")
+    for f in files:
+        shutil.copy(f"{folder}/{f}", live / f)
+        st = build(with_clock(_stream(spark, str(live)), clock_stream(spark, clock)), delay="60 days")
+        drain(st, name, path=base)
+    tick(spark, clock, "2024-12-31 00:00:00")
+    return spark.read.schema(st.schema).parquet(drain(build(with_clock(_stream(spark, str(live)), clock_stream(spark, clock)), delay="60 days"), name, path=base))
+
+
+@pytest.mark.parametrize("name, build, cols", [
+    ("t2_stale_gauge_stream", O.stale_gauge_stream, ["uid", "event_id", "stale", "first_round", "rounds"]),
+    ("t3_alert_suppression_stream", O.alert_suppression_stream, ["key", "uid", "event_id", "severity", "message"]),
+    ("t4_crit_streak_stream", O.crit_streak_stream, ["uid", "event_id", "streak", "confirmed"])])
+def test_shuffled_files_and_restarts_equal_batch(spark, split_dir, tmp_path, name, build, cols):
+    """Files out of order, every one in a run of its own: state and waiting rows survive the restarts."""
+    files = sorted(f for f in os.listdir(split_dir) if f.endswith(".parquet"))
+    got = _in_order(spark, build, [files[i] for i in (3, 0, 4, 1, 2)], split_dir, tmp_path, name)
+    assert _rows(got, cols) == _rows(QUERIES[name](spark, SMALL), cols)
+
+
+def test_rows_wait_for_the_watermark_and_state_expires():
+    """The buffer by itself: nothing comes out before its time, order is by (time, id), and silent keys are dropped."""
+    class Box:
+        def __init__(self):
+            self.v = None
 
-def test_streak_and_suppression_streams_equal_batch(spark, split_dir):
-    st = S.crit_streak_stream(_stream(spark, split_dir))
-    got = spark.read.schema(st.schema).parquet(drain(st, "test-t4"))
-    want = QUERIES["t4_crit_streak_stream"](spark, SMALL)
-    assert _rows(got, ["uid", "event_id", "streak"]) == _rows(want, ["uid", "event_id", "streak"])
-    st = S.alert_suppression_stream(_stream(spark, split_dir))
-    got = spark.read.schema(st.schema).parquet(drain(st, "test-t3"))
-    batch = G.suppress_alerts(G.alert_rows(V.polls(spark, SMALL)))
-    assert got.count() == batch.count()
+        def get(self):
+            return self.v
+
+        def put(self, v):
+            self.v = v
+
+        def update(self, v):
+            self.v = v
+
+        def clear(self):
+            self.v = None
+
+    class Handle:
+        def __init__(self):
+            self.timers = set()
+
+        def registerTimer(self, t):
+            self.timers.add(t)
+
+        def deleteTimer(self, t):
+            self.timers.remove(t)
+
+    op = O.InOrder(lambda state, rows: (((state or (0,))[0] + len(rows),), [(r[1],) for r in rows]), "x long", "n long", ["key", "id"], expire_ms=100)
+    op.handle, op.waiting, op.state = Handle(), Box(), Box()
+
+    def play(now, *rows):
+        fired = {t for t in op.handle.timers if t <= now}
+        op.handle.timers -= fired
+        return [r[1] for r in op._release((7,), now, list(rows))]
+
+    assert play(0, (5000, 2), (5000, 1), (1500, 3)) == [] and op.handle.timers == {2}
+    assert play(1, (900, 4)) == [4] and op.handle.timers == {2}
+    assert play(4, (4500, 6), (3000, 5)) == [3, 5] and op.handle.timers == {5}
+    assert play(5) == [6, 1, 2] and op.handle.timers == {105} and op.state.get()[3] == (6,)
+    assert play(105) == [] and op.state.get() is None and not op.handle.timers
+
+
+def test_trailing_window_keeps_late_lines_and_clears_silent_miners(spark, tmp_path):
+    """Lines of 30 minutes, late ones inside the window, a miner that falls silent."""
+    from quarry.streaming.trailing import current_signatures, trailing_signatures
+
+    def line(uid, minute, text):
+        at = f"2024-01-01 {minute // 60:02d}:{minute % 60:02d}:00"
+        return (uid, "train", text, at if "frame" not in text else None, at)
+
+    batches = [[line(1, 600, "x OutOfMemoryError"), line(1, 601, "ok"), line(2, 602, "HTTP 429"), line(2, 603, "at frame HTTP 429")],
+               [line(1, 610, "ok"), line(1, 595, "late non-finite"), line(3, 560, "too late HTTP 429")],
+               [line(3, 631, "ok"), line(3, 602, "late on the edge HTTP 429")],
+               [line(3, 632, "ok")], [line(3, 650, "fine")]]
+    live, base = tmp_path / "in", str(tmp_path / "run")
+    schema = "uid long, kind string, clean string, ts timestamp_ntz, seen timestamp_ntz"
+    out = []
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "uid long, kind string, clean string, ts string, seen string").withColumns(
+            {c: F.to_timestamp_ntz(F.col(c)) for c in ("ts", "seen")})
+        df.coalesce(1).write.mode("append").parquet(str(live))
+        st = trailing_signatures(spark.readStream.schema(schema).parquet(str(live)))
+        got = current_signatures(spark.read.schema(st.schema).parquet(drain(st, "trailing", path=base)))
+        out.append(sorted((r["uid"], r["sig"], r["hits"], r["first_at"].minute) for r in got.collect()))
+    assert out[0] == [(1, 0, 1, 0), (2, 1, 2, 2)]
+    assert out[1] == [(1, 0, 1, 0), (1, 5, 1, 55), (2, 1, 2, 2)]
+    assert out[2] == [(2, 1, 2, 2), (3, 1, 1, 2)]  # 10:31: what came before 10:01 has left the window
+    assert out[3] == [(2, 1, 2, 2), (3, 1, 1, 2)] and out[4] == []
 
 
 def test_recorder_and_freshest_merge(spark, split_dir):
@@ -60,7 +139,9 @@ def test_recorder_and_freshest_merge(spark, split_dir):
               .filter("rn <= 5").select(F.col("user_id").alias("uid"), F.col("event_id").alias("step")))
     assert _rows(got, ["uid", "step"]) == _rows(want, ["uid", "step"])
     out = drain_batches(S.late_samples_stream(_stream(spark, split_dir)), "test-t7", S.freshest_batch_writer)
-    merged = S.merged_freshest(spark.read.parquet(out))
+    merged = S.merged_freshest(spark, out)
+    # five batches, one stored version
+    assert sorted(f for f in os.listdir(out) if not f.startswith(".")) == ["CURRENT", "batch-4"]
     want = QUERIES["w1_freshest_sample"](spark, SMALL)
     assert _rows(merged, ["cycle", "uid", "val_loss"]) == _rows(want, ["cycle", "uid", "val_loss"])
 
@@ -72,55 +153,19 @@ def test_missed_window_timer_fires(spark, split_dir):
     assert "gap" in kinds and "no submission" in kinds
 
 
-def test_stale_gauge_survives_restart(spark, split_dir, tmp_path):
-    """Stop after two files, restart from the same checkpoint with the rest:
-    the state carried across the restart gives the batch twin's result."""
-    import shutil
-
-    src = sorted(p for p in __import__("os").listdir(split_dir) if p.endswith(".parquet"))
-    live = tmp_path / "live"
-    live.mkdir()
-    base = str(tmp_path / "run")
-    for name in src[:2]:
-        shutil.copy(f"{split_dir}/{name}", live / name)
-    st = S.stale_gauge_stream(_stream(spark, str(live)))
-    drain(st, "restart", path=base)
-    for name in src[2:]:
-        shutil.copy(f"{split_dir}/{name}", live / name)
-    st = S.stale_gauge_stream(_stream(spark, str(live)))
-    out = drain(st, "restart", path=base)
-    got = spark.read.schema(st.schema).parquet(out)
-    want = QUERIES["t2_stale_gauge_stream"](spark, SMALL)
-    cols = ["uid", "event_id", "stale", "first_round", "rounds"]
-    assert _rows(got, cols) == _rows(want, cols)
-
-
-def test_stale_gauge_keeps_no_state_without_a_poll():
+def test_gauge_fold_does_not_depend_on_the_cuts():
     """A uid whose first batch holds only null losses; then polls split over batches equal one batch."""
-    import pandas as pd
-    from quarry.streaming.stateful import _stale_gauge
-
-    class State:
-        exists, kept = False, None
-
-        def update(self, x):
-            assert x is not None and None not in x
-            self.exists, self.kept = True, x
-
-        @property
-        def get(self):
-            return self.kept
-
     vals = [None, None, 1.0, 1.0, 1.0, None, 1.0, 2.0, 2.0, 1.0, float("nan"), float("nan"), float("nan"), -0.0, 0.0]
     rounds = [1, 1, 1, 2, 3, 3, 3, 4, 4, 4, 5, 6, 7, 7, None]
-    rows = pd.DataFrame({"ts": range(15), "event_id": range(15), "val_loss": vals, "round_id": rounds, "vnull": [v is None for v in vals]})
+    rows = [(i, i, r, v, v is None) for i, (v, r) in enumerate(zip(vals, rounds, strict=True))]
 
     def played(cuts):
-        state, out = State(), []
+        state, out = None, []
         for a, b in zip([0, *cuts], [*cuts, 15], strict=True):
-            out += list(_stale_gauge((7,), iter([rows.iloc[a:b]]), state))
-        return pd.concat(out).fillna(-1).astype(str).values.tolist()
+            state, more = O.gauge_fold(state, rows[a:b])
+            out += more
+        return out
 
     whole = played([])
-    assert [r[4] for r in whole[2:7]] == ["0", "0", "1", "-1", "1"] and [r[2] for r in whole[2:5]] == ["False", "True", "True"]
+    assert [r[3] for r in whole[2:7]] == [0, 0, 1, None, 1] and [r[1] for r in whole[2:5]] == [False, True, True]
     assert all(played(c) == whole for c in ([1], [2], [3], [4, 6], [3, 5, 8, 11], list(range(1, 15))))
