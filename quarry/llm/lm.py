@@ -173,17 +173,22 @@ def lexicon(counts: DataFrame, frequent: int) -> Lexicon:
         if kept + sizes[lv] > frequent:
             break
         kept, cut = kept + sizes[lv], lv
-    rows = [] if cut is None else sorted(((-r["c"], r["h"], r["slot"]) for r in counts.filter(level >= cut).collect()))
-    own = {h: i for i, (_, h, _) in enumerate(rows[:OWN_SLOTS])}
-    by_hash = sorted((h, own.get(h, s), -c) for c, h, s in rows)
-    hashes, slots, exact = (np.array(x, dtype=np.int64) for x in zip(*by_hash, strict=True)) if by_hash else [np.zeros(0, np.int64)] * 3
+    # columns, not row objects: a few dozen bytes a word
+    found = [np.zeros(0, np.int64)] * 3 if cut is None else [
+        x.to_numpy() for x in counts.filter(level >= cut).select(*[F.col(c).cast("long") for c in ("h", "slot", "c")]).toArrow().columns]
+    order = np.lexsort((found[0], -found[2]))
+    hashes, slots, exact = (x[order] for x in found)
+    top_slots, top_counts = slots[:OWN_SLOTS].copy(), exact[:OWN_SLOTS]
+    slots[:OWN_SLOTS] = np.arange(len(top_slots))
+    by_hash = np.argsort(hashes)
+    hashes, slots, exact = hashes[by_hash], slots[by_hash], exact[by_hash]
     tokens, distinct = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
     for r in counts.groupBy("slot").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
         tokens[r["slot"]], distinct[r["slot"]] = r["c"], r["n"]
     n, v = int(tokens.sum()), int(distinct.sum())
-    for c, _, s in rows[:OWN_SLOTS]:  # words with a slot of their own leave the shared one
-        tokens[s] += c
-        distinct[s] -= 1
+    # words with a slot of their own leave the shared one
+    np.subtract.at(tokens, top_slots, top_counts)
+    np.subtract.at(distinct, top_slots, 1)
     return Lexicon(hashes, slots, exact, tokens, distinct, n, v)
 
 
@@ -352,10 +357,11 @@ def train_model(spark, bigrams: np.ndarray, skips: np.ndarray, end: int, updates
     np.add.at(seen, p2.ravel(), (skips @ one_hot).ravel())
     seen += np.bincount(p3.ravel(), weights=bigrams.ravel().astype(float), minlength=TABLE)
     step = -(-SLOTS // BLOCKS)
-    blocks = spark.createDataFrame(
-        [(at, contexts[at:at + step].astype(np.int64).tobytes(), np.ascontiguousarray(bigrams[at:at + step]).tobytes())
-         for at in range(0, SLOTS, step)], "at int, contexts binary, bigrams binary").repartition(BLOCKS, "at")
-    blocks = pinned(blocks)
+    cuts = range(0, SLOTS, step)
+    blocks = pinned(spark.createDataFrame(pa.table({
+        "at": pa.array(cuts, pa.int32()), "contexts": pa.array([contexts[at:at + step].tobytes() for at in cuts], pa.binary()),
+        "bigrams": pa.array([np.ascontiguousarray(bigrams[at:at + step]).tobytes() for at in cuts], pa.binary())})).repartition(BLOCKS, "at"))
+    del contexts
     theta, m, v = np.zeros(TABLE), np.zeros(TABLE), np.zeros(TABLE)
     for k in range(1, updates + 1):
         shared = spark.sparkContext.broadcast((theta.astype(np.float32), bias_c, bias_s, members))
@@ -371,16 +377,16 @@ def train_model(spark, bigrams: np.ndarray, skips: np.ndarray, end: int, updates
         grad = seen.copy()
         for r in blocks.mapInArrow(partial, "g binary").collect():  # BLOCKS tables of TABLE numbers
             grad -= np.frombuffer(r["g"], dtype=np.float32)
-        shared.unpersist()
+        shared.destroy()
         grad = grad / total - L2 * theta
         m, v = 0.8 * m + 0.2 * grad, 0.98 * v + 0.02 * grad * grad
         theta = theta + RATE * (m / (1 - 0.8 ** k)) / (np.sqrt(v / (1 - 0.98 ** k)) + 1e-9)
-    slot = bias_s + theta[p3]
-    inside = np.empty_like(slot)
-    z = _logsum(slot[:, members])
-    inside = slot - z[:, classes] + (bias_c + theta[p1])[:, classes]
-    norm = np.stack([_logsum(bias_c + theta[p1[i]] + theta[p2]) for i in range(SLOTS)])
-    return Model(inside.astype(np.float32), theta[p2].astype(np.float32), norm.astype(np.float32), classes)
+    inside, norm = np.empty((SLOTS, SLOTS), np.float32), np.empty((SLOTS, SLOTS), np.float32)
+    for i in range(SLOTS):  # a row at a time
+        slot = bias_s + theta[p3[i]]
+        inside[i] = slot - _logsum(slot[members])[classes] + (bias_c + theta[p1[i]])[classes]
+        norm[i] = _logsum(bias_c + theta[p1[i]] + theta[p2])
+    return Model(inside, theta[p2].astype(np.float32), norm, classes)
 
 
 SCORED = "row long, h long, n long, doc_id long, held_out boolean, n_tokens long, n_known long, log_count double, rest double"

@@ -74,3 +74,36 @@ def test_edges(spark):
     df = spark.createDataFrame([(i, t, 1.0) for i, t in rows], "doc_id long, text string, score double")
     check_base(lm.score_documents(df, updates=1).collect(), rows)
     assert lm.score_documents(df.limit(0), updates=1).count() == 0
+
+
+def test_score_by_hand(spark):
+    """Scores of whole documents, token by token from the trained tables and counts."""
+    df = load(spark, "/root/testdata/sf0.001", "documents")
+    docs = {r["doc_id"]: r["text"] for r in df.collect()}
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train = df.select("text").filter(df.doc_id.isin([i for i in docs if not held(i)]))
+    lex = lm.lexicon(lm._word_counts(train), lm.FREQUENT)
+    bigrams, skips = lm._slot_counts(train, lex)
+    model = lm.train_model(spark, bigrams, skips, lex.end_slot, 2)
+    count = Counter(t for i, x in docs.items() if not held(i) for t in slow_tokens(x))
+    own = {w: int(lex.slots[np.searchsorted(lex.hashes, lm.word_hash(w))]) for w in count}
+    own = {w: s for w, s in own.items() if s < lm.OWN_SLOTS}
+    slot = lambda w: own.get(w, lm.ending_slot(w))
+    tokens, words = Counter(), Counter()
+    for w, c in count.items():
+        tokens[slot(w)] += c
+        words[slot(w)] += 1
+
+    def score(text):
+        total, b1, b2 = 0.0, slot(lm.END), slot(lm.END)
+        for w in slow_tokens(text):
+            s = slot(w)
+            total += float(model.step[b1, s]) + float(model.skip[b2, model.classes[s]]) - float(model.norm[b1, b2])
+            total += 0.0 if s < lm.OWN_SLOTS else math.log((count[w] + 1) / (tokens[s] + words[s] + 1))
+            b1, b2 = s, b1
+        return total / math.log(10)
+
+    got = {r["doc_id"]: r["score"] for r in lm.score_documents(df, updates=2).collect()}
+    assert len(own) == lm.OWN_SLOTS and got.keys() == docs.keys()
+    for i, text in docs.items():
+        assert got[i] == pytest.approx(score(text), rel=1e-5, abs=1e-3)
