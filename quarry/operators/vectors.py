@@ -3,17 +3,22 @@
 Tensor rows look like the ``tensor`` view: (party, k, name, vals array<float>)
 where ``k`` is a chunk key and ``name`` the tensor it belongs to. Chunks are
 joined by key (a hash join on k spreads evenly; no chunk is ever collected to
-the driver). Per-chunk arithmetic is ``zip_with``/``aggregate`` inside the JVM.
+the driver). Per-chunk arithmetic is ``zip_with``/``aggregate`` inside the JVM;
+the Gram matrix multiplies blocks of parties in numpy.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import layer_of
 from quarry.operators.ordering import first_n
+from quarry.session import shuffle_partitions
 
 ALIGNED, OPPOSED = 0.1, -0.1
 
@@ -73,31 +78,85 @@ def key_difference(t: DataFrame, base_party: int = 0, key: str = "k") -> DataFra
         "party", "shared", (F.col("_nb") - F.col("shared")).alias("only_base"), "only_other")
 
 
-def gram(t: DataFrame, base_party: int = 0, key: str = "k") -> DataFrame:
+# Parties of a block: a task holds the vectors of two blocks for one chunk key at a time.
+PARTY_BLOCK = 32
+
+
+def _block_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of delta products of (task, bi, bj, k, b, party, delta) rows sorted by (task, k): one row a pair of parties and task."""
+    held: list[tuple[int, int, int, np.ndarray]] = []  # the open key: (bi, b, party, delta)
+    sums: dict[tuple[int, int], float] = {}
+    task = key = None
+
+    def close_key() -> None:
+        if not held:
+            return
+        bi = held[0][0]
+        left = [(p, v) for _, b, p, v in held if b == bi]
+        right = [(p, v) for _, b, p, v in held if b != bi] or left
+        g = np.stack([v for _, v in left]) @ np.stack([v for _, v in right]).T
+        for x, (i, _) in enumerate(left):
+            for y, (j, _) in enumerate(right):
+                if i <= j:
+                    sums[i, j] = sums.get((i, j), 0.0) + float(g[x, y])
+        held.clear()
+
+    def close_task() -> pa.RecordBatch:
+        rows = [(i, j, d) for (i, j), d in sums.items()]
+        sums.clear()
+        cols = zip(*rows, strict=True) if rows else ([], [], [])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.float64()), strict=True)], names=["i", "j", "d"])
+
+    for batch in batches:
+        tasks, bis, bjs, ks, bs, parties = (batch.column(c).to_pylist() for c in ("task", "bi", "bj", "_k", "b", "party"))
+        lists = batch.column("delta")
+        ends, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        for r in range(batch.num_rows):
+            if (tasks[r], ks[r]) != (task, key):
+                close_key()
+                if task is not None and tasks[r] != task:
+                    yield close_task()
+                task, key = tasks[r], ks[r]
+            if bis[r] == bjs[r] or bs[r] in (bis[r], bjs[r]):
+                held.append((bis[r], bs[r], parties[r], values[ends[r]:ends[r + 1]].copy()))
+    close_key()
+    yield close_task()
+
+
+def pair_keys(t: DataFrame, base_party: int = 0, key: str = "k") -> DataFrame:
+    """Pairs i <= j of parties beside the base and the keys common to all; no vector is read."""
+    others = t.filter(F.col("party") != base_party).agg(F.array_sort(F.collect_set("party")).alias("ps"))  # one entry a party
+    both = others.withColumn("n", F.lit(None).cast("long")).unionByName(
+        common_keys(t, key).agg(F.count(F.lit(1)).alias("n")).withColumn("ps", F.lit(None).cast(others.schema["ps"].dataType)))
+    one = both.agg(F.max("ps").alias("ps"), F.max("n").alias("n_keys")).filter("n_keys > 0")
+    left = one.select("ps", "n_keys", F.posexplode("ps").alias("at", "i"))
+    return left.select("i", F.explode(F.slice("ps", F.col("at") + 1, F.size("ps"))).alias("j"), "n_keys")
+
+
+def gram(t: DataFrame, base_party: int = 0, key: str = "k", block: int = PARTY_BLOCK) -> DataFrame:
     """V4: Gram matrix of update vectors (party - base) over keys common to all.
 
-    Rows are grouped per key (one row per party, bounded by the party count);
-    every pair's dot product is computed in one expression and only scalars are
-    summed per (i, j). Norms are ``sqrt(max(0, G_ii))``, ``rel = norm / ||base||``,
-    cosine is NaN when a norm is 0.
+    Deltas are made once, against the base joined by key. Parties are cut into
+    blocks; a task takes a range of keys and a pair of blocks, multiplies the two
+    blocks' deltas key by key and adds the products up, so a vector is sent once
+    a block, no row holds all parties, and only sums leave a task. Norms are
+    ``sqrt(max(0, G_ii))``, ``rel = norm / ||base||``, cosine is NaN when a norm is 0.
     """
-    ck = common_keys(t, key)
-    rows = t.join(ck, key, "left_semi").withColumn("vals", as_double(F.col("vals")))
-    per_key = rows.groupBy(key).agg(
-        F.max(F.when(F.col("party") == base_party, F.col("vals"))).alias("base"),
-        F.array_sort(F.collect_list(F.when(F.col("party") != base_party,
-                                           F.struct("party", "vals")))).alias("ps"))
-    idx = F.sequence(F.lit(0), F.size("ps") - 1)
-    pairs = F.flatten(F.transform(idx, lambda i: F.transform(
-        F.filter(idx, lambda j: j >= i),
-        lambda j: F.struct(F.element_at("ps", i + 1)["party"].alias("i"),
-                           F.element_at("ps", j + 1)["party"].alias("j"),
-                           dot(sub(F.element_at("ps", i + 1)["vals"], F.col("base")),
-                               sub(F.element_at("ps", j + 1)["vals"], F.col("base"))).alias("d")))))
-    base_cell = F.struct(F.lit(-1).alias("i"), F.lit(-1).alias("j"), dot(F.col("base"), F.col("base")).alias("d"))
-    cells = per_key.select(F.explode(F.concat(F.array(base_cell), pairs)).alias("p"))
-    g = cells.groupBy(F.col("p.i").alias("i"), F.col("p.j").alias("j")).agg(
-        F.sum("p.d").alias("dot"), F.count(F.lit(1)).alias("n_keys"))
+    n = shuffle_partitions(t.sparkSession)
+    rows = t.join(common_keys(t, key), key, "left_semi")
+    parties = rows.filter(F.col("party") != base_party).select("party").distinct()
+    parties = parties.withColumn("b", F.floor((F.row_number().over(Window.orderBy("party")) - 1) / block).cast("int"))
+    parties = parties.withColumn("nb", F.max("b").over(Window.partitionBy()) + 1)  # one row a party
+    d = with_base(rows, base_party, key).filter("shape_ok").select(F.col(key).alias("_k"), "party", "delta").join(parties, "party")
+    d = d.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    d = d.select(F.least("b", "_o").alias("bi"), F.greatest("b", "_o").alias("bj"), "_k", "b", F.col("party").cast("int").alias("party"), "delta")
+    d = d.withColumn("task", F.xxhash64(F.pmod(F.xxhash64("_k"), F.lit(n)), "bi", "bj"))
+    laid = d.select("task", "bi", "bj", "_k", "b", "party", "delta").repartition(n, "task").sortWithinPartitions("task", "_k", "b", "party")
+    cells = laid.mapInArrow(_block_products, "i int, j int, d double").groupBy("i", "j").agg(F.sum("d").alias("dot"))
+    base = rows.filter(F.col("party") == base_party).select(as_double(F.col("vals")).alias("v"))
+    base = base.agg(F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.sum(dot(F.col("v"), F.col("v"))).alias("dot"), F.count(F.lit(1)).alias("n_keys"))
+    g = cells.withColumn("n_keys", F.lit(None).cast("long")).unionByName(base)
+    g = g.withColumn("n_keys", F.max("n_keys").over(Window.partitionBy()))
     # g has n(n+1)/2 + 1 rows: windows over it are free.
     every = Window.partitionBy()
     diag = F.when(F.col("i") == F.col("j"), F.sqrt(F.greatest(F.lit(0.0), F.col("dot"))))

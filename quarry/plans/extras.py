@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions import hashing as H
@@ -167,7 +168,7 @@ WHERE p.rn = 1""")
 def c16_drift_measure(spark, sf):
     """Latest upload per uid, the global it was trained from (J1), that
     global's validity window (W3/J2), whether the upload fell inside it, and the
-    relative drift of the uid's update vector (V4 over the tensor chunks)."""
+    relative drift of the uid's update vector (V2 norms over the tensor chunks)."""
     p = parsed(spark, sf)
     up = L.log_events(p, L.UPLOAD_MARKER)
     dl = L.log_events(p, L.DOWNLOAD_MARKER)
@@ -177,8 +178,13 @@ def c16_drift_measure(spark, sf):
     glob = (dl.groupBy("rev").agg(F.min("ts").alias("t")).withColumn("repo", F.lit("global")))
     win = L.validity_windows(glob, ASOF_LOGS).select(F.col("rev").alias("d_rev"), F.col("start").alias("win_start"),
                                                      F.col("end").alias("win_end"))
-    g = VX.gram(V.tensor(spark, sf)).filter(F.col("i") == F.col("j")).select(
-        F.col("i").alias("party"), "rel_i")
+    t = V.tensor(spark, sf)
+    t = t.join(VX.common_keys(t), "k", "left_semi")
+    base = t.filter("party = 0").select(VX.as_double(F.col("vals")).alias("v")).agg(
+        F.lit(0).alias("party"), F.sum(VX.dot(F.col("v"), F.col("v"))).alias("norm2"))
+    norms = VX.update_norms(VX.with_base(t)).select("party", "norm2").unionByName(base)  # one row a party
+    norms = norms.withColumn("base2", F.max(F.when(F.col("party") == 0, F.col("norm2"))).over(Window.partitionBy()))
+    g = norms.filter("party <> 0").select("party", (F.sqrt("norm2") / F.sqrt("base2")).alias("rel_i"))
     out = (pair.select("uid", F.col("ts").alias("up_ts"), F.col("rev").alias("up_rev"), "d_rev")
            .join(win, "d_rev", "left")
            .withColumn("party", (F.pmod(F.col("uid"), F.lit(3)) + 1).cast("int"))

@@ -87,7 +87,7 @@ def v4_gram(spark, sf):
 @register("j8_self_pairs", f"""WITH {TV_SQL},{_GRAM_SQL}
 SELECT i, j, n_keys FROM g""")
 def j8_self_pairs(spark, sf):
-    return VX.gram(V.tensor(spark, sf)).select("i", "j", "n_keys")
+    return VX.pair_keys(V.tensor(spark, sf))
 
 
 @register("u1_common_keys", """
