@@ -255,13 +255,19 @@ def s6_read_history(spark, sf):
     return rows.select("cycle", "uid", F.col("slot_pos").cast("long").alias("slot_pos"), "slot", "val_loss")
 
 
-@register("s10_write_shards", "SELECT length(text) AS n_chars FROM documents")
+@register("s10_write_shards", """
+SELECT printf('part-%05d.parquet', g // 97) AS part, count(*) AS rows, CAST(sum(n) AS BIGINT) AS chars, min(n) AS shortest
+FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS g, length(text) AS n FROM documents) GROUP BY g // 97""")
 def s10_write_shards(spark, sf):
+    """The corpus packed into files of exactly 97 rows, then names, rows and texts read back."""
+    from quarry.operators.corpus import global_index
     from quarry.sources.files import read_corpus, write_shards
 
     path = scratch_path(spark, f"shards-{uuid.uuid4().hex[:10]}")
-    write_shards(load(spark, sf, "documents"), path, rows_per_file=97)
-    return read_corpus(spark, path).select(F.length("text").cast("long").alias("n_chars"))
+    write_shards(global_index(read_corpus(spark, f"{sf}/documents.parquet")), path, rows_per_file=97, index="gidx")
+    n = F.length("text").cast("long")
+    return (spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("part"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(n).alias("chars"), F.min(n).alias("shortest")))
 
 
 @register("s13_publish", "SELECT length(text) AS n_chars FROM documents")

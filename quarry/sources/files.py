@@ -197,10 +197,26 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
             .select("file_name", F.col("uid").cast("long").alias("uid"), "kind", "pos", "line", line_timestamp("line").alias("ts")))
 
 
-def write_shards(df: DataFrame, out_dir: str, rows_per_file: int = 50_000) -> None:
-    """Zstd Parquet files of at most ``rows_per_file`` rows, text only."""
-    (df.select("text").write.mode("errorifexists").option("compression", "zstd")
-       .option("maxRecordsPerFile", rows_per_file).parquet(out_dir))
+def write_shards(df: DataFrame, out_dir: str, rows_per_file: int = 50_000, index: str | None = None) -> None:
+    """Zstd Parquet files of at most ``rows_per_file`` rows, text only.
+
+    With ``index`` (0, 1, 2, ... over all rows) the files are packed exactly: rows
+    in that order, every file but the last full, named ``part-00000.parquet`` on.
+    """
+    if index is None:
+        (df.select("text").write.mode("errorifexists").option("compression", "zstd")
+           .option("maxRecordsPerFile", rows_per_file).parquet(out_dir))
+        return
+    spark = df.sparkSession
+    files = max(1, -(-df.count() // rows_per_file))
+    part = F.floor(F.col(index) / rows_per_file).cast("int")
+    (df.select(index, "text").repartitionById(files, part).sortWithinPartitions(index).select("text")
+       .write.mode("errorifexists").option("compression", "zstd").parquet(out_dir))
+    fs, root, jvm = _fs(spark, out_dir)
+    for f in fs.listStatus(root):  # one file a partition, whose number its name begins with
+        name = f.getPath().getName()
+        if name.startswith("part-"):
+            fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(root, f"{name[:10]}.parquet"))
 
 
 def _fs(spark: SparkSession, path: str):
