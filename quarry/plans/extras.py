@@ -5,8 +5,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import hashing as H
@@ -14,7 +13,7 @@ from quarry.functions import text as X
 from quarry.functions.tokenize import token_ids
 from quarry.operators import logs as L
 from quarry.operators import vectors as VX
-from quarry.plans.logs import ASOF_LOGS, EVENTS_SQL, PARSED_SQL, parsed
+from quarry.plans.logs import ASOF_LOGS, EVENTS_SQL, PARSED_SQL, parsed, raw_series
 from quarry.plans.registry import register
 from quarry.session import scratch_path
 from quarry.sources import fixtures as V
@@ -147,7 +146,9 @@ def p1_tokenizer_hook(spark, sf):
 
 
 # ------------------------------------------------------------------ C16
-@register("c16_drift_measure", rf"""WITH {PARSED_SQL},{EVENTS_SQL},
+LEADERS = (1, 2)  # uids whose revision inside the window is looked up
+
+_DRIFT_SQL = rf"""{PARSED_SQL},{EVENTS_SQL},
 lu AS (SELECT uid, arg_max(pos, (ts, pos)) AS pos FROM up GROUP BY uid),
 lup AS (SELECT u.* FROM up u JOIN lu USING (uid, pos)),
 pr AS (SELECT u.uid, u.ts AS up_ts, u.rev AS up_rev, d.rev AS d_rev,
@@ -160,23 +161,36 @@ ck AS (SELECT k FROM tv GROUP BY k HAVING count(DISTINCT party) = (SELECT count(
 b AS (SELECT k, v AS b FROM tv WHERE party = 0 AND k IN (SELECT k FROM ck)),
 dd AS (SELECT t.party, list_transform(range(1, len(t.v) + 1), lambda i: t.v[i] - b.b[i]) AS d FROM tv t JOIN b USING (k) WHERE t.party <> 0),
 nr AS (SELECT party, sqrt(greatest(0, sum(list_reduce(list_transform(range(1, len(d) + 1), lambda i: d[i] * d[i]), lambda a, x: a + x)))) AS n FROM dd GROUP BY party),
-bn AS (SELECT sqrt(sum(list_reduce(list_transform(range(1, len(b) + 1), lambda i: b[i] * b[i]), lambda a, x: a + x))) AS bn FROM b)
+bn AS (SELECT sqrt(sum(list_reduce(list_transform(range(1, len(b) + 1), lambda i: b[i] * b[i]), lambda a, x: a + x))) AS bn FROM b),
+ld AS (SELECT w.rev, l.leader, arg_max(u.rev, (u.ts, u.rev)) AS leader_rev, max(u.ts) AS leader_at
+       FROM w CROSS JOIN (VALUES {", ".join(f"(CAST({u} AS BIGINT))" for u in LEADERS)}) l(leader)
+       LEFT JOIN up u ON u.uid = l.leader AND u.ts >= w.win_start AND u.ts < w.win_end GROUP BY w.rev, l.leader)"""
+
+
+@register("c16_drift_measure", f"""WITH {_DRIFT_SQL}
 SELECT p.uid, p.up_ts, p.up_rev, p.d_rev, w.win_start, w.win_end,
-       coalesce(p.up_ts >= w.win_start AND p.up_ts < w.win_end, false) AS in_window, nr.n / bn.bn AS rel_drift
-FROM pr p LEFT JOIN w ON w.rev = p.d_rev LEFT JOIN nr ON nr.party = p.uid % 3 + 1 JOIN bn ON true
+       coalesce(p.up_ts >= w.win_start AND p.up_ts < w.win_end, false) AS in_window, nr.n / bn.bn AS rel_drift,
+       ld.leader, ld.leader_rev, ld.leader_at
+FROM pr p LEFT JOIN w ON w.rev = p.d_rev LEFT JOIN nr ON nr.party = p.uid % 3 + 1 JOIN bn ON true LEFT JOIN ld ON ld.rev = p.d_rev
 WHERE p.rn = 1""")
 def c16_drift_measure(spark, sf):
     """Latest upload per uid, the global it was trained from (J1), that
-    global's validity window (W3/J2), whether the upload fell inside it, and the
-    relative drift of the uid's update vector (V2 norms over the tensor chunks)."""
+    global's validity window (W3/J2), whether the upload fell inside it, the
+    relative drift of the uid's update vector (V2 norms over the tensor chunks), and
+    each leader's last upload inside the same window."""
+    return _drift(spark, sf)
+
+
+def _drift(spark, sf, leaders: bool = True):
     p = parsed(spark, sf)
     up = L.log_events(p, L.UPLOAD_MARKER)
     dl = L.log_events(p, L.DOWNLOAD_MARKER)
     latest = up.groupBy("uid").agg(F.max(F.struct("ts", "pos", "rev")).alias("_u")).select(
         "uid", F.col("_u.pos").alias("pos"), F.col("_u.ts").alias("ts"), F.col("_u.rev").alias("rev"))
-    pair = L.asof_backward(latest, dl.select("uid", "pos", "ts", "rev"))
+    pair = L.asof_backward(latest, dl.select("uid", "pos", "ts", "rev"), like=raw_series(spark, sf))
     glob = (dl.groupBy("rev").agg(F.min("ts").alias("t")).withColumn("repo", F.lit("global")))
-    win = L.validity_windows(glob, ASOF_LOGS).select(F.col("rev").alias("d_rev"), F.col("start").alias("win_start"),
+    windows = L.validity_windows(glob, ASOF_LOGS)
+    win = windows.select(F.col("rev").alias("d_rev"), F.col("start").alias("win_start"),
                                                      F.col("end").alias("win_end"))
     t = V.tensor(spark, sf)
     t = t.join(VX.common_keys(t), "k", "left_semi")
@@ -190,8 +204,32 @@ def c16_drift_measure(spark, sf):
            .withColumn("party", (F.pmod(F.col("uid"), F.lit(3)) + 1).cast("int"))
            .join(g, "party", "left"))
     inside = (F.col("up_ts") >= F.col("win_start")) & (F.col("up_ts") < F.col("win_end"))
-    return out.select("uid", "up_ts", "up_rev", "d_rev", "win_start", "win_end",
-                      F.coalesce(inside, F.lit(False)).alias("in_window"), F.col("rel_i").alias("rel_drift"))
+    out = out.select("uid", "up_ts", "up_rev", "d_rev", "win_start", "win_end",
+                     F.coalesce(inside, F.lit(False)).alias("in_window"), F.col("rel_i").alias("rel_drift"))
+    if not leaders:
+        return out
+    each = windows.withColumn("leader", F.explode(F.array(*[F.lit(u).cast("long") for u in LEADERS])))
+    sent = up.filter(F.col("uid").isin(*LEADERS)).select(F.col("uid").alias("leader"), "rev", F.col("uid").alias("owner"), F.col("ts").alias("t"))
+    lead = L.commits_in_windows(each, sent, "leader").select(F.col("rev").alias("d_rev"), "leader", F.col("last_rev").alias("leader_rev"),
+                                                             F.col("last_t").alias("leader_at"))
+    return out.join(lead, "d_rev", "left")
+
+
+@register("c16_drift_recorded", f"""WITH {_DRIFT_SQL},
+m AS (SELECT p.uid, nr.n / bn.bn AS rel FROM pr p JOIN nr ON nr.party = p.uid % 3 + 1 JOIN bn ON true WHERE p.rn = 1),
+newest AS (SELECT uid, max(cycle) AS cycle FROM trials GROUP BY uid)
+SELECT t.uid, t.cycle, t.peak_lr, t.val_loss, CASE WHEN m.uid IS NOT NULL AND t.cycle = n.cycle THEN m.rel ELSE t.drift END AS drift
+FROM trials t JOIN newest n USING (uid) LEFT JOIN m USING (uid)""")
+def c16_drift_recorded(spark, sf):
+    """C16 write-back: the measured drift set in the uid's newest trial (S15); uids without a trial change nothing."""
+    from quarry.operators.trials import upsert_trials
+
+    trials = V.trials(spark, sf).select("uid", "cycle", "peak_lr", "val_loss", "drift")
+    newest = trials.groupBy("uid").agg(F.max("cycle").alias("cycle"))
+    drift = _drift(spark, sf, leaders=False).filter(F.col("rel_drift").isNotNull()).select("uid", F.col("rel_drift").alias("drift"))
+    return upsert_trials(trials, trials.limit(0), newest.join(drift, "uid"))
+
+
 
 
 # ------------------------------------------------------------------ file sinks and readers
