@@ -52,8 +52,8 @@ OWN_SLOTS = 512
 TABLE = 1 << 18
 FREQUENT = 1 << 18
 BLOCKS = 12
-# Pieces of the gradient's table that tasks add up on their own; each is small enough to come back with its task.
-PIECES = 16
+# Tasks of an update; each adds up its blocks' gradients and sends one table to the driver.
+GRADIENT_TASKS = 4
 UPDATES, RATE, L2 = 24, 0.25, 1e-7
 FIRST_LEVEL = 16
 WORDS_HELD = 500_000
@@ -340,18 +340,6 @@ def _block_gradient(theta: np.ndarray, bias_c: np.ndarray, bias_s: np.ndarray, m
     return grad
 
 
-GRADIENT = "piece int, g binary"
-
-
-def _pieces_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for b in batches:
-        for piece, g in zip(b.column("piece").to_pylist(), b.column("g").to_pylist(), strict=True):
-            g = np.frombuffer(g, dtype=np.float64)
-            sums[piece] = sums[piece] + g if piece in sums else g
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([g.tobytes() for g in sums.values()], pa.binary())], names=["piece", "g"])
-
-
 def train_model(spark, bigrams: np.ndarray, skips: np.ndarray, end: int, updates: int = UPDATES) -> Model:
     """Gradient ascent on the regularised log likelihood; every update sums block gradients of a Spark job."""
     classes = slot_classes(bigrams)
@@ -374,7 +362,7 @@ def train_model(spark, bigrams: np.ndarray, skips: np.ndarray, end: int, updates
     cuts = range(0, SLOTS, step)
     blocks = pinned(spark.createDataFrame(pa.table({
         "at": pa.array(cuts, pa.int32()), "contexts": pa.array([contexts[at:at + step].tobytes() for at in cuts], pa.binary()),
-        "bigrams": pa.array([np.ascontiguousarray(bigrams[at:at + step]).tobytes() for at in cuts], pa.binary())})).repartition(BLOCKS, "at"))
+        "bigrams": pa.array([np.ascontiguousarray(bigrams[at:at + step]).tobytes() for at in cuts], pa.binary())})).repartition(GRADIENT_TASKS))
     del contexts
     theta, m, v = np.zeros(TABLE), np.zeros(TABLE), np.zeros(TABLE)
     for k in range(1, updates + 1):
@@ -382,19 +370,16 @@ def train_model(spark, bigrams: np.ndarray, skips: np.ndarray, end: int, updates
 
         def partial(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             w, bc, bs, mem = shared.value
+            g = np.zeros(TABLE)
             for b in batches:
                 for r in b.to_pylist():
                     x, y = (np.frombuffer(r[n], dtype=np.int64).reshape(-1, SLOTS) for n in ("contexts", "bigrams"))
-                    g = _block_gradient(w.astype(np.float64), bc, bs, mem, r["at"], x, y).reshape(PIECES, -1)
-                    yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([x.tobytes() for x in g], pa.binary())],
-                                                     names=["piece", "g"])
-
-        # the blocks' tables are added up piece by piece; the driver gets one table
-        pieces = blocks.mapInArrow(partial, GRADIENT).repartition(PIECES, "piece").mapInArrow(_pieces_added, GRADIENT)
-        grad = seen.copy().reshape(PIECES, -1)
-        for r in pieces.collect():
-            grad[r["piece"]] -= np.frombuffer(r["g"], dtype=np.float64)
-        grad = grad.reshape(-1)
+                    g += _block_gradient(w.astype(np.float64), bc, bs, mem, r["at"], x, y)
+            yield pa.RecordBatch.from_arrays([pa.array([g.astype(np.float32).tobytes()], pa.binary())], names=["g"])
+
+        grad = seen.copy()
+        for r in blocks.mapInArrow(partial, "g binary").collect():  # GRADIENT_TASKS tables of TABLE numbers
+            grad -= np.frombuffer(r["g"], dtype=np.float32)
         shared.destroy()
         grad = grad / total - L2 * theta
         m, v = 0.8 * m + 0.2 * grad, 0.98 * v + 0.02 * grad * grad
