@@ -30,7 +30,7 @@ def entry():
 
 def test_registered():
     q, o = entry().queries(), entry().oracle_sql()
-    assert {n for n in range(1, 11)} == {int(m[1]) for k in q if (m := re.match(r"op(\d+)_", k))}
+    assert {n for n in range(1, 14)} == {int(m[1]) for k in q if (m := re.match(r"op(\d+)_", k))}
     assert q["pipeline"] is cp.run and "pipeline" not in o and len(cp.STAGES) == 5
 
 
