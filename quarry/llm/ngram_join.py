@@ -40,12 +40,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.components import components
-from quarry.llm.util import bounds, need, pinned, sent_if_small, texts_of, whole_groups
+from quarry.llm.util import bounds, cut_batches, need, pinned, sent_if_small, texts_of, whole_groups
 from quarry.session import shuffle_partitions
 
 N_WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 TOKENS, LEVELS, BRUTE = 64, 3, 512
 BLOCK = 512
+# Words whose hashes a task keeps.
+WORDS = 200_000
 # Least share of agreeing 4-bit sketch places: five deviations below what the threshold gives.
 SKETCH_BITS, DEVIATIONS = 4, 5.0
 # Share of agreeing places from which a node needs no split beside its leader.
@@ -134,12 +136,12 @@ def signatures(docs: DataFrame, n_words: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for b in batches:
+        for b in cut_batches(batches):
             rows = []
             for t in texts_of(b.column(1)):
                 s = shingles(t, words, n_words)
                 rows.append((len(s), *set_key(s), min_hashes(s).tobytes() if len(s) else None))
-            if len(words) > 1_000_000:
+            if len(words) > WORDS:
                 words = _Words()
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
             made = [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
@@ -352,11 +354,11 @@ def _member_sets(docs: DataFrame, members: DataFrame, n_words: int) -> DataFrame
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for b in batches:
+        for b in cut_batches(batches):
             k1, k2 = b.column("k1").to_pylist(), b.column("k2").to_pylist()
             s = [shingles(t, words, n_words) for t in texts_of(b.column("text"))]
             ok = [i for i, x in enumerate(s) if set_key(x) == (k1[i], k2[i])]  # another row may repeat the id
-            if len(words) > 1_000_000:
+            if len(words) > WORDS:
                 words = _Words()
             pick = pa.array(ok, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(c).take(pick) for c in ("node", "copies", "root")]

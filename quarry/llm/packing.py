@@ -37,9 +37,10 @@ MAX_DOCS = 2048
 MAX_COST = MAX_TOKENS * MAX_TOKENS
 WEIGHTS = (1.0, 0.02, 0.02)
 GROUP_PIECES = 16_384
-CACHE_WORDS = 1_500_000
-# Characters of text that are tokenized together.
-SLICE_CHARS = 8 << 20
+# Words of each kind that a worker keeps (see ChunkTokenizer); a word takes about 200 bytes.
+CACHE_WORDS = 100_000
+# Characters of text that are tokenized together, and rows that are taken from Arrow together.
+SLICE_CHARS, SLICE_ROWS = 2 << 20, 256
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -55,6 +56,10 @@ class ChunkTokenizer:
     words are encoded in one call, each as a piece of its own, and the ids of
     all words are then gathered by number. Texts holding a special-token opener
     go to the tokenizer whole.
+
+    A worker keeps its cache from task to task, and most different words of a
+    corpus are rare, so a word is ``fresh`` until a second run of texts holds it;
+    each kind is emptied when it has more than ``limit`` words.
     """
 
     MARKS = ".,!"
@@ -68,6 +73,7 @@ class ChunkTokenizer:
 
     def _clear(self) -> None:
         self.cache: dict[str, bytes] = {"": b""} | {m: self._encode(m) for m in self.MARKS}
+        self.fresh: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -76,31 +82,37 @@ class ChunkTokenizer:
         model = self.tokenizer.model
         for w in words:  # ASCII letters: nothing but their case to normalize, nothing to split
             if w.isascii() and w.isalpha():
-                self.cache[w] = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(w.lower())])
-        words = [w for w in words if w not in self.cache]
+                self.fresh[w] = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(w.lower())])
+        words = [w for w in words if w not in self.fresh]
         if not words:
             return
         found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
         cuts = (4 * np.searchsorted(np.array(found.word_ids, dtype=np.int64), np.arange(len(words) + 1))).tolist()
         data = np.array(found.ids, dtype="<u4").tobytes()
         for w, start, stop in zip(words, cuts, cuts[1:], strict=False):
-            self.cache[w] = data[start:stop]
+            self.fresh[w] = data[start:stop]
 
     def _ids_of(self, chunks: list[str]) -> list[bytes]:
         """Ids of different words; a sentence mark behind an ASCII letter is taken off, so both parts are cached alone."""
-        cache, marks = self.cache, self.MARKS
+        cache, fresh, marks = self.cache, self.fresh, self.MARKS
         ids = list(map(cache.get, chunks))
         odd = [(k, chunks[k]) for k, x in enumerate(ids) if x is None]
         stems = [(k, c[:-1], c[-1]) if c[-1] in marks and c[-2:-1].isascii() and c[-2:-1].isalpha() else (k, c, "")
                  for k, c in odd]
-        self._learn(list({w for _, w, _ in stems if w not in cache}))
+        unknown = {w for _, w, _ in stems if w not in cache}
+        again = unknown & fresh.keys()
+        for w in again:
+            cache[w] = fresh.pop(w)
+        self._learn(list(unknown - again))
         for k, w, mark in stems:
-            ids[k] = cache[w] + cache[mark]
+            ids[k] = (cache[w] if w in cache else fresh[w]) + cache[mark]
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > self.limit:
             self._clear()
+        if len(self.fresh) > self.limit:
+            self.fresh = {}
         special = {i: self._encode(t) for i, t in enumerate(texts) if "<|" in t}
         # ASCII texts in lower case, as the vocabulary has them
         plain = [(t.lower() if t.isascii() else t).replace("\n", " ") if i not in special else "" for i, t in enumerate(texts)]
@@ -132,13 +144,14 @@ def chunk_tokenizer(vocabulary: str) -> ChunkTokenizer:
 def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Rows in runs of about SLICE_CHARS of text (one row at least), null as empty."""
     for b in batches:
-        texts = [t or "" for t in b.column(text).to_pylist()]
-        at = held = 0
-        for i, t in enumerate(texts):
-            held += len(t)
-            if held >= SLICE_CHARS or i == len(texts) - 1:
-                yield b.slice(at, i + 1 - at), texts[at:i + 1]
-                at, held = i + 1, 0
+        at, held, texts = 0, 0, []
+        for begin in range(0, b.num_rows, SLICE_ROWS):
+            for i, t in enumerate(b.column(text).slice(begin, SLICE_ROWS).to_pylist(), begin):
+                texts.append(t or "")
+                held += len(texts[-1])
+                if held >= SLICE_CHARS or i == b.num_rows - 1:
+                    yield b.slice(at, i + 1 - at), texts
+                    at, held, texts = i + 1, 0, []
 
 
 def token_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", doc_id: str = "doc_id", text: str = "text",

@@ -62,6 +62,17 @@ def bounds(keys: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
 
 
+# Rows of texts that a task has as Python objects at once.
+TEXT_ROWS = 1000
+
+
+def cut_batches(batches: Iterator[pa.RecordBatch], rows: int = TEXT_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows; an empty batch comes as it is."""
+    for b in batches:
+        for at in range(0, max(1, b.num_rows), rows):
+            yield b.slice(at, rows)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

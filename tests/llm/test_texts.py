@@ -247,3 +247,26 @@ def test_warc_query(spark):
         d = digest[r["page_id"]]
         assert r["payload_digest"] == base64.b32encode(d).decode()
         assert (r["record_type"], r["refers_to"]) == (("response", None) if keeper[d] == r["page_id"] else ("revisit", keeper[d]))
+
+
+def test_word_cache_is_bounded_and_keeps_common_words():
+    """Runs of ever new words: a worker's memory does not grow with the corpus, and words of every run stay known."""
+    import public_tokenizers
+
+    cached = packing.ChunkTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    for run in range(6):
+        texts = [" ".join(["common", *(f"r{run}x{i}" for i in range(at, at + 500))]) for at in range(0, 50_000, 500)]
+        got = cached.encode(texts)
+        assert got[7] == np.array(cached.tokenizer.encode(texts[7], add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert len(cached.cache) + len(cached.fresh) <= 2 * packing.CACHE_WORDS + 50_001
+    assert "common" in cached.cache and "r0x1" not in cached.cache and "r0x1" not in cached.fresh
+
+
+def test_cut_batches():
+    import pyarrow as pa
+    from quarry.llm.util import cut_batches
+
+    made = [pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64())], names=["x"]) for n in (25, 0, 10)]
+    got = list(cut_batches(made, 10))
+    assert [b.num_rows for b in got] == [10, 10, 5, 0, 10]
+    assert [x for b in got for x in b.column(0).to_pylist()] == [*range(25), *range(10)]
