@@ -8,6 +8,10 @@ not depend on how rows were dealt to batches: it equals the batch twin as long
 as no row is later than the watermark's delay. State of a key that stays silent
 for ``expire`` is dropped by the same timer.
 
+Keys of few rows each (T3) share a group: every call of the state store from
+Python has its price, and a group of many keys needs few of them
+(:class:`SlotsInOrder`).
+
 The newest rows of an idle source would wait for ever: a clock stream
 (:func:`with_clock`) moves the watermark without bringing rows for any key.
 """
@@ -28,6 +32,10 @@ from quarry.streaming.core import ROCKSDB, STATE_STORE
 # (state or None, released rows in order) -> (state, rows to put out)
 Fold = Callable[[tuple | None, list[Row]], tuple[tuple, list[tuple]]]
 DELAY, EXPIRE_MS = "1 hour", 400 * 86_400_000
+# Groups of a stream whose keys share groups: fixed, for a checkpoint holds their numbers.
+SLOTS = 1024
+# Waiting rows that are sent to the state store at once.
+PUT_ROWS = 10_000
 
 
 class InOrder(StatefulProcessor):
@@ -78,26 +86,101 @@ class InOrder(StatefulProcessor):
         return self._release(key, timerValues.getCurrentWatermarkInMs(), [])
 
 
+class SlotsInOrder(InOrder):
+    """:class:`InOrder` for groups of many keys; the rows are (``t``, ``id``, key, ...).
+
+    The waiting rows of a slot are one list, read only when the first of them is
+    due, with one timer; a key that is released costs a read and a write in map
+    state. States of silent keys are dropped by sweeps over a slot, a hundredth of
+    ``expire`` apart at least.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        key = self.waiting_schema.split(", ")[2]
+        self.waiting = handle.getListState("waiting", self.waiting_schema)
+        self.state = handle.getValueState("state", "timer long, first long, oldest long")
+        self.folds = handle.getMapState("folds", key, self.state_schema.split(", ", 2)[2])  # seen, fold
+
+    def _release(self, key: tuple, now: int, came: list[Row]) -> Iterator[Row]:
+        # first: time of the first row that waits; oldest: no key was seen last before
+        timer, first, oldest = self.state.get() or (None, None, None)
+        held = first is not None
+        read = held and first <= now * 1000
+        rows = [*(self.waiting.get() if read else []), *came]
+        by_key: dict = {}
+        for r in sorted((r for r in rows if r[0] <= now * 1000), key=lambda r: r[:2]):
+            by_key.setdefault(r[2], []).append((*r[:2], *r[3:]))
+        rest = [tuple(r) for r in rows if r[0] > now * 1000]
+        if read and not rest:
+            self.waiting.clear()
+        for at in range(0, len(rest), PUT_ROWS):
+            (self.waiting.put if at == 0 and (read or not held) else self.waiting.appendList)(rest[at:at + PUT_ROWS])
+        first = min([r[0] for r in rest] + ([first] if held and not read else []), default=None)
+        out: list[tuple] = []
+        any_folds = oldest is not None
+        for k, ready in by_key.items():
+            seen, folded = (self.folds.getValue((k,)) if any_folds else None) or (None, None)
+            folded, more = self.fold(tuple(folded) if folded else None, ready)
+            seen = max(seen or 0, ready[-1][0] // 1000)
+            self.folds.updateValue((k,), (seen, folded))
+            oldest = seen if oldest is None else min(oldest, seen)
+            out += [(k, *r) for r in more]
+        late = self.expire_ms + self.expire_ms // 100
+        if oldest is not None and oldest + late <= now:
+            oldest = self._sweep(now)
+        wakes = [] if first is None else [-(-first // 1000)]
+        wakes += [] if oldest is None else [oldest + late]
+        due = min(wakes, default=None)
+        if timer is not None and timer > now and timer != due:
+            self.handle.deleteTimer(timer)
+        if due is None:
+            self.state.clear()
+        else:
+            if timer != due:
+                self.handle.registerTimer(due)
+            self.state.update((due, first, oldest))
+        for r in out:
+            yield Row(**dict(zip(self.out, r, strict=True)))
+
+    def _sweep(self, now: int) -> int | None:
+        """Drop the states of silent keys; when the first of the others was seen."""
+        left, gone = None, []
+        for k, (seen, _) in self.folds.iterator():
+            if seen + self.expire_ms <= now:
+                gone.append(k)
+            else:
+                left = seen if left is None else min(left, seen)
+        for k in gone:
+            self.folds.removeKey(k)
+        return left
+
+
 def with_clock(rows: DataFrame, clock: DataFrame, ts: str = "ts") -> DataFrame:
     """``rows`` and a stream of times (``ts``) that only move the watermark."""
     return rows.withColumn("_tick", F.lit(False)).unionByName(clock.select(ts, F.lit(True).alias("_tick")), allowMissingColumns=True)
 
 
 def in_order(rows: DataFrame, key: str, waiting: str, fold: Fold, state: str, out: str, ts: str = "ts", delay: str = DELAY,
-             where: Column | None = None) -> DataFrame:
+             where: Column | None = None, slots: int | None = None) -> DataFrame:
     """Fold ``rows`` per ``key`` in (``ts``, ``event_id``) order; ``waiting`` lists the further columns a fold reads.
 
-    All rows move the watermark, those that meet ``where`` are folded."""
+    All rows move the watermark, those that meet ``where`` are folded. With ``slots``, keys (not null) share that many groups."""
     rows.sparkSession.conf.set(STATE_STORE, ROCKSDB)
-    schema = f"t long, id long, {waiting}"
     names = [f.split()[0] for f in waiting.split(", ")]
     late = rows.withColumn("et", F.col(ts).cast("timestamp")).withWatermark("et", delay)
     kept = ~F.col("_tick") if "_tick" in rows.columns else F.lit(True)
     # one condition that names the event time, so that it is not moved in front of the watermark
     late = late.filter(F.when(F.col("et").isNotNull(), kept if where is None else kept & where))
     sent = late.select(key, F.unix_micros("et").alias("t"), F.col("event_id").alias("id"), *names)
-    result = f"{key} {rows.schema[key].dataType.simpleString()}, {out}"
-    op = InOrder(fold, schema, state, [f.split()[0] for f in result.split(", ")])
+    typed = f"{key} {rows.schema[key].dataType.simpleString()}"
+    result = f"{typed}, {out}"
+    columns = [f.split()[0] for f in result.split(", ")]
+    if slots:
+        op = SlotsInOrder(fold, f"t long, id long, {typed}, {waiting}", state, columns)
+        sent = sent.select(F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("slot"), "t", "id", key, *names)
+        return sent.groupBy("slot").transformWithState(op, result, "append", "eventtime")
+    op = InOrder(fold, f"t long, id long, {waiting}", state, columns)
     return sent.groupBy(key).transformWithState(op, result, "append", "eventtime")
 
 
@@ -147,7 +230,8 @@ def alert_suppression_stream(events: DataFrame, delay: str = DELAY) -> DataFrame
     a = (p.withColumn("severity", L.severity_tier(F.col("log_age")))
          .withColumn("message", G.alert_message()).withColumn("key", G.alert_key()))
     return in_order(a, "key", "uid long, severity string, message string", suppress_fold, "last long",
-                    "uid long, event_id long, severity string, message string", delay=delay, where=F.col("severity") != "OK")
+                    "uid long, event_id long, severity string, message string", delay=delay,
+                    where=F.col("severity") != "OK", slots=SLOTS)
 
 
 # ---------------------------------------------------------------- T4

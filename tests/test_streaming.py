@@ -169,3 +169,98 @@ def test_gauge_fold_does_not_depend_on_the_cuts():
     whole = played([])
     assert [r[3] for r in whole[2:7]] == [0, 0, 1, None, 1] and [r[1] for r in whole[2:5]] == [False, True, True]
     assert all(played(c) == whole for c in ([1], [2], [3], [4, 6], [3, 5, 8, 11], list(range(1, 15))))
+
+
+def test_keys_that_share_a_slot_equal_groups_of_their_own():
+    """T3's grouping: the rows of 200 keys come out as with a group a key, for few calls of the state store."""
+    import random
+
+    class Box:
+        def __init__(self, store, name):
+            self.store, self.name = store, name
+
+        def get(self):
+            self.store.calls += 1
+            return self.store.v.get(self.name)
+
+        def put(self, v):
+            self.store.calls += 1
+            self.store.v[self.name] = v
+
+        update = put
+
+        def appendList(self, v):
+            self.put([*self.store.v[self.name], *v])
+
+        def clear(self):
+            self.put(None)
+
+        def getValue(self, k):
+            self.store.calls += 1
+            return self.store.folds.get(k)
+
+        def updateValue(self, k, v):
+            self.store.calls += 1
+            self.store.folds[k] = v
+
+        def removeKey(self, k):
+            self.store.calls += 1
+            del self.store.folds[k]
+
+        def iterator(self):
+            return iter(list(self.store.folds.items()))
+
+    class Store:
+        def __init__(self):
+            self.v, self.folds, self.timers, self.calls = {}, {}, set(), 0
+            self.getListState = self.getValueState = self.getMapState = lambda name, *schema: Box(self, name)
+
+        def registerTimer(self, t):
+            self.calls += 1
+            self.timers.add(t)
+
+        def deleteTimer(self, t):
+            self.calls += 1
+            self.timers.remove(t)
+
+    def fold(state, rows):
+        last, out = state[0] if state else None, []
+        for t, i, x in rows:
+            if last is None or t - last >= 3_000_000:
+                last = t
+                out.append((i, x))
+        return (last,), out
+
+    def op(kind, waiting):
+        made = kind(fold, waiting, "last long", ["key", "id", "x"], expire_ms=50_000)
+        store = Store()
+        made.init(store)
+        return made, store
+
+    rng = random.Random(5)
+    rows = [(rng.randrange(200_000_000), i, f"k{rng.randrange(200) if i % 4 else 0}", i % 7) for i in range(2000)]
+    batches, now = [], 0
+    for at in range(0, 2000, 250):
+        batches.append((now, sorted(rows)[at:at + 250] if at % 500 else rng.sample(sorted(rows)[at:at + 250], 250)))
+        now = max(0, max(r[0] for r in batches[-1][1]) // 1000 - 9_000)
+    batches += [(now, []), (190_000, []), (200_000, []), (251_000, []), (300_000, [])]
+    own, (slot, store) = {}, op(O.SlotsInOrder, "t long, id long, key string, x int")
+    want, got = [], []
+    for now, came in batches:
+        mine: dict = {}
+        for t, i, k, x in came:
+            mine.setdefault(k, []).append((t, i, x))
+        for k in mine.keys() - own.keys():
+            own[k] = op(O.InOrder, "t long, id long, x int")
+        for k, (o, s) in own.items():
+            fired = {t for t in s.timers if t <= now}
+            if k in mine or fired:
+                want += [(now, *r) for r in o._release((k,), now, mine.get(k, []))]
+            s.timers -= fired
+        fired = {t for t in store.timers if t <= now}
+        if came or fired:
+            got += [(now, *r) for r in slot._release((0,), now, came)]
+        store.timers -= fired
+    assert len(want) > 500 and sorted(got) == sorted(want)
+    assert store.calls * 3 < sum(s.calls for _, s in own.values())
+    assert not store.folds and not store.timers and store.v["state"] is None and not store.v["waiting"]
