@@ -39,6 +39,8 @@ WEIGHTS = (1.0, 0.02, 0.02)
 GROUP_PIECES = 16_384
 # Words of each kind that a worker keeps (see ChunkTokenizer); a word takes about 200 bytes.
 CACHE_WORDS = 100_000
+# The last letter that needs no look at its neighbours (see ChunkTokenizer.letters).
+LAST = "\u00ff"
 # Characters of text that are tokenized together, and rows that are taken from Arrow together.
 SLICE_CHARS, SLICE_ROWS = 2 << 20, 256
 
@@ -49,13 +51,13 @@ class ChunkTokenizer:
     """Token ids of texts as little-endian uint32 bytes, through a cache of blank-separated words.
 
     The vocabulary's rules never join characters across white space, and a
-    sentence mark after an ASCII letter is a token run of its own (other letters
-    may end in a combining mark once normalized, which joins it), so ids of words
+    sentence mark after a letter up to U+00FF is a token run of its own (others may
+    end in a combining mark once normalized, which joins it), so ids of words
     concatenate to the ids of the text. A run of texts is split and its words
     are numbered by Arrow, so each different word is looked up once a run; new
     words are encoded in one call, each as a piece of its own, and the ids of
-    all words are then gathered by number. Texts holding a special-token opener
-    go to the tokenizer whole.
+    all words are then gathered by number. Sentence marks are taken off by Arrow
+    too. Texts holding a special-token opener go to the tokenizer whole.
 
     A worker keeps its cache from task to task, and most different words of a
     corpus are rare, so a word is ``fresh`` until a second run of texts holds it;
@@ -63,12 +65,16 @@ class ChunkTokenizer:
     """
 
     MARKS = ".,!"
+    BEFORE = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
+        # words of these letters have nothing to compose or to split, each letter is normalized by itself
+        whole, pieces = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {k: "".join(p for p, _ in pieces(whole(chr(k)))) for k in range(ord(LAST) + 1) if chr(k).isalpha()}
         self._clear()
 
     def _clear(self) -> None:
@@ -78,36 +84,58 @@ class ChunkTokenizer:
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        model = self.tokenizer.model
-        for w in words:  # ASCII letters: nothing but their case to normalize, nothing to split
-            if w.isascii() and w.isalpha():
-                self.fresh[w] = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(w.lower())])
-        words = [w for w in words if w not in self.fresh]
-        if not words:
-            return
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        cuts = (4 * np.searchsorted(np.array(found.word_ids, dtype=np.int64), np.arange(len(words) + 1))).tolist()
-        data = np.array(found.ids, dtype="<u4").tobytes()
-        for w, start, stop in zip(words, cuts, cuts[1:], strict=False):
-            self.fresh[w] = data[start:stop]
-
-    def _ids_of(self, chunks: list[str]) -> list[bytes]:
-        """Ids of different words; a sentence mark behind an ASCII letter is taken off, so both parts are cached alone."""
-        cache, fresh, marks = self.cache, self.fresh, self.MARKS
-        ids = list(map(cache.get, chunks))
-        odd = [(k, chunks[k]) for k, x in enumerate(ids) if x is None]
-        stems = [(k, c[:-1], c[-1]) if c[-1] in marks and c[-2:-1].isascii() and c[-2:-1].isalpha() else (k, c, "")
-                 for k, c in odd]
-        unknown = {w for _, w, _ in stems if w not in cache}
-        again = unknown & fresh.keys()
-        for w in again:
-            cache[w] = fresh.pop(w)
-        self._learn(list(unknown - again))
-        for k, w, mark in stems:
-            ids[k] = (cache[w] if w in cache else fresh[w]) + cache[mark]
+    def _learned(self, words: list[str]) -> list[bytes]:
+        """Ids of new words, one entry a word."""
+        model, letters = self.tokenizer.model, self.letters
+        ids, cuts, other = [], [0], []
+        for k, w in enumerate(words):
+            if w.isalpha() and (w.isascii() or max(w) <= LAST):
+                ids += [t.id for t in model.tokenize(w.lower() if w.isascii() else w.translate(letters))]
+            else:
+                other.append(k)
+            cuts.append(len(ids))
+        out = self._parts(ids, cuts)
+        if other:
+            found = self.tokenizer.encode([words[k] for k in other], is_pretokenized=True, add_special_tokens=False)
+            cuts = np.searchsorted(np.array(found.word_ids, dtype=np.int64), np.arange(len(other) + 1)).tolist()
+            for k, x in zip(other, self._parts(found.ids, cuts), strict=True):
+                out[k] = x
+        return out
+
+    @staticmethod
+    def _parts(ids: list[int], cuts: list[int]) -> list[bytes]:
+        data = np.array(ids, dtype="<u4").tobytes()
+        return [data[4 * x:4 * y] for x, y in zip(cuts, cuts[1:], strict=False)]
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of different words."""
+        cache, fresh = self.cache, self.fresh
+        ids = list(map(cache.get, words))
+        new = []
+        for k in [k for k, x in enumerate(ids) if x is None]:
+            known = fresh.pop(words[k], None)
+            if known is None:
+                new.append(k)
+            else:
+                ids[k] = cache[words[k]] = known
+        if new:
+            names = [words[k] for k in new]
+            for k, w, x in zip(new, names, self._learned(names), strict=True):
+                ids[k] = fresh[w] = x
         return ids
 
+    def _table(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, ids by chunk); a sentence mark behind a letter of BEFORE is taken off, so both parts are cached alone."""
+        marked = pc.match_substring_regex(chunks, f"[{self.BEFORE}][{self.MARKS}]$")
+        parts = pc.if_else(marked, pc.utf8_slice_codeunits(chunks, 0, -1), chunks).dictionary_encode()
+        last = pc.if_else(marked, pc.utf8_slice_codeunits(chunks, -1), "")
+        place = pc.index_in(last, pa.array(["", *self.MARKS], last.type)).to_numpy()
+        words = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [*self._ids_of(words), b"", *(self.cache[m] for m in self.MARKS)]
+        numbers = np.stack([parts.indices.to_numpy().astype(np.int64), len(words) + place], axis=1)
+        ids, ends = _gathered(np.frombuffer(b"".join(found), dtype="<u4"), np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4, numbers.ravel())
+        return ids, np.diff(ends[::2])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > self.limit:
             self._clear()
@@ -117,19 +145,19 @@ class ChunkTokenizer:
         # ASCII texts in lower case, as the vocabulary has them
         plain = [(t.lower() if t.isascii() else t).replace("\n", " ") if i not in special else "" for i, t in enumerate(texts)]
         split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
-        words = split.flatten().dictionary_encode()
-        found = self._ids_of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
-        numbers = words.indices.to_numpy()
-        width = sizes[numbers]
-        ends = np.concatenate([[0], np.cumsum(width)])
-        places = np.repeat(starts[numbers] - ends[:-1], width) + np.arange(ends[-1])
-        ids = np.frombuffer(b"".join(found), dtype="<u4")[places]
+        chunks = split.flatten().dictionary_encode()
+        ids, ends = _gathered(*self._table(chunks.dictionary), chunks.indices.to_numpy())
         cuts = ends[split.offsets.to_numpy()].tolist()
         return [special[i] if i in special else ids[a:b].tobytes() for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
 
 
+def _gathered(ids: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the numbered entries one after another, and where each entry begins (and the end)."""
+    width = sizes[numbers]
+    ends = np.concatenate([[0], np.cumsum(width)])
+    return ids[np.repeat((np.cumsum(sizes) - sizes)[numbers] - ends[:-1], width) + np.arange(ends[-1])], ends
+
+
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}  # a worker keeps its cache from task to task
 
 

@@ -270,3 +270,14 @@ def test_cut_batches():
     got = list(cut_batches(made, 10))
     assert [b.num_rows for b in got] == [10, 10, 5, 0, 10]
     assert [x for b in got for x in b.column(0).to_pylist()] == [*range(25), *range(10)]
+
+
+def test_a_word_is_looked_up_once_with_and_without_its_mark():
+    import public_tokenizers
+
+    cached = packing.ChunkTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    asked, ids_of = [], cached._ids_of
+    cached._ids_of = lambda words: asked.extend(words) or ids_of(words)
+    text = "marne, marne marne. marne! caf\u00e9 caf\u00e9, 12."
+    assert cached.encode([text, ""]) == [cached._encode(text), b""]
+    assert sorted(asked) == ["", "12.", "caf\u00e9", "marne"]
