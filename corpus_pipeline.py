@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import mixing, ngram_join, packing, quality, secrets
-from quarry.llm.util import sent_if_small
+from quarry.llm.util import pinned, sent_if_small
 from quarry.session import ensure_checkpoint_dir
 from quarry.sources.tables import load
 
@@ -39,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     folder = f"{ensure_checkpoint_dir(spark)}/numbered-{uuid.uuid4().hex}"
     docs.select(*COLUMNS).withColumn("_q_row", F.monotonically_increasing_id()).write.parquet(folder)
     numbered = spark.read.parquet(folder)
-    others = ngram_join.near_duplicates(numbered, row="_q_row").filter("not keeper").select(F.col("row").alias("_q_row"))
+    others = pinned(ngram_join.near_duplicates(numbered, row="_q_row").filter("not keeper").select(F.col("row").alias("_q_row")))
     return numbered.join(sent_if_small(others), "_q_row", "left_anti").select(*COLUMNS)
 
 

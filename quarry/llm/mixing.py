@@ -33,7 +33,7 @@ DIMS = ("source", "lang", "topic")
 TEMPERATURE = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 ROUNDS_AT_ONCE = 6
 TOLERANCE = 1e-13
-# Most cells that are sent to every task; larger cell tables are joined by key.
+# Most cells that are sent to every task and raked in one; larger cell tables are joined by key and raked by shuffles.
 BROADCAST_CELLS = 100_000
 
 
@@ -50,10 +50,15 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("n_tokens", words).withColumn("topic", topic_of(F.col(text), F.col("n_tokens")))
 
 
-def _with_targets(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]]) -> DataFrame:
+def _kept(cells: DataFrame, small: bool) -> DataFrame:
+    """Pinned; a small table as one partition, where windows need no shuffle each."""
+    return pinned(cells).coalesce(1) if small else pinned(cells)
+
+
+def _with_targets(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], small: bool) -> DataFrame:
     """Add t_<dim>: the target share of the cell's value."""
     of = {d: F.sum("tokens").over(Window.partitionBy(d)) for d in targets}
-    cells = pinned(cells.select("*", *[of[d].alias(f"m_{d}") for d in targets]))
+    cells = _kept(cells.select("*", *[of[d].alias(f"m_{d}") for d in targets]), small)
     sums = cells.agg(*[F.sum(F.col("tokens") / F.col(f"m_{d}") * F.pow(F.col(f"m_{d}").cast("double"), F.lit(float(t))))
                        .alias(d) for d, t in targets.items() if not isinstance(t, Mapping)]
                      or [F.lit(0).alias("none")]).first()
@@ -73,14 +78,16 @@ def fitted_rates(cells: DataFrame, targets: Mapping[str, float | Mapping[str, fl
                  max_rounds: int = 40, tolerance: float = TOLERANCE) -> DataFrame:
     """Rake ``cells`` (dims..., tokens > 0) to the targets; adds ``rate`` in [0, 1]."""
     dims = list(targets)
-    cells = _with_targets(cells, targets).withColumn("w", F.col("tokens").cast("double"))
+    cells = pinned(cells)
+    small = cells.count() <= BROADCAST_CELLS
+    cells = _with_targets(cells.coalesce(1) if small else cells, targets, small).withColumn("w", F.col("tokens").cast("double"))
     done = 0
     while True:
         for _ in range(ROUNDS_AT_ONCE):
             for d in dims:
                 here = F.sum("w").over(Window.partitionBy(d))
                 cells = cells.withColumn("w", F.when(here > 0, F.col("w") * F.col(f"t_{d}") / here).otherwise(0.0))
-        cells = pinned(cells)
+        cells = _kept(cells, small)
         done += ROUNDS_AT_ONCE
         off = cells.select(*[F.abs(F.sum("w").over(Window.partitionBy(d)) - F.col(f"t_{d}")).alias(d) for d in dims])
         worst = off.agg(F.max(F.greatest(*dims) if len(dims) > 1 else F.col(dims[0]))).first()[0]

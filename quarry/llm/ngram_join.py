@@ -450,13 +450,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.first("sig").alias("sig")))
     groups = pinned(components(candidate_links(nodes, threshold, recall, levels, brute)))
     owners = sigs.select(F.col("row").alias("node"), "doc_id")
-    members = (groups.join(nodes.select("node", *key, "copies"), "node").join(owners, "node"))
+    members = pinned(groups.join(nodes.select("node", *key, "copies"), "node").join(owners, "node"))
     exact = pinned(_exact(_member_sets(docs, members, n_words),
                           groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")), threshold, block))
     links = exact.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(exact.filter("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    flat = (nodes.select(*key, "node", "first", "copies").join(links, "node", "left").join(classes, "node", "left")
-            .withColumn("root", F.coalesce("root", "node")))
+    flat = pinned(nodes.select(*key, "node", "first", "copies").join(links, "node", "left").join(classes, "node", "left")
+                  .withColumn("root", F.coalesce("root", "node")))
     heads = flat.groupBy("root").agg(F.min("first").alias("head"))
     named = flat.join(heads, "root").select(
         *[F.col(k).alias(f"_{k}") for k in key], "head", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))

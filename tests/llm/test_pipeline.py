@@ -137,3 +137,50 @@ def test_edges(spark):
             if k < 4:
                 assert tuple(out.columns) == cp.COLUMNS
             out.collect()
+
+
+def tasks_of(spark, job):
+    """Tasks that ran for ``job``."""
+    tracker, name = spark.sparkContext.statusTracker(), f"tasks-{id(job)}"
+    spark.sparkContext.setJobGroup(name, "")
+    job()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for j in tracker.getJobIdsForGroup(name) for s in tracker.getJobInfo(j).stageIds}
+    return sum(i.numCompletedTasks for s in stages if (i := tracker.getStageInfo(s)))
+
+
+@pytest.fixture
+def sixty(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield 60
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_rounds_of_components_take_few_tasks(spark, sixty):
+    """The driver keeps every task of a session, and a round has no more than the work asks for."""
+    from quarry.llm.components import components
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(5, 3), (3, 5), (40, 41), (41, 41), (None, 7)], "a long, b long")
+    got = []
+    used = tasks_of(spark, lambda: got.extend(map(tuple, components(edges).collect())))
+    assert sorted(got) == [(i, 0) for i in range(21)] + [(40, 40), (41, 40)]
+    assert used < 6 * 6 * sixty
+
+
+def test_small_cells_are_raked_without_shuffles(spark, sixty):
+    from quarry.llm import mixing
+
+    cells = spark.createDataFrame([("a", "x", 10), ("a", "y", 30), ("b", "x", 60), ("b", "y", 5)], "p string, q string, tokens long")
+    targets = {"p": {"a": 1, "b": 1}, "q": {"x": 3, "y": 1}}
+    got = []
+    used = tasks_of(spark, lambda: got.extend(map(tuple, mixing.fitted_rates(cells, targets).collect())))
+    n = {("a", "x"): 10, ("a", "y"): 30, ("b", "x"): 60, ("b", "y"): 5}
+    w = {(p, q): rate * n[p, q] for p, q, rate in got}
+    total = sum(w.values())
+    assert max(rate for *_, rate in got) == pytest.approx(1)
+    assert sum(v for (p, _), v in w.items() if p == "a") == pytest.approx(total / 2)
+    assert sum(v for (_, q), v in w.items() if q == "x") == pytest.approx(total * 3 / 4)
+    assert used < 2 * sixty
