@@ -87,7 +87,9 @@ def fitted_rates(cells: DataFrame, targets: Mapping[str, float | Mapping[str, fl
             for d in dims:
                 here = F.sum("w").over(Window.partitionBy(d))
                 cells = cells.withColumn("w", F.when(here > 0, F.col("w") * F.col(f"t_{d}") / here).otherwise(0.0))
-        cells = _kept(cells, small)
+            if small:  # one task sorts for every window of its plan, and holds a page of memory for each sort
+                cells = _kept(cells, small)
+        cells = cells if small else _kept(cells, small)
         done += ROUNDS_AT_ONCE
         off = cells.select(*[F.abs(F.sum("w").over(Window.partitionBy(d)) - F.col(f"t_{d}")).alias(d) for d in dims])
         worst = off.agg(F.max(F.greatest(*dims) if len(dims) > 1 else F.col(dims[0]))).first()[0]
